@@ -28,26 +28,29 @@ def read_page(paged: DataFrame, offset: int, page_size: int = PAGE_SIZE) -> Data
     )
 
 
+def _paired(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join on null-safe keys; each side becomes a struct that is null when absent."""
+    left = old.select(F.struct(*old.columns).alias("_old"))
+    right = new.select(F.struct(*new.columns).alias("_new"))
+    same = [F.col("_old")[k].eqNullSafe(F.col("_new")[k]) for k in keys]
+    return left.join(right, same, "full_outer")
+
+
 def change_set(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What to insert, update and delete to turn ``target`` into ``wanted``.
 
     ``keys`` identify a row in both; the remaining columns are its content.
     """
-    body = [c for c in wanted.columns if c not in keys]
-    old = target.select(*keys, F.struct(*body).alias("_old"))
-    new = wanted.select(*keys, F.struct(*body).alias("_new"))
-    both = old.join(new, [old[k].eqNullSafe(new[k]) for k in keys], "full_outer")
+    columns = wanted.columns
+    both = _paired(target.select(*columns), wanted, keys)
+    old, new = F.col("_old"), F.col("_new")
     action = (
-        F.when(F.col("_old").isNull(), "insert")
-        .when(F.col("_new").isNull(), "delete")
-        .when(~F.col("_old").eqNullSafe(F.col("_new")), "update")
+        F.when(old.isNull(), "insert")
+        .when(new.isNull(), "delete")
+        .when(~old.eqNullSafe(new), "update")
     )
-    present = [
-        F.when(F.col("_old").isNull(), new[k]).otherwise(old[k]).alias(k) for k in keys
-    ]
-    row = F.coalesce("_new", "_old")
     return both.select(
-        action.alias("Action"), *present, *[row[c].alias(c) for c in body]
+        action.alias("Action"), *[F.coalesce(new, old)[c].alias(c) for c in columns]
     ).filter(F.col("Action").isNotNull())
 
 
@@ -58,18 +61,14 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) ->
     absent one) does nothing, as with a keyed store. One row per key on either side.
     """
     columns = target.columns
-    body = [c for c in columns if c not in keys]
-    old = target.select(*keys, F.struct(F.lit(True).alias("_is"), *body).alias("_old"))
-    new = changes.select(*keys, "Action", F.struct(*body).alias("_new"))
-    both = old.join(new, [old[k].eqNullSafe(new[k]) for k in keys], "full_outer")
-    was = F.col("_old").isNotNull()
-    act = F.coalesce(F.col("Action"), F.lit(""))
-    stays = (was & (act != "delete")) | (~was & (act == "insert"))
-    takes_new = (was & (act == "update")) | ~was
+    both = _paired(target, changes.select(*columns, "Action"), keys)
+    old, new = F.col("_old"), F.col("_new")
+    act = F.coalesce(new["Action"], F.lit(""))
+    stays = (old.isNotNull() & (act != "delete")) | (old.isNull() & (act == "insert"))
+    takes_new = old.isNull() | (act == "update")
     return both.filter(stays).select(
-        *[F.when(was, old[k]).otherwise(new[k]).alias(k) for k in keys],
-        *[F.when(takes_new, F.col("_new")[c]).otherwise(F.col("_old")[c]).alias(c) for c in body],
-    ).select(*columns)
+        *[F.when(takes_new, new[c]).otherwise(old[c]).alias(c) for c in columns]
+    )
 
 
 def affected_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
