@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.text import lower_tokens
 from earshot.operators.shape import conform
-from earshot.operators.skew import lookup_join, skew_join
+from earshot.operators.skew import hot_keys, lookup_join, skew_join
 from earshot.schemas import COMMENT_DIM
 
 COMMENT_KEY = ["SurveyType", "CommentId"]
@@ -27,6 +27,18 @@ def comment_stats(responses: DataFrame) -> DataFrame:
     )
 
 
+def hot_comments(dim: DataFrame, nonresponses: DataFrame | None = None, **limits) -> DataFrame:
+    """Comments that hold too many responses, read off the stored response counts.
+
+    The list drives the spreading in every join from responses to comments; see
+    :func:`earshot.operators.skew.hot_keys` for its bound.
+    """
+    counts = dim.select("CommentId", "ResponseCount")
+    if nonresponses is not None:
+        counts = counts.unionByName(nonresponses.select("CommentId", "ResponseCount"))
+    return hot_keys(counts, ["CommentId"], weight="ResponseCount", **limits)
+
+
 def with_character_count(df: DataFrame) -> DataFrame:
     return df.withColumn("CharacterCount", F.length("SurveyComment").cast("long"))
 
@@ -102,7 +114,7 @@ def work_queue(dim: DataFrame, batch_size: int | None) -> DataFrame:
 def unprocessed_work(buffer: DataFrame, dim: DataFrame) -> DataFrame:
     """Buffer rows whose comment has not been processed."""
     open_ids = dim.filter(F.col("ProcessingDate").isNull()).select("CommentId").distinct()
-    return skew_join(buffer, open_ids, ["CommentId"], "left_semi")
+    return buffer.join(open_ids, "CommentId", "left_semi")
 
 
 def mark_processed(dim: DataFrame, done: DataFrame, run_date: int) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot import config
@@ -61,15 +61,16 @@ def with_prompt_id(messages: DataFrame) -> DataFrame:
 # -- completions
 
 
-def complete_messages(messages: DataFrame, completions: DataFrame) -> DataFrame:
+def complete_messages(
+    messages: DataFrame, completions: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """Attach content, finish reasons, error, id and creation time to every message row.
 
-    One prompt may stand for a great many rows (short segments repeat), so rows of a hot prompt
-    are spread. Rows without a completion keep nulls and are triaged as missing.
+    One prompt may stand for a great many rows (short segments repeat); ``hot`` names such
+    prompts. Rows without a completion keep nulls and are triaged as missing.
     """
-    keyed = with_prompt_id(messages)
-    light = keyed.drop("Message")
-    return skew_join(light, completions, ["PromptId"], "left", _row_ids(light))
+    light = with_prompt_id(messages).drop("Message")
+    return skew_join(light, completions, ["PromptId"], "left", _row_ids(light), hot)
 
 
 def pending_prompts(messages: DataFrame, completions: DataFrame) -> DataFrame:
@@ -107,9 +108,14 @@ def triage(completed: DataFrame) -> DataFrame:
 
 
 def good_rows(triaged: DataFrame) -> DataFrame:
-    """Rows of comments all of whose rows are good: a comment counts as a whole or not at all."""
-    bad = triaged.filter(F.col("Status") != "ok").select("CommentId").distinct()
-    return skew_join(triaged, bad, ["CommentId"], "left_anti", hot=None)
+    """Rows of comments all of whose rows are good: a comment counts as a whole or not at all.
+
+    A group is the rows of one comment (the segments of one text), so a window over it is small
+    and spares a second pass over the completions.
+    """
+    comment = Window.partitionBy("CommentId")
+    bad = F.count_if(F.col("Status") != "ok").over(comment)
+    return triaged.withColumn("_bad", bad).filter(F.col("_bad") == 0).drop("_bad")
 
 
 def quarantine_rows(triaged: DataFrame, run_date: int) -> DataFrame:

@@ -52,7 +52,9 @@ def reachable_cells(
     angle = np.arccos(np.clip(min_cosine, -1.0, 1.0))
     chord = np.sqrt(max(0.0, 2.0 * (1.0 - min_cosine)))
     near = dots.argmax(axis=1)
-    gaps = np.linalg.norm(pivots[near][:, None, :] - pivots[None, :, :], axis=2)
+    squares = (pivots**2).sum(axis=1)
+    apart = squares[:, None] + squares[None, :] - 2.0 * (pivots @ pivots.T)
+    gaps = np.sqrt(np.maximum(apart, 0.0))[near]
     behind_plane = dots - dots.max(axis=1, keepdims=True) >= -chord * gaps - SLACK
     within = np.arccos(np.clip(dots, -1.0, 1.0)) <= radius[None, :] + angle + SLACK
     mask = behind_plane & within & (radius >= 0)[None, :]
@@ -83,17 +85,16 @@ def _homes(known: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 def _visits(new: DataFrame, pivots: np.ndarray, radius: np.ndarray, min_cosine: float) -> DataFrame:
-    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def list_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for start in range(0, len(frame), 256):
-                part = frame.iloc[start : start + 256]
-                mask = reachable_cells(unit_rows(part["Vector"]), pivots, radius, min_cosine)
-                row, cell = np.nonzero(mask)
-                yield part.iloc[row].assign(Cell=cell.astype("int32"))
-
-    return new.select("CommentId", "Vector").mapInPandas(
-        spread, "CommentId string, Vector array<double>, Cell int"
+            if len(frame):
+                mask = reachable_cells(unit_rows(frame["Vector"]), pivots, radius, min_cosine)
+                yield frame.assign(Cells=[np.nonzero(m)[0].astype("int32") for m in mask])
+
+    listed = new.select("CommentId", "Vector").mapInPandas(
+        list_cells, "CommentId string, Vector array<double>, Cells array<int>"
     )
+    return listed.select("CommentId", "Vector", F.explode("Cells").alias("Cell"))
 
 
 def nearest_known(

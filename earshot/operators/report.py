@@ -61,9 +61,7 @@ def restate_prior_report(fact: DataFrame, prior: DataFrame) -> DataFrame:
     """
     now = fact.select("FeedbackId", "DIM_DateId", "DIM_ProductMasterId", "Score")
     kept = prior.drop("DIM_DateId", "DIM_ProductMasterId", "Score")
-    return skew_join(kept, now, ["FeedbackId"], "inner", ["SegmentNumber", "Segment"]).select(
-        *prior.columns
-    )
+    return kept.join(now, "FeedbackId").select(*prior.columns)
 
 
 def distinct_rows(report: DataFrame) -> DataFrame:
@@ -81,7 +79,7 @@ def supersede_prior(current: DataFrame, prior: DataFrame, dedupe: bool = True) -
 
 
 def fan_out_duplicates(
-    duplicate_map: DataFrame, total: DataFrame, fact: DataFrame
+    duplicate_map: DataFrame, total: DataFrame, fact: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
     """Report rows for responses whose comment is a fuzzy duplicate of a reported one.
 
@@ -93,13 +91,13 @@ def fan_out_duplicates(
     )
     known = due.select(F.col("KnownCommentId").alias("CommentId")).distinct()
     segments = (
-        skew_join(total, known, ["CommentId"], "left_semi")
+        skew_join(total, known, ["CommentId"], "left_semi", ["FeedbackId"], hot)
         .select(F.col("CommentId").alias("KnownCommentId"), *INHERITED)
         .distinct()
     )
     per_comment = skew_join(due, segments, ["KnownCommentId"]).drop("KnownCommentId")
     rows = skew_join(
-        fact.select(*FACT_COLUMNS), per_comment, ["CommentId"], "inner", ["FeedbackId"]
+        fact.select(*FACT_COLUMNS), per_comment, ["CommentId"], "inner", ["FeedbackId"], hot
     )
     return typed_backfill(rows, REPORT).select(*REPORT.names)
 
@@ -121,13 +119,15 @@ def latest_per_comment(report: DataFrame) -> DataFrame:
     )
 
 
-def inherit_labels(repeats: DataFrame, total: DataFrame, mode: str = "feedback") -> DataFrame:
+def inherit_labels(
+    repeats: DataFrame, total: DataFrame, mode: str = "feedback", hot: DataFrame | None = None
+) -> DataFrame:
     """Give unreported repeats the labels of the latest reported response with the same text.
 
     ``feedback`` takes all segments of that response; ``single`` takes one segment row.
     """
     wanted = repeats.select("CommentId").distinct()
-    candidates = skew_join(total, wanted, ["CommentId"], "left_semi", ["FeedbackId", "SegmentNumber"])
+    candidates = skew_join(total, wanted, ["CommentId"], "left_semi", ["FeedbackId"], hot)
     if mode == "single":
         donors = latest_per_comment(candidates)
     elif mode == "feedback":
@@ -141,7 +141,7 @@ def inherit_labels(repeats: DataFrame, total: DataFrame, mode: str = "feedback")
         raise ValueError(f"unknown mode {mode!r}")
     segments = donors.select("CommentId", *INHERITED).distinct()
     rows = skew_join(
-        repeats.select(*FACT_COLUMNS), segments, ["CommentId"], "inner", ["FeedbackId"]
+        repeats.select(*FACT_COLUMNS), segments, ["CommentId"], "inner", ["FeedbackId"], hot
     )
     return typed_backfill(rows, REPORT).select(*REPORT.names)
 
@@ -149,15 +149,13 @@ def inherit_labels(repeats: DataFrame, total: DataFrame, mode: str = "feedback")
 def drop_removed_feedback(report: DataFrame, fact: DataFrame) -> DataFrame:
     """Report rows whose response is still in the fact."""
     ids = fact.select("FeedbackId").distinct()
-    return skew_join(report, ids, ["FeedbackId"], "left_semi", ["SegmentNumber", "Segment"])
+    return report.join(ids, "FeedbackId", "left_semi")
 
 
 def enrich_context(report: DataFrame, context: DataFrame) -> DataFrame:
     """Attach the user context; several contexts of one response never multiply its rows."""
     one = context.groupBy("FeedbackId").agg(F.min("UserContext").alias("UserContext"))
-    return skew_join(
-        report.drop("UserContext"), one, ["FeedbackId"], "left", ["SegmentNumber", "Segment"]
-    )
+    return report.drop("UserContext").join(one, "FeedbackId", "left")
 
 
 def assemble_report(

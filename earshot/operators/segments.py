@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions.text import segment_structs
-from earshot.operators.skew import skew_join
 from earshot.operators.shape import conform
 from earshot.schemas import SEGMENTS
 
@@ -39,7 +38,7 @@ def segment_comments(completed: DataFrame, run_date: int) -> DataFrame:
 
 def segment_cache_hits(cache: DataFrame, batch: DataFrame) -> DataFrame:
     """Cached segments of the comments in this batch."""
-    return skew_join(cache, batch.select("CommentId").distinct(), ["CommentId"], "left_semi")
+    return cache.join(batch.select("CommentId").distinct(), "CommentId", "left_semi")
 
 
 def segment_cache_misses(cache: DataFrame, batch: DataFrame) -> DataFrame:
@@ -50,4 +49,4 @@ def segment_cache_misses(cache: DataFrame, batch: DataFrame) -> DataFrame:
 def extend_segment_cache(cache: DataFrame, fresh: DataFrame) -> DataFrame:
     """The cache with the new segments of comments it did not hold."""
     held = cache.select("CommentId").distinct()
-    return cache.unionByName(skew_join(fresh, held, ["CommentId"], "left_anti"))
+    return cache.unionByName(fresh.join(held, "CommentId", "left_anti"))

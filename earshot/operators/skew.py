@@ -52,16 +52,22 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join of a frame that may repeat a key any number of times with one that does not.
 
-    Rows of a hot key are spread over pieces by a hash of ``spread`` (so a retried task sends
-    each row to the same piece) and the matching rows of ``one`` are copied to every piece.
+    With a table of hot keys, rows of a hot key are spread over pieces by a hash of ``spread``
+    (so a retried task sends each row to the same piece) and the matching rows of ``one`` are
+    copied to every piece. Take that table from stored counts, such as the response counts of
+    the comment dimension: finding it by a second pass over ``many`` would repeat its lineage.
+    Without it, the join is left to Spark's run-time splitting of skewed partitions, which
+    ``session.configure`` turns on for every such join.
     """
     on = list(on)
     if hot is None:
-        hot = hot_keys(many, on)
+        return many.join(one, on, how)
     spread = list(spread) if spread else [c for c in many.columns if c not in on]
+    # Hot keys may be named by some of the join's columns only.
+    by = [c for c in on if c in hot.columns]
     hot = F.broadcast(hot)
     cut = (
-        many.join(hot, on, "left")
+        many.join(hot, by, "left")
         .withColumn(
             "_piece",
             F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_pieces")), F.lit(0)).cast("int"),
@@ -69,7 +75,7 @@ def skew_join(
         .drop("_pieces")
     )
     copied = (
-        one.join(hot, on, "left")
+        one.join(hot, by, "left")
         .withColumn(
             "_piece",
             F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)),
@@ -89,13 +95,13 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    spread: Sequence[str] | None = None,
     max_rows: int = LOOKUP_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Join with a lookup table: broadcast when its checked size allows, else spread the keys."""
+    """Join with a lookup table: broadcast when its checked size allows, else shuffled."""
     if is_small(lookup, max_rows):
         return many.join(F.broadcast(lookup), list(on), how)
-    return skew_join(many, lookup, on, how, spread)
+    return skew_join(many, lookup, on, how, hot=hot)
 
 
 def repeat_rows(df: DataFrame, copies: str, per_row: int = COPIES_PER_ROW) -> DataFrame:

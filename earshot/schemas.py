@@ -32,7 +32,9 @@ COMMENT_DIM = _struct(
     " CharacterCount long, ResponseCount long"
 )
 
-NONRESPONSE_DIM = _struct("SurveyType string, CommentId string, SurveyComment string")
+NONRESPONSE_DIM = _struct(
+    "SurveyType string, CommentId string, SurveyComment string, ResponseCount long"
+)
 
 DUPLICATE_MAP = _struct(
     "CommentId string, KnownCommentId string, SurveyComment string,"
