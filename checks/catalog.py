@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from checks.stages_sql import (
 )
 from checks.views import CUTOFF, DAY1, DAY2, SURVEY
 from earshot import config
+from earshot.functions import prompts
 from earshot.functions.text import clean_segments, word_set
 from earshot.operators import comments, completions, fuzzy, labels, quality, report, segments, shape
 from earshot.schemas import (
@@ -581,6 +583,7 @@ def _(f):
 
 
 # Letter counts stand in for embeddings: a text-derived vector both engines can build.
+LOOSE = 250
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 .,"
 
 
@@ -591,6 +594,16 @@ def letter_vector(text: Column) -> Column:
     )
 
 
+# The other engine's edit distance counts bytes; each accented letter of the given texts is
+# swapped for a one-byte control character first, which makes it count characters.
+ACCENTED = "éóèñüçäöêßíÉÈÑÓÇÊÜÖÄÍ"
+
+
+def one_byte(text: str) -> str:
+    codes = "||".join(f"chr({c})" for c in [*range(1, 9), *range(14, 27)])
+    return f"translate({text}, '{ACCENTED}', {codes})"
+
+
 LETTER_VECTOR = (
     "list_transform(string_split(" + quoted("|".join(LETTERS)) + ", '|'),"
     " lambda c: (length(lower(SurveyComment)) - length(replace(lower(SurveyComment), c, '')))::DOUBLE)"
@@ -605,11 +618,14 @@ FUZZY = {
                          round(list_cosine_similarity(a.v, s.v), 9) AS Cosine
                   FROM arrived a, settled s)
             WHERE Cosine >= 0.95) WHERE Place <= 5""",
-    "duplicate_map": """
+    **{
+        name: f"""
         SELECT CommentId, KnownCommentId, mine AS SurveyComment, theirs AS SurveyCommentDeduped FROM (
             SELECT *, row_number() OVER (PARTITION BY CommentId ORDER BY Place) AS first
-            FROM nearest WHERE abs(length(mine) - length(theirs)) <= 15 AND levenshtein(mine, theirs) <= 15)
-        WHERE first = 1""",
+            FROM nearest WHERE abs(length(mine) - length(theirs)) <= {limit} AND levenshtein({one_byte("mine")}, {one_byte("theirs")}) <= {limit})
+        WHERE first = 1"""
+        for name, limit in (("duplicate_map", 15), ("loose_map", LOOSE))
+    },
     "segments_of_known": f"SELECT DISTINCT CommentId AS KnownCommentId, Segment, SegmentNumber, Coverage, CumulativeCoverage, {', '.join(LABEL_COLUMNS)}, ReportingType FROM total",
 }
 
@@ -625,8 +641,11 @@ def settled(f: Frames) -> DataFrame:
     )
 
 
-def duplicate_map(f: Frames) -> DataFrame:
-    return f.stored("duplicate_map", lambda: fuzzy.fuzzy_duplicate_map(arrived(f), settled(f)))
+def loose_map(f: Frames) -> DataFrame:
+    """Pairs within a wider edit limit, of which the given texts have many more."""
+    return f.stored(
+        "loose_map", lambda: fuzzy.fuzzy_duplicate_map(arrived(f), settled(f), max_edits=LOOSE)
+    )
 
 
 @query(
@@ -638,6 +657,11 @@ def _(f):
     return fuzzy.fuzzy_duplicate_map(arrived(f), settled(f)).drop("ReportingDate")
 
 
+@query("fuzzy_duplicate_map_loose", "SELECT CommentId, KnownCommentId FROM loose_map", FUZZY)
+def _(f):
+    return loose_map(f).select("CommentId", "KnownCommentId")
+
+
 @query(
     "fuzzy_nearest",
     "SELECT CommentId, KnownCommentId, round(Cosine, 6) AS Cosine, Place FROM nearest",
@@ -672,7 +696,7 @@ def _(f):
     f"""SELECT d.CommentId, d.KnownCommentId,
                CASE WHEN d.CommentId IN (SELECT CommentId FROM reportable_day2)
                      AND d.KnownCommentId IN (SELECT CommentId FROM total) THEN {DAY2} END AS ReportingDate
-        FROM duplicate_map d
+        FROM loose_map d
         UNION ALL SELECT CommentId, CommentId, {DAY1} FROM known WHERE ReportingDate IS NOT NULL""",
     FUZZY,
 )
@@ -681,7 +705,7 @@ def _(f):
         "CommentId", F.col("CommentId").alias("KnownCommentId"), "SurveyComment",
         F.col("SurveyComment").alias("SurveyCommentDeduped"), "ReportingDate",
     )
-    grown = fuzzy.maintain_duplicate_map(old, duplicate_map(f))
+    grown = fuzzy.maintain_duplicate_map(old, loose_map(f))
     added = report.fan_out_duplicates(grown, f.total, f.reportable("day2"), f.hot("day2"))
     return fuzzy.stamp_reported_pairs(grown, added, DAY2).select(
         "CommentId", "KnownCommentId", "ReportingDate"
@@ -693,12 +717,12 @@ def _(f):
     f"""SELECT f.DIM_DateId, f.DIM_ProductMasterId, f.FeedbackId, f.CommentId, s.Segment, s.SegmentNumber,
                round(s.Coverage, 6) AS Coverage, round(s.CumulativeCoverage, 6) AS CumulativeCoverage,
                {', '.join('s.' + c for c in LABEL_COLUMNS)}, f.Score, s.ReportingType
-        FROM duplicate_map d JOIN segments_of_known s USING (KnownCommentId)
+        FROM loose_map d JOIN segments_of_known s USING (KnownCommentId)
         JOIN reportable_day2 f ON f.CommentId = d.CommentId""",
     FUZZY,
 )
 def _(f):
-    rows = report.fan_out_duplicates(duplicate_map(f), f.total, f.reportable("day2"), f.hot("day2"))
+    rows = report.fan_out_duplicates(loose_map(f), f.total, f.reportable("day2"), f.hot("day2"))
     return show(rows, SHOWN)
 
 
@@ -1005,20 +1029,17 @@ def _(f):
     )
 
 
+def template_sql(template: str) -> str:
+    """The text a template renders, with the named columns joined in."""
+    pieces = [p if i % 2 else quoted(p) for i, p in enumerate(re.split(r"\{(\w+)\}", template)) if p]
+    return " || ".join(pieces)
+
+
 def label_text_sql(kind: str, iteration: int) -> str:
-    lines = lambda t: "; ".join(t.split("\n")[1:-1])
-    text = ""
-    if kind in config.EXPLANATION_TEXT:
-        text += quoted(f"The labels mean: {lines(config.EXPLANATION_TEXT[kind])}\n") + " || "
-    text += quoted(f"Choose one of: {lines(config.VOCABULARY_TEXT[kind])}\nSegment: ") + " || Segment"
-    if kind in config.SEES_COMMENT:
-        text += " || " + quoted("\nWhole comment: ") + " || SurveyComment"
-    if iteration == 1 and kind in config.TAKES_JUSTIFICATION:
-        text += (
-            " || CASE WHEN length(Justification) > 1 THEN "
-            + quoted("\nWeigh this remark on an earlier answer: ")
-            + " || Justification ELSE '' END"
-        )
+    text = template_sql(prompts.label_template(kind))
+    if prompts.takes_reason(kind, iteration):
+        clause = template_sql(prompts.REASON_CLAUSE)
+        text += f" || CASE WHEN length(Justification) > 1 THEN {clause} ELSE '' END"
     return text
 
 
@@ -1054,22 +1075,10 @@ def _(f):
     return out
 
 
-def validation_text_sql(kind: str) -> str:
-    lines = lambda t: "; ".join(t.split("\n")[1:-1])
-    text = ""
-    if kind in config.EXPLANATION_TEXT:
-        text += quoted(f"The labels mean: {lines(config.EXPLANATION_TEXT[kind])}\n") + " || "
-        text += "'Whole comment: ' || SurveyComment || chr(10) || "
-    return (
-        text + "'Segment: ' || Segment || chr(10) || 'Label: ' || " + f"{kind}Label"
-        " || chr(10) || 'Agree or Disagree?'"
-    )
-
-
 @query(
     "validation_prompts",
     " UNION ALL ".join(
-        f"SELECT CommentId, SegmentNumber, '{t}' AS LabelType, md5({validation_text_sql(t)}) AS Digest FROM texted"
+        f"SELECT CommentId, SegmentNumber, '{t}' AS LabelType, md5({template_sql(prompts.validation_template(t))}) AS Digest FROM texted"
         for t in VALIDATED_TYPES
     ),
     {"texted": TEXTED},
@@ -1087,6 +1096,8 @@ def _(f):
 
 
 _SYSTEM = quoted(config.SEGMENT_SYSTEM)
+_TEMPLATE = prompts.template_digest("segment", "All", prompts.SEGMENT_TEMPLATE)
+_PROMPT_ID = f"sha256('{_TEMPLATE}' || chr(1) || CommentId)"
 
 
 @query(
@@ -1103,7 +1114,7 @@ def _(f):
 
 @query(
     "complete_messages",
-    f"""SELECT CommentId, sha256({_SYSTEM} || chr(10) || SurveyComment) AS PromptId, md5(answer) AS Digest,
+    f"""SELECT CommentId, {_PROMPT_ID} AS PromptId, md5(answer) AS Digest,
                CASE Status WHEN 'ok' THEN 'stop' WHEN 'unfinished' THEN 'content_filter' END AS Reason,
                CASE WHEN Status = 'error' THEN '429' END AS Code
         FROM completed""",
@@ -1117,7 +1128,7 @@ def _(f):
 
 @query(
     "pending_prompts",
-    f"""SELECT sha256({_SYSTEM} || chr(10) || SurveyComment) AS PromptId FROM answers_day2
+    f"""SELECT {_PROMPT_ID} AS PromptId FROM answers_day2
         WHERE CommentId NOT IN (SELECT CommentId FROM answers_day1)""",
 )
 def _(f):

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from earshot import config
 from earshot.functions.prompts import (
+    SEGMENT_TEMPLATE,
     chat_messages,
-    joined,
-    label_prompt_parts,
+    label_template,
+    prompt_id,
+    rendered,
     system_prompt,
-    validation_prompt_parts,
+    takes_reason,
+    validation_template,
 )
 from earshot.functions.text import LINE_BREAKS
 from earshot.operators.skew import skew_join
@@ -25,37 +28,39 @@ from earshot.operators.skew import skew_join
 # Finish reasons that count as finished.
 FINISHED = ["stop", "length"]
 
+# What an answered row carries besides its own columns.
+ANSWER_COLUMNS = ["PromptId", "content", "finish_reason", "error", "id", "created", "Status"]
+
 
 # -- prompts
 
 
-def segment_messages(comments: DataFrame) -> DataFrame:
-    """Messages asking for the segments of each comment."""
-    return comments.withColumn(
-        "Message", chat_messages(system_prompt("segment", "All"), F.col("SurveyComment"))
+def _ask(rows: DataFrame, stage: str, kind: str, template: str, reason: bool = False) -> DataFrame:
+    return rows.withColumns(
+        {
+            "Message": chat_messages(system_prompt(stage, kind), rendered(template, reason)),
+            "PromptId": prompt_id(stage, kind, template, reason),
+        }
     )
 
 
-def label_messages(segments: DataFrame, label_type: str, iteration: int = 0) -> DataFrame:
-    """Messages asking for one label per segment; round 1 reads a ``Justification`` column."""
-    user = joined(label_prompt_parts(label_type, iteration))
-    return segments.withColumn(
-        "Message", chat_messages(system_prompt("assign", label_type), user)
-    )
+def segment_messages(comments: DataFrame) -> DataFrame:
+    """Message and PromptId asking for the segments of each comment."""
+    return _ask(comments, "segment", "All", SEGMENT_TEMPLATE)
 
 
-def validation_messages(labelled: DataFrame, label_type: str) -> DataFrame:
-    """Messages asking whether the label of each segment is right."""
-    user = joined(validation_prompt_parts(label_type))
-    return labelled.withColumn(
-        "Message", chat_messages(system_prompt("validate", label_type), user)
-    )
+def label_messages(segments: DataFrame, label_type: str, iteration: int = 0) -> DataFrame:
+    """Message and PromptId asking for one label per segment.
+
+    Round 1 reads a ``Justification`` column.
+    """
+    reason = takes_reason(label_type, iteration)
+    return _ask(segments, "assign", label_type, label_template(label_type), reason)
 
 
-def with_prompt_id(messages: DataFrame) -> DataFrame:
-    """Digest of both message texts; equal prompts share one completion."""
-    texts = F.concat_ws("\n", *[F.col("Message")[i]["content"] for i in (0, 1)])
-    return messages.withColumn("PromptId", F.sha2(texts, 256))
+def validation_messages(labelled: DataFrame, label_type: str) -> DataFrame:
+    """Message and PromptId asking whether the label of each segment is right."""
+    return _ask(labelled, "validate", label_type, validation_template(label_type))
 
 
 # -- completions
@@ -66,20 +71,19 @@ def complete_messages(
 ) -> DataFrame:
     """Attach content, finish reasons, error, id and creation time to every message row.
 
-    One prompt may stand for a great many rows (short segments repeat); ``hot`` names such
+    The join is on the prompt's key, so the message texts are never built here. One prompt may stand for a great many rows (short segments repeat); ``hot`` names such
     prompts. Rows without a completion keep nulls and are triaged as missing.
     """
-    light = with_prompt_id(messages).drop("Message")
+    light = messages.drop("Message")
     return skew_join(light, completions, ["PromptId"], "left", _row_ids(light), hot)
 
 
 def pending_prompts(messages: DataFrame, completions: DataFrame) -> DataFrame:
     """Distinct prompts nobody has answered yet."""
     return (
-        with_prompt_id(messages)
+        messages.join(completions.select("PromptId"), "PromptId", "left_anti")
         .groupBy("PromptId")
         .agg(F.first("Message").alias("Message"))
-        .join(completions.select("PromptId"), "PromptId", "left_anti")
     )
 
 
@@ -125,7 +129,9 @@ def quarantine_rows(triaged: DataFrame, run_date: int) -> DataFrame:
 
 def single_label(completed: DataFrame, label_type: str) -> DataFrame:
     """First answer as the label column."""
-    return completed.withColumn(f"{label_type}Label", F.get("content", F.lit(0)))
+    return completed.withColumn(f"{label_type}Label", F.get("content", F.lit(0))).drop(
+        *ANSWER_COLUMNS
+    )
 
 
 # -- offline answers, by rule from the row's own values
@@ -147,8 +153,7 @@ def _answer(content: Column, failed: Column, cut: Column) -> dict[str, Column]:
 
 
 def _distinct_prompts(messages: DataFrame, carry: Sequence[str]) -> DataFrame:
-    keyed = with_prompt_id(messages)
-    return keyed.groupBy("PromptId").agg(*[F.first(c).alias(c) for c in carry])
+    return messages.groupBy("PromptId").agg(*[F.first(c).alias(c) for c in carry])
 
 
 def _completions(prompts: DataFrame, answer: dict[str, Column]) -> DataFrame:

@@ -24,7 +24,7 @@ MIN_COSINE = 0.95
 MAX_EDITS = 15
 NEIGHBOURS = 5
 
-# Number of cells; this many pivot vectors are the only ones that visit the driver.
+# Largest number of cells; at most this many pivot vectors visit the driver.
 CELLS = 256
 # Rows of either side in one block: the product of two blocks takes 32 MB.
 BLOCK_ROWS = 2048
@@ -64,6 +64,12 @@ def reachable_cells(
     return mask
 
 
+def _frame(rows: pd.DataFrame, **columns) -> pd.DataFrame:
+    """Ids and vectors as plain objects (whatever string type pandas uses) plus new columns."""
+    out = {c: pd.Series(rows[c].to_numpy(dtype=object), dtype=object) for c in ("CommentId", "Vector")}
+    return pd.DataFrame({**out, **columns})
+
+
 def _pivots(known: DataFrame, cells: int) -> np.ndarray:
     """A bounded, repeatable sample of known vectors: those with the smallest digests."""
     rows = known.orderBy(F.xxhash64("CommentId"), "CommentId").limit(cells).select("Vector").toPandas()
@@ -77,7 +83,7 @@ def _homes(known: DataFrame, pivots: np.ndarray) -> DataFrame:
                 dots = unit_rows(frame["Vector"]) @ pivots.T
                 home = dots.argmax(axis=1)
                 angle = np.arccos(np.clip(dots.max(axis=1), -1.0, 1.0))
-                yield frame.assign(Cell=home.astype("int32"), Angle=angle)
+                yield _frame(frame, Cell=home.astype("int32"), Angle=angle)
 
     return known.select("CommentId", "Vector").mapInPandas(
         assign, "CommentId string, Vector array<double>, Cell int, Angle double"
@@ -89,7 +95,7 @@ def _visits(new: DataFrame, pivots: np.ndarray, radius: np.ndarray, min_cosine:
         for frame in frames:
             if len(frame):
                 mask = reachable_cells(unit_rows(frame["Vector"]), pivots, radius, min_cosine)
-                yield frame.assign(Cells=[np.nonzero(m)[0].astype("int32") for m in mask])
+                yield _frame(frame, Cells=[np.nonzero(m)[0].astype("int32") for m in mask])
 
     listed = new.select("CommentId", "Vector").mapInPandas(
         list_cells, "CommentId string, Vector array<double>, Cells array<int>"
@@ -113,7 +119,8 @@ def nearest_known(
     spark = new.sparkSession
     new = new.withColumn("Vector", F.col("Vector").cast("array<double>"))
     known = known.withColumn("Vector", F.col("Vector").cast("array<double>"))
-    pivots = _pivots(known, cells)
+    # Few vectors need few cells: a cell should hold about half a block.
+    pivots = _pivots(known, min(cells, 1 + 2 * known.count() // block_rows))
     if not len(pivots):
         return spark.createDataFrame(
             [], "CommentId string, KnownCommentId string, Cosine double, Place int"
@@ -155,7 +162,8 @@ def nearest_known(
         if len(mine) and len(theirs):
             theirs = theirs.sort_values("CommentId", kind="stable")
             cosines = np.round(unit_rows(mine["Vector"]) @ unit_rows(theirs["Vector"]).T, 9)
-            ids, others = mine["CommentId"].to_numpy(), theirs["CommentId"].to_numpy()
+            ids = mine["CommentId"].to_numpy(dtype=object)
+            others = theirs["CommentId"].to_numpy(dtype=object)
             for i in np.nonzero((cosines >= min_cosine).any(axis=1))[0]:
                 # Columns stand in id order, so a stable sort settles ties by id.
                 order = np.argsort(-cosines[i], kind="stable")[:neighbours]
@@ -163,7 +171,7 @@ def nearest_known(
                     out["CommentId"].append(ids[i])
                     out["KnownCommentId"].append(others[j])
                     out["Cosine"].append(cosines[i, j])
-        return pd.DataFrame(out)
+        return pd.DataFrame({c: pd.Series(v, dtype="float64" if c == "Cosine" else object) for c, v in out.items()})
 
     keys = ["Cell", "KnownBlock", "NewBlock"]
     best = (

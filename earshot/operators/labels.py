@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from earshot import config
 from earshot.functions.text import bind, closest_label
+from earshot.operators.completions import ANSWER_COLUMNS
 from earshot.operators.shape import rename_labels
-from earshot.operators.skew import skew_join
 from earshot.schemas import LABEL_TYPES
 
 SEGMENT_KEY = ["CommentId", "SegmentNumber"]
@@ -123,26 +123,29 @@ def parse_consensus(answer: Column) -> Column:
 
 def contradiction_override(validation: Column) -> Column:
     """Turn a Disagree whose reason argues for the label into an Agree with a fixed note."""
-    reason = validation["Justification"]
-    argues = reduce(
-        lambda a, b: a | b, [reason.like(p) for p in config.CONTRADICTION_PATTERNS]
-    )
-    contradicts = (validation["Consensus"] == "Disagree") & argues
-    return F.when(
-        contradicts,
-        F.struct(
+
+    def turned(given: Column) -> Column:
+        argues = reduce(
+            lambda a, b: a | b,
+            [given["Justification"].like(p) for p in config.CONTRADICTION_PATTERNS],
+        )
+        agree = F.struct(
             F.lit("Agree").alias("Consensus"),
             F.lit(config.CONTRADICTION_NOTE).alias("Justification"),
-        ),
-    ).otherwise(validation)
+        )
+        return F.when((given["Consensus"] == "Disagree") & argues, agree).otherwise(given)
+
+    return bind(validation, turned)
 
 
 def validated(completed: DataFrame, label_type: str) -> DataFrame:
-    """Add ``<X>Label_validation`` from the first answer."""
+    """The first answer as ``<X>Label_validation``, contradictions turned."""
     parsed = parse_consensus(F.get("content", F.lit(0)))
-    return completed.withColumn("_v", parsed).withColumn(
-        f"{label_type}Label_validation", contradiction_override(F.col("_v"))
-    ).drop("_v")
+    return (
+        completed.withColumn("_v", parsed)
+        .withColumn(f"{label_type}Label_validation", contradiction_override(F.col("_v")))
+        .drop("_v", *ANSWER_COLUMNS)
+    )
 
 
 def agreed(label_type: str) -> Column:
