@@ -1128,13 +1128,14 @@ def _(f):
 
 @query(
     "pending_prompts",
-    f"""SELECT {_PROMPT_ID} AS PromptId FROM answers_day2
+    f"""SELECT {_PROMPT_ID} AS PromptId, md5(SurveyComment) AS Digest FROM answers_day2
         WHERE CommentId NOT IN (SELECT CommentId FROM answers_day1)""",
 )
 def _(f):
-    message = lambda day: completions.segment_messages(f.stats(day).select("CommentId", "SurveyComment"))
-    have = completions.rule_segments(message("day1"))
-    return completions.pending_prompts(message("day2"), have).select("PromptId")
+    keyed = lambda day: completions.segment_keys(f.stats(day).select("CommentId", "SurveyComment"))
+    waiting = completions.pending_prompts(keyed("day2"), completions.rule_segments(keyed("day1")))
+    asked = completions.segment_messages(waiting)
+    return asked.select("PromptId", F.md5(F.col("Message")[1]["content"]).alias("Digest"))
 
 
 @query(
@@ -1219,9 +1220,9 @@ def _(f):
     open_rows = rows.filter(~labels.agreed("Sentiment")).withColumn(
         "Justification", F.col("SentimentLabel_validation")["Justification"]
     )
-    messages = completions.label_messages(open_rows, "Sentiment", 1)
+    keyed = completions.label_keys(open_rows, "Sentiment", 1)
     answers = completions.triage(
-        completions.complete_messages(messages, completions.rule_labels(messages, "Sentiment", 1))
+        completions.complete_messages(keyed, completions.rule_labels(keyed, "Sentiment", 1))
     ).filter("Status = 'ok'")
     second = labels.snap_to_vocabulary(completions.single_label(answers, "Sentiment"), ["Sentiment"])
     return labels.relabel_round(rows, second, "Sentiment").select(

@@ -107,9 +107,9 @@ class Frames:
 
     @cached_property
     def completed(self) -> DataFrame:
-        messages = completions.segment_messages(self.comment_texts)
+        keyed = completions.segment_keys(self.comment_texts)
         return completions.triage(
-            completions.complete_messages(messages, completions.rule_segments(messages))
+            completions.complete_messages(keyed, completions.rule_segments(keyed))
         )
 
     @property
@@ -125,9 +125,9 @@ class Frames:
         return self.segments.join(self.comment_texts, "CommentId")
 
     def label_answers(self, kind: str) -> DataFrame:
-        messages = completions.label_messages(self.with_text, kind)
+        keyed = completions.label_keys(self.segments, kind)
         return completions.triage(
-            completions.complete_messages(messages, completions.rule_labels(messages, kind))
+            completions.complete_messages(keyed, completions.rule_labels(keyed, kind))
         )
 
     @property

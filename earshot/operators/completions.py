@@ -35,56 +35,69 @@ ANSWER_COLUMNS = ["PromptId", "content", "finish_reason", "error", "id", "create
 # -- prompts
 
 
-def _ask(rows: DataFrame, stage: str, kind: str, template: str, reason: bool = False) -> DataFrame:
-    return rows.withColumns(
-        {
-            "Message": chat_messages(system_prompt(stage, kind), rendered(template, reason)),
-            "PromptId": prompt_id(stage, kind, template, reason),
-        }
-    )
+def _keyed(rows: DataFrame, stage: str, kind: str, template: str, reason: bool) -> DataFrame:
+    return rows.withColumn("PromptId", prompt_id(stage, kind, template, reason))
+
+
+def _asked(rows: DataFrame, stage: str, kind: str, template: str, reason: bool) -> DataFrame:
+    text = chat_messages(system_prompt(stage, kind), rendered(template, reason))
+    return rows.withColumn("Message", text)
+
+
+def segment_keys(comments: DataFrame) -> DataFrame:
+    """Add the key of the prompt that asks for a comment's segments."""
+    return _keyed(comments, "segment", "All", SEGMENT_TEMPLATE, False)
 
 
 def segment_messages(comments: DataFrame) -> DataFrame:
-    """Message and PromptId asking for the segments of each comment."""
-    return _ask(comments, "segment", "All", SEGMENT_TEMPLATE)
+    """Add the messages that ask for a comment's segments; reads ``SurveyComment``."""
+    return _asked(comments, "segment", "All", SEGMENT_TEMPLATE, False)
+
+
+def label_keys(segments: DataFrame, label_type: str, iteration: int = 0) -> DataFrame:
+    """Add the key of the prompt that asks for a segment's label; needs no comment text."""
+    reason = takes_reason(label_type, iteration)
+    return _keyed(segments, "assign", label_type, label_template(label_type), reason)
 
 
 def label_messages(segments: DataFrame, label_type: str, iteration: int = 0) -> DataFrame:
-    """Message and PromptId asking for one label per segment.
+    """Add the messages that ask for a segment's label.
 
-    Round 1 reads a ``Justification`` column.
+    Reads ``SurveyComment``, and ``Justification`` in round 1.
     """
     reason = takes_reason(label_type, iteration)
-    return _ask(segments, "assign", label_type, label_template(label_type), reason)
+    return _asked(segments, "assign", label_type, label_template(label_type), reason)
+
+
+def validation_keys(labelled: DataFrame, label_type: str) -> DataFrame:
+    """Add the key of the prompt that asks whether a segment's label is right."""
+    return _keyed(labelled, "validate", label_type, validation_template(label_type), False)
 
 
 def validation_messages(labelled: DataFrame, label_type: str) -> DataFrame:
-    """Message and PromptId asking whether the label of each segment is right."""
-    return _ask(labelled, "validate", label_type, validation_template(label_type))
+    """Add the messages that ask whether a segment's label is right."""
+    return _asked(labelled, "validate", label_type, validation_template(label_type), False)
 
 
 # -- completions
 
 
 def complete_messages(
-    messages: DataFrame, completions: DataFrame, hot: DataFrame | None = None
+    keyed: DataFrame, completions: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Attach content, finish reasons, error, id and creation time to every message row.
+    """Attach content, finish reasons, error, id and creation time to every keyed row.
 
-    The join is on the prompt's key, so the message texts are never built here. One prompt may stand for a great many rows (short segments repeat); ``hot`` names such
-    prompts. Rows without a completion keep nulls and are triaged as missing.
+    The join is on the prompt's key, so neither message texts nor comment texts travel. One
+    prompt may stand for a great many rows (short segments repeat); ``hot`` names such prompts.
+    Rows without a completion keep nulls and are triaged as missing.
     """
-    light = messages.drop("Message")
-    return skew_join(light, completions, ["PromptId"], "left", _row_ids(light), hot)
+    return skew_join(keyed, completions, ["PromptId"], "left", _row_ids(keyed), hot)
 
 
-def pending_prompts(messages: DataFrame, completions: DataFrame) -> DataFrame:
-    """Distinct prompts nobody has answered yet."""
-    return (
-        messages.join(completions.select("PromptId"), "PromptId", "left_anti")
-        .groupBy("PromptId")
-        .agg(F.first("Message").alias("Message"))
-    )
+def pending_prompts(keyed: DataFrame, completions: DataFrame) -> DataFrame:
+    """One row per prompt nobody has answered yet; add the comment text to build its messages."""
+    once = keyed.dropDuplicates(["PromptId"])
+    return once.join(completions.select("PromptId"), "PromptId", "left_anti")
 
 
 def _row_ids(df: DataFrame) -> list[str]:
@@ -152,17 +165,17 @@ def _answer(content: Column, failed: Column, cut: Column) -> dict[str, Column]:
     }
 
 
-def _distinct_prompts(messages: DataFrame, carry: Sequence[str]) -> DataFrame:
-    return messages.groupBy("PromptId").agg(*[F.first(c).alias(c) for c in carry])
+def _distinct_prompts(keyed: DataFrame, carry: Sequence[str]) -> DataFrame:
+    return keyed.groupBy("PromptId").agg(*[F.first(c).alias(c) for c in carry])
 
 
 def _completions(prompts: DataFrame, answer: dict[str, Column]) -> DataFrame:
     return prompts.select("PromptId", *[c.alias(n) for n, c in answer.items()])
 
 
-def rule_segments(messages: DataFrame, error_every: int = 53, cut_every: int = 59) -> DataFrame:
+def rule_segments(keyed: DataFrame, error_every: int = 53, cut_every: int = 59) -> DataFrame:
     """Completions that quote every line of the comment behind three dashes."""
-    prompts = _distinct_prompts(messages, ["SurveyComment"])
+    prompts = _distinct_prompts(keyed, ["SurveyComment"])
     size = F.length("SurveyComment")
     lines = F.transform(
         F.split("SurveyComment", LINE_BREAKS), lambda s: F.concat(F.lit("---"), s)
@@ -189,10 +202,10 @@ def noisy_label(label_type: str, shift: int = 0) -> Column:
 
 
 def rule_labels(
-    messages: DataFrame, label_type: str, iteration: int = 0, error_every: int = 97
+    keyed: DataFrame, label_type: str, iteration: int = 0, error_every: int = 97
 ) -> DataFrame:
     """Completions that answer with :func:`noisy_label`; round 1 answers differently."""
-    prompts = _distinct_prompts(messages, ["Segment"])
+    prompts = _distinct_prompts(keyed, ["Segment"])
     failed = F.length("Segment") % error_every == 0
     return _completions(prompts, _answer(noisy_label(label_type, iteration), failed, F.lit(False)))
 
@@ -212,10 +225,10 @@ def validation_text(label: Column) -> Column:
     )
 
 
-def rule_validations(messages: DataFrame, label_type: str, error_every: int = 89) -> DataFrame:
+def rule_validations(keyed: DataFrame, label_type: str, error_every: int = 89) -> DataFrame:
     """Completions that answer with :func:`validation_text`."""
     column = f"{label_type}Label"
-    prompts = _distinct_prompts(messages, ["Segment", column])
+    prompts = _distinct_prompts(keyed, ["Segment", column])
     failed = F.length("Segment") % error_every == 0
     return _completions(
         prompts, _answer(validation_text(F.col(column)), failed, F.lit(False))
