@@ -183,7 +183,7 @@ def _(f):
 
 @query(
     "batched_sink_counts",
-    """SELECT Action, count(*) AS Requested, count_if(works) AS Affected FROM (
+    """SELECT Action, count(*) AS Requested, count_if(works)::BIGINT AS Affected FROM (
          SELECT CASE WHEN b.FeedbackId IS NULL THEN 'insert' WHEN a.FeedbackId IS NULL THEN 'delete' ELSE 'update' END AS Action,
                 CASE WHEN b.FeedbackId IS NULL THEN o.SegmentNumber IS NULL ELSE o.SegmentNumber IS NOT NULL END AS works
          FROM search_before b FULL JOIN search_after a USING (FeedbackId, SegmentNumber, SurveyType)
@@ -200,13 +200,14 @@ def _(f):
 
 @query(
     "expired_tables",
-    r"""SELECT name, TableDate FROM (
+    r"""SELECT name, TableDate::VARCHAR AS TableDate FROM (
           SELECT name, try_strptime(nullif(regexp_extract(name, '(?:^|_)([0-9]{8})(?:_|$)', 1), ''), '%Y%m%d')::DATE AS TableDate
           FROM listing WHERE contains(name, '_buffer_'))
         WHERE TableDate <= DATE '2023-11-20' - 3""",
 )
 def _(f):
-    return retention.expired_tables(f.view("listing"), 20231120, 3)
+    expired = retention.expired_tables(f.view("listing"), 20231120, 3)
+    return expired.select("name", F.col("TableDate").cast("string").alias("TableDate"))
 
 
 # ---------------------------------------------------------------- filters and typing
@@ -915,9 +916,9 @@ def _(f):
     "source_profile",
     """SELECT (SELECT count(*) FROM fact_survey) AS SourceRows,
               (SELECT count(DISTINCT SurveyComment) FROM fact_survey) AS SourceDistinctComments,
-              (SELECT sum(ResponseCount) FROM flagged_fact_survey) AS EligibleRows,
+              (SELECT sum(ResponseCount)::BIGINT FROM flagged_fact_survey) AS EligibleRows,
               (SELECT count(*) FROM flagged_fact_survey) AS EligibleDistinctComments,
-              (SELECT sum(ResponseCount) FROM flagged_fact_survey WHERE IsNonresponse) AS NonresponseRows,
+              (SELECT sum(ResponseCount)::BIGINT FROM flagged_fact_survey WHERE IsNonresponse) AS NonresponseRows,
               (SELECT count(*) FROM flagged_fact_survey WHERE IsNonresponse) AS DistinctNonresponses""",
 )
 def _(f):

@@ -85,9 +85,9 @@ def eligible(day: str, with_text: bool) -> str:
 
 WORKLOAD_NAMES = config.workload_names(config.vocabulary("Workload"))
 NULL_FIELDS = (
-    "NULL AS Segment, NULL::BIGINT AS SegmentNumber, NULL::DOUBLE AS Coverage,"
-    " NULL::DOUBLE AS CumulativeCoverage, NULL AS SentimentLabel, NULL AS WorkloadLabel,"
-    " NULL AS SupportLabel, NULL AS PlatformLabel"
+    "NULL::VARCHAR AS Segment, NULL::BIGINT AS SegmentNumber, NULL::DOUBLE AS Coverage,"
+    " NULL::DOUBLE AS CumulativeCoverage, NULL::VARCHAR AS SentimentLabel,"
+    " NULL::VARCHAR AS WorkloadLabel, NULL::VARCHAR AS SupportLabel, NULL::VARCHAR AS PlatformLabel"
 )
 SEGMENT_COLUMNS = (
     "Segment, SegmentNumber, Coverage, CumulativeCoverage, SentimentLabel, WorkloadLabel,"

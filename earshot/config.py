@@ -114,7 +114,8 @@ WORKLOAD_PRODUCT = {
     "Suite Generic": "17",
 }
 
-# Justifications that contradict a "Disagree", as LIKE patterns, and their replacement.
+# Justifications that contradict a "Disagree", as LIKE patterns, and the note
+# that replaces them.
 CONTRADICTION_PATTERNS = [
     "%is appropriate for % segment%",
     "%is accurate for % segment%",

@@ -48,9 +48,13 @@ def lower_tokens(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
+def _share(whole: Column, covered: Column) -> Column:
+    return F.lit(1.0) - (whole - covered) / whole
+
+
 def coverage(whole: Column, part: Column) -> Column:
     """Share of the words in set ``whole`` that also occur in set ``part``."""
-    return F.lit(1.0) - F.size(F.array_except(whole, part)) / F.size(whole)
+    return _share(F.size(whole), F.size(whole) - F.size(F.array_except(whole, part)))
 
 
 def clean_segments(text: Column) -> Column:
@@ -66,20 +70,33 @@ def clean_segments(text: Column) -> Column:
 def segment_structs(comment: Column, completion: Column) -> Column:
     """Array of (Segment, SegmentNumber, Coverage) for one comment.
 
-    The comment's word set is built once per comment and stays inside the row: only segments
-    and their figures are exploded, never a word array per segment.
+    Word sets are built once and stay inside the row: only segments and their figures are
+    exploded. Segments quote the comment, so the words that are *not* in it are few; a segment's
+    covered words are its own without those, which keeps the work linear in the text where
+    comparing every segment with the whole comment would be quadratic.
     """
-    return bind(
-        word_set(comment),
-        lambda whole: F.transform(
-            clean_segments(completion),
-            lambda s, i: F.struct(
-                s.alias("Segment"),
-                i.cast("long").alias("SegmentNumber"),
-                coverage(whole, word_set(s)).alias("Coverage"),
+
+    def figures(whole: Column, parts: Column) -> Column:
+        every_word = F.flatten(F.transform(parts, lambda p: p["words"]))
+        return bind(
+            F.array_except(every_word, whole),
+            lambda foreign: F.transform(
+                parts,
+                lambda p, i: F.struct(
+                    p["Segment"].alias("Segment"),
+                    i.cast("long").alias("SegmentNumber"),
+                    _share(F.size(whole), F.size(F.array_except(p["words"], foreign))).alias(
+                        "Coverage"
+                    ),
+                ),
             ),
-        ),
+        )
+
+    parts = F.transform(
+        clean_segments(completion),
+        lambda s: F.struct(s.alias("Segment"), word_set(s).alias("words")),
     )
+    return bind(word_set(comment), lambda whole: bind(parts, lambda p: figures(whole, p)))
 
 
 def normalised(text: Column) -> Column:

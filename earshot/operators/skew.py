@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # A key is hot when it holds more than this share of the rows. At most 1 / HOT_SHARE keys can
 # be hot, so the list of hot keys has a proven bound and may be broadcast.
-HOT_SHARE = 0.001
+HOT_SHARE = 0.0001
 # ... and never below this many rows, so small inputs are joined as they are.
 HOT_ROWS = 200_000
 # A lookup table is broadcast only after a check that it has at most this many rows.

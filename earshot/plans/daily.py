@@ -19,7 +19,7 @@ from earshot.schemas import (
     COMMENT_DIM, DUPLICATE_MAP, LABEL_TYPES, LABELLED, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
     REPORT_OUT, SEGMENTS, VALIDATED_TYPES,
 )
-from earshot.session import configure, persist_table
+from earshot.session import configure, persist_table, scratch_tables
 from earshot.sources.retention import drop_expired, expired_tables
 from earshot.sources.tables import TableStore
 
@@ -385,12 +385,15 @@ def run_day(
 ) -> DataFrame:
     """All stages in order; labelling and validation are skipped when there is no new work."""
     configure(store.spark)
-    intake(store, fact, dictionary, run, vectors)
-    if segmentation(store, run):
-        labelling(store, run)
-        validation(store, run)
-        relabelling(store, run)
-    rebuild_report(store, fact, context, run)
+    with scratch_tables(store.spark):
+        intake(store, fact, dictionary, run, vectors)
+    with scratch_tables(store.spark):
+        if segmentation(store, run):
+            labelling(store, run)
+            validation(store, run)
+            relabelling(store, run)
+    with scratch_tables(store.spark):
+        rebuild_report(store, fact, context, run)
     alerts = quality_control(store, run)
     cleanup(store, run)
     return alerts

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+# Lists of scratch paths, one per open ``scratch_tables`` block.
+_KEPT: list[list[str]] = []
 
 # Runtime SQL settings the jobs rely on; all are safe to set on a running session.
 RUNTIME_SETTINGS = {
@@ -52,5 +56,21 @@ def persist_table(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends at the files."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for kept in _KEPT:
+        kept.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables persisted inside the block when it ends."""
+    paths: list[str] = []
+    _KEPT.append(paths)
+    try:
+        yield
+    finally:
+        _KEPT.remove(paths)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

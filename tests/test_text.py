@@ -151,3 +151,13 @@ def test_config_lists():
     names = config.workload_names(config.vocabulary("Workload"))
     assert set(names.values()) <= set(config.WORKLOAD_DISPLAY)
     assert set(config.WORKLOAD_DISPLAY.values()) == set(config.WORKLOAD_PRODUCT)
+
+
+def test_coverage_of_answers_that_do_not_quote(spark):
+    """Words an answer makes up count for nothing, as in the plain definition."""
+    comment, answer = "red car, blue bus?", "red lorry\nblue bus\ngreen -- van\nred"
+    rows = spark.createDataFrame([("c", comment, [answer])], "CommentId string, SurveyComment string, content array<string>")
+    got = {r["Segment"]: round(r["Coverage"], 9) for r in segments.explode_segments(rows).collect()}
+    whole = set(words_python(comment))
+    want = {s: round(1 - len(whole - set(words_python(s))) / len(whole), 9) for s in clean_python(answer)}
+    assert got == want
