@@ -519,7 +519,7 @@ def _(f):
 
 @query("current_report", f"SELECT {shown(SHOWN)} FROM current")
 def _(f):
-    return show(f.current, SHOWN)
+    return show(report.current_report(f.processed, f.today, f.hot("day2")), SHOWN)
 
 
 @query("restate_prior_report", f"SELECT {shown(SHOWN)} FROM restated")

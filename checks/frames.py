@@ -16,7 +16,8 @@ from checks.views import CUTOFF, DAY1, DAY2, SURVEY, TABLES, VIEWS
 from earshot import config
 from earshot.functions.text import lower_tokens
 from earshot.operators import comments, completions, labels, quality, report, segments, shape
-from earshot.schemas import NONRESPONSE_DIM
+from earshot.operators.skew import hot_keys
+from earshot.schemas import NONRESPONSE_DIM, REPORT
 from earshot.session import configure, persist_table
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
@@ -71,7 +72,7 @@ class Frames:
         return self.flagged(day).filter("IsNonresponse").select(*NONRESPONSE_DIM.names)
 
     def hot(self, day: str) -> DataFrame:
-        return comments.hot_comments(self.flagged(day))
+        return self.stored(f"hot_{day}", lambda: comments.hot_comments(self.flagged(day)))
 
     @property
     def known(self) -> DataFrame:
@@ -126,8 +127,9 @@ class Frames:
 
     def label_answers(self, kind: str) -> DataFrame:
         keyed = completions.label_keys(self.segments, kind)
+        answers = completions.rule_labels(keyed, kind)
         return completions.triage(
-            completions.complete_messages(keyed, completions.rule_labels(keyed, kind))
+            completions.complete_messages(keyed, answers, hot_keys(keyed, ["PromptId"]))
         )
 
     @property
@@ -202,14 +204,15 @@ class Frames:
             ),
         )
 
-    @cached_property
+    @property
     def current(self) -> DataFrame:
-        return report.current_report(self.processed, self.today, self.hot("day2"))
+        return self.stored(
+            "current",
+            lambda: report.current_report(self.processed, self.today, self.hot("day2")),
+        )
 
     @cached_property
     def restated(self) -> DataFrame:
-        from earshot.schemas import REPORT
-
         return report.restate_prior_report(
             self.reportable("day2"), self.prior_report.select(*REPORT.names)
         )

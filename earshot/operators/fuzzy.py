@@ -9,16 +9,21 @@ new comment, so neither a crowded cell nor a crowd of near copies is ever emitte
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.operators.skew import skew_join
 from earshot.schemas import DUPLICATE_MAP
 
+# The task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Limits of the match.
 MIN_COSINE = 0.95
 MAX_EDITS = 15

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from earshot import config
 from earshot.operators import comments, completions, fuzzy, labels, quality, report, segments, shape
+from earshot.operators.skew import hot_keys
 from earshot.schemas import (
     COMMENT_DIM, DUPLICATE_MAP, LABEL_TYPES, LABELLED, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
     REPORT_OUT, SEGMENTS, VALIDATED_TYPES,
@@ -142,7 +143,8 @@ def _complete(
         waiting = completions.pending_prompts(keyed, have)
         answers = have.unionByName(run.answer(ask(waiting), stage, label_type, iteration))
     answered = store.overwrite(name, answers)
-    return completions.triage(completions.complete_messages(keyed, answered))
+    hot = hot_keys(keyed, ["PromptId"])
+    return completions.triage(completions.complete_messages(keyed, answered, hot))
 
 
 def _quarantine(store: TableStore, run: Run, triaged: DataFrame, name: str) -> None:
