@@ -30,9 +30,11 @@ MAX_EDITS = 15
 NEIGHBOURS = 5
 
 # Largest number of cells; at most this many pivot vectors visit the driver.
-CELLS = 256
-# Rows of either side in one block: the product of two blocks takes 32 MB.
-BLOCK_ROWS = 2048
+CELLS = 1024
+# Rows of either side in one block, and rows compared at a time: a slice's cosines take 64 MB.
+# Every vector travels once per block of the other side, so blocks are as large as memory allows.
+BLOCK_ROWS = 16384
+SLICE_ROWS = 512
 # Slack that keeps rounding from ruling out a cell.
 SLACK = 1e-6
 
@@ -98,9 +100,10 @@ def _homes(known: DataFrame, pivots: np.ndarray) -> DataFrame:
 def _visits(new: DataFrame, pivots: np.ndarray, radius: np.ndarray, min_cosine: float) -> DataFrame:
     def list_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if len(frame):
-                mask = reachable_cells(unit_rows(frame["Vector"]), pivots, radius, min_cosine)
-                yield _frame(frame, Cells=[np.nonzero(m)[0].astype("int32") for m in mask])
+            for start in range(0, len(frame), SLICE_ROWS):
+                part = frame.iloc[start : start + SLICE_ROWS]
+                mask = reachable_cells(unit_rows(part["Vector"]), pivots, radius, min_cosine)
+                yield _frame(part, Cells=[np.nonzero(m)[0].astype("int32") for m in mask])
 
     listed = new.select("CommentId", "Vector").mapInPandas(
         list_cells, "CommentId string, Vector array<double>, Cells array<int>"
@@ -166,16 +169,19 @@ def nearest_known(
         out = {"CommentId": [], "KnownCommentId": [], "Cosine": []}
         if len(mine) and len(theirs):
             theirs = theirs.sort_values("CommentId", kind="stable")
-            cosines = np.round(unit_rows(mine["Vector"]) @ unit_rows(theirs["Vector"]).T, 9)
             ids = mine["CommentId"].to_numpy(dtype=object)
             others = theirs["CommentId"].to_numpy(dtype=object)
-            for i in np.nonzero((cosines >= min_cosine).any(axis=1))[0]:
-                # Columns stand in id order, so a stable sort settles ties by id.
-                order = np.argsort(-cosines[i], kind="stable")[:neighbours]
-                for j in order[cosines[i][order] >= min_cosine]:
-                    out["CommentId"].append(ids[i])
-                    out["KnownCommentId"].append(others[j])
-                    out["Cosine"].append(cosines[i, j])
+            columns = unit_rows(theirs["Vector"]).T
+            for start in range(0, len(mine), SLICE_ROWS):
+                rows = unit_rows(mine["Vector"].iloc[start : start + SLICE_ROWS])
+                cosines = np.round(rows @ columns, 9)
+                for i in np.nonzero((cosines >= min_cosine).any(axis=1))[0]:
+                    close = np.nonzero(cosines[i] >= min_cosine)[0]
+                    # Columns stand in id order, so a stable sort settles ties by id.
+                    for j in close[np.argsort(-cosines[i][close], kind="stable")[:neighbours]]:
+                        out["CommentId"].append(ids[start + i])
+                        out["KnownCommentId"].append(others[j])
+                        out["Cosine"].append(cosines[i, j])
         return pd.DataFrame({c: pd.Series(v, dtype="float64" if c == "Cosine" else object) for c, v in out.items()})
 
     keys = ["Cell", "KnownBlock", "NewBlock"]

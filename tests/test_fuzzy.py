@@ -23,7 +23,8 @@ def brute(new, known, limit, neighbours):
 
 
 @pytest.mark.parametrize("limit", [0.95, 0.6, 0.0])
-def test_blocks_and_cells_equal_brute_force(spark, limit):
+def test_blocks_and_cells_equal_brute_force(spark, limit, monkeypatch):
+    monkeypatch.setattr(fuzzy, "SLICE_ROWS", 16)
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(9, 12))
     # A third of the known vectors crowd round one centre; some are exact copies, one is zero.
