@@ -1053,7 +1053,7 @@ TEXTED = "SELECT s.*, c.SurveyComment FROM labelled_raw s JOIN answers_fact_surv
         f"SELECT CommentId, SegmentNumber, '{t}' AS LabelType, {i} AS Round, length(Prompt) AS Size, md5(Prompt) AS Digest"
         f" FROM (SELECT CommentId, SegmentNumber, {label_text_sql(t, i)} AS Prompt FROM"
         " (SELECT *, CASE WHEN SegmentNumber % 2 = 0 THEN Segment ELSE ' ' END AS Justification FROM texted))"
-        for t in LABEL_TYPES
+        for t in [*LABEL_TYPES, "Artifact"]
         for i in (0, 1)
     ),
     {"texted": TEXTED},
@@ -1063,7 +1063,7 @@ def _(f):
         "Justification", F.when(F.col("SegmentNumber") % 2 == 0, F.col("Segment")).otherwise(" ")
     )
     out = None
-    for kind in LABEL_TYPES:
+    for kind in [*LABEL_TYPES, "Artifact"]:
         for i in (0, 1):
             prompt = completions.label_messages(rows, kind, i).withColumn(
                 "Prompt", F.col("Message")[1]["content"]

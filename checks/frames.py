@@ -17,7 +17,7 @@ from earshot import config
 from earshot.functions.text import lower_tokens
 from earshot.operators import comments, completions, labels, quality, report, segments, shape
 from earshot.operators.skew import hot_keys
-from earshot.schemas import NONRESPONSE_DIM, REPORT
+from earshot.schemas import LABEL_TYPES, NONRESPONSE_DIM, REPORT
 from earshot.session import configure, persist_table
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
@@ -138,7 +138,7 @@ class Frames:
 
         def build() -> DataFrame:
             long = None
-            for kind in config.VOCABULARY_TEXT:
+            for kind in LABEL_TYPES:
                 one = completions.single_label(
                     completions.good_rows(self.label_answers(kind)), kind
                 ).select(
@@ -146,7 +146,7 @@ class Frames:
                     F.lit(kind).alias("LabelType"), F.col(f"{kind}Label").alias("Label"),
                 )
                 long = one if long is None else long.unionByName(one)
-            wide = labels.labels_wide(long, list(config.VOCABULARY_TEXT))
+            wide = labels.labels_wide(long, LABEL_TYPES)
             return labels.rename_workloads(labels.snap_to_vocabulary(wide))
 
         return self.stored("labelled", build)
@@ -155,7 +155,7 @@ class Frames:
     def labelled_raw(self) -> DataFrame:
         """Segments with the raw label of every type, read off the rule."""
         return self.segments.withColumns(
-            {f"{t}Label": completions.noisy_label(t) for t in config.VOCABULARY_TEXT}
+            {f"{t}Label": completions.noisy_label(t) for t in LABEL_TYPES}
         )
 
     # -- reports

@@ -45,10 +45,51 @@ Community
 Self-Diagnosis
 Reliability
 Not Applicable
+""",
+    # Declared for prompts; the daily job does not assign it.
+    "Artifact": """
+Reporting - Report
+Reporting - Printed Report
+Reporting - Scorecard
+Reporting - Dashboard
+Reporting - Data Flow
+Reporting - Data Mart
+Reporting - Live Model
+Reporting - Live Flow
+Alerts - Rule
+Ingestion - Data Flow
+Ingestion - Copy Job
+Pipelines - Table Store
+Pipelines - Notebook
+Pipelines - Environment
+Pipelines - Job Definition
+Modelling - Model
+Modelling - Experiment
+Modelling - Notebook
+Modelling - Environment
+Warehousing - Warehouse
+Warehousing - Mirrored Database
+Warehousing - Mirrored Warehouse
+Warehousing - Mirrored Documents
+Live Streams - Event Database
+Live Streams - Query Set
+Live Streams - Live Dashboard
+Live Streams - Event Stream
+Not Applicable
 """,
 }
 
 EXPLANATION_TEXT = {
+    "Artifact": """
+Reporting: pages, scores, marts and models of the reporting area
+Alerts: rules that act on data
+Ingestion: flows and jobs that bring data in
+Pipelines: stores, notebooks and jobs that prepare data
+Modelling: models, experiments and their notebooks
+Warehousing: warehouses and mirrored stores
+Live Streams: databases, queries and dashboards over events
+Not Applicable: none of the above
+""",
     "Workload": """
 Suite Reporting: dashboards, charts and printed reports
 Storage: the shared file and table store
@@ -154,8 +195,8 @@ SYSTEM_PROMPTS = {
 
 # Label types whose prompt shows the whole comment, and those that take the justification
 # of an earlier validation in the second round.
-SEES_COMMENT = {"Workload", "Support", "Platform"}
-TAKES_JUSTIFICATION = {"Sentiment", "Workload", "Platform"}
+SEES_COMMENT = {"Workload", "Support", "Platform", "Artifact"}
+TAKES_JUSTIFICATION = {"Sentiment", "Workload", "Platform", "Artifact"}
 
 
 def vocabulary(label_type: str, extra: tuple[str, ...] = ()) -> list[str]:

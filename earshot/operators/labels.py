@@ -12,6 +12,7 @@ from earshot import config
 from earshot.functions.text import bind, closest_label
 from earshot.operators.completions import ANSWER_COLUMNS
 from earshot.operators.shape import rename_labels
+from earshot.operators.skew import lookup_join
 from earshot.schemas import LABEL_TYPES
 
 SEGMENT_KEY = ["CommentId", "SegmentNumber"]
@@ -186,9 +187,5 @@ def vocabulary_table(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def instructions(work: DataFrame, prompts: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Attach the instruction text of each (stage, label type) to rows of work.
-
-    The prompt table is a closed list of config rows; the work side may repeat a kind at will,
-    so the closed list is the side that is broadcast.
-    """
-    return work.join(F.broadcast(prompts), list(on))
+    """Attach the instruction text of each (stage, label type) to rows of work."""
+    return lookup_join(work, prompts, on, "inner")

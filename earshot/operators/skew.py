@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.0001
 # ... and never below this many rows, so small inputs are joined as they are.
 HOT_ROWS = 200_000
-# A lookup table is broadcast only after a check that it has at most this many rows.
+# A lookup table is broadcast only after a check that it has at most this many rows and bytes.
 LOOKUP_ROWS = 1_000_000
+LOOKUP_BYTES = 64 * 1024 * 1024
 # Copies of one row are spread over this many rows per task.
 COPIES_PER_ROW = 100_000
 
@@ -85,9 +86,13 @@ def skew_join(
     return cut.join(copied, [*on, "_piece"], how).drop("_piece")
 
 
-def is_small(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> bool:
-    """Check of a lookup table's size; reads at most ``max_rows`` + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = LOOKUP_ROWS, max_bytes: int = LOOKUP_BYTES) -> bool:
+    """Check of a lookup table's size in rows and text bytes; reads ``max_rows`` + 1 rows at most."""
+    width = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
+    size = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).head()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def lookup_join(

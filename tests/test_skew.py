@@ -52,7 +52,7 @@ def test_counts_table_gives_the_same_hot_keys(many):
 
 
 def test_lookup_is_broadcast_only_when_small(many, one):
-    assert is_small(one, 100) and not is_small(one, 5)
+    assert is_small(one, 100) and not is_small(one, 5) and not is_small(one, 100, max_bytes=50)
     small = lookup_join(many, one, ["k"], "left")
     large = lookup_join(many, one, ["k"], "left", max_rows=5)
     assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()

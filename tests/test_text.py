@@ -148,6 +148,7 @@ def test_relabel_round(spark):
 
 def test_config_lists():
     assert [len(config.vocabulary(t)) for t in ("Sentiment", "Workload", "Support", "Platform")] == [5, 8, 5, 11]
+    assert len(config.vocabulary("Artifact")) == 28
     names = config.workload_names(config.vocabulary("Workload"))
     assert set(names.values()) <= set(config.WORKLOAD_DISPLAY)
     assert set(config.WORKLOAD_DISPLAY.values()) == set(config.WORKLOAD_PRODUCT)
