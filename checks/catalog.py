@@ -261,7 +261,11 @@ def _(f):
     f"SELECT FeedbackId, DIM_DateId, Score, {NULL_FIELDS}, ReportingType FROM (SELECT FeedbackId, DIM_DateId, Score, ReportingType FROM empty_day2)",
 )
 def _(f):
-    rows = shape.empty_responses(f.reportable("day2"))
+    rows = shape.empty_responses(
+        shape.product_allowlist(
+            shape.eligible_for_report(f.view("day2"), SURVEY, CUTOFF), config.product_ids()
+        )
+    )
     return rows.select(
         "FeedbackId", "DIM_DateId", "Score", "Segment", "SegmentNumber", "Coverage",
         "CumulativeCoverage", *LABEL_COLUMNS, "ReportingType",
@@ -727,16 +731,21 @@ def _(f):
     return show(rows, SHOWN)
 
 
-_FINAL = [*SHOWN, "WorkloadLabel_original", "Predicted_DIM_ProductMasterId", "UserContext", "SurveyType"]
+_FINAL = [*SHOWN, "WorkloadLabel_original", "Predicted_DIM_ProductMasterId", "UserContext", "SurveyType", "SurveyComment"]
 
 
-@query("assemble_report", f"SELECT {shown(_FINAL)} FROM final_report")
+@query(
+    "assemble_report",
+    f"""SELECT {shown(_FINAL[:-1])}, SurveyComment FROM final_report LEFT JOIN (
+            SELECT DISTINCT sha256(SurveyComment) AS CommentId, SurveyComment FROM fact_survey
+            WHERE SurveyComment IS NOT NULL) USING (CommentId)""",
+)
 def _(f):
     fact = f.reportable("day2")
     rows = report.assemble_report(
         f.total, report.inherit_labels(f.repeats, f.total, hot=f.hot("day2")),
         report.nonresponse_fact(fact, f.nonresponses("day2"), f.hot("day2")),
-        shape.empty_responses(fact), fact, f.context, SURVEY,
+        shape.empty_responses(fact), fact, f.context, f.texts, SURVEY, f.hot("day2"),
     )
     return show(rows, _FINAL)
 

@@ -48,7 +48,8 @@ class Frames:
 
     def reportable(self, day: str) -> DataFrame:
         fact = shape.eligible_for_report(self.view(day), SURVEY, CUTOFF)
-        return shape.with_comment_id(shape.product_allowlist(fact, config.product_ids()))
+        keyed = shape.with_comment_id(shape.product_allowlist(fact, config.product_ids()))
+        return keyed.select(*report.FACT_COLUMNS)
 
     def eligible(self, day: str) -> DataFrame:
         fact = shape.eligible_responses(self.view(day), SURVEY, CUTOFF)
@@ -179,7 +180,8 @@ class Frames:
             return report.assemble_report(
                 rows, none,
                 report.nonresponse_fact(fact, self.nonresponses("day1"), self.hot("day1")),
-                shape.empty_responses(fact), fact, self.context, SURVEY,
+                shape.empty_responses(fact), fact, self.context,
+                self.flagged("day1").select("CommentId", "SurveyComment"), SURVEY, self.hot("day1"),
             )
 
         return self.stored("prior_report", build)
@@ -225,6 +227,10 @@ class Frames:
     def repeats(self) -> DataFrame:
         return report.unreported_repeats(self.processed, self.total)
 
+    @cached_property
+    def texts(self) -> DataFrame:
+        return report.comment_texts([self.dim, self.nonresponses("day2")], self.prior_report)
+
     @property
     def final_report(self) -> DataFrame:
         def build() -> DataFrame:
@@ -232,7 +238,7 @@ class Frames:
             return report.assemble_report(
                 self.total, report.inherit_labels(self.repeats, self.total, hot=self.hot("day2")),
                 report.nonresponse_fact(fact, self.nonresponses("day2"), self.hot("day2")),
-                shape.empty_responses(fact), fact, self.context, SURVEY,
+                shape.empty_responses(fact), fact, self.context, self.texts, SURVEY, self.hot("day2"),
             )
 
         return self.stored("final_report", build)

@@ -2,21 +2,29 @@
 
 A popular comment can make up a third of all responses, so every join from responses to
 comments spreads the rows of hot comments, and "latest per comment" is an aggregate (combined
-before the shuffle) and not a window over all responses of the comment.
+before the shuffle) and not a window over all responses of the comment. Rows carry the comment's
+id through all joins; its text joins them once, on the way out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.operators.shape import SEGMENT_FIELDS, conform, predicted_product_id, typed_backfill
+from earshot.operators.shape import (
+    SEGMENT_FIELDS,
+    conform,
+    has_empty_id,
+    predicted_product_id,
+    typed_backfill,
+)
 from earshot.operators.skew import newest_first, skew_join
 from earshot.schemas import REPORT, REPORT_OUT
 
-FACT_COLUMNS = ["DIM_DateId", "DIM_ProductMasterId", "FeedbackId", "CommentId", "SurveyComment", "Score"]
+FACT_COLUMNS = ["DIM_DateId", "DIM_ProductMasterId", "FeedbackId", "CommentId", "Score"]
 # What a report row takes from a labelled segment rather than from the response.
 INHERITED = [
     "Segment", "SegmentNumber", "Coverage", "CumulativeCoverage", "SentimentLabel",
@@ -65,9 +73,8 @@ def restate_prior_report(fact: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def distinct_rows(report: DataFrame) -> DataFrame:
-    """Drop repeated rows; the comment id stands for its text, so the text is no key."""
-    keys = [c for c in report.columns if not (c == "SurveyComment" and "CommentId" in report.columns)]
-    return report.dropDuplicates(keys)
+    """Drop repeated rows; the comment's id stands for its text, so a text is no key."""
+    return report.dropDuplicates([c for c in report.columns if c != "SurveyComment"])
 
 
 def supersede_prior(current: DataFrame, prior: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -158,6 +165,27 @@ def enrich_context(report: DataFrame, context: DataFrame) -> DataFrame:
     return report.drop("UserContext").join(one, "FeedbackId", "left")
 
 
+def comment_texts(present: Sequence[DataFrame], prior: DataFrame) -> DataFrame:
+    """(CommentId, SurveyComment) of every comment a report row can name.
+
+    ``present`` are the dimension and the nonresponses. A text that left the fact while its
+    response stayed is taken from the earlier report; such comments are few, and are found by
+    their ids before any text is read.
+    """
+    columns = ["CommentId", "SurveyComment"]
+    known = reduce(DataFrame.unionByName, [p.select(*columns) for p in present])
+    gone = prior.select("CommentId").distinct().join(known, "CommentId", "left_anti")
+    old = prior.select(*columns).join(gone, "CommentId", "left_semi")
+    return known.unionByName(old).dropDuplicates(["CommentId"])
+
+
+def attach_text(report: DataFrame, texts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Add the comment's text to every report row."""
+    rows = skew_join(report, texts, ["CommentId"], "left", ["FeedbackId", "SegmentNumber"], hot)
+    empty = F.when(F.col("CommentId").isNotNull() & has_empty_id(), F.lit(""))
+    return rows.withColumn("SurveyComment", F.coalesce("SurveyComment", empty))
+
+
 def assemble_report(
     total: DataFrame,
     inherited: DataFrame,
@@ -165,13 +193,16 @@ def assemble_report(
     empties: DataFrame,
     fact: DataFrame,
     context: DataFrame,
+    texts: DataFrame,
     survey_type: str,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """All report rows: one dedupe, removals honoured, context, types, product id, survey type."""
+    """All report rows: one dedupe, removals honoured, context, types, product id, text."""
     parts = [
         typed_backfill(p, REPORT).select(*[c for c in REPORT.names if c != "UserContext"])
         for p in (total, inherited, nonresponses, empties)
     ]
     rows = distinct_rows(predicted_product_id(reduce(DataFrame.unionByName, parts)))
     rows = enrich_context(drop_removed_feedback(rows, fact), context)
+    rows = attach_text(rows, texts, hot)
     return conform(rows.withColumn("SurveyType", F.lit(survey_type)), REPORT_OUT)

@@ -38,6 +38,11 @@ def _is_empty() -> Column:
     return F.col("SurveyComment").isNull() | (F.col("SurveyComment") == "")
 
 
+def has_empty_id() -> Column:
+    """The same told by the comment's id, where the text is not at hand."""
+    return F.col("CommentId").isNull() | (F.col("CommentId") == comment_id(F.lit("")))
+
+
 def eligible_for_report(fact: DataFrame, survey_type: str, cutoff: int) -> DataFrame:
     """External responses of one survey type from the cutoff date on, comments or not."""
     return fact.filter(
@@ -90,9 +95,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def empty_responses(eligible: DataFrame) -> DataFrame:
     """Responses without a comment as report rows of kind ``Empty``."""
-    return typed_backfill(
-        eligible.filter(_is_empty()), SEGMENT_FIELDS, {"ReportingType": "Empty"}
-    )
+    empty = _is_empty() if "SurveyComment" in eligible.columns else has_empty_id()
+    return typed_backfill(eligible.filter(empty), SEGMENT_FIELDS, {"ReportingType": "Empty"})
 
 
 def rename_labels(df: DataFrame, column: str, mapping: Mapping[str, str] | DataFrame) -> DataFrame:

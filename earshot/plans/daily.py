@@ -71,8 +71,10 @@ def _keep(store: TableStore, run: Run, stage: str, checks: list[DataFrame], metr
 
 
 def reportable(fact: DataFrame, run: Run) -> DataFrame:
+    """Responses that take part in the report, by comment id and without their texts."""
     rows = shape.eligible_for_report(fact, run.survey_type, run.cutoff)
-    return shape.with_comment_id(shape.product_allowlist(rows, run.products))
+    rows = shape.with_comment_id(shape.product_allowlist(rows, run.products))
+    return rows.select(*report.FACT_COLUMNS)
 
 
 def intake(
@@ -313,7 +315,8 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
     labelled = store.read_or_empty(run.buffer("labelled"), RELABELLED).select(*LABELLED.names)
     processed = persist_table(report.processed_fact(rows, dim, hot), "fact-processed")
     current = persist_table(report.current_report(processed, labelled, hot), "report-current")
-    prior = store.read_or_empty(run.table("report"), REPORT_OUT).select(*REPORT.names)
+    before = store.read_or_empty(run.table("report"), REPORT_OUT)
+    prior = before.select(*REPORT.names)
     total = report.supersede_prior(
         current, report.restate_prior_report(rows, prior), dedupe=False
     )
@@ -333,7 +336,9 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
         shape.empty_responses(rows),
         rows,
         shape.context_normalise(context),
+        report.comment_texts([dim, silent], before),
         run.survey_type,
+        hot,
     )
     finished = store.overwrite(run.table("report"), finished)
     store.overwrite(run.table("comment_dim"), comments.mark_reported(dim, run.run_date))

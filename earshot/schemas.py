@@ -85,17 +85,19 @@ COMPLETIONS = T.StructType(
     ]
 )
 
+# Report rows while they are being worked on: the comment's id stands for its text.
 REPORT = _struct(
-    "DIM_DateId int, DIM_ProductMasterId int, FeedbackId string, CommentId string,"
-    " SurveyComment string, Segment string, SegmentNumber long, Coverage double,"
+    "DIM_DateId int, DIM_ProductMasterId int, FeedbackId string, CommentId string, Segment string, SegmentNumber long, Coverage double,"
     " CumulativeCoverage double, SentimentLabel string, WorkloadLabel string,"
     " SupportLabel string, PlatformLabel string, Score int, ReportingType string,"
     " WorkloadLabel_original string, UserContext string"
 )
 
 REPORT_OUT = T.StructType(
-    REPORT.fields
-    + [
+    [
+        *REPORT.fields[:4],
+        T.StructField("SurveyComment", T.StringType()),
+        *REPORT.fields[4:],
         T.StructField("Predicted_DIM_ProductMasterId", T.IntegerType()),
         T.StructField("SurveyType", T.StringType()),
     ]
