@@ -76,7 +76,7 @@ def repeat_responses(responses: DataFrame, known: DataFrame) -> DataFrame:
     """Known comments that occur again, with dates and counts taken afresh from the fact."""
     kept = known.select(*COMMENT_KEY, "TokenCount", "ProcessingDate", "ReportingDate")
     return conform(
-        with_character_count(comment_stats(responses).join(kept, COMMENT_KEY)), COMMENT_DIM
+        with_character_count(comment_stats(responses)).join(kept, COMMENT_KEY), COMMENT_DIM
     )
 
 
@@ -96,9 +96,7 @@ def upsert_comment_dim(stats: DataFrame, known: DataFrame) -> DataFrame:
     ones get fresh dates and counts, new ones start without a work state.
     """
     kept = known.select(*COMMENT_KEY, "TokenCount", "ProcessingDate", "ReportingDate")
-    return conform(
-        with_character_count(stats.join(kept, COMMENT_KEY, "left")), COMMENT_DIM
-    )
+    return conform(with_character_count(stats).join(kept, COMMENT_KEY, "left"), COMMENT_DIM)
 
 
 def work_queue(dim: DataFrame, batch_size: int | None) -> DataFrame:

@@ -21,7 +21,7 @@ from earshot.operators.shape import (
     predicted_product_id,
     typed_backfill,
 )
-from earshot.operators.skew import newest_first, skew_join
+from earshot.operators.skew import lookup_join, newest_first, skew_join
 from earshot.schemas import REPORT, REPORT_OUT
 
 FACT_COLUMNS = ["DIM_DateId", "DIM_ProductMasterId", "FeedbackId", "CommentId", "Score"]
@@ -78,9 +78,16 @@ def distinct_rows(report: DataFrame) -> DataFrame:
 
 
 def supersede_prior(current: DataFrame, prior: DataFrame, dedupe: bool = True) -> DataFrame:
-    """This run's rows plus the earlier rows of responses it did not cover."""
-    covered = current.select("DIM_ProductMasterId", "FeedbackId").distinct()
-    kept = prior.join(covered, ["DIM_ProductMasterId", "FeedbackId"], "left_anti")
+    """This run's rows plus the earlier rows of (product, response) pairs it did not cover.
+
+    The join is on the response alone, with the few products of a response as a set: the earlier
+    report, the largest table, then keeps the partitioning it has from being restated.
+    """
+    covered = current.groupBy("FeedbackId").agg(
+        F.collect_set("DIM_ProductMasterId").alias("_products")
+    )
+    is_covered = F.array_contains("_products", F.col("DIM_ProductMasterId"))
+    kept = prior.join(covered, "FeedbackId", "left").filter(~F.coalesce(is_covered, F.lit(False)))
     total = current.unionByName(kept.select(*current.columns))
     return distinct_rows(total) if dedupe else total
 
@@ -175,7 +182,7 @@ def comment_texts(present: Sequence[DataFrame], prior: DataFrame) -> DataFrame:
     columns = ["CommentId", "SurveyComment"]
     known = reduce(DataFrame.unionByName, [p.select(*columns) for p in present])
     gone = prior.select("CommentId").distinct().join(known, "CommentId", "left_anti")
-    old = prior.select(*columns).join(gone, "CommentId", "left_semi")
+    old = lookup_join(prior.select(*columns), gone, ["CommentId"], "left_semi")
     return known.unionByName(old).dropDuplicates(["CommentId"])
 
 
@@ -197,12 +204,16 @@ def assemble_report(
     survey_type: str,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """All report rows: one dedupe, removals honoured, context, types, product id, text."""
+    """All report rows: removals honoured, context, one dedupe, text, types, product id.
+
+    Removals, context and the dedupe all work on rows partitioned by response, so the report is
+    shuffled once for them and once more for its texts.
+    """
     parts = [
         typed_backfill(p, REPORT).select(*[c for c in REPORT.names if c != "UserContext"])
         for p in (total, inherited, nonresponses, empties)
     ]
-    rows = distinct_rows(predicted_product_id(reduce(DataFrame.unionByName, parts)))
-    rows = enrich_context(drop_removed_feedback(rows, fact), context)
+    rows = predicted_product_id(reduce(DataFrame.unionByName, parts))
+    rows = distinct_rows(enrich_context(drop_removed_feedback(rows, fact), context))
     rows = attach_text(rows, texts, hot)
     return conform(rows.withColumn("SurveyType", F.lit(survey_type)), REPORT_OUT)

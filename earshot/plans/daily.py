@@ -1,11 +1,14 @@
 """The daily job: intake, segmentation, labelling, validation, relabelling, report, checks.
 
 Each stage reads tables and writes tables, so lineage ends at every stage, a lost executor
-costs a stage's tasks and not the run, and a stage can be repeated for its day.
+costs a stage's tasks and not the run, and a stage can be repeated for its day. The comment
+dimension is kept as two tables: texts, written once a day, and the narrow work state, which is
+what later stages rewrite.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -17,7 +20,7 @@ from earshot import config
 from earshot.operators import comments, completions, fuzzy, labels, quality, report, segments, shape
 from earshot.operators.skew import hot_keys
 from earshot.schemas import (
-    COMMENT_DIM, DUPLICATE_MAP, LABEL_TYPES, LABELLED, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
+    COMMENT_DIM, COMMENT_STATE, COMMENT_TEXT, DUPLICATE_MAP, LABEL_TYPES, LABELLED, METRICS, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
     REPORT_OUT, SEGMENTS, VALIDATED_TYPES,
 )
 from earshot.session import configure, persist_table, scratch_tables
@@ -57,14 +60,33 @@ class Run:
         return f"{name}_{self.survey_type}"
 
 
-def _keep(store: TableStore, run: Run, stage: str, checks: list[DataFrame], metrics: list[DataFrame]) -> None:
-    """Store a stage's balances and metrics under its day."""
+def _keep(
+    store: TableStore,
+    run: Run,
+    stage: str,
+    started: float,
+    checks: list[DataFrame],
+    metrics: list[DataFrame],
+) -> None:
+    """Store a stage's balances, metrics and run time under its day."""
     if checks:
         rows = reduce(DataFrame.unionByName, checks)
         store.overwrite(f"checks/{run.run_date}/{run.table(stage)}", rows)
-    if metrics:
-        rows = reduce(DataFrame.unionByName, metrics)
-        store.overwrite(f"metrics/{run.run_date}/{run.table(stage)}", rows)
+    seconds = (stage, "seconds", time.time() - started, run.run_date)
+    rows = [store.spark.createDataFrame([seconds], METRICS), *metrics]
+    store.overwrite(
+        f"metrics/{run.run_date}/{run.table(stage)}", reduce(DataFrame.unionByName, rows)
+    )
+
+
+def _answer_metrics(triaged: DataFrame, stage: str, run: Run) -> DataFrame:
+    status = lambda s: F.count_if(F.col("Status") == s)
+    return quality.run_metrics(
+        triaged,
+        stage,
+        {"rows": F.count(F.lit(1)), **{s: status(s) for s in ("ok", "error", "unfinished", "missing")}},
+        run.run_date,
+    )
 
 
 # -- intake
@@ -89,30 +111,32 @@ def intake(
     With ``vectors`` (CommentId, Vector) new comments that closely match a reported one are
     mapped to it and need no processing of their own.
     """
+    started = time.time()
     rows = shape.eligible_responses(fact, run.survey_type, run.cutoff)
     rows = shape.with_comment_id(shape.product_allowlist(rows, run.products))
     stats = persist_table(comments.comment_stats(rows), "comment-stats")
     flagged = persist_table(comments.nonresponse_split(stats, dictionary), "comments-flagged")
-    known = store.read_or_empty(run.table("comment_dim"), COMMENT_DIM)
+    known = store.read_or_empty(run.table("comment_state"), COMMENT_STATE)
     responses = flagged.filter(~F.col("IsNonresponse"))
-    dim = comments.upsert_comment_dim(responses, known)
+    state = comments.upsert_comment_dim(responses, known).select(*COMMENT_STATE.names)
     if vectors is not None:
         new = responses.join(known.select("CommentId"), "CommentId", "left_anti")
-        reported = known.filter(F.col("ReportingDate").isNotNull())
-        reported = comments.drop_removed_comments(reported, responses)
+        done = known.filter(F.col("ReportingDate").isNotNull())
+        reported = responses.join(done.select("CommentId"), "CommentId", "left_semi")
         with_vector = lambda df: df.select("CommentId", "SurveyComment").join(vectors, "CommentId")
         fresh = persist_table(
             fuzzy.fuzzy_duplicate_map(with_vector(new), with_vector(reported)), "fuzzy-pairs"
         )
         old = store.read_or_empty(run.table("duplicate_map"), DUPLICATE_MAP)
         store.overwrite(run.table("duplicate_map"), fuzzy.maintain_duplicate_map(old, fresh))
-        dim = comments.mark_processed(dim, fresh, run.run_date)
-    dim = store.overwrite(run.table("comment_dim"), dim)
+        state = comments.mark_processed(state, fresh, run.run_date)
+    state = store.overwrite(run.table("comment_state"), state)
+    store.overwrite(run.table("comment_text"), responses.select(*COMMENT_TEXT.names))
     silent = shape.conform(flagged.filter("IsNonresponse"), NONRESPONSE_DIM)
     silent = store.overwrite(run.table("nonresponse_dim"), silent)
     _keep(
-        store, run, "intake",
-        [quality.conservation_check("intake", "comments = responses + nonresponses", [flagged], [dim, silent])],
+        store, run, "intake", started,
+        [quality.conservation_check("intake", "comments = responses + nonresponses", [flagged], [state, silent])],
         [
             quality.run_metrics(
                 flagged, "intake",
@@ -127,6 +151,20 @@ def intake(
     )
 
 
+def comment_dim(store: TableStore, run: Run) -> DataFrame:
+    """The dimension of distinct comments with texts and work state."""
+    return shape.conform(_with_text(store, run)(_state(store, run)), COMMENT_DIM)
+
+
+def _state(store: TableStore, run: Run) -> DataFrame:
+    return store.read(run.table("comment_state"), COMMENT_STATE)
+
+
+def _with_text(store: TableStore, run: Run) -> Callable[[DataFrame], DataFrame]:
+    texts = store.read(run.table("comment_text"), COMMENT_TEXT)
+    return lambda rows: rows.join(texts, "CommentId")
+
+
 # -- completions
 
 
@@ -159,9 +197,9 @@ def _quarantine(store: TableStore, run: Run, triaged: DataFrame, name: str) -> N
 
 def segmentation(store: TableStore, run: Run) -> bool:
     """Segment the waiting comments; false when there is nothing to do."""
-    dim = store.read(run.table("comment_dim"), COMMENT_DIM)
-    queue = comments.work_queue(dim, run.batch_size)
-    batch = persist_table(queue.select("CommentId", "SurveyComment"), "batch")
+    started = time.time()
+    queue = comments.work_queue(_state(store, run), run.batch_size)
+    batch = persist_table(_with_text(store, run)(queue.select("CommentId")), "batch")
     if batch.isEmpty():
         return False
     cache = store.read_or_empty("segment_cache", SEGMENTS)
@@ -181,7 +219,7 @@ def segmentation(store: TableStore, run: Run) -> bool:
         store.overwrite("segment_cache", segments.extend_segment_cache(cache, fresh))
     rows = store.overwrite(run.buffer("segments"), rows)
     _keep(
-        store, run, "segmentation",
+        store, run, "segmentation", started,
         [
             quality.conservation_check(
                 "segmentation", "work = good + quarantined", [keyed],
@@ -196,18 +234,7 @@ def segmentation(store: TableStore, run: Run) -> bool:
                 "segmentation", "no repeated segment", [rows], [rows.distinct()]
             ),
         ],
-        [
-            quality.run_metrics(
-                triaged, "segmentation",
-                {
-                    "comments": F.count(F.lit(1)),
-                    "errors": F.count_if(F.col("Status") == "error"),
-                    "unfinished": F.count_if(F.col("Status") == "unfinished"),
-                    "missing": F.count_if(F.col("Status") == "missing"),
-                },
-                run.run_date,
-            )
-        ],
+        [_answer_metrics(triaged, "segmentation", run)],
     )
     return True
 
@@ -215,18 +242,14 @@ def segmentation(store: TableStore, run: Run) -> bool:
 # -- labels
 
 
-def _with_text(store: TableStore, run: Run) -> Callable[[DataFrame], DataFrame]:
-    texts = store.read(run.table("comment_dim"), COMMENT_DIM).select("CommentId", "SurveyComment")
-    return lambda rows: rows.join(texts, "CommentId")
-
-
 def labelling(store: TableStore, run: Run) -> None:
     """First round: four labels per segment, snapped to the closed lists, one row per segment."""
-    dim = store.read(run.table("comment_dim"), COMMENT_DIM)
-    work = comments.unprocessed_work(store.read(run.buffer("segments"), SEGMENTS), dim)
+    started = time.time()
+    work = store.read(run.buffer("segments"), SEGMENTS)
+    work = comments.unprocessed_work(work, _state(store, run))
     work = persist_table(work, "label-work")
     texted = _with_text(store, run)
-    parts, checks = [], []
+    parts, checks, metrics = [], [], []
     for kind in LABEL_TYPES:
         ask = lambda rows, kind=kind: completions.label_messages(texted(rows), kind)
         triaged = persist_table(
@@ -234,6 +257,7 @@ def labelling(store: TableStore, run: Run) -> None:
             "labels-triaged",
         )
         _quarantine(store, run, triaged, f"assign_{kind}_0")
+        metrics.append(_answer_metrics(triaged, f"labelling {kind}", run))
         good = persist_table(completions.good_rows(triaged), "labels-good")
         checks.append(
             quality.conservation_check(
@@ -249,17 +273,17 @@ def labelling(store: TableStore, run: Run) -> None:
         )
     long = store.overwrite(run.buffer("labels"), reduce(DataFrame.unionByName, parts))
     wide = labels.snap_to_vocabulary(labels.labels_wide(long, LABEL_TYPES))
-    store.overwrite(
-        run.buffer("labelled_first"), shape.conform(labels.rename_workloads(wide), LABELLED)
-    )
-    _keep(store, run, "labelling", checks, [])
+    first = shape.conform(labels.rename_workloads(wide), LABELLED)
+    store.overwrite(run.buffer("labelled_first"), first.sortWithinPartitions(*labels.SEGMENT_KEY))
+    _keep(store, run, "labelling", started, checks, metrics)
 
 
 def validation(store: TableStore, run: Run) -> None:
     """Have three of the labels checked; rows that fail in any check drop out with their comment."""
+    started = time.time()
     rows = store.read(run.buffer("labelled_first"), LABELLED)
     texted = _with_text(store, run)
-    parts = []
+    parts, metrics = [], []
     for kind in VALIDATED_TYPES:
         ask = lambda df, kind=kind: completions.validation_messages(texted(df), kind)
         triaged = persist_table(
@@ -267,6 +291,7 @@ def validation(store: TableStore, run: Run) -> None:
             "validations-triaged",
         )
         _quarantine(store, run, triaged, f"validate_{kind}")
+        metrics.append(_answer_metrics(triaged, f"validation {kind}", run))
         checked = labels.validated(completions.good_rows(triaged), kind)
         parts.append(
             checked.select(
@@ -277,14 +302,17 @@ def validation(store: TableStore, run: Run) -> None:
     long = reduce(DataFrame.unionByName, parts)
     wide = labels.labels_wide(long, VALIDATED_TYPES, values=("Label_validation",))
     store.overwrite(run.buffer("validated"), labels.join_on(rows, wide, labels.SEGMENT_KEY))
+    _keep(store, run, "validation", started, [], metrics)
 
 
 def relabelling(store: TableStore, run: Run) -> None:
     """Second round for labels that were not agreed to; then the comments count as processed."""
-    rows = store.read(run.buffer("validated"))
+    started = time.time()
+    checked = store.read(run.buffer("validated"))
+    rows, metrics = checked, []
     texted = _with_text(store, run)
     for kind in VALIDATED_TYPES:
-        open_rows = rows.filter(~labels.agreed(kind)).select(
+        open_rows = checked.filter(~labels.agreed(kind)).select(
             *labels.SEGMENT_KEY, "Segment",
             F.col(f"{kind}Label_validation")["Justification"].alias("Justification"),
         )
@@ -294,13 +322,25 @@ def relabelling(store: TableStore, run: Run) -> None:
             "relabels-triaged",
         )
         _quarantine(store, run, triaged, f"assign_{kind}_1")
+        metrics.append(_answer_metrics(triaged, f"relabelling {kind}", run))
         second = completions.single_label(completions.good_rows(triaged), kind)
         rows = labels.relabel_round(rows, second, kind)
     snapped = labels.snap_to_vocabulary(rows, extra_workloads=(config.GENERIC_WORKLOAD,))
     final = labels.rename_workloads(snapped, second_round=True)
-    done = store.overwrite(run.buffer("labelled"), shape.conform(final, RELABELLED))
-    dim = store.read(run.table("comment_dim"), COMMENT_DIM)
-    store.overwrite(run.table("comment_dim"), comments.mark_processed(dim, done, run.run_date))
+    final = shape.conform(final, RELABELLED).sortWithinPartitions(*labels.SEGMENT_KEY)
+    done = store.overwrite(run.buffer("labelled"), final)
+    state = comments.mark_processed(_state(store, run), done, run.run_date)
+    store.overwrite(run.table("comment_state"), state)
+    _keep(
+        store, run, "relabelling", started,
+        [
+            quality.conservation_check(
+                "relabelling", "one row per segment", [done],
+                [done.select(*labels.SEGMENT_KEY).distinct()],
+            )
+        ],
+        metrics,
+    )
 
 
 # -- report
@@ -308,12 +348,13 @@ def relabelling(store: TableStore, run: Run) -> None:
 
 def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run: Run) -> DataFrame:
     """Replace the report of this survey type."""
+    started = time.time()
     rows = persist_table(reportable(fact, run), "fact-keyed")
-    dim = store.read(run.table("comment_dim"), COMMENT_DIM)
+    state = _state(store, run)
     silent = store.read(run.table("nonresponse_dim"), NONRESPONSE_DIM)
-    hot = persist_table(comments.hot_comments(dim, silent), "hot-comments")
+    hot = persist_table(comments.hot_comments(state, silent), "hot-comments")
     labelled = store.read_or_empty(run.buffer("labelled"), RELABELLED).select(*LABELLED.names)
-    processed = persist_table(report.processed_fact(rows, dim, hot), "fact-processed")
+    processed = persist_table(report.processed_fact(rows, state, hot), "fact-processed")
     current = persist_table(report.current_report(processed, labelled, hot), "report-current")
     before = store.read_or_empty(run.table("report"), REPORT_OUT)
     prior = before.select(*REPORT.names)
@@ -336,15 +377,15 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
         shape.empty_responses(rows),
         rows,
         shape.context_normalise(context),
-        report.comment_texts([dim, silent], before),
+        report.comment_texts([store.read(run.table("comment_text")), silent], before),
         run.survey_type,
         hot,
     )
     finished = store.overwrite(run.table("report"), finished)
-    store.overwrite(run.table("comment_dim"), comments.mark_reported(dim, run.run_date))
+    store.overwrite(run.table("comment_state"), comments.mark_reported(state, run.run_date))
     reported = finished.select("FeedbackId").distinct()
     _keep(
-        store, run, "report",
+        store, run, "report", started,
         [
             quality.conservation_check(
                 "report", "no response outside the fact", [reported],
@@ -364,7 +405,7 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
 
 def quality_control(store: TableStore, run: Run) -> DataFrame:
     """Append today's label counts with their issue flags; returns the alert rows."""
-    dim = store.read(run.table("comment_dim"), COMMENT_DIM)
+    state = _state(store, run)
     rows = store.read(run.table("report"), REPORT_OUT).filter(F.col("ReportingType") == "Report")
     current = quality.label_counts(rows, run.run_date)
     prior = store.read_or_empty(run.table("qc"), QC).filter(F.col("DIM_DateId") < run.run_date)
@@ -372,7 +413,7 @@ def quality_control(store: TableStore, run: Run) -> DataFrame:
         flags = current.withColumn("IssueFlag", F.lit(False))
     else:
         drift = quality.label_drift(quality.latest_snapshot(prior), current, run.run_date)
-        flags = quality.silence_backfill(drift, dim, run.run_date)
+        flags = quality.silence_backfill(drift, state, run.run_date)
     qc = shape.conform(quality.append_qc(prior, flags, run.survey_type), QC)
     return quality.drift_alerts(store.overwrite(run.table("qc"), qc), run.run_date)
 

@@ -32,6 +32,10 @@ COMMENT_DIM = _struct(
     " CharacterCount long, ResponseCount long"
 )
 
+# The same without the texts: what the daily job rewrites when work states change.
+COMMENT_STATE = T.StructType([f for f in COMMENT_DIM.fields if f.name != "SurveyComment"])
+COMMENT_TEXT = _struct("CommentId string, SurveyComment string")
+
 NONRESPONSE_DIM = _struct(
     "SurveyType string, CommentId string, SurveyComment string, ResponseCount long"
 )

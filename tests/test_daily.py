@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from earshot.functions.text import comment_id
-from earshot.plans.daily import Run, run_day
+from earshot.plans.daily import Run, comment_dim, run_day
 from earshot.schemas import FACT_SURVEY
 from earshot.session import scratch_path
 from earshot.sources.tables import TableStore
@@ -51,7 +51,7 @@ def days(spark):
         run_day(store, fact, dictionary, context, run, vectors)
         out[name] = {
             "report": [r.asDict() for r in store.read("report_NPS").collect()],
-            "dim": {r["SurveyComment"]: r.asDict() for r in store.read("comment_dim_NPS").collect()},
+            "dim": {r["SurveyComment"]: r.asDict() for r in comment_dim(store, run).collect()},
             "qc": store.read("qc_NPS").count(),
         }
     out["store"] = store
@@ -110,6 +110,13 @@ def test_second_run_changes_nothing(days):
 
 def test_balances_hold(days):
     store = days["store"]
-    for date, stage in ((20240110, "intake"), (20240110, "segmentation"), (20240110, "labelling"), (20240111, "report")):
+    for date, stage in ((20240110, "intake"), (20240110, "segmentation"), (20240110, "labelling"), (20240110, "relabelling"), (20240111, "report")):
         rows = store.read(f"checks/{date}/{stage}_NPS").collect()
         assert rows and all(r["Ok"] for r in rows), rows
+
+
+def test_metrics_are_kept(days):
+    rows = days["store"].read("metrics/20240110/labelling_NPS").collect()
+    values = {(r["Stage"], r["Metric"]): r["Value"] for r in rows}
+    assert values[("labelling", "seconds")] > 0
+    assert values[("labelling Sentiment", "rows")] == values[("labelling Sentiment", "ok")] == 3
