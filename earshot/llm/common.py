@@ -136,8 +136,8 @@ def byte_hash(data: np.ndarray) -> PrefixHash:
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 class Words:
@@ -145,7 +145,7 @@ class Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
         if lower:
-            data = _LOWER[data]
+            data = LOWER[data]
         self.data = data
         solid = ~_IS_SPACE[data]
         cut = np.zeros(len(data) + 1, dtype=bool)

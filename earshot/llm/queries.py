@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import packing, token_files
+from earshot.llm import language, line_dedup, packing, token_files
 from earshot.llm.common import table
 from earshot.llm.encoding import vocabulary_path
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -18,5 +23,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op5_token_files)}
-ORACLES: dict[str, str] = {}
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_packing, op5_token_files, op9_language)}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
