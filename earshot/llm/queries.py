@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import language, line_dedup, packing, substring_dedup, token_files
+from earshot.llm import language, line_dedup, packing, substring_dedup, suffix_dedup, token_files
 from earshot.llm.common import table
 from earshot.llm.encoding import vocabulary_path
 
@@ -15,6 +15,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -32,5 +37,5 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_substring_dedup, op4_packing, op5_token_files, op9_language)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op9_language)}
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
