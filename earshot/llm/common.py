@@ -138,14 +138,17 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+BARE = LOWER.copy()
+BARE[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
 
 
 class Words:
     """The words of a run of documents: byte ranges, hashes, and each document's range of words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        if lower:
-            data = LOWER[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, bare: bool = False):
+        """``lower``: A to Z in lower case; ``bare``: also without ASCII marks, which then are white space."""
+        if lower or bare:
+            data = (BARE if bare else LOWER)[data]
         self.data = data
         solid = ~_IS_SPACE[data]
         cut = np.zeros(len(data) + 1, dtype=bool)
