@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import decontaminate, language, line_dedup, ngram_join, packing, substring_dedup, suffix_dedup, token_files
+from earshot.llm import decontaminate, language, line_dedup, ngram_join, packing, secrets, substring_dedup, suffix_dedup, token_files
 from earshot.llm.common import table
 from earshot.llm.encoding import vocabulary_path
 
@@ -41,9 +41,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op6_ngram_join, op7_decontaminate, op9_language)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op6_ngram_join, op7_decontaminate, op8_secrets, op9_language)}
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
