@@ -267,7 +267,7 @@ def _across(groups: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (of the text), n_shingles and component_id of every row that has words."""
+    """doc_id, digest (of the text), n_shingles, component (a node) and component_id of every row that has words."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     rows, _ = scratch.store(nodes(docs), "nodes")
@@ -278,6 +278,8 @@ def classes(docs: DataFrame) -> DataFrame:
     repeats = rows.count() > rows.select("doc_id", "digest").distinct().count()
 
     pivots = buckets(docs).groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").drop("last")
+    pivots, _ = scratch.store(pivots, "pivots")
+    scratch.tidy()
     groups, _ = scratch.store(buckets(docs).join(pivots, "bucket").where("node > pivot").distinct(), "groups")
     scratch.tidy()
 
@@ -305,8 +307,8 @@ def classes(docs: DataFrame) -> DataFrame:
     whole = components(first.unionByName(second))
     named = known.select("node", "least").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    label = named.join(smallest, "component").select("node", "component_id")
-    return rows.join(label, "node").select("doc_id", "digest", F.col("members").alias("n_shingles"), "component_id")
+    label = named.join(smallest, "component").select("node", "component", "component_id")
+    return rows.join(label, "node").select("doc_id", "digest", F.col("members").alias("n_shingles"), "component", "component_id")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -321,3 +323,19 @@ def join(docs: DataFrame) -> DataFrame:
     ids = _identified(docs).select("doc_id", "digest")
     rows = ids.join(placed, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("digest").eqNullSafe(F.col("_digest")), "left")
     return rows.select("doc_id", "digest", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents without those that are linked, in one or more steps, to one of smaller doc_id (null first, then by text).
+
+    Of rows equal in doc_id and text one stays. Rows without words link with nothing and all stay. All columns stay.
+    """
+    placed = classes(docs).select("doc_id", "digest", "component")
+    placed, _ = Scratch(docs.sparkSession).store(placed, "placed")
+    first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
+    kept = first.select(F.col("kept.doc_id").alias("_doc"), F.col("kept.digest").alias("_digest"))
+    rows = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_digest"))
+    one = rows.where(worded).join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"])
+    return one.drop("_key").unionByName(rows.where(~worded).drop("_key"))
