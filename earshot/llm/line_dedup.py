@@ -128,6 +128,13 @@ def dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     )
 
 
+def keep_first(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """``dedup`` with the documents' own columns; ``n_chars`` follows the text. Documents that lost all their lines go."""
+    out = dedup(docs, least).where((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    changed = F.col("n_removed") > 0
+    return out.select(*[F.when(changed, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
 ORACLE = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents
