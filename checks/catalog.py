@@ -1062,7 +1062,7 @@ TEXTED = "SELECT s.*, c.SurveyComment FROM labelled_raw s JOIN answers_fact_surv
         f"SELECT CommentId, SegmentNumber, '{t}' AS LabelType, {i} AS Round, length(Prompt) AS Size, md5(Prompt) AS Digest"
         f" FROM (SELECT CommentId, SegmentNumber, {label_text_sql(t, i)} AS Prompt FROM"
         " (SELECT *, CASE WHEN SegmentNumber % 2 = 0 THEN Segment ELSE ' ' END AS Justification FROM texted))"
-        for t in [*LABEL_TYPES, "Artifact"]
+        for t in LABEL_TYPES
         for i in (0, 1)
     ),
     {"texted": TEXTED},
@@ -1072,7 +1072,7 @@ def _(f):
         "Justification", F.when(F.col("SegmentNumber") % 2 == 0, F.col("Segment")).otherwise(" ")
     )
     out = None
-    for kind in [*LABEL_TYPES, "Artifact"]:
+    for kind in LABEL_TYPES:
         for i in (0, 1):
             prompt = completions.label_messages(rows, kind, i).withColumn(
                 "Prompt", F.col("Message")[1]["content"]
@@ -1212,7 +1212,8 @@ def _(f):
     return rows.select("CommentId", "SegmentNumber", "v.Consensus", "v.Justification")
 
 
-_SECOND = "list_extract(['Positive', 'Mixed', 'Negative', 'Neutral', 'Not Applicable'], (length(Segment) + 1) % 5 + 1)"
+_MOODS = config.vocabulary("Sentiment")
+_SECOND = f"list_extract([{', '.join(map(quoted, _MOODS))}], (length(Segment) + 1) % {len(_MOODS)} + 1)"
 
 
 @query(
@@ -1220,7 +1221,7 @@ _SECOND = "list_extract(['Positive', 'Mixed', 'Negative', 'Neutral', 'Not Applic
     f"""SELECT CommentId, SegmentNumber, SentimentLabel AS SentimentLabel_iteration0,
                CASE WHEN Consensus = 'Agree' THEN 0 ELSE 1 END AS Sentiment_iteration,
                CASE WHEN Consensus = 'Agree' THEN SentimentLabel ELSE {_SECOND} END AS SentimentLabel
-        FROM judged WHERE Consensus = 'Agree' OR length(Segment) % 97 <> 0""",
+        FROM judged WHERE CommentId NOT IN (SELECT CommentId FROM judged WHERE Consensus <> 'Agree' AND length(Segment) % 97 = 0)""",
     VALIDATION,
 )
 def _(f):

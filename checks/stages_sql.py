@@ -70,8 +70,8 @@ def raw_label(kind: str) -> str:
     )
 
 
-def case_map(column: str, mapping: dict[str, str]) -> str:
-    arms = " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in mapping.items())
+def case_map(column: str, mapping: dict[str, object]) -> str:
+    arms = " ".join(f"WHEN {quoted(k)} THEN {quoted(v) if isinstance(v, str) else v}" for k, v in mapping.items())
     return f"CASE {column} {arms} END"
 
 
@@ -107,7 +107,7 @@ def final(rows: str, fact: str) -> str:
         SELECT r.*, ctx.UserContext,
                CAST({case_map('r.WorkloadLabel', config.WORKLOAD_PRODUCT)} AS INT) AS Predicted_DIM_ProductMasterId,
                '{SURVEY}' AS SurveyType
-        FROM (SELECT DISTINCT * REPLACE ({case_map('WorkloadLabel', config.WORKLOAD_DISPLAY)} AS WorkloadLabel)
+        FROM (SELECT DISTINCT * REPLACE ({case_map('WorkloadLabel_original', config.WORKLOAD_DISPLAY)} AS WorkloadLabel)
               FROM ({rows})) r
         LEFT JOIN one_context ctx USING (FeedbackId)
         WHERE FeedbackId IN (SELECT FeedbackId FROM {fact})"""

@@ -6,154 +6,67 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-# --- fixed values: closed label vocabularies, one entry per line -------------------------
-
-VOCABULARY_TEXT = {
-    "Sentiment": """
-Positive
-Mixed
-Negative
-Neutral
-Not Applicable
-""",
-    "Workload": """
-Suite Reporting
-Storage
-Suite Ingestion
-Suite Pipelines
-Modelling
-Suite Warehousing
-Live-Streams
-Not Applicable
-""",
-    "Support": """
-Self-Help
-Support Expectation
-Support Ticket
-Support Remark
-Not Applicable
-""",
-    "Platform": """
-General Remark
-Interface and Experience
-Administration
-Missing Feature
-Speed
-Cost
-Security
-Community
-Self-Diagnosis
-Reliability
-Not Applicable
-""",
-    # Declared for prompts; the daily job does not assign it.
-    "Artifact": """
-Reporting - Report
-Reporting - Printed Report
-Reporting - Scorecard
-Reporting - Dashboard
-Reporting - Data Flow
-Reporting - Data Mart
-Reporting - Live Model
-Reporting - Live Flow
-Alerts - Rule
-Ingestion - Data Flow
-Ingestion - Copy Job
-Pipelines - Table Store
-Pipelines - Notebook
-Pipelines - Environment
-Pipelines - Job Definition
-Modelling - Model
-Modelling - Experiment
-Modelling - Notebook
-Modelling - Environment
-Warehousing - Warehouse
-Warehousing - Mirrored Database
-Warehousing - Mirrored Warehouse
-Warehousing - Mirrored Documents
-Live Streams - Event Database
-Live Streams - Query Set
-Live Streams - Live Dashboard
-Live Streams - Event Stream
-Not Applicable
-""",
+# --- closed lists for an invented product, the orchard planner "Grove" ---------------------
+
+VENDOR_PREFIX = "Grove "
+NOT_APPLICABLE = "Not Applicable"
+GENERIC_WORKLOAD = "Grove Overall"
+
+# The product's areas: stored label, product id, name in reports, meaning. All lists and maps of areas come from here.
+AREAS = [
+    ("Grove Planting Plan", 10, "Planting", "which trees go where, and when"),
+    ("Weather Watch", 11, "Weather", "forecasts, frost warnings and gauges"),
+    ("Grove Irrigation", 12, "Water", "valves, schedules and water use"),
+    ("Harvest Crew", 13, "Crew", "shifts, pickers and their hours"),
+    ("Grove Market Desk", 14, "Market", "orders, buyers and prices of fruit"),
+    ("Pest Diary", 15, "Pests", "sightings, traps and treatments"),
+]
+_OVERALL = (GENERIC_WORKLOAD, 16, "Overall", "the product as a whole")
+
+# (label, meaning) of the other kinds with meanings.
+_MEANINGS = {
+    "Support": [
+        ("Phone Line", "calls with the help desk"),
+        ("Field Visit", "a technician who came by"),
+        ("Waiting Time", "how long an answer took"),
+        ("Guides", "written or filmed instructions"),
+        ("Callback", "what happened after a case was closed"),
+    ],
+    "Platform": [
+        ("Offline Work", "use without a network"),
+        ("Sensor Pairing", "connecting gauges, valves and scales"),
+        ("Maps", "plots, rows and satellite pictures"),
+        ("Ease of Use", "how quickly one finds one's way"),
+        ("Subscription", "plans, fees and renewals"),
+        ("Languages", "translations and units"),
+        ("Data Export", "getting records out again"),
+        ("Crashes", "the product stops or loses entries"),
+    ],
+    "Workload": [(label, meaning) for label, _, _, meaning in AREAS],
 }
+_MOODS = ["Positive", "Neutral", "Negative", "Mixed"]
+
+
+def _lines(entries: list[str]) -> str:
+    return "\n" + "\n".join([*entries, ""])
 
+
+VOCABULARY_TEXT = {"Sentiment": _lines([*_MOODS, NOT_APPLICABLE])} | {
+    kind: _lines([*(label for label, _ in rows), NOT_APPLICABLE]) for kind, rows in _MEANINGS.items()
+}
 EXPLANATION_TEXT = {
-    "Artifact": """
-Reporting: pages, scores, marts and models of the reporting area
-Alerts: rules that act on data
-Ingestion: flows and jobs that bring data in
-Pipelines: stores, notebooks and jobs that prepare data
-Modelling: models, experiments and their notebooks
-Warehousing: warehouses and mirrored stores
-Live Streams: databases, queries and dashboards over events
-Not Applicable: none of the above
-""",
-    "Workload": """
-Suite Reporting: dashboards, charts and printed reports
-Storage: the shared file and table store
-Suite Ingestion: bringing data in from elsewhere
-Suite Pipelines: preparing and transforming data in jobs
-Modelling: training and scoring models
-Suite Warehousing: SQL tables and queries at scale
-Live-Streams: events handled as they arrive
-Not Applicable: none of the above
-""",
-    "Support": """
-Self-Help: solving a problem with documents or forums
-Support Expectation: how quickly or how well help should come
-Support Ticket: the subject of a filed case
-Support Remark: any other remark on support
-Not Applicable: support is not mentioned
-""",
-    "Platform": """
-General Remark: praise or complaint without a subject
-Interface and Experience: look, layout and ease of use
-Administration: settings, roles and oversight
-Missing Feature: something wanted that is not there
-Speed: time taken to respond
-Cost: price, licences and billing
-Security: protection of data and access
-Community: other users, events and groups
-Self-Diagnosis: finding the cause of a fault oneself
-Reliability: outages, faults and lost work
-Not Applicable: none of the above
-""",
+    kind: _lines([f"{label}: {meaning}" for label, meaning in [*rows, (NOT_APPLICABLE, "nothing of this kind is mentioned")]])
+    for kind, rows in _MEANINGS.items()
 }
 
-VENDOR_PREFIX = "Suite "
-NOT_APPLICABLE = "Not Applicable"
-GENERIC_WORKLOAD = "Suite Generic"
 CONSENSUS_VALUES = ["Disagree", "Agree"]
 
 # Product ids that take part, keyed by the id used in the survey tool.
-PRODUCT_MAP = {110: 10, 111: 11, 112: 12, 113: 13, 114: 14, 115: 15, 116: 16}
-
-# Label as stored by the labelling stage -> name shown in the report.
-WORKLOAD_DISPLAY = {
-    "Reporting": "Reporting",
-    "Storage": "Storage",
-    "Ingestion": "Ingestion",
-    "Pipelines": "Pipelines",
-    "Modelling": "Modelling",
-    "Warehousing": "Warehousing",
-    "Live-Streams": "Live Streams",
-    "Live Streams": "Live Streams",
-    "Suite Generic": "Suite Generic",
-}
+PRODUCT_MAP = {100 + product: product for product in range(10, 17)}
 
-# Name shown in the report -> product id.
-WORKLOAD_PRODUCT = {
-    "Reporting": "10",
-    "Storage": "11",
-    "Ingestion": "12",
-    "Pipelines": "13",
-    "Modelling": "14",
-    "Warehousing": "15",
-    "Live Streams": "16",
-    "Suite Generic": "17",
-}
+# Label as stored by the labelling stage -> name shown in the report -> product id.
+WORKLOAD_DISPLAY = {label.removeprefix(VENDOR_PREFIX): shown for label, _, shown, _ in AREAS} | {_OVERALL[0]: _OVERALL[2]}
+WORKLOAD_PRODUCT = {shown: product for _, product, shown, _ in [*AREAS, _OVERALL]}
 
 # Justifications that contradict a "Disagree", as LIKE patterns, and the note
 # that replaces them.
@@ -187,7 +100,6 @@ SYSTEM_PROMPTS = {
     ("assign", "Workload"): _ASSIGN.format(what="product area"),
     ("assign", "Support"): _ASSIGN.format(what="support"),
     ("assign", "Platform"): _ASSIGN.format(what="platform quality"),
-    ("assign", "Artifact"): _ASSIGN.format(what="item"),
     ("validate", "Sentiment"): _CHECK.format(what="sentiment"),
     ("validate", "Workload"): _CHECK.format(what="product area"),
     ("validate", "Platform"): _CHECK.format(what="platform quality"),
@@ -195,8 +107,8 @@ SYSTEM_PROMPTS = {
 
 # Label types whose prompt shows the whole comment, and those that take the justification
 # of an earlier validation in the second round.
-SEES_COMMENT = {"Workload", "Support", "Platform", "Artifact"}
-TAKES_JUSTIFICATION = {"Sentiment", "Workload", "Platform", "Artifact"}
+SEES_COMMENT = {"Workload", "Support", "Platform"}
+TAKES_JUSTIFICATION = {"Sentiment", "Workload", "Platform"}
 
 
 def vocabulary(label_type: str, extra: tuple[str, ...] = ()) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot import config
@@ -159,16 +159,17 @@ def agreed(label_type: str) -> Column:
 def relabel_round(rows: DataFrame, second: DataFrame, label_type: str) -> DataFrame:
     """Keep agreed labels as round 0 and take the second round's label for the others.
 
-    ``second`` has (CommentId, SegmentNumber, <X>Label) for rows that were not agreed to; such a
-    row without an answer drops out. Both kinds keep the first label.
+    ``second`` has (CommentId, SegmentNumber, <X>Label) for rows that were not agreed to. A comment
+    counts as a whole: if one of its rows is neither agreed to nor answered again, all its rows
+    drop out and the comment stays unprocessed. Both kinds keep the first label.
     """
     column = f"{label_type}Label"
     answers = second.select(
         *SEGMENT_KEY, F.col(column).alias("_second"), F.lit(True).alias("_answered")
     )
-    both = rows.join(answers, SEGMENT_KEY, "left").filter(
-        agreed(label_type) | F.col("_answered")
-    )
+    settled = agreed(label_type) | F.coalesce("_answered", F.lit(False))
+    open_rows = F.count_if(~settled).over(Window.partitionBy("CommentId"))
+    both = rows.join(answers, SEGMENT_KEY, "left").withColumn("_open", open_rows).filter("_open = 0")
     first = F.col(column)
     return both.withColumns(
         {
@@ -176,7 +177,7 @@ def relabel_round(rows: DataFrame, second: DataFrame, label_type: str) -> DataFr
             f"{column}_iteration0": first,
             column: F.when(agreed(label_type), first).otherwise(F.col("_second")),
         }
-    ).drop("_second", "_answered")
+    ).drop("_second", "_answered", "_open")
 
 
 def vocabulary_table(texts: DataFrame, key: str, text: str) -> DataFrame:

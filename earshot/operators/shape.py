@@ -99,7 +99,7 @@ def empty_responses(eligible: DataFrame) -> DataFrame:
     return typed_backfill(eligible.filter(empty), SEGMENT_FIELDS, {"ReportingType": "Empty"})
 
 
-def rename_labels(df: DataFrame, column: str, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
+def rename_labels(df: DataFrame, column: str, mapping: Mapping[str, object] | DataFrame) -> DataFrame:
     """Replace a label by its mapped name; a label without one becomes null.
 
     A dictionary is a closed list and becomes a literal of the plan; a table has the label in
@@ -130,13 +130,9 @@ def predicted_product_id(df: DataFrame) -> DataFrame:
     """Show the display name, keep the stored label, and add the product id of the name."""
     if "WorkloadLabel_original" not in df.columns:
         df = df.withColumn("WorkloadLabel_original", F.col("WorkloadLabel"))
-    named = rename_labels(df, "WorkloadLabel", config.WORKLOAD_DISPLAY)
+    named = rename_labels(df.withColumn("WorkloadLabel", F.col("WorkloadLabel_original")), "WorkloadLabel", config.WORKLOAD_DISPLAY)
     coded = named.withColumn("Predicted_DIM_ProductMasterId", F.col("WorkloadLabel"))
-    coded = rename_labels(coded, "Predicted_DIM_ProductMasterId", config.WORKLOAD_PRODUCT)
-    return coded.withColumn(
-        "Predicted_DIM_ProductMasterId",
-        F.col("Predicted_DIM_ProductMasterId").try_cast("int"),
-    )
+    return rename_labels(coded, "Predicted_DIM_ProductMasterId", config.WORKLOAD_PRODUCT)
 
 
 def context_normalise(context: DataFrame) -> DataFrame:

@@ -12,10 +12,10 @@ def rows(df):
 
 
 def test_stored_label_survives_a_second_report(spark):
-    df = spark.createDataFrame([("Live-Streams",), ("Reporting",), ("unheard of",)], "WorkloadLabel string")
+    df = spark.createDataFrame([("Planting Plan",), ("Weather Watch",), ("unheard of",)], "WorkloadLabel string")
     once = shape.predicted_product_id(df)
     twice = shape.predicted_product_id(once)
-    want = [("Live Streams", "Live-Streams", 16), ("Reporting", "Reporting", 10), (None, "unheard of", None)]
+    want = [("Planting", "Planting Plan", 10), ("Weather", "Weather Watch", 11), (None, "unheard of", None)]
     columns = ["WorkloadLabel", "WorkloadLabel_original", "Predicted_DIM_ProductMasterId"]
     assert rows(once.select(columns)) == rows(twice.select(columns)) == sorted(want, key=repr)
 
