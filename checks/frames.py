@@ -12,13 +12,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import rules
 from checks.views import CUTOFF, DAY1, DAY2, SURVEY, TABLES, VIEWS
 from earshot import config
 from earshot.functions.text import lower_tokens
 from earshot.operators import comments, completions, labels, quality, report, segments, shape
 from earshot.operators.skew import hot_keys
 from earshot.schemas import LABEL_TYPES, NONRESPONSE_DIM, REPORT
-from earshot.session import configure, persist_table
+from earshot.session import configure, name_local_dir, persist_table
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -26,6 +27,7 @@ _STORED: dict[tuple[str, str, str], DataFrame] = {}
 class Frames:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
+        name_local_dir(spark)
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
@@ -111,7 +113,7 @@ class Frames:
     def completed(self) -> DataFrame:
         keyed = completions.segment_keys(self.comment_texts)
         return completions.triage(
-            completions.complete_messages(keyed, completions.rule_segments(keyed))
+            completions.complete_messages(keyed, rules.rule_segments(keyed))
         )
 
     @property
@@ -128,7 +130,7 @@ class Frames:
 
     def label_answers(self, kind: str) -> DataFrame:
         keyed = completions.label_keys(self.segments, kind)
-        answers = completions.rule_labels(keyed, kind)
+        answers = rules.rule_labels(keyed, kind)
         return completions.triage(
             completions.complete_messages(keyed, answers, hot_keys(keyed, ["PromptId"]))
         )
@@ -156,7 +158,7 @@ class Frames:
     def labelled_raw(self) -> DataFrame:
         """Segments with the raw label of every type, read off the rule."""
         return self.segments.withColumns(
-            {f"{t}Label": completions.noisy_label(t) for t in LABEL_TYPES}
+            {f"{t}Label": rules.noisy_label(t) for t in LABEL_TYPES}
         )
 
     # -- reports

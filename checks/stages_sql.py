@@ -191,6 +191,106 @@ CTES["labelled_raw"] = "SELECT *, " + ", ".join(
     f"{raw_label(t)} AS {t}Label" for t in LABEL_TYPES
 ) + " FROM segments"
 
+for _t in LABEL_TYPES:
+    CTES[f"snap_{_t}"] = snap_table(
+        f"SELECT DISTINCT {_t}Label AS raw FROM labelled_raw", config.vocabulary(_t)
+    )
+
+CTES["snapped"] = f"""
+    SELECT r.CommentId, Segment, SegmentNumber, Coverage, CumulativeCoverage, RunDateId,
+           {', '.join(f's{i}.label AS {t}Label' for i, t in enumerate(LABEL_TYPES))}
+    FROM labelled_raw r {' '.join(f'JOIN snap_{t} s{i} ON r.{t}Label = s{i}.raw' for i, t in enumerate(LABEL_TYPES))}"""
+
+CTES["labelled"] = f"""
+    SELECT * REPLACE ({case_map('WorkloadLabel', WORKLOAD_NAMES)} AS WorkloadLabel)
+    FROM snapped
+    WHERE CommentId NOT IN (SELECT CommentId FROM segments WHERE length(Segment) % 97 = 0)"""
+
+CTES["context_values"] = "SELECT FeedbackId, coalesce(Value, '') AS UserContext FROM context"
+
+CTES["context_items"] = """
+    SELECT FeedbackId, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT FeedbackId, item
+          FROM (SELECT FeedbackId, unnest(string_split(UserContext, ',')) AS item FROM context_values)
+          WHERE item <> '')
+    GROUP BY FeedbackId"""
+
+CTES["one_context"] = """
+    SELECT FeedbackId,
+           CASE WHEN count(DISTINCT UserContext) < 2 THEN min(UserContext) ELSE coalesce(any_value(items), '') END AS UserContext
+    FROM context_values LEFT JOIN context_items USING (FeedbackId) GROUP BY FeedbackId"""
+
+for _day in ("fact_survey", "day1", "day2"):
+    CTES[f"reportable_{_day}"] = eligible(_day, False)
+    CTES[f"eligible_{_day}"] = eligible(_day, True)
+    CTES[f"stats_{_day}"] = f"""
+        SELECT SurveyType, CommentId, min(SurveyComment) AS SurveyComment,
+               min(DIM_DateId) AS FirstResponseDate, max(DIM_DateId) AS LastResponseDate,
+               count(*) AS ResponseCount
+        FROM eligible_{_day} GROUP BY SurveyType, CommentId"""
+    CTES[f"flagged_{_day}"] = rf"""
+        SELECT s.*, (length(SurveyComment) < 2 OR CommentId NOT IN (
+            SELECT CommentId FROM (
+                SELECT CommentId, unnest(string_split_regex(lower(SurveyComment), '[^\p{{L}}\p{{N}}_]+')) AS word
+                FROM stats_{_day})
+            WHERE word IN (SELECT word FROM dictionary))) AS IsNonresponse
+        FROM stats_{_day} s"""
+    CTES[f"answers_{_day}"] = f"SELECT * FROM flagged_{_day} WHERE NOT IsNonresponse"
+
+CTES["known"] = f"""
+    SELECT SurveyType, CommentId, SurveyComment, FirstResponseDate, LastResponseDate,
+           NULL::BIGINT AS TokenCount,
+           CASE WHEN length(SurveyComment) % 53 <> 0 AND length(SurveyComment) % 59 <> 0 THEN {DAY1} END AS ProcessingDate,
+           CASE WHEN length(SurveyComment) % 53 <> 0 AND length(SurveyComment) % 59 <> 0
+                     AND length(SurveyComment) % 7 <> 0 THEN {DAY1} END AS ReportingDate,
+           length(SurveyComment) AS CharacterCount, ResponseCount
+    FROM answers_day1"""
+
+CTES["dim"] = """
+    SELECT s.SurveyType, s.CommentId, s.SurveyComment, s.FirstResponseDate, s.LastResponseDate,
+           k.TokenCount, k.ProcessingDate, k.ReportingDate,
+           length(s.SurveyComment) AS CharacterCount, s.ResponseCount
+    FROM answers_day2 s LEFT JOIN known k USING (SurveyType, CommentId)"""
+
+CTES["completed"] = rf"""
+    SELECT CommentId, SurveyComment,
+           CASE WHEN length(SurveyComment) % 53 = 0 THEN 'error'
+                WHEN length(SurveyComment) % 59 = 0 THEN 'unfinished' ELSE 'ok' END AS Status,
+           CASE WHEN length(SurveyComment) % 53 <> 0 THEN
+               array_to_string(list_transform(string_split_regex(SurveyComment, '{LINE_BREAKS}'),
+                                              lambda s: '---' || s), chr(10)) END AS answer
+    FROM answers_fact_survey"""
+
+CTES["bare_lines"] = rf"""
+    SELECT CommentId, SurveyComment, pos,
+           trim(trim(trim(line, {BLANKS}), '-'), '"') AS Segment
+    FROM (SELECT CommentId, SurveyComment, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+          FROM (SELECT CommentId, SurveyComment, string_split_regex(answer, '{LINE_BREAKS}') AS lines
+                FROM completed WHERE Status = 'ok'))"""
+
+CTES["plain_segments"] = """
+    SELECT CommentId, SurveyComment, Segment,
+           row_number() OVER (PARTITION BY CommentId ORDER BY min(pos)) - 1 AS SegmentNumber
+    FROM bare_lines WHERE Segment <> '' GROUP BY CommentId, SurveyComment, Segment"""
+
+CTES["comment_words"] = f"""
+    SELECT CommentId, {words('SurveyComment')} AS whole FROM completed WHERE Status = 'ok'"""
+
+CTES["covered"] = f"""
+    SELECT p.CommentId, Segment, SegmentNumber,
+           1 - (len(whole) - len(list_intersect(whole, {words('Segment')})))::DOUBLE / len(whole) AS Coverage
+    FROM plain_segments p JOIN comment_words USING (CommentId)"""
+
+CTES["segments"] = f"""
+    SELECT *, sum(Coverage) OVER (PARTITION BY CommentId ORDER BY SegmentNumber
+                                  ROWS UNBOUNDED PRECEDING) AS CumulativeCoverage,
+           {DAY2} AS RunDateId
+    FROM covered"""
+
+CTES["labelled_raw"] = "SELECT *, " + ", ".join(
+    f"{raw_label(t)} AS {t}Label" for t in LABEL_TYPES
+) + " FROM segments"
+
 for _t in LABEL_TYPES:
     CTES[f"snap_{_t}"] = snap_table(
         f"SELECT DISTINCT {_t}Label AS raw FROM labelled_raw", config.vocabulary(_t)
@@ -207,7 +307,11 @@ CTES["labelled"] = f"""
     WHERE CommentId NOT IN (SELECT CommentId FROM segments WHERE length(Segment) % 97 = 0)"""
 
 CTES["one_context"] = """
-    SELECT FeedbackId, min(UserContext) AS UserContext
+    SELECT FeedbackId,
+           CASE WHEN count(DISTINCT UserContext) < 2 THEN min(UserContext)
+                ELSE coalesce((SELECT string_agg(DISTINCT item, ',' ORDER BY item)
+                               FROM (SELECT unnest(string_split(string_agg(UserContext, ','), ',')) AS item) WHERE item <> ''), '')
+           END AS UserContext
     FROM (SELECT FeedbackId, array_to_string(string_split(coalesce(Value, ''), ','), ',') AS UserContext
           FROM context) GROUP BY FeedbackId"""
 

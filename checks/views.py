@@ -33,8 +33,9 @@ VIEWS = {
         FROM {fact_survey} f LEFT JOIN {labels} l ON f.FeedbackId = CAST(l.doc_id AS STRING)
         WHERE COALESCE(l.toxic, 0) = 0""",
     "context": """
-        SELECT CAST(c_custkey AS STRING) AS FeedbackId,
+        SELECT CAST(c_custkey - c_custkey % 3 AS STRING) AS FeedbackId,
                CASE WHEN c_acctbal < 0 THEN NULL
+                    WHEN c_custkey % 5 = 0 THEN c_mktsegment
                     ELSE concat(c_mktsegment, ',', c_name) END AS Value
         FROM {customer}""",
     "date_texts": """

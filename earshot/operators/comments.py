@@ -19,8 +19,8 @@ COMMENT_KEY = ["SurveyType", "CommentId"]
 
 def comment_stats(responses: DataFrame) -> DataFrame:
     """First date, last date and number of responses per comment, in one aggregate."""
-    return responses.groupBy(*COMMENT_KEY).agg(
-        F.first("SurveyComment").alias("SurveyComment"),
+    # The text is part of the key: one comment id has one text, and fixed-width buffers need no sort of texts.
+    return responses.groupBy(*COMMENT_KEY, "SurveyComment").agg(
         F.min("DIM_DateId").alias("FirstResponseDate"),
         F.max("DIM_DateId").alias("LastResponseDate"),
         F.count(F.lit(1)).alias("ResponseCount"),
@@ -116,21 +116,24 @@ def unprocessed_work(buffer: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def mark_processed(dim: DataFrame, done: DataFrame, run_date: int) -> DataFrame:
-    """Set ``ProcessingDate`` on the comments of ``done`` (finished, or fuzzy duplicates)."""
+    """Set ``ProcessingDate`` on the comments of ``done`` (finished, or fuzzy duplicates); earlier dates stay."""
     ids = done.select("CommentId").distinct().withColumn("_done", F.lit(True))
     return (
         dim.join(ids, "CommentId", "left")
         .withColumn(
             "ProcessingDate",
-            F.when(F.col("_done"), F.lit(run_date)).otherwise(F.col("ProcessingDate")),
+            F.coalesce("ProcessingDate", F.when(F.col("_done"), F.lit(run_date))),
         )
         .select(*dim.columns)
     )
 
 
-def mark_reported(dim: DataFrame, run_date: int) -> DataFrame:
-    """Set ``ReportingDate`` where a comment is processed and not yet reported."""
-    due = F.col("ReportingDate").isNull() & F.col("ProcessingDate").isNotNull()
-    return dim.withColumn(
-        "ReportingDate", F.when(due, F.lit(run_date)).otherwise(F.col("ReportingDate"))
+def mark_reported(dim: DataFrame, published: DataFrame, run_date: int) -> DataFrame:
+    """Set ``ReportingDate`` where a comment is processed, not yet reported, and in ``published``."""
+    ids = published.select("CommentId").distinct().withColumn("_published", F.lit(True))
+    due = F.col("ProcessingDate").isNotNull() & F.col("_published")
+    return (
+        dim.join(ids, "CommentId", "left")
+        .withColumn("ReportingDate", F.coalesce("ReportingDate", F.when(due, F.lit(run_date))))
+        .select(*dim.columns)
     )

@@ -228,8 +228,10 @@ def fuzzy_duplicate_map(
 
 
 def maintain_duplicate_map(old: DataFrame, fresh: DataFrame) -> DataFrame:
-    """The map with new pairs added."""
-    return old.unionByName(fresh)
+    """The map with pairs for comments it does not have; a comment keeps the pair it got first."""
+    best = F.min_by(F.struct(*[c for c in DUPLICATE_MAP.names if c != "CommentId"]), "KnownCommentId")
+    one = fresh.join(old.select("CommentId"), "CommentId", "left_anti").groupBy("CommentId").agg(best.alias("_pair"))
+    return old.unionByName(one.select("CommentId", "_pair.*").select(*old.columns))
 
 
 def stamp_reported_pairs(duplicate_map: DataFrame, added: DataFrame, run_date: int) -> DataFrame:

@@ -23,6 +23,7 @@ from earshot.operators.shape import (
 )
 from earshot.operators.skew import lookup_join, newest_first, skew_join
 from earshot.schemas import REPORT, REPORT_OUT
+from earshot.session import persist_table
 
 FACT_COLUMNS = ["DIM_DateId", "DIM_ProductMasterId", "FeedbackId", "CommentId", "Score"]
 # What a report row takes from a labelled segment rather than from the response.
@@ -167,8 +168,17 @@ def drop_removed_feedback(report: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def enrich_context(report: DataFrame, context: DataFrame) -> DataFrame:
-    """Attach the user context; several contexts of one response never multiply its rows."""
-    one = context.groupBy("FeedbackId").agg(F.min("UserContext").alias("UserContext"))
+    """Attach the user context; several contexts of one response never multiply its rows.
+
+    Equal contexts count once; different ones are merged into the sorted union of their items.
+    """
+    items = F.flatten(F.transform("_all", lambda c: F.split(c, ",")))
+    merged = F.array_join(F.array_sort(F.array_distinct(F.filter(items, lambda i: i != ""))), ",")
+    one = (
+        context.groupBy("FeedbackId")
+        .agg(F.collect_set("UserContext").alias("_all"))
+        .select("FeedbackId", F.when(F.size("_all") < 2, F.get("_all", F.lit(0))).otherwise(merged).alias("UserContext"))
+    )
     return report.drop("UserContext").join(one, "FeedbackId", "left")
 
 
@@ -181,9 +191,10 @@ def comment_texts(present: Sequence[DataFrame], prior: DataFrame) -> DataFrame:
     """
     columns = ["CommentId", "SurveyComment"]
     known = reduce(DataFrame.unionByName, [p.select(*columns) for p in present])
-    gone = prior.select("CommentId").distinct().join(known, "CommentId", "left_anti")
+    gone = persist_table(prior.select("CommentId").distinct().join(known, "CommentId", "left_anti"), "texts-gone")
     old = lookup_join(prior.select(*columns), gone, ["CommentId"], "left_semi")
-    return known.unionByName(old).dropDuplicates(["CommentId"])
+    # Dimension and nonresponses are disjoint; only the earlier report repeats a text.
+    return known.unionByName(old.dropDuplicates(["CommentId"]))
 
 
 def attach_text(report: DataFrame, texts: DataFrame, hot: DataFrame | None = None) -> DataFrame:

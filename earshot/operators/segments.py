@@ -46,7 +46,11 @@ def segment_cache_misses(cache: DataFrame, batch: DataFrame) -> DataFrame:
     return batch.join(cache.select("CommentId").distinct(), "CommentId", "left_anti")
 
 
+def segment_cache_news(cache: DataFrame, fresh: DataFrame) -> DataFrame:
+    """New segments of comments the cache does not hold: what has to be added to it."""
+    return fresh.join(cache.select("CommentId").distinct(), "CommentId", "left_anti")
+
+
 def extend_segment_cache(cache: DataFrame, fresh: DataFrame) -> DataFrame:
     """The cache with the new segments of comments it did not hold."""
-    held = cache.select("CommentId").distinct()
-    return cache.unionByName(fresh.join(held, "CommentId", "left_anti"))
+    return cache.unionByName(segment_cache_news(cache, fresh))

@@ -20,24 +20,19 @@ from earshot import config
 from earshot.operators import comments, completions, fuzzy, labels, quality, report, segments, shape
 from earshot.operators.skew import hot_keys
 from earshot.schemas import (
-    COMMENT_DIM, COMMENT_STATE, COMMENT_TEXT, DUPLICATE_MAP, LABEL_TYPES, LABELLED, METRICS, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
+    ANSWERS, COMMENT_DIM, COMMENT_STATE, COMMENT_TEXT, COMPLETIONS, DUPLICATE_MAP, LABEL_TYPES, LABELLED, METRICS, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
     REPORT_OUT, SEGMENTS, VALIDATED_TYPES,
 )
 from earshot.session import configure, persist_table, scratch_tables
-from earshot.sources.retention import drop_expired, expired_tables
+from earshot.sources.retention import drop_expired, drop_old_days, expired_tables
 from earshot.sources.tables import TableStore
 
 # Answers prompts: (rows with PromptId and Message, stage, label type, round) -> completions.
 Answer = Callable[[DataFrame, str, str, int], DataFrame]
 
 
-def rule_answer(asked: DataFrame, stage: str, label_type: str, iteration: int) -> DataFrame:
-    """Offline answers by rule, in place of a remote service."""
-    if stage == "segment":
-        return completions.rule_segments(asked)
-    if stage == "assign":
-        return completions.rule_labels(asked, label_type, iteration)
-    return completions.rule_validations(asked, label_type)
+class BalanceError(RuntimeError):
+    """Rows were lost or doubled in a stage."""
 
 
 @dataclass(frozen=True)
@@ -47,11 +42,12 @@ class Run:
     survey_type: str
     run_date: int
     cutoff: int
+    answer: Answer
     products: Sequence[int] = field(default_factory=config.product_ids)
     batch_size: int | None = None
     retention_days: int = 3
+    log_days: int = 90
     use_cache: bool = True
-    answer: Answer = rule_answer
 
     def buffer(self, stage: str) -> str:
         return f"{stage}_buffer_{self.run_date}_{self.survey_type}"
@@ -68,15 +64,20 @@ def _keep(
     checks: list[DataFrame],
     metrics: list[DataFrame],
 ) -> None:
-    """Store a stage's balances, metrics and run time under its day."""
+    """Store a stage's balances, metrics and run time under its day; stop the run if a balance fails."""
+    failed = []
     if checks:
         rows = reduce(DataFrame.unionByName, checks)
-        store.overwrite(f"checks/{run.run_date}/{run.table(stage)}", rows)
+        kept = store.overwrite(f"checks/{run.run_date}/{run.table(stage)}", rows)
+        failed = kept.filter(~F.col("Ok")).collect()
     seconds = (stage, "seconds", time.time() - started, run.run_date)
     rows = [store.spark.createDataFrame([seconds], METRICS), *metrics]
     store.overwrite(
         f"metrics/{run.run_date}/{run.table(stage)}", reduce(DataFrame.unionByName, rows)
     )
+    if failed:
+        told = "; ".join(f"{r['Check']}: {r['Expected']} and {r['Actual']}" for r in failed)
+        raise BalanceError(f"{stage}: {told}")
 
 
 def _answer_metrics(triaged: DataFrame, stage: str, run: Run) -> DataFrame:
@@ -120,16 +121,18 @@ def intake(
     responses = flagged.filter(~F.col("IsNonresponse"))
     state = comments.upsert_comment_dim(responses, known).select(*COMMENT_STATE.names)
     if vectors is not None:
-        new = responses.join(known.select("CommentId"), "CommentId", "left_anti")
+        old = store.read_or_empty(run.table("duplicate_map"), DUPLICATE_MAP)
+        seen = known.select("CommentId").unionByName(old.select("CommentId"))
+        new = responses.join(seen, "CommentId", "left_anti")
         done = known.filter(F.col("ReportingDate").isNotNull())
         reported = responses.join(done.select("CommentId"), "CommentId", "left_semi")
         with_vector = lambda df: df.select("CommentId", "SurveyComment").join(vectors, "CommentId")
         fresh = persist_table(
             fuzzy.fuzzy_duplicate_map(with_vector(new), with_vector(reported)), "fuzzy-pairs"
         )
-        old = store.read_or_empty(run.table("duplicate_map"), DUPLICATE_MAP)
-        store.overwrite(run.table("duplicate_map"), fuzzy.maintain_duplicate_map(old, fresh))
-        state = comments.mark_processed(state, fresh, run.run_date)
+        # All mapped comments, so that a run that died after writing the map is made good.
+        grown = store.overwrite(run.table("duplicate_map"), fuzzy.maintain_duplicate_map(old, fresh))
+        state = comments.mark_processed(state, grown, run.run_date)
     state = store.overwrite(run.table("comment_state"), state)
     store.overwrite(run.table("comment_text"), responses.select(*COMMENT_TEXT.names))
     silent = shape.conform(flagged.filter("IsNonresponse"), NONRESPONSE_DIM)
@@ -172,21 +175,31 @@ def _complete(
     store: TableStore, run: Run, keyed: DataFrame, stage: str, label_type: str,
     iteration: int, ask: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Answer what has no answer yet today, keep the answers, and triage all rows.
+    """Ask for what has no usable answer yet, keep the answers, and triage all rows.
 
-    Answers that failed are asked again by the next run, since each day has its own table.
+    Answers are kept by prompt for good, over days and survey types: an equal prompt is never paid for
+    twice, and one that failed is asked again by the next run.
     """
-    name = run.buffer(f"completions_{stage}_{label_type}_{iteration}")
-    answers = run.answer(ask(keyed.dropDuplicates(["PromptId"])), stage, label_type, iteration)
-    if store.exists(name):
-        have = store.read(name)
-        waiting = completions.pending_prompts(keyed, have)
-        answers = have.unionByName(run.answer(ask(waiting), stage, label_type, iteration))
-    answered = store.overwrite(name, answers)
+    name = f"completions/{stage}_{label_type}_{iteration}"
+    waiting = persist_table(completions.pending_prompts(keyed, store.parts(name, ANSWERS)), "prompts-waiting")
+    if not waiting.isEmpty():
+        answers = shape.conform(run.answer(ask(waiting), stage, label_type, iteration), COMPLETIONS)
+        store.add(name, answers.withColumn("AskedOn", F.lit(run.run_date)))
+    answered = completions.best_answers(store.parts(name, ANSWERS), F.col("AskedOn"))
     hot = hot_keys(keyed, ["PromptId"])
     return completions.triage(completions.complete_messages(keyed, answered, hot))
 
 
+def _set_aside(rows: DataFrame, triaged: list[DataFrame]) -> DataFrame:
+    """Rows of comments with a bad answer in any of the triaged frames."""
+    bad = reduce(DataFrame.unionByName, [t.filter("Status <> 'ok'").select("CommentId") for t in triaged])
+    return rows.join(bad.distinct(), "CommentId", "left_semi")
+
+
+def _one_per_segment(stage: str, rows: DataFrame) -> DataFrame:
+    return quality.conservation_check(stage, "one row per segment", [rows], [rows.select(*labels.SEGMENT_KEY).distinct()])
+
+
 def _quarantine(store: TableStore, run: Run, triaged: DataFrame, name: str) -> None:
     bad = completions.quarantine_rows(triaged, run.run_date)
     store.overwrite(f"quarantine/{run.run_date}/{run.table(name)}", bad)
@@ -202,7 +215,7 @@ def segmentation(store: TableStore, run: Run) -> bool:
     batch = persist_table(_with_text(store, run)(queue.select("CommentId")), "batch")
     if batch.isEmpty():
         return False
-    cache = store.read_or_empty("segment_cache", SEGMENTS)
+    cache = store.parts("segment_cache", SEGMENTS)
     todo = segments.segment_cache_misses(cache, batch) if run.use_cache else batch
     keyed = persist_table(completions.segment_keys(todo), "segment-work")
     triaged = persist_table(
@@ -216,7 +229,7 @@ def segmentation(store: TableStore, run: Run) -> bool:
     if run.use_cache:
         hits = segments.segment_cache_hits(cache, batch).withColumn("RunDateId", F.lit(run.run_date))
         rows = fresh.unionByName(hits)
-        store.overwrite("segment_cache", segments.extend_segment_cache(cache, fresh))
+        store.add("segment_cache", segments.segment_cache_news(cache, fresh))
     rows = store.overwrite(run.buffer("segments"), rows)
     _keep(
         store, run, "segmentation", started,
@@ -274,7 +287,8 @@ def labelling(store: TableStore, run: Run) -> None:
     long = store.overwrite(run.buffer("labels"), reduce(DataFrame.unionByName, parts))
     wide = labels.snap_to_vocabulary(labels.labels_wide(long, LABEL_TYPES))
     first = shape.conform(labels.rename_workloads(wide), LABELLED)
-    store.overwrite(run.buffer("labelled_first"), first.sortWithinPartitions(*labels.SEGMENT_KEY))
+    first = store.overwrite(run.buffer("labelled_first"), first.sortWithinPartitions(*labels.SEGMENT_KEY))
+    checks.append(_one_per_segment("labelling", first))
     _keep(store, run, "labelling", started, checks, metrics)
 
 
@@ -283,13 +297,14 @@ def validation(store: TableStore, run: Run) -> None:
     started = time.time()
     rows = store.read(run.buffer("labelled_first"), LABELLED)
     texted = _with_text(store, run)
-    parts, metrics = [], []
+    parts, metrics, asked = [], [], []
     for kind in VALIDATED_TYPES:
         ask = lambda df, kind=kind: completions.validation_messages(texted(df), kind)
         triaged = persist_table(
             _complete(store, run, completions.validation_keys(rows, kind), "validate", kind, 0, ask),
             "validations-triaged",
         )
+        asked.append(triaged)
         _quarantine(store, run, triaged, f"validate_{kind}")
         metrics.append(_answer_metrics(triaged, f"validation {kind}", run))
         checked = labels.validated(completions.good_rows(triaged), kind)
@@ -301,15 +316,22 @@ def validation(store: TableStore, run: Run) -> None:
         )
     long = reduce(DataFrame.unionByName, parts)
     wide = labels.labels_wide(long, VALIDATED_TYPES, values=("Label_validation",))
-    store.overwrite(run.buffer("validated"), labels.join_on(rows, wide, labels.SEGMENT_KEY))
-    _keep(store, run, "validation", started, [], metrics)
+    checked = store.overwrite(run.buffer("validated"), labels.join_on(rows, wide, labels.SEGMENT_KEY))
+    _keep(
+        store, run, "validation", started,
+        [
+            quality.conservation_check("validation", "labelled = validated + set aside", [rows], [checked, _set_aside(rows, asked)]),
+            _one_per_segment("validation", checked),
+        ],
+        metrics,
+    )
 
 
 def relabelling(store: TableStore, run: Run) -> None:
     """Second round for labels that were not agreed to; then the comments count as processed."""
     started = time.time()
     checked = store.read(run.buffer("validated"))
-    rows, metrics = checked, []
+    rows, metrics, asked = checked, [], []
     texted = _with_text(store, run)
     for kind in VALIDATED_TYPES:
         open_rows = checked.filter(~labels.agreed(kind)).select(
@@ -321,6 +343,7 @@ def relabelling(store: TableStore, run: Run) -> None:
             _complete(store, run, completions.label_keys(open_rows, kind, 1), "assign", kind, 1, ask),
             "relabels-triaged",
         )
+        asked.append(triaged)
         _quarantine(store, run, triaged, f"assign_{kind}_1")
         metrics.append(_answer_metrics(triaged, f"relabelling {kind}", run))
         second = completions.single_label(completions.good_rows(triaged), kind)
@@ -329,18 +352,19 @@ def relabelling(store: TableStore, run: Run) -> None:
     final = labels.rename_workloads(snapped, second_round=True)
     final = shape.conform(final, RELABELLED).sortWithinPartitions(*labels.SEGMENT_KEY)
     done = store.overwrite(run.buffer("labelled"), final)
-    state = comments.mark_processed(_state(store, run), done, run.run_date)
-    store.overwrite(run.table("comment_state"), state)
     _keep(
         store, run, "relabelling", started,
         [
-            quality.conservation_check(
-                "relabelling", "one row per segment", [done],
-                [done.select(*labels.SEGMENT_KEY).distinct()],
-            )
+            quality.conservation_check("relabelling", "validated = final + set aside", [checked], [done, _set_aside(checked, asked)]),
+            _one_per_segment("relabelling", done),
         ],
         metrics,
     )
+    # Labels wait in one table until a report shows them, whichever day that is; only then do comments count as processed.
+    waiting = store.read_or_empty(run.table("labelled"), RELABELLED)
+    store.overwrite(run.table("labelled"), done.unionByName(waiting.join(done.select("CommentId").distinct(), "CommentId", "left_anti").select(*done.columns)))
+    state = comments.mark_processed(_state(store, run), done, run.run_date)
+    store.overwrite(run.table("comment_state"), state)
 
 
 # -- report
@@ -353,7 +377,7 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
     state = _state(store, run)
     silent = store.read(run.table("nonresponse_dim"), NONRESPONSE_DIM)
     hot = persist_table(comments.hot_comments(state, silent), "hot-comments")
-    labelled = store.read_or_empty(run.buffer("labelled"), RELABELLED).select(*LABELLED.names)
+    labelled = store.read_or_empty(run.table("labelled"), RELABELLED).select(*LABELLED.names)
     processed = persist_table(report.processed_fact(rows, state, hot), "fact-processed")
     current = persist_table(report.current_report(processed, labelled, hot), "report-current")
     before = store.read_or_empty(run.table("report"), REPORT_OUT)
@@ -382,15 +406,20 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
         hot,
     )
     finished = store.overwrite(run.table("report"), finished)
-    store.overwrite(run.table("comment_state"), comments.mark_reported(state, run.run_date))
     reported = finished.select("FeedbackId").distinct()
+    # Mapped comments are reported with the one they resemble, and stamped in the map.
+    mapped = store.read_or_empty(run.table("duplicate_map"), DUPLICATE_MAP).select("CommentId")
+    due = processed.join(mapped, "CommentId", "left_anti").select("FeedbackId").distinct()
     _keep(
         store, run, "report", started,
         [
             quality.conservation_check(
                 "report", "no response outside the fact", [reported],
                 [reported.join(rows.select("FeedbackId"), "FeedbackId", "left_semi")],
-            )
+            ),
+            quality.conservation_check(
+                "report", "processed = reported", [due], [due.join(reported, "FeedbackId", "left_semi")]
+            ),
         ],
         [
             quality.run_metrics(
@@ -400,11 +429,16 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
             )
         ],
     )
+    state = store.overwrite(run.table("comment_state"), comments.mark_reported(state, finished, run.run_date))
+    # Labels that no report shows yet stay.
+    shown = state.filter(F.col("ReportingDate").isNotNull()).select("CommentId")
+    waiting = store.read_or_empty(run.table("labelled"), RELABELLED)
+    store.overwrite(run.table("labelled"), waiting.join(shown, "CommentId", "left_anti"))
     return finished
 
 
 def quality_control(store: TableStore, run: Run) -> DataFrame:
-    """Append today's label counts with their issue flags; returns the alert rows."""
+    """Append today's label counts with their issue flags; stores and returns the alert rows."""
     state = _state(store, run)
     rows = store.read(run.table("report"), REPORT_OUT).filter(F.col("ReportingType") == "Report")
     current = quality.label_counts(rows, run.run_date)
@@ -415,11 +449,14 @@ def quality_control(store: TableStore, run: Run) -> DataFrame:
         drift = quality.label_drift(quality.latest_snapshot(prior), current, run.run_date)
         flags = quality.silence_backfill(drift, state, run.run_date)
     qc = shape.conform(quality.append_qc(prior, flags, run.survey_type), QC)
-    return quality.drift_alerts(store.overwrite(run.table("qc"), qc), run.run_date)
+    alerts = quality.drift_alerts(store.overwrite(run.table("qc"), qc), run.run_date)
+    return store.overwrite(f"alerts/{run.run_date}/{run.table('drift')}", alerts)
 
 
 def cleanup(store: TableStore, run: Run) -> list[str]:
-    """Delete buffer tables past their retention."""
+    """Delete buffer tables past their retention, and old days of balances, metrics, alerts and quarantine."""
+    for log in ("checks", "metrics", "alerts", "quarantine"):
+        drop_old_days(store, log, run.run_date, run.log_days)
     return drop_expired(store, expired_tables(store.listing(), run.run_date, run.retention_days))
 
 

@@ -89,6 +89,9 @@ COMPLETIONS = T.StructType(
     ]
 )
 
+# Completions as they are kept, with the day they were asked for.
+ANSWERS = T.StructType([*COMPLETIONS.fields, T.StructField("AskedOn", T.IntegerType())])
+
 # Report rows while they are being worked on: the comment's id stands for its text.
 REPORT = _struct(
     "DIM_DateId int, DIM_ProductMasterId int, FeedbackId string, CommentId string, Segment string, SegmentNumber long, Coverage double,"

@@ -31,20 +31,25 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it gets a folder of its own.
-    """
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     conf = spark.sparkContext.getConf()
     named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    own = _LOCAL_DIRS.get(spark.sparkContext.applicationId)
+    if not own:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
+    return own
+
+
+def name_local_dir(spark: SparkSession) -> None:
+    """Name a folder for a session on one machine (``local[n]``) that has none set, as checks and benchmarks do.
+
+    Nothing happens on a cluster, where the setting is needed.
+    """
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if app not in _LOCAL_DIRS and (master == "local" or master.startswith("local[")):
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="earshot-")
-    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

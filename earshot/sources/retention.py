@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,12 @@ def drop_expired(store: TableStore, expired: DataFrame) -> list[str]:
     for name in names:
         store.drop(name)
     return names
+
+
+def drop_old_days(store: TableStore, log: str, run_date: int, keep_days: int) -> list[str]:
+    """Delete the days of a log folder that lie ``keep_days`` or more before the run date."""
+    last = (datetime.strptime(str(run_date), "%Y%m%d") - timedelta(days=keep_days)).strftime("%Y%m%d")
+    old = [d for d in store.days(log) if len(d) == 8 and d.isdigit() and d <= last]
+    for day in old:
+        store.drop(f"{log}/{day}")
+    return old

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,17 +72,47 @@ class TableStore:
         present = [_VERSION.match(c) for c in self._children(self.path(name))]
         number = max([int(m.group(1)) for m in present if m], default=0) + 1
         df.write.parquet(self._version(name, number))
-        for old in self._finished(name)[:-keep]:
+        finished = self._finished(name)
+        # A run writes one version at a time, so what is not finished by now was left by a dead run.
+        dead = [int(m.group(1)) for m in present if m and int(m.group(1)) not in finished]
+        for old in [*finished[:-keep], *dead]:
             self._remove(self._version(name, old))
         return self.read(name, df.schema)
 
+    # -- tables that only grow
+
+    def add(self, name: str, df: DataFrame) -> None:
+        """Add rows as a part of their own; a part counts only once it is finished."""
+        present = [_VERSION.match(c) for c in self._children(self.path(name))]
+        number = max([int(m.group(1)) for m in present if m], default=0) + 1
+        df.write.parquet(self._version(name, number))
+
+    def parts(self, name: str, schema: T.StructType) -> DataFrame:
+        """All finished parts of a table that grows."""
+        finished = [self._version(name, n) for n in self._finished(name)]
+        if not finished:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*finished)
+
     # -- partitioned tables
 
     def overwrite_partition(self, name: str, df: DataFrame, values: dict[str, object]) -> DataFrame:
-        """Replace only the partition named by ``values``; an empty frame empties it."""
-        folder = "/".join(f"{k}={v}" for k, v in values.items())
-        body = df.drop(*values)
-        body.write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
+        """Replace only the partition named by ``values``; an empty frame empties it.
+
+        Spark writes the rows beside the table and swaps the folder in when all are written, so a
+        run that dies leaves the old rows, and the partition may be read while it is replaced.
+        """
+        seen = Observation()
+        rows = df.withColumns({k: F.lit(v).cast(df.schema[k].dataType) for k, v in values.items()})
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*values)
+            .parquet(self.path(name))
+        )
+        if not seen.get["rows"]:
+            self._remove("/".join([self.path(name), *(f"{k}={v}" for k, v in values.items())]))
         return self.read_partition(name, df.schema, values)
 
     def overwrite_partitions(self, name: str, df: DataFrame, by: list[str]) -> DataFrame:
@@ -110,6 +140,10 @@ class TableStore:
         """Names of all tables, for the retention rule."""
         return self.spark.createDataFrame([(n,) for n in self._children(self.root)], "name string")
 
+    def days(self, name: str) -> list[str]:
+        """Names of what a folder kept by day holds."""
+        return self._children(self.path(name))
+
     def drop(self, name: str) -> None:
         self._remove(self.path(name))
 

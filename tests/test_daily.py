@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks.rules import rule_answer
 from earshot.functions.text import comment_id
 from earshot.plans.daily import Run, comment_dim, run_day
 from earshot.schemas import FACT_SURVEY
@@ -47,7 +48,7 @@ def days(spark):
     )
     out = {}
     for name, fact, date in (("day1", fact1, 20240110), ("day2", fact2, 20240111), ("again", fact2, 20240111)):
-        run = Run("NPS", date, 20230101)
+        run = Run("NPS", date, 20230101, rule_answer)
         run_day(store, fact, dictionary, context, run, vectors)
         out[name] = {
             "report": [r.asDict() for r in store.read("report_NPS").collect()],
@@ -90,7 +91,7 @@ def test_removal_restatement_repeat_duplicate(days):
 
 def test_context_does_not_multiply_rows(days):
     rows = by_id(days["day2"]["report"])
-    assert len(rows["1"]) == 2 and {r["UserContext"] for r in rows["1"]} == {"a,b"}
+    assert len(rows["1"]) == 2 and {r["UserContext"] for r in rows["1"]} == {"a,b,c"}
     assert rows["13"][0]["UserContext"] == "" and rows["6"][0]["UserContext"] is None
 
 
