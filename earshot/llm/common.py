@@ -7,13 +7,14 @@ about ``CHUNK_BYTES`` so that the arrays made from them stay small; a longer doc
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.session import scratch_path
+from earshot.session import name_local_dir, scratch_path
 
 CHUNK_BYTES = 1 << 20
 
@@ -31,6 +32,7 @@ class Scratch:
     """Tables of one query in the shared folder; ``drop`` removes those no longer read."""
 
     def __init__(self, spark: SparkSession):
+        name_local_dir(spark)
         self.spark = spark
 
     def store(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -45,9 +47,11 @@ class Scratch:
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def tidy(self) -> None:
-        """Let Spark's cleaner remove the shuffle files of finished stages."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let Spark's cleaner remove the shuffle files of finished stages; references to them go in turns."""
+        for _ in range(3):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.4)
 
 
 def empty_as(schema: str, spark: SparkSession) -> DataFrame:

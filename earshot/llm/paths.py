@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import WORD_BASE, PrefixHash, Words, byte_hash, mapped, signed, text_chunks
+from earshot.llm.common import WORD_BASE, PrefixHash, Scratch, Words, byte_hash, mapped, signed, text_chunks
 
 PATHS = "anchor long, path long, doc long, at long, shape int"
 NO_ID = -(1 << 63)
@@ -113,7 +113,9 @@ class Paths:
             again = found.agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
         else:
             again = found.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        return self.scan(docs).join(again.select("anchor"), "anchor")
+        # a stored side lets Spark split the join where one anchor is very frequent
+        kept, _ = Scratch(docs.sparkSession).store(again.select("anchor"), "anchors")
+        return self.scan(docs).join(kept, "anchor")
 
 
 def with_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -71,6 +71,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     single, _ = scratch.store(edges(docs, holders, graph), "edges")
     scratch.tidy()
     firsts = single.groupBy("anchor", "edge").agg(F.min("doc").alias("source"), F.max("doc").alias("most")).where("source < most").drop("most")
+    firsts, _ = scratch.store(firsts, "firsts")
     cut = single.join(firsts, ["anchor", "edge"]).where("doc > source").select("doc", "at", F.lit(1).cast("long").alias("count"))
     return later.unionByName(cut)
 
