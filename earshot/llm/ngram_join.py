@@ -334,8 +334,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     placed, _ = Scratch(docs.sparkSession).store(placed, "placed")
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
     kept = first.select(F.col("kept.doc_id").alias("_doc"), F.col("kept.digest").alias("_digest"))
-    rows = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_digest"))
-    one = rows.where(worded).join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"])
-    return one.drop("_key").unionByName(rows.where(~worded).drop("_key"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("key"), text.rlike("[^\\x20\\x09-\\x0D]").alias("worded"))
+    same = F.col("id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_digest"))
+    one = rows.where("worded").join(kept, same, "left_semi").dropDuplicates(["id", "key"])
+    return one.unionByName(rows.where("NOT coalesce(worded, false)")).select("row.*")
