@@ -109,6 +109,8 @@ class Suffixes:
         for at in range(0, len(shared), 4096):
             part = slice(at, at + 4096)
             step = np.arange(int(shared[part].max(initial=0)))
+            if not len(step):
+                continue
             top = len(self.data) - 1
             x = self.data[np.minimum(self.start[a[part], None] + step, top)]
             y = self.data[np.minimum(self.start[b[part], None] + step, top)]
@@ -241,6 +243,7 @@ def counted_buckets(rows: DataFrame, length: int) -> DataFrame:
     single = mapped(rows, run, SINGLE)
     key = ["anchor", "window", "check"]
     again = single.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    again, _ = Scratch(rows.sparkSession).store(again, "again")
     return single.join(again, key).select("doc", "at", F.lit(1).cast("long").alias("count"))
 
 
