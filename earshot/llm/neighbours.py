@@ -89,7 +89,8 @@ def _best_of(close: np.ndarray, most: int) -> np.ndarray:
 def first_neighbours(points: DataFrame, degree: int = DEGREE) -> DataFrame:
     """Edges between nodes that lie in one block of an order."""
     spark = points.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # every partition has some blocks to itself; a single block's worth of nodes stays together
+    width = min(int(spark.conf.get("spark.sql.shuffle.partitions")), points.count() // (2 * START_BLOCK))
     out = None
     for start in range(STARTS):
 
@@ -123,7 +124,8 @@ def first_neighbours(points: DataFrame, degree: int = DEGREE) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.repeat(node, best.shape[1])), pa.array(node[best].ravel()), pa.array(near.ravel())], names=["u", "v", "near"])
 
         placed = mapped(points, order, "node long, unit binary, place double")
-        edges = placed.repartitionByRange(width, "place").sortWithinPartitions("place", "node").mapInArrow(blocks, EDGES)
+        dealt = placed.repartitionByRange(width, "place") if width > 1 else placed.coalesce(1)
+        edges = dealt.sortWithinPartitions("place", "node").mapInArrow(blocks, EDGES)
         out = edges if out is None else out.unionByName(edges)
     return out
 
