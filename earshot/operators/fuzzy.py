@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from earshot.operators.skew import skew_join
 from earshot.schemas import DUPLICATE_MAP
+from earshot.session import persist_table
 
 # The task functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,6 +72,22 @@ def reachable_cells(
     return mask
 
 
+def best_columns(values: np.ndarray, least: float, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of the largest ``most`` values of each row that reach ``least``; ties go to the first column."""
+    hit = np.flatnonzero((values >= least).any(axis=1))
+    part = values[hit]
+    floor = np.full(len(hit), least)
+    if part.shape[1] > most and len(hit):
+        floor = np.maximum(floor, -np.partition(-part, most - 1, axis=1)[:, most - 1])
+    row, column = np.nonzero(part >= floor[:, None])
+    value = part[row, column]
+    order = np.lexsort((column, -value, row))
+    row, column, value = row[order], column[order], value[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    keep = place < most
+    return hit[row[keep]], column[keep], value[keep]
+
+
 def _frame(rows: pd.DataFrame, **columns) -> pd.DataFrame:
     """Ids and vectors as plain objects (whatever string type pandas uses) plus new columns."""
     out = {c: pd.Series(rows[c].to_numpy(dtype=object), dtype=object) for c in ("CommentId", "Vector")}
@@ -125,20 +142,22 @@ def nearest_known(
     rounded to nine digits; equal ones are ordered by the known comment's id.
     """
     spark = new.sparkSession
-    new = new.withColumn("Vector", F.col("Vector").cast("array<double>"))
-    known = known.withColumn("Vector", F.col("Vector").cast("array<double>"))
+    # Each side is read several times below, so it is stored once, without its texts.
+    vector = F.col("Vector").cast("array<double>").alias("Vector")
+    new = persist_table(new.select("CommentId", vector), "fuzzy-new")
+    known = persist_table(known.select("CommentId", vector), "fuzzy-known")
     # Few vectors need few cells: a cell should hold about half a block.
     pivots = _pivots(known, min(cells, 1 + 2 * known.count() // block_rows))
     if not len(pivots):
         return spark.createDataFrame(
             [], "CommentId string, KnownCommentId string, Cosine double, Place int"
         )
-    homes = _homes(known, pivots)
+    homes = persist_table(_homes(known, pivots), "fuzzy-homes")
     # One row per cell comes back: its reach and its size.
     reach = homes.groupBy("Cell").agg(F.max("Angle").alias("r"), F.count(F.lit(1)).alias("n")).toPandas()
     radius = np.full(len(pivots), -1.0)
     radius[reach["Cell"]] = reach["r"]
-    visits = _visits(new, pivots, radius, min_cosine)
+    visits = persist_table(_visits(new, pivots, radius, min_cosine), "fuzzy-visits")
     load = visits.groupBy("Cell").agg(F.count(F.lit(1)).alias("n")).toPandas()
     cuts = pd.DataFrame({"Cell": np.arange(len(pivots), dtype="int32")})
     cuts["KnownCuts"] = 1
@@ -166,7 +185,7 @@ def nearest_known(
     )
 
     def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        out = {"CommentId": [], "KnownCommentId": [], "Cosine": []}
+        out = [pd.DataFrame({"CommentId": [], "KnownCommentId": [], "Cosine": []}).astype({"CommentId": object, "KnownCommentId": object})]
         if len(mine) and len(theirs):
             theirs = theirs.sort_values("CommentId", kind="stable")
             ids = mine["CommentId"].to_numpy(dtype=object)
@@ -175,14 +194,10 @@ def nearest_known(
             for start in range(0, len(mine), SLICE_ROWS):
                 rows = unit_rows(mine["Vector"].iloc[start : start + SLICE_ROWS])
                 cosines = np.round(rows @ columns, 9)
-                for i in np.nonzero((cosines >= min_cosine).any(axis=1))[0]:
-                    close = np.nonzero(cosines[i] >= min_cosine)[0]
-                    # Columns stand in id order, so a stable sort settles ties by id.
-                    for j in close[np.argsort(-cosines[i][close], kind="stable")[:neighbours]]:
-                        out["CommentId"].append(ids[start + i])
-                        out["KnownCommentId"].append(others[j])
-                        out["Cosine"].append(cosines[i, j])
-        return pd.DataFrame({c: pd.Series(v, dtype="float64" if c == "Cosine" else object) for c, v in out.items()})
+                i, j, value = best_columns(cosines, min_cosine, neighbours)
+                if len(i):
+                    out.append(pd.DataFrame({"CommentId": ids[start + i], "KnownCommentId": others[j], "Cosine": value}))
+        return pd.concat(out, ignore_index=True)
 
     keys = ["Cell", "KnownBlock", "NewBlock"]
     best = (

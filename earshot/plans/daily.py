@@ -127,9 +127,9 @@ def intake(
         done = known.filter(F.col("ReportingDate").isNotNull())
         reported = responses.join(done.select("CommentId"), "CommentId", "left_semi")
         with_vector = lambda df: df.select("CommentId", "SurveyComment").join(vectors, "CommentId")
-        fresh = persist_table(
-            fuzzy.fuzzy_duplicate_map(with_vector(new), with_vector(reported)), "fuzzy-pairs"
-        )
+        candidates = persist_table(with_vector(new), "fuzzy-candidates")
+        known_texts = persist_table(with_vector(reported), "fuzzy-reported")
+        fresh = persist_table(fuzzy.fuzzy_duplicate_map(candidates, known_texts), "fuzzy-pairs")
         # All mapped comments, so that a run that died after writing the map is made good.
         grown = store.overwrite(run.table("duplicate_map"), fuzzy.maintain_duplicate_map(old, fresh))
         state = comments.mark_processed(state, grown, run.run_date)

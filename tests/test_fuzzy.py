@@ -78,3 +78,10 @@ def test_stamps_are_kept(spark):
     added = spark.createDataFrame([("a",), ("b",), ("b",)], "CommentId string")
     got = {r["CommentId"]: r["ReportingDate"] for r in fuzzy.stamp_reported_pairs(rows, added, 9).collect()}
     assert got == {"a": 5, "b": 9, "c": None}
+
+
+def test_best_columns_settle_ties_by_place():
+    values = np.random.default_rng(1).integers(0, 6, (40, 17)) / 5.0
+    row, column, value = fuzzy.best_columns(values, 0.6, 4)
+    want = [(i, int(j)) for i in range(40) for j in np.argsort(-values[i], kind="stable")[:4] if values[i, j] >= 0.6]
+    assert list(zip(row.tolist(), column.tolist(), strict=True)) == want and (value == values[row, column]).all()
