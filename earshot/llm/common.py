@@ -7,7 +7,10 @@ about ``CHUNK_BYTES`` so that the arrays made from them stay small; a longer doc
 from __future__ import annotations
 
 import gc
+import os
+import tempfile
 import time
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,11 +31,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python may not find it, once for a Spark application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(), "earshot.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 class Scratch:
     """Tables of one query in the shared folder; ``drop`` removes those no longer read."""
 
     def __init__(self, spark: SparkSession):
         name_local_dir(spark)
+        ship(spark)
         self.spark = spark
 
     def store(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -66,6 +90,7 @@ def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
             if batch.num_rows:
                 yield from fn(batch)
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
