@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -167,6 +168,12 @@ def _(f):
     return paging.with_pages(f.view("event_keys"))
 
 
+@query("paged_read", numbered_sql("event_keys", ["FeedbackId", "SurveyType"], 30000, "Page"))
+def _(f):
+    paged = paging.store_pages(f.view("event_keys"), 30000)
+    return reduce(DataFrame.unionByName, paging.each_page(paged, 30000))
+
+
 @query("batch_ids", numbered_sql("prior_report", ["FeedbackId", "SegmentNumber"], 500, "Batch"))
 def _(f):
     return paging.with_pages(f.prior_report.select("FeedbackId", "SegmentNumber"), 500, "Batch")
@@ -199,6 +206,28 @@ def _(f):
     return paging.affected_rows(before.filter("SurveyType = 'NPS'"), changes, SEARCH_KEY)
 
 
+@query(
+    "batch_hand_over",
+    """SELECT Action, count(*) AS Rows, count_if(SegmentNumber % 2 = 0)::BIGINT AS Affected FROM (
+         SELECT CASE WHEN b.FeedbackId IS NULL THEN 'insert' WHEN a.FeedbackId IS NULL THEN 'delete' ELSE 'update' END AS Action, SegmentNumber
+         FROM (SELECT FeedbackId, SegmentNumber, SurveyType, ReportingDate FROM search_before) b
+         FULL JOIN search_after a USING (FeedbackId, SegmentNumber, SurveyType)
+         WHERE b.FeedbackId IS NULL OR a.FeedbackId IS NULL OR a.ReportingDate <> b.ReportingDate)
+       GROUP BY Action""",
+)
+def _(f):
+    def accepts_even(rows: list[dict]) -> int:
+        """A keyed store that finds something to change in every row with an even segment number."""
+        return sum(1 for r in rows if r["SegmentNumber"] % 2 == 0)
+
+    changes = paging.change_set(f.view("search_before"), f.view("search_after"), SEARCH_KEY)
+    sent = [
+        paging.send_batches(changes.filter(F.col("Action") == a), accepts_even, 500).select(F.lit(a).alias("Action"), "Rows", "Affected")
+        for a in ("insert", "update", "delete")
+    ]
+    return reduce(DataFrame.unionByName, sent)
+
+
 @query(
     "expired_tables",
     r"""SELECT name, TableDate::VARCHAR AS TableDate FROM (

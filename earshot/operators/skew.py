@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from earshot.session import persist_table
+
 # A key is hot when it holds more than this share of the rows. At most 1 / HOT_SHARE keys can
 # be hot, so the list of hot keys has a proven bound and may be broadcast.
 HOT_SHARE = 0.0001
@@ -135,31 +137,31 @@ def repeat_rows(df: DataFrame, copies: str, per_row: int = COPIES_PER_ROW) -> Da
 def numbered(df: DataFrame, digits: int = 3) -> DataFrame:
     """Number all rows 1..n in a fixed order without bringing them into one task.
 
-    Equal rows are counted first (so copies cost nothing), the distinct rows are ordered inside
-    16 ** digits buckets of a digest of the whole row (so no key can fill a bucket), and the
-    buckets' starting numbers come from a running sum over one row per bucket.
+    Equal rows are counted first (so copies cost nothing). The order is that of a short digest of the
+    whole row, then of its columns. The distinct rows are range-partitioned by it, into as many
+    parts as the data needs, and stored once; parts' starting numbers come from a running sum
+    over one row per part.
     """
     columns = df.columns
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     counted = (
         df.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", *text)), 1, digits))
+        .withColumn("_digest", F.substring(F.md5(F.concat_ws("|", *text)), 1, digits))
     )
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    order = [F.col("_digest"), *[F.col(c).asc_nulls_first() for c in columns]]
+    parts = counted.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    parts = persist_table(parts, "numbered")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        counted.groupBy("_bucket")
+        parts.groupBy("_part")
         .agg(F.sum("_n").alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    )
-    inside = (
-        Window.partitionBy("_bucket")
-        .orderBy(*[F.col(c).asc_nulls_first() for c in columns])
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        counted.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(F.broadcast(starts), "_bucket")
+        parts.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .join(F.broadcast(starts), "_part")
         .select(*columns, (F.col("_start") + F.col("_before")).alias("_first"), "_n")
     )
     return repeat_rows(placed, "_n").select(

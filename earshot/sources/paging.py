@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.operators.skew import numbered
+from earshot.session import persist_table
 
 # The task functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,6 +27,20 @@ def with_pages(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "Page") ->
     )
 
 
+def store_pages(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "Page") -> DataFrame:
+    """``with_pages``, numbered once and stored in that order: reading a page skips the files of the others."""
+    ordered = with_pages(df, page_size, name).repartitionByRange("RowNumber").sortWithinPartitions("RowNumber")
+    return persist_table(ordered, "pages")
+
+
+def each_page(paged: DataFrame, page_size: int = PAGE_SIZE) -> Iterator[DataFrame]:
+    """The pages in order, until one is empty."""
+    offset = 0
+    while not (page := read_page(paged, offset, page_size)).isEmpty():
+        yield page
+        offset += page_size
+
+
 def read_page(paged: DataFrame, offset: int, page_size: int = PAGE_SIZE) -> DataFrame:
     """The page that starts at row ``offset``; empty past the end."""
     return paged.filter(
