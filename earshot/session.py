@@ -61,12 +61,17 @@ def persist_table(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends at the files."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    for kept in _KEPT:
-        kept.append(path)
+    note_scratch(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def note_scratch(path: str) -> None:
+    """Have the open ``scratch_tables`` blocks delete a path."""
+    for kept in _KEPT:
+        kept.append(path)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Delete the tables persisted inside the block when it ends."""
