@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.session import name_local_dir, scratch_path
+from earshot.session import name_local_dir, note_scratch, scratch_path, scratch_tables
 
 CHUNK_BYTES = 1 << 20
 
@@ -61,6 +61,7 @@ class Scratch:
 
     def store(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
         path = scratch_path(self.spark, label)
+        note_scratch(path)
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
@@ -78,6 +79,19 @@ class Scratch:
             time.sleep(0.4)
 
 
+def distilled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, stored; the tables it stored on the way are deleted."""
+    scratch = Scratch(spark)
+    path = scratch_path(spark, label)
+    with scratch_tables(spark):
+        df = build()
+        df.write.option("compression", "zstd").parquet(path)
+        schema = df.schema
+    del df
+    scratch.tidy()
+    return spark.read.schema(schema).parquet(path)
+
+
 def empty_as(schema: str, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -126,7 +140,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd base and of its inverse, modulo 2**64."""
     held = _POWERS.get(base)
     if held is None or len(held[0]) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = n + (n >> 3) + 1024
         out = []
         for factor in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, factor, dtype=np.uint64)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Scratch, mapped
+from earshot.llm.common import Scratch, distilled, mapped
 
 NEAREST = 5
 QUERY_STEP = 50
@@ -230,7 +230,7 @@ def nearest(table: DataFrame, step: int = QUERY_STEP, most: int = NEAREST) -> Da
     vectors, _ = scratch.store(usable(table).distinct().withColumn("node", F.xxhash64("vec")), "vectors")
     points, _ = scratch.store(nodes(vectors), "nodes")
     queries = vectors.where(F.col("vec_id") % step == 0).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q"), F.col("vec").alias("query"))
-    found = search(queries.select("q"), points, build(points))
+    found = distilled(table.sparkSession, "found", lambda: search(queries.select("q"), points, build(points)))
     # of copies, only the first can be among the nearest: one more than asked for, as one may be the query itself
     first = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
     few = vectors.withColumn("r", first).where(F.col("r") <= most + 1).select(F.col("node").alias("w"), "vec_id", "vec")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Scratch, Words, mapped, ranges, signed, text_chunks
+from earshot.llm.common import Scratch, Words, distilled, mapped, ranges, signed, text_chunks
 from earshot.llm.paths import NO_ID, Paths, covered_units, identified, with_texts
 
 WINDOW = 13
@@ -82,8 +82,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
     A null text has no words and its kept text is empty. Rows with one doc_id do not cover one another, whatever their texts; a
     null doc_id counts as smaller than all others. Words are those of ``Words``; a document shorter than a window keeps all.
     """
-    runs, _ = (scratch := Scratch(docs.sparkSession)).store(repeated(docs, window, anchor), "runs")
-    scratch.tidy()
+    runs = distilled(docs.sparkSession, "runs", lambda: repeated(docs, window, anchor))
     grouped = runs.select("doc", F.shiftright("at", 32).alias("digest"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("first"), "count")
     grouped = grouped.groupBy("doc", "digest").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
     rows = identified(docs).join(grouped, ["doc", "digest"], "left").select("doc", "text", "runs")
@@ -111,3 +110,25 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
             )
 
     return mapped(rows, run, RESULT)
+
+
+ORACLE = f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), t AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w
+), win AS (
+  SELECT doc_id, pos, string_agg(word, ' ') OVER ahead AS body, count(*) OVER ahead AS n FROM t
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)
+), firsts AS (
+  SELECT body, min(doc_id) AS source FROM win WHERE n = {WINDOW} GROUP BY body
+), gone AS (
+  SELECT DISTINCT doc_id, pos + step AS pos
+  FROM win JOIN firsts USING (body) CROSS JOIN (SELECT unnest(range({WINDOW})) AS step) WHERE n = {WINDOW} AND source < doc_id
+), kept AS (
+  SELECT t.doc_id, count(*) AS n, string_agg(t.word, ' ' ORDER BY t.pos) AS text
+  FROM t ANTI JOIN gone ON t.doc_id = gone.doc_id AND t.pos = gone.pos GROUP BY t.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
