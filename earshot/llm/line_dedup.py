@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Words, mapped, mix, signed, text_chunks
+from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Scratch, Words, mapped, mix, signed, text_chunks
 
 MIN_WORDS = 8
 OTHER_BASE = 0xA0761D6478BD642F
@@ -96,43 +96,50 @@ def later_windows(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     key = ["fingerprint", "around", "check"]
     where = F.struct("doc_id", "digest", "line")
     firsts = windows.groupBy(*key).agg(F.min(where).alias("first"), F.max(where).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
-    return windows.join(firsts.select(*key, "first"), key).where(where > F.col("first")).select("doc_id", "digest", "line", "lines")
+    firsts, _ = Scratch(docs.sparkSession).store(firsts.select(*key, "first"), "firsts")  # stored, so that a skewed join can be split
+    return windows.join(firsts, key).where(where > F.col("first")).select("doc_id", "digest", "line", "lines")
+
+
+def _cut(docs: DataFrame, least: int) -> DataFrame:
+    """(row: the whole document, text: what is left of it, lines, gone: numbers of the lines that go)."""
+    gone = later_windows(docs, least).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("line", "lines")).alias("found"))
+    covered = F.array_distinct(F.flatten(F.transform("found", lambda x: F.sequence(x["line"], x["line"] + x["lines"] - 1))))
+    gone = gone.select(F.col("doc_id").alias("of"), F.col("digest").alias("like"), covered.alias("covered"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("whole"), F.xxhash64("text").alias("digest"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("like")), "left")
+    split = joined.withColumn("lines", F.split("whole", "\n", -1))
+    # lines of white space between two covered ones are in no window's text and stay
+    solid = F.filter("covered", lambda i: F.get(F.col("lines"), i.cast("int")).rlike("[^\\x20\\x09-\\x0D]"))
+    split = split.withColumn("gone", F.coalesce(solid, F.array().cast("array<long>")))
+    every = F.sequence(F.lit(0).cast("long"), (F.size("lines") - 1).cast("long"))
+    kept = F.array_join(F.transform(F.array_except(every, F.col("gone")), lambda i: F.get(F.col("lines"), i.cast("int"))), "\n")
+    return split.select("row", F.when(F.size("gone") > 0, kept).otherwise(F.col("whole")).alias("text"), "lines", "gone")
 
 
 def dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """The documents without the lines that repeat earlier ones; ``n_lines`` and ``n_removed`` count lines before and among them.
+    """doc_id, text without the lines that repeat earlier ones, n_lines before, n_removed of them.
 
     Rows with equal doc_id and text are one document and each keep the same lines. Nulls in doc_id come before all ids. A null
-    text stays null and has no lines; an empty text has one line. Further columns stay as they are, under their names.
+    text stays null and has no lines; an empty text has one line. Further columns are not read.
     """
-    gone = later_windows(docs, least).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("line", "lines")).alias("found"))
-    gone = gone.select(
-        F.col("doc_id").alias("_doc"),
-        F.col("digest").alias("_digest"),
-        F.array_distinct(F.flatten(F.transform("found", lambda x: F.sequence(x["line"], x["line"] + x["lines"] - 1)))).alias("_covered"),
-    )
-    rows = docs.withColumn("_key", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_digest"))
-    joined = rows.join(gone, same, "left")
-    lines = F.split(F.col("text"), "\n", -1)
-    n = F.size(lines)
-    solid = F.filter(F.col("_covered"), lambda i: F.get(lines, i.cast("int")).rlike("[^\\x20\\x09-\\x0D]"))
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0).cast("long"), (n - 1).cast("long")), F.col("_cut")), lambda i: F.get(F.col("_lines"), i.cast("int"))), "\n")
-    out = joined.withColumn("_lines", lines).withColumn("_cut", F.coalesce(solid, F.array().cast("array<long>")))
-    changed = F.size("_cut") > 0
-    text = F.when(F.col("text").isNotNull() & changed, kept).otherwise(F.col("text"))
-    return out.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
-        F.size("_cut").cast("long").alias("n_removed"),
+    return _cut(docs.select("doc_id", "text"), least).select(
+        "row.doc_id",
+        "text",
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.size("gone").cast("long").alias("n_removed"),
     )
 
 
 def keep_first(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """``dedup`` with the documents' own columns; ``n_chars`` follows the text. Documents that lost all their lines go."""
-    out = dedup(docs, least).where((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
-    changed = F.col("n_removed") > 0
-    return out.select(*[F.when(changed, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    """The documents, all columns, with what ``dedup`` leaves of their texts; ``n_chars``, if there, follows the text.
+
+    Documents that lost all their lines go.
+    """
+    out = _cut(docs, least).where((F.size("gone") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    own = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.when(F.size("gone") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[own[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 ORACLE = f"""
