@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import BYTE_BASE, PrefixHash, Scratch, byte_hash, mapped, mix, ranges, signed, text_chunks
+from earshot.llm.common import BYTE_BASE, PrefixHash, Scratch, byte_hash, distilled, mapped, mix, ranges, signed, text_chunks
 from earshot.llm.paths import NO_ID, Paths, covered_units, identified, with_texts
 
 LENGTH = 200
@@ -263,7 +263,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket
     cut, _ = scratch.store(parts(docs, one, graph), "parts")
     scratch.tidy()
     sizes = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > bucket).select("anchor")
+    large, _ = scratch.store(sizes.where(F.col("n") > bucket).select("anchor"), "large")  # stored, so that joins with it can be split
     small = sorted_buckets(cut.join(large, "anchor", "left_anti").select(*cut.columns), length)
     return again.unionByName(small).unionByName(counted_buckets(cut.join(large, "anchor").select(*cut.columns), length))
 
@@ -274,9 +274,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket: i
     A null text has no bytes. Every row is a document of its own: repeated rows of ``length`` bytes or more cover one another
     whole, also if their ids are equal or null. Shorter texts keep all. Kept bytes need not be valid UTF-8.
     """
-    scratch = Scratch(docs.sparkSession)
-    runs, _ = scratch.store(repeated(docs, length, anchor, bucket), "runs")
-    scratch.tidy()
+    runs = distilled(docs.sparkSession, "runs", lambda: repeated(docs, length, anchor, bucket))
     grouped = runs.select("doc", F.shiftright("at", 32).alias("digest"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("first"), "count")
     grouped = grouped.groupBy("doc", "digest").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
     rows = identified(docs).join(grouped, ["doc", "digest"], "left").select("doc", "text", "runs")
