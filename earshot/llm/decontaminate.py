@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from earshot.llm.common import WORD_BASE, Words, empty_as, mapped, mix, ranges, signed, text_chunks
 
 UNIT = 64
-BLOCK = 8
+BLOCK = 4
 LEAST_SCORE = 0.6
 LEAST_QUESTION = 0.6
 LEAST_ANSWER = 0.5
@@ -35,6 +35,7 @@ ANSWER_WORDS = 4
 K1 = 1.2
 B = 0.75
 MOST_POSTINGS = 2_000_000
+MOST_SLOTS = 1 << 20
 
 UNITS = "item_id long, unit int, words array<long>, answer int"
 FOUND = "doc_id long, item_id long, score double, question double, answer double"
@@ -186,18 +187,19 @@ def hits(index: Index, data: np.ndarray, offsets: np.ndarray, least: float = LEA
     cell, term = cell[use], term[use]
     size = index.block_first[term + 1] - index.block_first[term]
     where = ranges(index.block_first[term], size)
-    table, slot = np.unique(np.repeat(cell, size) * np.int64(index.blocks) + index.block[where], return_inverse=True)
-    sums = np.bincount(slot, weights=index.block_impact[where], minlength=len(table))
-    # a cell and a block, and the same block of the next cell
-    after = table + index.blocks
-    found = np.minimum(np.searchsorted(table, after), max(len(table) - 1, 0))
-    cell_of = table // index.blocks
-    joined = sums + np.where(follows[cell_of] & (table[found] == after), sums[found], 0) if len(table) else sums
-    # a block that the first of two cells lacks is judged with the second cell, which opens a passage itself
-    live = joined >= least - 1e-9
+    block, impact, of = index.block[where], index.block_impact[where], np.repeat(cell, size)
+    live: list[tuple[int, int]] = []
+    step = max(1, MOST_SLOTS // index.blocks)
+    for at in range(0, n, step):  # sums of a run of cells, and one more, by block
+        end = min(at + step, n)
+        a, b = np.searchsorted(of, [at, end + 1])
+        sums = np.bincount((of[a:b] - at) * index.blocks + block[a:b], weights=impact[a:b], minlength=(end + 1 - at) * index.blocks).reshape(-1, index.blocks)
+        joined = sums[: end - at] + np.where(follows[at:end, None], sums[1 : end - at + 1], 0)
+        row, column = np.nonzero(joined >= least - 1e-9)
+        live += zip((row + at).tolist(), column.tolist(), strict=True)
     starts = np.searchsorted(cell, np.arange(n + 1))
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for c, b in zip(cell_of[live].tolist(), (table[live] % index.blocks).tolist(), strict=True):
+    for c, b in live:
         own = term[starts[c] : starts[c + 1]]
         if follows[c]:
             own = np.union1d(own, term[starts[c + 1] : starts[c + 2]])
