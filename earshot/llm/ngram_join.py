@@ -16,9 +16,10 @@ Sets of under ``SMALL`` members take their d + 1 smallest shingle hashes as buck
 Wide sketches. Each node also has a bit sketch, the parity of its shingles by place; the Hamming distance of two sketches is at
 most the difference of their sets. Pairs whose distance is over d are dropped before any text is compared.
 
-Groups. All members of a bucket are compared with the group's smallest node first. Linked nodes become components. Only where a
-bucket still holds members of several components are pairs of these compared, block by block, by their wide sketches. So a large
-group of near copies costs a comparison each, not one for each pair, and no link between different components is missed.
+Groups. All members of a bucket are compared with the group's smallest node first. Linked nodes become components. Where a bucket
+still holds members of several components, each is compared with the one that is closest to it by wide sketch, for some
+rounds; then all pairs that are left, block by block. So a large group of near copies costs some comparisons each, not one for
+each pair, and no link between different components is missed.
 """
 
 from __future__ import annotations
@@ -30,13 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Scratch, Words, mapped, mix, signed, text_chunks
+from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Scratch, Words, distilled, mapped, mix, signed, text_chunks
 from earshot.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
 SMALL = 64
+SKETCH_BITS = 8
 BLOCK = 512
+HELD_PAIRS = 1 << 16
+CLOSEST_ROUNDS = 8
+MANY_LINKS = 20_000
 
 NODES = "doc_id long, digest long, node long, members long, band int, sketch binary"
 BUCKETS = "bucket long, node long"
@@ -90,7 +95,7 @@ def _node(hashes: np.ndarray) -> int:
 
 
 def _sketch(hashes: np.ndarray, band: int) -> bytes:
-    bits = max(64, 1 << (band + 1))
+    bits = max(64, SKETCH_BITS << band)
     place = (mix(hashes ^ np.uint64(BYTE_BASE)) >> np.uint64(20)).astype(np.int64) & (bits - 1)
     return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -216,8 +221,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return mapped(pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb"), run, PAIR_TEXTS)
 
 
-def _across(groups: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket but of different components whose sketches allow a link.
+def _across(groups: DataFrame, closest: bool) -> DataFrame:
+    """Pairs of members of one bucket but of different components whose sketches allow a link, all or each one's closest.
 
     ``groups``: (bucket, node, component, members, sketch, size of the group). Large groups are cut into blocks; every two blocks meet
     in a task of their own.
@@ -230,37 +235,64 @@ def _across(groups: DataFrame) -> DataFrame:
     width = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        key = None
+        """Two nodes can meet in many buckets; a task tells of them once, as far as it remembers."""
+        pairs = np.zeros((0, 2), np.int64)
+        held: pa.Table | None = None
         for batch in batches:
-            for row in batch.to_pylist():
-                mine = (row["bucket"], row["one"], row["two"])
-                if mine != key and held:
-                    yield from compare(held, key)
-                    held = []
-                key = mine
-                held.append(row)
-        if held:
-            yield from compare(held, key)
-
-    def compare(rows: list[dict], key: tuple) -> Iterator[pa.RecordBatch]:
-        size = min(len(r["sketch"]) for r in rows)
-        sketch = np.stack([_fold(np.frombuffer(r["sketch"], np.uint8), size) for r in rows]).view(np.uint64)
-        node, comp, n, block = (np.array([r[c] for r in rows], np.int64) for c in ("node", "component", "members", "block"))
-        a, b = [], []
-        for i in range(len(rows) - 1):
-            far = np.arange(i + 1, len(rows))
-            ok = (comp[far] != comp[i]) & (100 * np.minimum(n[far], n[i]) >= PERCENT * np.maximum(n[far], n[i]))
-            if key[1] != key[2]:
-                ok &= block[far] != block[i]
-            far = far[ok]
-            if len(far):
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            if held.num_rows < 8192:
+                continue
+            edge = int(groups_of(held)[-2])  # the last group may go on
+            if edge:
+                pairs = np.unique(np.concatenate([pairs, compare(held.slice(0, edge))]), axis=0)
+                held = held.slice(edge)
+            if len(pairs) >= HELD_PAIRS:
+                yield told(pairs)
+                pairs = pairs[:0]
+        if held is not None and held.num_rows:
+            pairs = np.unique(np.concatenate([pairs, compare(held)]), axis=0)
+        yield told(pairs)
+
+    def told(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
+
+    def groups_of(rows: pa.Table) -> np.ndarray:
+        """Where groups begin, and the end."""
+        new = np.zeros(rows.num_rows, bool)
+        new[0] = True
+        for c in keys:
+            v = rows.column(c).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.append(np.flatnonzero(new), rows.num_rows)
+
+    def compare(rows: pa.Table) -> np.ndarray:
+        nodes_, comps, sizes, blocks, one, two = (rows.column(c).to_numpy().astype(np.int64) for c in ("node", "component", "members", "block", "one", "two"))
+        sketches = rows.column("sketch").to_pylist()
+        edges = groups_of(rows)
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b - a < 2 or (comps[a:b] == comps[a]).all():
+                continue
+            own = [np.frombuffer(x, np.uint8) for x in sketches[a:b]]
+            least = min(map(len, own))
+            sketch = np.stack([x if len(x) == least else _fold(x, least) for x in own]).view(np.uint64)
+            node, comp, n, block = nodes_[a:b], comps[a:b], sizes[a:b], blocks[a:b]
+            for i in range(b - a - 1):
+                far = np.arange(i + 1, b - a)
+                ok = (comp[far] != comp[i]) & (100 * np.minimum(n[far], n[i]) >= PERCENT * np.maximum(n[far], n[i]))
+                if one[a] != two[a]:
+                    ok &= block[far] != block[i]
+                far = far[ok]
+                if not len(far):
+                    continue
                 distance = np.bitwise_count(sketch[far] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-                far = far[distance <= most_difference(n[far], n[i])]
-                a.append(np.minimum(node[far], node[i]))
-                b.append(np.maximum(node[far], node[i]))
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                near = distance <= most_difference(n[far], n[i])
+                far, distance = far[near], distance[near]
+                if closest and len(far):
+                    far = far[[int(distance.argmin())]]
+                found.append(np.stack([np.minimum(node[far], node[i]), np.maximum(node[far], node[i])], axis=1))
+        return np.concatenate(found)
 
     keys = ["bucket", "one", "two"]
     return dealt.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(run, PAIR_TEXTS).distinct()
@@ -292,19 +324,39 @@ def classes(docs: DataFrame) -> DataFrame:
         texts = found.groupBy("node").agg(F.first("text").alias("text")) if repeats else found.select("node", "text")
         return scratch.store(verified(close, texts), f"{label}-linked")[0]
 
-    first = link(groups.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "star")
-    parts, _ = scratch.store(components(first), "parts")
+    # first the smallest of the smallest nodes that a node meets, then the others where components still differ
+    nearest = groups.groupBy("node").agg(F.min("pivot").alias("pivot"))
+    links = link(nearest.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "star")
+    parts, _ = scratch.store(components(links), "parts")
     scratch.tidy()
-
-    # buckets whose members, apart from the smallest, are still of several components
-    member = groups.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    member, _ = scratch.store(member, "member")
-    open_ = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
-    wide = member.join(open_, "bucket").join(known.select("node", "members", "sketch"), "node")
-    second = link(_across(wide.select("bucket", "node", "component", "members", "sketch", "size")), "rest")
+    others = groups.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct().join(nearest.select(F.col("pivot").alias("a"), F.col("node").alias("b")), ["a", "b"], "left_anti")
+    for side in ("a", "b"):
+        label = parts.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}"))
+        others = others.join(label, side, "left").withColumn(f"part_{side}", F.coalesce(f"part_{side}", side))
+    links = links.unionByName(link(others.where("part_a != part_b").select("a", "b"), "stars"))
+    parts, _ = scratch.store(components(links), "parts")
     scratch.tidy()
 
-    whole = components(first.unionByName(second))
+    # Buckets whose members, apart from the smallest, are still of several components. Each member's closest one of another
+    # component comes first, again and again while that joins components; then all pairs that are left.
+    rounds = 0
+    while True:
+        member = groups.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        member, path = scratch.store(member, "member")
+        open_ = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "size")
+        wide = member.join(open_, "bucket").join(known.select("node", "members", "sketch"), "node")
+        closest = rounds < CLOSEST_ROUNDS
+        found = link(_across(wide.select("bucket", "node", "component", "members", "sketch", "size"), closest), "rest")
+        scratch.tidy()
+        scratch.drop(path)
+        links = links.unionByName(found)
+        if not closest:
+            break
+        # another such round pays where this one has joined much; the last round leaves nothing out
+        rounds = rounds + 1 if found.count() >= MANY_LINKS else CLOSEST_ROUNDS
+        parts, _ = scratch.store(components(links), "parts")
+
+    whole = components(links)
     named = known.select("node", "least").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     label = named.join(smallest, "component").select("node", "component", "component_id")
@@ -318,7 +370,7 @@ def join(docs: DataFrame) -> DataFrame:
     doc_id of a component; rows with a null id take part but are never that, unless all ids of a component are null.
     Repeated rows are in one component, as equal sets are one node. Columns besides doc_id and text are not read.
     """
-    placed = classes(docs).groupBy("doc_id", "digest").agg(F.min("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
+    placed = distilled(docs.sparkSession, "placed", lambda: classes(docs)).groupBy("doc_id", "digest").agg(F.min("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
     placed = placed.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "n_shingles", "component_id")
     ids = _identified(docs).select("doc_id", "digest")
     rows = ids.join(placed, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("digest").eqNullSafe(F.col("_digest")), "left")
@@ -330,8 +382,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of rows equal in doc_id and text one stays. Rows without words link with nothing and all stay. All columns stay.
     """
-    placed = classes(docs).select("doc_id", "digest", "component")
-    placed, _ = Scratch(docs.sparkSession).store(placed, "placed")
+    placed = distilled(docs.sparkSession, "placed", lambda: classes(docs).select("doc_id", "digest", "component"))
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
     kept = first.select(F.col("kept.doc_id").alias("_doc"), F.col("kept.digest").alias("_digest"))
     text = F.col("text").cast("string")
@@ -339,3 +390,28 @@ def keep_one(docs: DataFrame) -> DataFrame:
     same = F.col("id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_digest"))
     one = rows.where("worded").join(kept, same, "left_semi").dropDuplicates(["id", "key"])
     return one.unionByName(rows.where("NOT coalesce(worded, false)")).select("row.*")
+
+
+ORACLE = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), t AS (
+  SELECT doc_id, len(ws) AS total, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w
+), win AS (
+  SELECT doc_id, pos, total, string_agg(word, ' ') OVER ahead AS body, count(*) OVER ahead AS n FROM t
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {SHINGLE - 1} FOLLOWING)
+), shingle AS (
+  SELECT DISTINCT doc_id, body FROM win WHERE n = {SHINGLE} OR (total < {SHINGLE} AND pos = 1)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), both_ AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.body = b.body AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM both_ JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * both_.n >= {PERCENT} * (x.n + y.n - both_.n)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id
+"""

@@ -54,4 +54,4 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op6_ngram_join, op7_decontaminate, op8_secrets, op9_language, op10_neighbours)}
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op3_substring_dedup": substring_dedup.ORACLE, "op6_ngram_join": ngram_join.ORACLE}
