@@ -3,12 +3,14 @@
 Equal vectors are one node. First neighbours come from blocks of ``START_BLOCK`` nodes that follow one another in ``STARTS`` orders
 by the signs of random projections: an order is a range partitioning, so no block can grow. Then rounds of NN-descent: every
 node meets its neighbours and the nodes it is a neighbour of (the nearest ``MEET`` of them), and those that it brings together
-are told of one another, if that betters the worst neighbour they have. Each node keeps its ``DEGREE`` nearest. The graph is
-fitted on all nodes.
+are told of one another, if that betters the worst neighbour they have. Pairs that met at the same node in the round before are
+not told again. Each node keeps its ``DEGREE`` nearest. Rounds go on until one replaces at most ``SETTLED`` of all edges. The
+graph is fitted on all nodes.
 
 A query starts at its own node and searches greedily: it visits the neighbours, both ways, of the nearest ``BEAM`` nodes seen so
-far that were not opened yet, ``HOPS`` times. What it found is then measured with its original vector in double precision, and
-copies are listed by their smallest ids. Vectors travel as unit vectors in half precision; only the final measure is exact.
+far that were not opened yet, until all of them are open. What it found is then measured with its original vector in double
+precision, and copies are listed by their smallest ids. Vectors travel as unit vectors in half precision; only the final measure
+is exact.
 """
 
 from __future__ import annotations
@@ -20,22 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Scratch, distilled, mapped
+from earshot.llm.common import Scratch, distilled, empty_as, mapped
 
 NEAREST = 5
 QUERY_STEP = 50
 DEGREE = 32
 MEET = 64
-TOLD = 16
-ROUNDS = 3
+SETTLED = 0.001
 STARTS = 4
 START_BLOCK = 256
 SIGNS = 8
 BEAM = 160
-HOPS = 6
 SEED = 11
 
 EDGES = "u long, v long, near float"
+LISTS = "u long, guests array<long>, fresh array<long>"
 
 
 def usable(table: DataFrame) -> DataFrame:
@@ -75,7 +76,8 @@ def nodes(vectors: DataFrame) -> DataFrame:
 
 def _top(edges: DataFrame, most: int) -> DataFrame:
     """The nearest ``most`` distinct v of every u."""
-    best = edges.groupBy("u", "v").agg(F.max("near").alias("near"))
+    fresh = [F.min("fresh").alias("fresh")] if "fresh" in edges.columns else []  # an edge told of again is not fresh
+    best = edges.groupBy("u", "v").agg(F.max("near").alias("near"), *fresh)
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("near"), "v"))
     return best.withColumn("r", rank).where(F.col("r") <= most).drop("r")
 
@@ -135,11 +137,22 @@ def both_ways(graph: DataFrame, most: int) -> DataFrame:
     return _top(graph.unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "near")), most)
 
 
-def introductions(graph: DataFrame, points: DataFrame) -> DataFrame:
-    """Edges between nodes that a common neighbour brings together, where they better the worst edge of u."""
+def meetings(graph: DataFrame, before: DataFrame) -> DataFrame:
+    """(u, guests, fresh) of every node: the nodes that it brings together, and those that it did not bring together ``before``."""
+    now = both_ways(graph, MEET).groupBy("u").agg(F.collect_list("v").alias("guests"))
+    known = before.select("u", F.col("guests").alias("known"))
+    fresh = F.array_except("guests", F.coalesce("known", F.array().cast("array<long>")))
+    return now.join(known, "u", "left").select("u", "guests", fresh.alias("fresh"))
+
+
+def introductions(graph: DataFrame, points: DataFrame, lists: DataFrame) -> DataFrame:
+    """Edges between nodes that a common neighbour brings together for the first time, where they better the worst edge of u.
+
+    A node hears of its ``DEGREE`` nearest at each common neighbour: others could not be among its ``DEGREE`` nearest of all.
+    """
     worst = graph.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("near").alias("least")).select(F.col("u").alias("w"), F.when(F.col("n") >= DEGREE, F.col("least")).otherwise(F.lit(-9.0)).cast("float").alias("worst"))
     guests = points.withColumnRenamed("node", "w").join(worst, "w")
-    lists = both_ways(graph, MEET).select("u", F.col("v").alias("w")).join(guests, "w")
+    invited = lists.where(F.size("fresh") > 0).select("u", F.explode("guests").alias("w"), "fresh").select("u", "w", F.array_contains("fresh", F.col("w")).alias("fresh"))
     width = int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +172,7 @@ def introductions(graph: DataFrame, points: DataFrame) -> DataFrame:
 
     def told(rows: pa.Table) -> pa.RecordBatch:
         host, guest, x, worst = rows.column("u").to_numpy(), rows.column("w").to_numpy(), _matrix(rows.column("unit")), rows.column("worst").to_numpy()
+        fresh = rows.column("fresh").to_numpy()
         edge = np.append(np.flatnonzero(np.concatenate([[True], host[1:] != host[:-1]])), len(host))
         us, vs, nears = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
         for a, b in zip(edge, edge[1:], strict=False):
@@ -166,7 +180,9 @@ def introductions(graph: DataFrame, points: DataFrame) -> DataFrame:
                 continue
             close = x[a:b] @ x[a:b].T
             np.fill_diagonal(close, -9)
-            best = _best_of(close, min(TOLD, b - a - 1))
+            old = np.flatnonzero(~fresh[a:b])
+            close[np.ix_(old, old)] = -9
+            best = _best_of(close, min(DEGREE, b - a - 1))
             near = np.take_along_axis(close, best, 1)
             better = near > worst[a:b, None]
             row, column = np.nonzero(better)
@@ -175,48 +191,59 @@ def introductions(graph: DataFrame, points: DataFrame) -> DataFrame:
             nears.append(near[row, column])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs)), pa.array(np.concatenate(nears).astype(np.float32))], names=["u", "v", "near"])
 
-    return lists.select("u", "w", "unit", "worst").repartition(width, "u").sortWithinPartitions("u").mapInArrow(run, EDGES)
+    return invited.join(guests, "w").select("u", "w", "unit", "worst", "fresh").repartition(width, "u").sortWithinPartitions("u").mapInArrow(run, EDGES)
 
 
-def build(points: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def build(points: DataFrame, settled: float = SETTLED) -> DataFrame:
     """The neighbour graph (u, v, near) of the nodes."""
-    scratch = Scratch(points.sparkSession)
-    graph, path = scratch.store(_top(first_neighbours(points), DEGREE), "graph")
+    spark = points.sparkSession
+    scratch = Scratch(spark)
+    edges, path = scratch.store(_top(first_neighbours(points).withColumn("fresh", F.lit(True)), DEGREE), "graph")
     scratch.tidy()
-    for _ in range(rounds):
-        following, next_path = scratch.store(_top(graph.unionByName(introductions(graph, points)), DEGREE), "graph")
+    lists, lists_path = empty_as(LISTS, spark), None
+    while True:  # every round that goes on has bettered edges, so there is a last one
+        graph = edges.drop("fresh")
+        following, next_lists_path = scratch.store(meetings(graph, lists), "lists")
+        if lists_path:
+            scratch.drop(lists_path)
+        lists, lists_path = following, next_lists_path
+        both = edges.withColumn("fresh", F.lit(False)).unionByName(introductions(graph, points, lists).withColumn("fresh", F.lit(True)))
+        following, next_path = scratch.store(_top(both, DEGREE), "graph")
         scratch.drop(path)
         scratch.tidy()
-        graph, path = following, next_path
-    return graph
+        edges, path = following, next_path
+        total, replaced = edges.agg(F.count(F.lit(1)), F.count_if("fresh")).first()
+        if replaced <= settled * total:
+            return edges.drop("fresh")
 
 
-def search(starts: DataFrame, points: DataFrame, graph: DataFrame, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
+def search(starts: DataFrame, points: DataFrame, graph: DataFrame, beam: int = BEAM) -> DataFrame:
     """(q, w) for queries (q, a node): nodes found by greedy search, the nearest ``beam`` of each."""
     scratch = Scratch(points.sparkSession)
     around = both_ways(graph, 2 * DEGREE).select(F.col("u").alias("from"), F.col("v").alias("w"))
     around, _ = scratch.store(around, "around")
     mine = starts.select("q").distinct().join(points, F.col("q") == F.col("node")).select("q", F.col("unit").alias("mine"))
     mine, _ = scratch.store(mine, "queries")
-    seen, path = scratch.store(mine.select("q", F.col("q").alias("w"), F.lit(2.0).cast("float").alias("near"), F.lit(False).alias("opened")), "seen")
+    found, path = scratch.store(mine.select("q", F.col("q").alias("w"), F.lit(2.0).cast("float").alias("near"), F.lit(False).alias("opened")), "found")
 
     def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         near = np.einsum("ij,ij->i", _matrix(batch.column(2)), _matrix(batch.column(3)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near.astype(np.float32))], names=["q", "w", "near"])
 
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "w"))
-    for _ in range(hops):
-        ranked = seen.withColumn("r", rank)
-        frontier = ranked.where((F.col("r") <= beam) & ~F.col("opened")).select("q", F.col("w").alias("from"))
-        step = frontier.join(around, "from").select("q", "w").distinct().join(seen.select("q", "w"), ["q", "w"], "left_anti")
+    while True:  # every hop that goes on betters the beam, so there is a last one
+        frontier = found.where(~F.col("opened")).select("q", F.col("w").alias("from"))
+        if frontier.isEmpty():
+            return found.select("q", "w")
+        step = frontier.join(around, "from").select("q", "w").distinct()
         pairs = step.join(points.withColumnRenamed("node", "w"), "w").join(mine, "q").select("q", "w", "unit", "mine")
         new = mapped(pairs, measure, "q long, w long, near float").withColumn("opened", F.lit(False))
-        kept = ranked.select("q", "w", "near", (F.col("opened") | (F.col("r") <= beam)).alias("opened"))
-        following, next_path = scratch.store(kept.unionByName(new), "seen")
+        # nodes that fell out of the beam may be measured again, but are no nearer than before
+        both = found.withColumn("opened", F.lit(True)).unionByName(new).groupBy("q", "w").agg(F.max("near").alias("near"), F.max("opened").alias("opened"))
+        following, next_path = scratch.store(both.withColumn("r", rank).where(F.col("r") <= beam).drop("r"), "found")
         scratch.drop(path)
         scratch.tidy()
-        seen, path = following, next_path
-    return seen.withColumn("r", rank).where(F.col("r") <= beam).select("q", "w")
+        found, path = following, next_path
 
 
 def nearest(table: DataFrame, step: int = QUERY_STEP, most: int = NEAREST) -> DataFrame:

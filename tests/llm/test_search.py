@@ -173,6 +173,33 @@ def test_few_or_no_vectors(spark):
     assert [(r["rank"], r.vec_id) for r in sorted(few, key=lambda r: r["rank"])] == [(1, 1), (2, 2)]
 
 
+def test_search_goes_on_until_all_is_open(spark):
+    """A path of 9 nodes is walked to its end."""
+    angle = np.arange(9) / 9
+    points = neighbours.nodes(spark.createDataFrame([([float(np.cos(a)), float(np.sin(a))],) for a in angle], "vec array<double>")).collect()
+    unit = {np.arctan2(*np.frombuffer(r.unit, np.float16).astype(float)[::-1]): r.node for r in points}
+    path = [unit[a] for a in sorted(unit)]
+    graph = spark.createDataFrame([(a, b, 0.9) for a, b in zip(path, path[1:], strict=False)], neighbours.EDGES)
+    found = neighbours.search(spark.createDataFrame([(path[0],)], "q long"), spark.createDataFrame(points), graph).collect()
+    assert {r.w for r in found} == set(path)
+
+
+def test_graph_settles(spark):
+    """Vectors without clusters need more than a few rounds."""
+    x = np.random.default_rng(4).normal(size=(5000, 48))
+    points = neighbours.nodes(spark.createDataFrame([(v.tolist(),) for v in x], "vec array<double>")).localCheckpoint()
+    graph = {}
+    for r in neighbours.build(points).collect():
+        graph.setdefault(r.u, set()).add(r.v)
+    rows = points.collect()
+    node = np.array([r.node for r in rows])
+    unit = np.stack([np.frombuffer(r.unit, np.float16).astype(np.float32) for r in rows])
+    close = unit @ unit.T
+    np.fill_diagonal(close, -9)
+    best = np.argsort(-close, axis=1)[:, : neighbours.DEGREE]
+    assert np.mean([v in graph[u] for u, row in zip(node.tolist(), node[best].tolist(), strict=True) for v in row]) > 0.97
+
+
 # -- decontamination
 
 
