@@ -1,14 +1,16 @@
-"""Removal of repeated runs of lines, found by winnowing over line hashes.
+"""Removal of repeated lines, found by winnowing over line hashes.
 
 Lines end at line feeds; lines of white space only are left out of all comparison and always stay. A window is a shortest run of
-consecutive lines of one document, from some line on, with at least ``MIN_WORDS`` words; so a long line is a window of its own,
-and short lines count only together. A line is deleted if a window that covers it also occurs earlier: in a document that comes
-first (by doc_id, then text), or further up in the same document. Windows are judged on the input.
+consecutive lines of one document, from some line on, with at least ``MIN_WORDS`` words: with one word, every line that is not
+blank is a window of its own, however short, so that licence and navigation lines count between differing neighbours too. A line
+is deleted if a window that covers it also occurs earlier: in a document that comes first (by doc_id, then text), or further up in
+the same document. Windows are judged on the input.
 
 Winnowing picks the smallest line hash of every window as its fingerprint, the last one among equals, so equal windows have
-equal fingerprints at equal places, and no repeated run with a window in it can be missed. Occurrences meet by fingerprint
-and by the lines around it; the first one is found by a combining aggregate, so a line that a third of the documents share costs
-one row a task. Windows that follow one another grow into whole runs, both ways.
+equal fingerprints at equal places, and no repeated run with a window in it can be missed. With one-line windows every line is a
+picked place, one row each, and a repeated run goes line by line, so there is nothing left to extend. Occurrences meet by
+fingerprint and by the lines of the window; the first one is found by a combining aggregate, so a line that a third of the
+documents share costs one row a task.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Scratch, Words, mapped, mix, signed, text_chunks
 
-MIN_WORDS = 8
+MIN_WORDS = 1
 OTHER_BASE = 0xA0761D6478BD642F
 
 _FOUND = "doc_id long, digest long, line long, lines long, fingerprint long, around long, check long"

@@ -62,6 +62,16 @@ def test_lines(docs, corpus):
     assert sum(r[3] for r in got) > 20
 
 
+def test_short_lines_between_differing_neighbours(spark):
+    """A repeated line goes however short it is, and whatever stands around it."""
+    rows = [(k, f"opening number {k}\nAll rights reserved.\n\nclosing words of number {k} that differ from all others") for k in range(4)]
+    rows += [(10, "All rights reserved."), (11, "Home\nhere\nHome"), (12, "home")]
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == (rows[0][1], 0)
+    assert all(got[k] == (rows[k][1].replace("All rights reserved.\n", ""), 1) for k in range(1, 4))
+    assert got[10] == ("", 1) and got[11] == ("Home\nhere", 1) and got[12] == ("home", 0)
+
+
 def test_lines_keep_columns(docs, empty):
     out = line_dedup.keep_first(docs)
     assert out.schema == docs.schema
