@@ -73,13 +73,14 @@ def _(f):
 @query(
     "overwrite_table",
     f"SELECT {', '.join(c for c in DIM_SHOWN if c != 'ReportingDate')},"
-    f" CASE WHEN ReportingDate IS NULL AND ProcessingDate IS NOT NULL THEN {DAY2} ELSE ReportingDate END"
+    f" CASE WHEN ReportingDate IS NULL AND ProcessingDate IS NOT NULL"
+    f" AND CommentId IN (SELECT CommentId FROM prior_report) THEN {DAY2} ELSE ReportingDate END"
     " AS ReportingDate FROM known",
 )
 def _(f):
     kept = store(f, "overwrite")
     kept.overwrite("dim", f.known)
-    return kept.overwrite("dim", comments.mark_reported(kept.read("dim"), DAY2)).select(*DIM_SHOWN)
+    return kept.overwrite("dim", comments.mark_reported(kept.read("dim"), f.prior_report, DAY2)).select(*DIM_SHOWN)
 
 
 @query(
@@ -897,13 +898,24 @@ def _(f):
     "frames_equal",
     """SELECT (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day2)) AS OnlyLeft,
               (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day2 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS OnlyRight,
-              FALSE AS "Equal" """,
+              OnlyLeft = 0 AND OnlyRight = 0 AS "Equal" """,
 )
 def _(f):
     narrow = lambda day: f.eligible(day).select("CommentId", "DIM_DateId")
     return quality.frames_equal(narrow("day1"), narrow("day2"))
 
 
+@query(
+    "frames_equal_shuffled",
+    """SELECT (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS OnlyLeft,
+              (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS OnlyRight,
+              OnlyLeft = 0 AND OnlyRight = 0 AS "Equal" """,
+)
+def _(f):
+    rows = f.eligible("day1").select("CommentId", "DIM_DateId")
+    return quality.frames_equal(rows, rows.repartition("DIM_DateId").sortWithinPartitions("CommentId"))
+
+
 @query(
     "conservation_check",
     """SELECT 'segment' AS Stage, 'comments = good + quarantined' AS "Check",
