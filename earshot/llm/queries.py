@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import decontaminate, language, line_dedup, neighbours, ngram_join, packing, secrets, substring_dedup, suffix_dedup, token_files
+from earshot.llm import chat_format, decontaminate, language, line_dedup, neighbours, ngram_join, packing, secrets, substring_dedup, suffix_dedup, token_files
 from earshot.llm.common import table
 from earshot.llm.encoding import vocabulary_path
 
@@ -53,5 +53,9 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op6_ngram_join, op7_decontaminate, op8_secrets, op9_language, op10_neighbours)}
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op3_substring_dedup": substring_dedup.ORACLE, "op6_ngram_join": ngram_join.ORACLE}
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(chat_format.chats(chat_format.with_planted(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op6_ngram_join, op7_decontaminate, op8_secrets, op9_language, op10_neighbours, op11_chat_format)}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op3_substring_dedup": substring_dedup.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op11_chat_format": chat_format.ORACLE}
