@@ -146,7 +146,8 @@ def _turns(record: Column, layout: Layout) -> Column:
     def turn(entry: Column) -> Column:
         pieces = F.try_variant_get(entry, f"$.{spec.text}", "array<variant>")
         whole = F.array_join(F.transform(pieces, lambda p: F.coalesce(_string(p, "$.text"), _string(p), F.lit(""))), "")
-        text = F.coalesce(whole, _string(entry, f"$.{spec.text}"), _string(entry), F.lit(""))
+        loose = F.when(~F.schema_of_variant(entry).startswith("OBJECT"), _string(entry))  # an entry that is a text itself
+        text = F.coalesce(whole, _string(entry, f"$.{spec.text}"), loose, F.lit(""))
         return F.struct(_speaker(_string(entry, f"$.{spec.role}")).alias("role"), text.alias("text"))
 
     return F.transform(entries, turn)
