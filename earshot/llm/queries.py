@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import chat_format, decontaminate, language, line_dedup, neighbours, ngram_join, packing, secrets, substring_dedup, suffix_dedup, token_files, whitening
+from earshot.llm import chat_format, decontaminate, hard_negatives, language, line_dedup, neighbours, ngram_join, packing, secrets, substring_dedup, suffix_dedup, token_files, whitening
 from earshot.llm.common import table
 from earshot.llm.encoding import vocabulary_path
 
@@ -61,5 +61,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op6_ngram_join, op7_decontaminate, op8_secrets, op9_language, op10_neighbours, op11_chat_format, op12_whitening)}
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op3_substring_dedup": substring_dedup.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op11_chat_format": chat_format.ORACLE}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.with_moved_labels(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(rows, hard_negatives.is_anchor)
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_substring_dedup, op4_packing, op5_token_files, op6_ngram_join, op7_decontaminate, op8_secrets, op9_language, op10_neighbours, op11_chat_format, op12_whitening, op13_hard_negatives)}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op3_substring_dedup": substring_dedup.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op11_chat_format": chat_format.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
