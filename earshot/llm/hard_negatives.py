@@ -169,10 +169,11 @@ class Best:
         self.waiting, self.size = [], 0
 
 
-def scan(rows: DataFrame, anchors: Block, ranges: tuple[np.ndarray, np.ndarray], take: int, same: bool) -> DataFrame:
-    """(anchor, range, row, key, score): each task's best rows of every anchor and range; ranges are (anchors, ranges) arrays of low and high."""
-    held = rows.sparkSession.sparkContext.broadcast((anchors, *ranges))
-    count = ranges[0].shape[1]
+def scan(rows: DataFrame, held, count: int, take: int, same: bool) -> DataFrame:
+    """(anchor, part, row, key, score): each task's best rows of every anchor and range.
+
+    ``held`` is the broadcast of the anchors and of two (anchors, count) arrays, the ranges' low and high ends.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, low, high = held.value
@@ -238,17 +239,25 @@ def mine(rows: DataFrame, anchor, key: str = "vec_id", vector: str = "embedding"
     return out.join(names, "anchor").select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def best_rows(scratch: Scratch, rows: DataFrame, anchors: Block, ranges: tuple[np.ndarray, np.ndarray], take: int, same: bool, label: str) -> DataFrame:
+    """The first ``take`` rows of each anchor and range, stored; the broadcast goes as soon as they are."""
+    held = rows.sparkSession.sparkContext.broadcast((anchors, *ranges))
+    found, _ = scratch.store(first(scan(rows, held, ranges[0].shape[1], take, same), take), label)
+    held.destroy()
+    return found
+
+
 def _shard(scratch: Scratch, held: DataFrame, anchors: Block, positives: int, negatives: int, least: int, most: int) -> DataFrame:
     """The result for one shard of anchors, stored, by their row numbers."""
     whole = (np.full((len(anchors.row), 1), NONE), np.full((len(anchors.row), 1), ANY))
-    near, _ = scratch.store(first(scan(held, anchors, whole, positives, True), positives), "positives")
+    near = best_rows(scratch, held, anchors, whole, positives, True, "positives")
     place = {int(r): i for i, r in enumerate(anchors.row)}
     low, high = np.full((len(anchors.row), positives), ANY), np.full((len(anchors.row), positives), NONE)
     # A shard's positives are a bounded list; a range without a positive, or of a negative score, stays empty.
     for r in near.select("anchor", "rank", "score").toArrow().to_pylist():
         low[place[r["anchor"]], r["rank"] - 1] = -(-least * r["score"] // 100)
         high[place[r["anchor"]], r["rank"] - 1] = most * r["score"] // 100
-    far, _ = scratch.store(first(scan(held, anchors, (low, high), negatives, False), negatives), "negatives")
+    far = best_rows(scratch, held, anchors, (low, high), negatives, False, "negatives")
     one = near.select("anchor", (F.col("rank") - 1).alias("part"), F.col("key").alias("positive_id"), F.col("score").alias("positive_score"))
     other = far.select("anchor", "part", "rank", F.col("key").alias("negative_id"), F.col("score").alias("negative_score"))
     return one.join(other, ["anchor", "part"]).drop("part")
