@@ -694,6 +694,25 @@ def _(f):
     return fuzzy.fuzzy_duplicate_map(arrived(f), settled(f)).drop("ReportingDate")
 
 
+# Near copies of every reported comment: letters lost in front, two replaced, a mark added.
+EDITED = "concat(substr(SurveyComment, 4, 60), 'zz', substr(SurveyComment, 66), '!!')"
+
+
+@query(
+    "fuzzy_duplicate_map_edited",
+    "SELECT CommentId, KnownCommentId, SurveyComment, SurveyCommentDeduped FROM duplicate_map",
+    FUZZY
+    | {
+        "edited": f"SELECT concat('near-', CommentId) AS CommentId, {EDITED} AS SurveyComment FROM dim WHERE ReportingDate IS NOT NULL",
+        "arrived": f"SELECT CommentId, SurveyComment, {LETTER_VECTOR} AS v FROM edited",
+    },
+)
+def _(f):
+    rows = settled(f).select(F.concat(F.lit("near-"), "CommentId").alias("CommentId"), F.expr(EDITED).alias("SurveyComment"))
+    near = rows.withColumn("Vector", letter_vector(F.col("SurveyComment")))
+    return fuzzy.fuzzy_duplicate_map(near, settled(f)).drop("ReportingDate")
+
+
 @query("fuzzy_duplicate_map_loose", "SELECT CommentId, KnownCommentId FROM loose_map", FUZZY)
 def _(f):
     return loose_map(f).select("CommentId", "KnownCommentId")

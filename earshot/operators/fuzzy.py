@@ -1,10 +1,15 @@
 """Fuzzy duplicates: the nearest known comments by embedding, confirmed by edit distance.
 
-The join is exact. Known vectors are split into cells around a bounded number of pivots; a new
-vector is sent to every cell that can hold a vector within the cosine limit (two geometric
-bounds rule the others out) and cells are cut into blocks of bounded size on both sides. A task
-compares one block with another as a matrix product and emits only the best few neighbours per
-new comment, so neither a crowded cell nor a crowd of near copies is ever emitted as pairs.
+The join is exact, and asks for little: comments of some length are first joined by spelling (``edit_join``), and only those with
+a close partner look for their nearest known comments by vector, as short comments do.
+
+Vectors are searched through a tree of cells. Known vectors are split around a bounded number of pivots; cells that are still too
+large for a task are split again around pivots of their own, which are sampled, joined and assigned in Spark, so their number
+grows with the known side and never visits the driver. A new vector is sent to every cell that can hold a vector within the
+cosine limit (geometric bounds rule the others out); what is still crowded, such as copies, is cut into blocks. Inside a task a block
+is split once more, and a new vector's nearest ones so far raise its limit, so that most of the block is never compared.
+A task emits only the best few neighbours per new comment, so neither a crowded cell nor a crowd of near copies is ever
+emitted as pairs.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from earshot.operators import edit_join
 from earshot.operators.skew import skew_join
 from earshot.schemas import DUPLICATE_MAP
 from earshot.session import persist_table
@@ -36,6 +42,8 @@ CELLS = 1024
 # Every vector travels once per block of the other side, so blocks are as large as memory allows.
 BLOCK_ROWS = 16384
 SLICE_ROWS = 512
+# Rows of a block that are not worth splitting.
+LOCAL_ROWS = 64
 # Slack that keeps rounding from ruling out a cell.
 SLACK = 1e-6
 
@@ -72,11 +80,11 @@ def reachable_cells(
     return mask
 
 
-def best_columns(values: np.ndarray, least: float, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, value) of the largest ``most`` values of each row that reach ``least``; ties go to the first column."""
-    hit = np.flatnonzero((values >= least).any(axis=1))
-    part = values[hit]
-    floor = np.full(len(hit), least)
+def best_columns(values: np.ndarray, least: float | np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of the largest ``most`` values of each row that reach ``least`` (one for all or one each); ties go to the first column."""
+    least = np.broadcast_to(least, len(values))
+    hit = np.flatnonzero((values >= least[:, None]).any(axis=1))
+    part, floor = values[hit], least[hit]
     if part.shape[1] > most and len(hit):
         floor = np.maximum(floor, -np.partition(-part, most - 1, axis=1)[:, most - 1])
     row, column = np.nonzero(part >= floor[:, None])
@@ -88,6 +96,52 @@ def best_columns(values: np.ndarray, least: float, most: int) -> tuple[np.ndarra
     return hit[row[keep]], column[keep], value[keep]
 
 
+def nearest_within(
+    rows: np.ndarray, columns: np.ndarray, least: float, most: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(row, column, cosine) of each row's nearest ``most`` columns within the limit, and how many pairs were compared.
+
+    Vectors are of length one or zero; cosines are rounded, ties go to the first column. Columns are split around every so many-th
+    of them. A row first meets the cell it is nearest to; its ``most``-th cosine there is its limit for the others.
+    """
+    count = int(np.sqrt(len(columns))) if len(columns) >= 4 * LOCAL_ROWS else 1
+    pivots = columns[:: len(columns) // count][:count]
+    theirs, mine = columns @ pivots.T, rows @ pivots.T
+    home, near = theirs.argmax(axis=1), mine.argmax(axis=1)
+    radius = np.zeros(count)
+    np.maximum.at(radius, home, np.arccos(np.clip(theirs[np.arange(len(columns)), home], -1.0, 1.0)))
+    order = np.argsort(home, kind="stable")
+    bounds = np.searchsorted(home[order], np.arange(count + 1))
+    inside = [order[bounds[c] : bounds[c + 1]] for c in range(count)]
+    limit, compared, found = np.full(len(rows), float(least)), rows.shape[0] * count + columns.shape[0] * count, []
+
+    def meet(c: int, who: np.ndarray) -> None:
+        nonlocal compared
+        if not len(who) or not len(inside[c]):
+            return
+        cosines = np.round(rows[who] @ columns[inside[c]].T, 9)
+        compared += cosines.size
+        i, j, value = best_columns(cosines, limit[who], most)
+        found.append((who[i], inside[c][j], value))
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        full = place == most - 1
+        limit[who[i[full]]] = np.maximum(limit[who[i[full]]], value[full])
+
+    for c in range(count):
+        meet(c, np.flatnonzero(near == c))
+    angles = np.arccos(np.clip(mine, -1.0, 1.0))
+    for c in np.argsort(-(mine.mean(axis=0))):
+        top = np.cos(np.maximum(0.0, angles[:, c] - radius[c] - SLACK))
+        meet(c, np.flatnonzero((near != c) & (top >= limit - SLACK)))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0), compared
+    row, column, value = (np.concatenate(part) for part in zip(*found))
+    order = np.lexsort((column, -value, row))
+    row, column, value = row[order], column[order], value[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < most
+    return row[keep], column[keep], value[keep], compared
+
+
 def _frame(rows: pd.DataFrame, **columns) -> pd.DataFrame:
     """Ids and vectors as plain objects (whatever string type pandas uses) plus new columns."""
     out = {c: pd.Series(rows[c].to_numpy(dtype=object), dtype=object) for c in ("CommentId", "Vector")}
@@ -128,6 +182,71 @@ def _visits(new: DataFrame, pivots: np.ndarray, radius: np.ndarray, min_cosine:
     return listed.select("CommentId", "Vector", F.explode("Cells").alias("Cell"))
 
 
+def _split(homes: DataFrame, crowded: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of crowded cells with a cell of their own inside it (``Sub``), and these: (Cell, Sub, Pivot, Radius).
+
+    ``crowded`` has the cells and their sizes. Pivots are sampled by a hash of the id, about two for each block of rows, so they need no
+    order and no rank. Rows are dealt out in pieces, and a cell's pivots go to each of its pieces. Rows of a cell without
+    a pivot stay together, without a bound.
+    """
+    rows = homes.join(F.broadcast(crowded), "Cell")
+    share = F.lit(2.0) / F.lit(float(block_rows))
+    drawn = F.pmod(F.xxhash64("CommentId", F.lit("pivot")), F.lit(1_000_000)) < share * 1_000_000
+    pivots = persist_table(rows.filter(drawn).select("Cell", F.col("CommentId").alias("Sub"), F.col("Vector").alias("Pivot")), "fuzzy-pivots")
+    pieces = crowded.select("Cell", F.ceil(F.col("Size") / block_rows).cast("int").alias("Pieces"))
+    cut = rows.join(F.broadcast(pieces), "Cell").withColumn("Piece", F.pmod(F.xxhash64("CommentId"), F.col("Pieces")).cast("int"))
+    copied = pivots.join(F.broadcast(pieces), "Cell").withColumn("Piece", F.explode(F.sequence(F.lit(0), F.col("Pieces") - 1)))
+
+    def assign(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        if not len(mine) or not len(theirs):
+            return _frame(mine, Cell=mine["Cell"].astype("int32"), Sub=pd.Series([""] * len(mine), dtype=object), Angle=mine["Angle"]) if len(mine) else mine.assign(Sub="", Angle=0.0)[["CommentId", "Vector", "Cell", "Sub", "Angle"]]
+        theirs = theirs.sort_values("Sub", kind="stable")
+        dots = unit_rows(mine["Vector"]) @ unit_rows(theirs["Pivot"]).T
+        names = theirs["Sub"].to_numpy(dtype=object)[dots.argmax(axis=1)]
+        angle = np.arccos(np.clip(dots.max(axis=1), -1.0, 1.0))
+        return _frame(mine, Cell=mine["Cell"].to_numpy().astype("int32"), Sub=pd.Series(names, dtype=object), Angle=angle)
+
+    out = (
+        cut.select("Cell", "Piece", "CommentId", "Vector", "Angle").groupBy("Cell", "Piece")
+        .cogroup(copied.select("Cell", "Piece", "Sub", "Pivot").groupBy("Cell", "Piece"))
+        .applyInPandas(assign, "CommentId string, Vector array<double>, Cell int, Sub string, Angle double")
+    )
+    out = persist_table(out, "fuzzy-subs")
+    reach = out.groupBy("Cell", "Sub").agg(F.max("Angle").alias("Radius"))
+    return out, persist_table(reach.join(pivots, ["Cell", "Sub"], "left").select("Cell", "Sub", "Pivot", "Radius"), "fuzzy-leaves")
+
+
+def _sub_visits(visits: DataFrame, leaves: DataFrame, min_cosine: float, block_rows: int) -> DataFrame:
+    """Visits to crowded cells become visits to the cells inside that can hold a vector within the limit."""
+    load = visits.groupBy("Cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("Pieces"))
+    cut = visits.join(load, "Cell").withColumn("Piece", F.pmod(F.xxhash64("CommentId"), F.col("Pieces")).cast("int"))
+    copied = leaves.join(load, "Cell").withColumn("Piece", F.explode(F.sequence(F.lit(0), F.col("Pieces") - 1)))
+    limit = float(np.arccos(np.clip(min_cosine, -1.0, 1.0)))
+
+    def choose(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        parts = [pd.DataFrame({"CommentId": [], "Vector": [], "Cell": [], "Sub": []}).astype({"CommentId": object, "Vector": object, "Cell": "int32", "Sub": object})]
+        names = theirs["Sub"].to_numpy(dtype=object)
+        bare = theirs["Pivot"].isna().to_numpy()
+        pivots = unit_rows(theirs["Pivot"][~bare]) if (~bare).any() else None
+        for start in range(0, len(mine), SLICE_ROWS):
+            part = mine.iloc[start : start + SLICE_ROWS]
+            rows = unit_rows(part["Vector"])
+            mask = np.ones((len(part), len(theirs)), dtype=bool)
+            if pivots is not None:
+                angle = np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
+                mask[:, ~bare] = angle <= theirs["Radius"].to_numpy()[~bare][None, :] + limit + SLACK
+            mask[~rows.any(axis=1)] = min_cosine <= 0
+            i, j = np.nonzero(mask)
+            parts.append(_frame(part.iloc[i].reset_index(drop=True), Cell=part["Cell"].to_numpy()[i].astype("int32"), Sub=pd.Series(names[j], dtype=object)))
+        return pd.concat(parts, ignore_index=True)
+
+    return (
+        cut.select("Cell", "Piece", "CommentId", "Vector").groupBy("Cell", "Piece")
+        .cogroup(copied.select("Cell", "Piece", "Sub", "Pivot", "Radius").groupBy("Cell", "Piece"))
+        .applyInPandas(choose, "CommentId string, Vector array<double>, Cell int, Sub string")
+    )
+
+
 def nearest_known(
     new: DataFrame,
     known: DataFrame,
@@ -158,30 +277,30 @@ def nearest_known(
     radius = np.full(len(pivots), -1.0)
     radius[reach["Cell"]] = reach["r"]
     visits = persist_table(_visits(new, pivots, radius, min_cosine), "fuzzy-visits")
-    load = visits.groupBy("Cell").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    cuts = pd.DataFrame({"Cell": np.arange(len(pivots), dtype="int32")})
-    cuts["KnownCuts"] = 1
-    cuts["NewCuts"] = 1
-    cuts.loc[reach["Cell"], "KnownCuts"] = -(-reach["n"].to_numpy() // block_rows)
-    cuts.loc[load["Cell"], "NewCuts"] = -(-load["n"].to_numpy() // block_rows)
-    cut_table = F.broadcast(
-        spark.createDataFrame(
-            [tuple(int(x) for x in r) for r in cuts.itertuples(index=False)],
-            "Cell int, KnownCuts int, NewCuts int",
-        )
-    )
+    homes, visits = homes.withColumn("Sub", F.lit("")), visits.withColumn("Sub", F.lit(""))
+    large = [(int(c), int(n)) for c, n in zip(reach["Cell"], reach["n"]) if n > block_rows]
+    if large:
+        crowded = spark.createDataFrame(large, "Cell int, Size long")
+        names = crowded.select("Cell")
+        subs, leaves = _split(homes.drop("Sub"), crowded, block_rows)
+        inner = _sub_visits(visits.drop("Sub").join(F.broadcast(names), "Cell", "left_semi"), leaves, min_cosine, block_rows)
+        homes = homes.join(F.broadcast(names), "Cell", "left_anti").unionByName(subs)
+        visits = persist_table(visits.join(F.broadcast(names), "Cell", "left_anti").unionByName(inner), "fuzzy-sub-visits")
+    leaf = ["Cell", "Sub"]
+    cut = lambda n: F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(n)
+    cuts = persist_table(homes.groupBy(*leaf).agg(cut("KnownCuts")).join(visits.groupBy(*leaf).agg(cut("NewCuts")), leaf), "fuzzy-cuts")
     piece = F.xxhash64("CommentId")
     known_blocks = (
-        homes.join(cut_table, "Cell")
+        homes.join(cuts, leaf)
         .withColumn("KnownBlock", F.pmod(piece, F.col("KnownCuts")).cast("int"))
         .withColumn("NewBlock", F.explode(F.sequence(F.lit(0), F.col("NewCuts") - 1)))
-        .select("Cell", "KnownBlock", "NewBlock", "CommentId", "Vector")
+        .select(*leaf, "KnownBlock", "NewBlock", "CommentId", "Vector")
     )
     new_blocks = (
-        visits.join(cut_table, "Cell")
+        visits.join(cuts, leaf)
         .withColumn("NewBlock", F.pmod(piece, F.col("NewCuts")).cast("int"))
         .withColumn("KnownBlock", F.explode(F.sequence(F.lit(0), F.col("KnownCuts") - 1)))
-        .select("Cell", "KnownBlock", "NewBlock", "CommentId", "Vector")
+        .select(*leaf, "KnownBlock", "NewBlock", "CommentId", "Vector")
     )
 
     def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
@@ -190,16 +309,15 @@ def nearest_known(
             theirs = theirs.sort_values("CommentId", kind="stable")
             ids = mine["CommentId"].to_numpy(dtype=object)
             others = theirs["CommentId"].to_numpy(dtype=object)
-            columns = unit_rows(theirs["Vector"]).T
+            columns = unit_rows(theirs["Vector"])
             for start in range(0, len(mine), SLICE_ROWS):
                 rows = unit_rows(mine["Vector"].iloc[start : start + SLICE_ROWS])
-                cosines = np.round(rows @ columns, 9)
-                i, j, value = best_columns(cosines, min_cosine, neighbours)
+                i, j, value, _ = nearest_within(rows, columns, min_cosine, neighbours)
                 if len(i):
                     out.append(pd.DataFrame({"CommentId": ids[start + i], "KnownCommentId": others[j], "Cosine": value}))
         return pd.concat(out, ignore_index=True)
 
-    keys = ["Cell", "KnownBlock", "NewBlock"]
+    keys = [*leaf, "KnownBlock", "NewBlock"]
     best = (
         new_blocks.groupBy(*keys)
         .cogroup(known_blocks.groupBy(*keys))
@@ -220,22 +338,29 @@ def fuzzy_duplicate_map(
 ) -> DataFrame:
     """For each new comment the first of its nearest known ones that is also close in spelling.
 
-    Frames have CommentId, SurveyComment and Vector, one row per comment.
+    Frames have CommentId, SurveyComment and Vector, one row per comment. A limit over ``edit_join.MOST_EDITS`` leaves everything to the vectors.
     """
-    near = nearest_known(new, known, min_cosine, neighbours, cells, block_rows)
     texts = known.select(
         F.col("CommentId").alias("KnownCommentId"),
         F.col("SurveyComment").alias("SurveyCommentDeduped"),
     )
-    pairs = skew_join(near, texts, ["KnownCommentId"]).join(
-        new.select("CommentId", "SurveyComment"), "CommentId"
-    )
-    close = pairs.filter(
-        F.levenshtein("SurveyComment", "SurveyCommentDeduped", max_edits) >= 0
+    short = F.length("SurveyComment") < edit_join.least_length(max_edits) if max_edits <= edit_join.MOST_EDITS else F.lit(True)
+    spelled = persist_table(
+        edit_join.close_pairs(new.filter(~short), texts.withColumnRenamed("SurveyCommentDeduped", "SurveyComment"), max_edits)
+        if max_edits <= edit_join.MOST_EDITS
+        else new.sparkSession.createDataFrame([], "CommentId string, KnownCommentId string"),
+        "fuzzy-spelled",
     )
+    # Long comments with a close partner, and short ones, look for their place among the nearest.
+    asked = new.filter(short).unionByName(new.filter(~short).join(spelled.select("CommentId").distinct(), "CommentId", "left_semi"))
+    near = persist_table(nearest_known(asked, known, min_cosine, neighbours, cells, block_rows), "fuzzy-near")
+    whole = skew_join(near, texts, ["KnownCommentId"]).join(new.select("CommentId", "SurveyComment"), "CommentId")
+    sure = whole.filter(~short).join(spelled, ["CommentId", "KnownCommentId"], "left_semi")
+    tried = whole.filter(short).filter(F.levenshtein("SurveyComment", "SurveyCommentDeduped", max_edits) >= 0)
     row = F.struct("KnownCommentId", "SurveyComment", "SurveyCommentDeduped")
     return (
-        close.groupBy("CommentId")
+        sure.unionByName(tried.select(*sure.columns))
+        .groupBy("CommentId")
         .agg(F.min_by(row, "Place").alias("_m"))
         .select("CommentId", "_m.*", F.lit(None).cast("int").alias("ReportingDate"))
         .select(*DUPLICATE_MAP.names)
