@@ -917,7 +917,8 @@ def _(f):
     "frames_equal",
     """SELECT (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day2)) AS OnlyLeft,
               (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day2 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS OnlyRight,
-              OnlyLeft = 0 AND OnlyRight = 0 AS "Equal" """,
+              NOT EXISTS (SELECT 1 FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day2))
+              AND NOT EXISTS (SELECT 1 FROM (SELECT CommentId, DIM_DateId FROM eligible_day2 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS "Equal" """,
 )
 def _(f):
     narrow = lambda day: f.eligible(day).select("CommentId", "DIM_DateId")
@@ -928,7 +929,7 @@ def _(f):
     "frames_equal_shuffled",
     """SELECT (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS OnlyLeft,
               (SELECT count(*) FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS OnlyRight,
-              OnlyLeft = 0 AND OnlyRight = 0 AS "Equal" """,
+              NOT EXISTS (SELECT 1 FROM (SELECT CommentId, DIM_DateId FROM eligible_day1 EXCEPT ALL SELECT CommentId, DIM_DateId FROM eligible_day1)) AS "Equal" """,
 )
 def _(f):
     rows = f.eligible("day1").select("CommentId", "DIM_DateId")
@@ -937,9 +938,12 @@ def _(f):
 
 @query(
     "conservation_check",
-    """SELECT 'segment' AS Stage, 'comments = good + quarantined' AS "Check",
-              (SELECT count(*) FROM answers_fact_survey) AS Expected, (SELECT count(*) FROM completed) AS Actual, TRUE AS Ok
-       UNION ALL SELECT 'cache', 'hits + misses = batch', (SELECT count(*) FROM dim), (SELECT count(*) FROM dim), TRUE
+    f"""SELECT 'segment' AS Stage, 'comments = good + quarantined' AS "Check",
+              (SELECT count(*) FROM answers_fact_survey) AS Expected, (SELECT count(*) FROM completed) AS Actual,
+              (SELECT count(*) FROM answers_fact_survey) = (SELECT count(*) FROM completed) AS Ok
+       UNION ALL SELECT 'cache', 'hits + misses = batch', (SELECT count(*) FROM dim),
+              (SELECT count(*) FROM dim WHERE CommentId IN {_CACHED}) + (SELECT count(*) FROM dim WHERE CommentId NOT IN {_CACHED}),
+              (SELECT count(*) FROM dim) = (SELECT count(*) FROM dim WHERE CommentId IN {_CACHED}) + (SELECT count(*) FROM dim WHERE CommentId NOT IN {_CACHED})
        UNION ALL SELECT 'report', 'fact = reported responses', (SELECT count(*) FROM reportable_day2),
               (SELECT count(DISTINCT FeedbackId) FROM final_report),
               (SELECT count(*) FROM reportable_day2) = (SELECT count(DISTINCT FeedbackId) FROM final_report)""",

@@ -38,10 +38,9 @@ def piece_keys(text: Column, max_edits: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(max_edits)), one)
 
 
-def probe_keys(text: Column, max_edits: int) -> Column:
-    """Hashes of all places of a new text where a piece of a known one can have survived."""
+def probe_keys(text: Column, size: Column, max_edits: int) -> Column:
+    """Hashes of all places of a new text, of ``size`` characters, where a piece of a known one can have survived."""
     pieces = max_edits + 1
-    size = F.length(text)
 
     def places(width: Column, i: Column) -> Column:
         # The lengths that known texts with pieces of this width can have, as differences from this text's length.
@@ -52,7 +51,11 @@ def probe_keys(text: Column, max_edits: int) -> Column:
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
     def of_piece(width: Column, i: Column) -> Column:
-        return F.transform(places(width, i), lambda s: F.xxhash64(width, i, F.substring(text, i * width + s + 1, width)))
+        # The part that holds all places is cut out first, so that a long text is not walked through for each place.
+        start = F.greatest(i * width - max_edits, F.lit(0))
+        part = F.struct(F.substring(text, start + 1, width + 2 * max_edits).alias("text"), start.alias("start"))
+        key = lambda p, s: F.xxhash64(width, i, F.substring(p["text"], i * width + s - p["start"] + 1, width))
+        return F.flatten(F.transform(F.array(part), lambda p: F.transform(places(width, i), lambda s: key(p, s))))
 
     def of_width(width: Column) -> Column:
         return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(max_edits)), lambda i: of_piece(width, i)))
@@ -63,6 +66,14 @@ def probe_keys(text: Column, max_edits: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(widths, of_width)))
 
 
+def of_like_length(new: DataFrame, known: DataFrame, max_edits: int) -> DataFrame:
+    """New texts for which a known one of nearly the same length exists; only lengths and ids travel."""
+    there = known.select(F.length("SurveyComment").alias("_length")).distinct()
+    size = F.length("SurveyComment")
+    wanted = new.select("CommentId", F.explode(F.sequence(size - max_edits, size + max_edits)).alias("_length"))
+    return new.join(wanted.join(there, "_length", "left_semi").select("CommentId").distinct(), "CommentId", "left_semi")
+
+
 def candidates(new: DataFrame, known: DataFrame, max_edits: int, **limits) -> DataFrame:
     """(CommentId, KnownCommentId) of all pairs that share a piece and differ in length by at most the limit; every close pair is among them.
 
@@ -73,7 +84,8 @@ def candidates(new: DataFrame, known: DataFrame, max_edits: int, **limits) -> Da
     pieces = persist_table(
         kept.select("KnownCommentId", size.alias("_known"), F.explode(piece_keys(F.col("SurveyComment"), max_edits)).alias("_piece_key")), "edit-pieces"
     )
-    probes = new.select("CommentId", size.alias("_new"), F.explode(probe_keys(F.col("SurveyComment"), max_edits)).alias("_piece_key"))
+    sized = of_like_length(new, kept, max_edits).select("CommentId", "SurveyComment", size.alias("_new"))
+    probes = sized.select("CommentId", "_new", F.explode(probe_keys(F.col("SurveyComment"), F.col("_new"), max_edits)).alias("_piece_key"))
     hot = hot_keys(pieces, ["_piece_key"], **limits)
     met = skew_join(pieces, probes, ["_piece_key"], "inner", ["KnownCommentId"], hot)
     return met.filter(F.abs(F.col("_known") - F.col("_new")) <= max_edits).select("CommentId", "KnownCommentId").distinct()

@@ -61,7 +61,7 @@ def test_rows_grow_with_texts_only(spark):
     rng = random.Random(7)
     texts = [("".join(rng.choice("abcdefgh ") for _ in range(n)),) for n in (79, 80, 200, 5000)]
     frame = spark.createDataFrame(texts, "t string")
-    row = frame.select(F.size(edit_join.piece_keys(F.col("t"), 15)).alias("p"), F.size(edit_join.probe_keys(F.col("t"), 15)).alias("q")).agg(F.max("p"), F.max("q")).head()
+    row = frame.select(F.size(edit_join.piece_keys(F.col("t"), 15)).alias("p"), F.size(edit_join.probe_keys(F.col("t"), F.length("t"), 15)).alias("q")).agg(F.max("p"), F.max("q")).head()
     assert row[0] == 16 and row[1] <= 3 * 256
 
 
