@@ -3,7 +3,7 @@
 A popular comment can make up a third of all responses, so every join from responses to
 comments spreads the rows of hot comments, and "latest per comment" is an aggregate (combined
 before the shuffle) and not a window over all responses of the comment. Rows carry the comment's
-id through all joins; its text joins them once, on the way out.
+id through all joins; a text joins the rows of a new report row once, and is kept with it from then on.
 """
 
 from __future__ import annotations
@@ -106,7 +106,7 @@ def fan_out_duplicates(
     )
     known = due.select(F.col("KnownCommentId").alias("CommentId")).distinct()
     segments = (
-        skew_join(total, known, ["CommentId"], "left_semi", ["FeedbackId"], hot)
+        lookup_join(total.select(*REPORT.names), known, ["CommentId"], "left_semi", hot=hot)
         .select(F.col("CommentId").alias("KnownCommentId"), *INHERITED)
         .distinct()
     )
@@ -142,7 +142,8 @@ def inherit_labels(
     ``feedback`` takes all segments of that response; ``single`` takes one segment row.
     """
     wanted = repeats.select("CommentId").distinct()
-    candidates = skew_join(total, wanted, ["CommentId"], "left_semi", ["FeedbackId"], hot)
+    # A day's repeats are few: their ids are broadcast if they are small, and the report stays where it is.
+    candidates = lookup_join(total.select(*REPORT.names), wanted, ["CommentId"], "left_semi", hot=hot)
     if mode == "single":
         donors = latest_per_comment(candidates)
     elif mode == "feedback":
@@ -198,10 +199,20 @@ def comment_texts(present: Sequence[DataFrame], prior: DataFrame) -> DataFrame:
 
 
 def attach_text(report: DataFrame, texts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Add the comment's text to every report row."""
-    rows = skew_join(report, texts, ["CommentId"], "left", ["FeedbackId", "SegmentNumber"], hot)
-    empty = F.when(F.col("CommentId").isNotNull() & has_empty_id(), F.lit(""))
-    return rows.withColumn("SurveyComment", F.coalesce("SurveyComment", empty))
+    """Add the comment's text to every report row; rows without a comment take no part in the join."""
+    blank = F.when(F.col("CommentId").isNotNull(), F.lit(""))
+    bare = report.filter(has_empty_id()).withColumn("SurveyComment", blank)
+    named = skew_join(report.filter(~has_empty_id()), texts, ["CommentId"], "left", ["FeedbackId", "SegmentNumber"], hot)
+    return named.unionByName(bare)
+
+
+def not_yet_in(rows: DataFrame, settled: DataFrame) -> DataFrame:
+    """Rows that ``settled`` does not hold; both are brought together by response, so settled rows in buckets stay where they are."""
+    body = F.struct(*[c for c in rows.columns if c != "SurveyComment"])
+    ids = rows.select("FeedbackId").distinct()
+    there = settled.join(ids, "FeedbackId", "left_semi").groupBy("FeedbackId").agg(F.collect_set(body).alias("_there"))
+    held = F.coalesce(F.array_contains("_there", body), F.lit(False))
+    return rows.join(there, "FeedbackId", "left").filter(~held).drop("_there")
 
 
 def assemble_report(
@@ -214,17 +225,27 @@ def assemble_report(
     texts: DataFrame,
     survey_type: str,
     hot: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """All report rows: removals honoured, context, one dedupe, text, types, product id.
 
-    Removals, context and the dedupe all work on rows partitioned by response, so the report is
-    shuffled once for them and once more for its texts.
+    ``total`` is nearly all of the report. Removals, context and the dedupe work on rows by response, so in buckets of FeedbackId
+    it is not exchanged for them, nor for its texts if it has them. The other rows are made ready by themselves, lose what
+    ``total`` holds already, get their texts, and with ``buckets`` are dealt out as that many.
     """
-    parts = [
-        typed_backfill(p, REPORT).select(*[c for c in REPORT.names if c != "UserContext"])
-        for p in (total, inherited, nonresponses, empties)
-    ]
-    rows = predicted_product_id(reduce(DataFrame.unionByName, parts))
-    rows = distinct_rows(enrich_context(drop_removed_feedback(rows, fact), context))
-    rows = attach_text(rows, texts, hot)
+    columns = [c for c in REPORT.names if c != "UserContext"]
+
+    def ready(rows: DataFrame) -> DataFrame:
+        kept = enrich_context(drop_removed_feedback(predicted_product_id(rows), fact), context)
+        # A text goes with its comment's id, so rows with texts may be compared as a whole.
+        return kept.distinct()
+
+    carried = "SurveyComment" in total.columns
+    settled = ready(typed_backfill(total, REPORT).select(*columns, *(["SurveyComment"] if carried else [])))
+    fresh = ready(reduce(DataFrame.unionByName, [typed_backfill(p, REPORT).select(*columns) for p in (inherited, nonresponses, empties)]))
+    fresh = persist_table(fresh, "report-fresh")
+    fresh = attach_text(not_yet_in(fresh, settled), texts, hot)
+    if buckets:
+        fresh = fresh.repartition(buckets, "FeedbackId")
+    rows = (settled if carried else attach_text(settled, texts, hot)).unionByName(fresh)
     return conform(rows.withColumn("SurveyType", F.lit(survey_type)), REPORT_OUT)

@@ -23,7 +23,7 @@ from earshot.schemas import (
     ANSWERS, COMMENT_DIM, COMMENT_STATE, COMMENT_TEXT, COMPLETIONS, DUPLICATE_MAP, LABEL_TYPES, LABELLED, METRICS, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
     REPORT_OUT, SEGMENTS, VALIDATED_TYPES,
 )
-from earshot.session import configure, persist_table, scratch_tables
+from earshot.session import configure, persist_bucketed, persist_table, scratch_tables
 from earshot.sources.retention import drop_expired, drop_old_days, expired_tables
 from earshot.sources.tables import TableStore
 
@@ -379,20 +379,23 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
     hot = persist_table(comments.hot_comments(state, silent), "hot-comments")
     labelled = store.read_or_empty(run.table("labelled"), RELABELLED).select(*LABELLED.names)
     processed = persist_table(report.processed_fact(rows, state, hot), "fact-processed")
-    current = persist_table(report.current_report(processed, labelled, hot), "report-current")
-    before = store.read_or_empty(run.table("report"), REPORT_OUT)
-    prior = before.select(*REPORT.names)
+    texts = store.read(run.table("comment_text")).unionByName(silent.select(*COMMENT_TEXT.names))
+    buckets = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda df: report.attach_text(df, texts, hot).repartition(buckets, "FeedbackId")
+    current = persist_table(dealt(report.current_report(processed, labelled, hot)), "report-current")
+    # The earlier report is kept in buckets of the response and with its texts: it is not exchanged below.
+    prior = store.read_bucketed(run.table("report"), REPORT_OUT).select(*REPORT.names, "SurveyComment")
     total = report.supersede_prior(
         current, report.restate_prior_report(rows, prior), dedupe=False
     )
-    total = persist_table(total, "report-total")
+    total = persist_bucketed(total, "report-total", "FeedbackId", buckets)
     if store.exists(run.table("duplicate_map")):
         pairs = store.read(run.table("duplicate_map"), DUPLICATE_MAP)
         added = persist_table(report.fan_out_duplicates(pairs, total, rows, hot), "report-fanned")
         store.overwrite(
             run.table("duplicate_map"), fuzzy.stamp_reported_pairs(pairs, added, run.run_date)
         )
-        total = total.unionByName(added)
+        total = persist_bucketed(total.unionByName(dealt(added)), "report-with-fanned", "FeedbackId", buckets) if not added.isEmpty() else total
     repeats = report.unreported_repeats(processed, total)
     finished = report.assemble_report(
         total,
@@ -401,11 +404,12 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
         shape.empty_responses(rows),
         rows,
         shape.context_normalise(context),
-        report.comment_texts([store.read(run.table("comment_text")), silent], before),
+        texts,
         run.survey_type,
         hot,
+        buckets,
     )
-    finished = store.overwrite(run.table("report"), finished)
+    finished = store.overwrite_bucketed(run.table("report"), finished, "FeedbackId", buckets)
     reported = finished.select("FeedbackId").distinct()
     # Mapped comments are reported with the one they resemble, and stamped in the map.
     mapped = store.read_or_empty(run.table("duplicate_map"), DUPLICATE_MAP).select("CommentId")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_DIRS: dict[str, str] = {}
 # Lists of scratch paths, one per open ``scratch_tables`` block.
 _KEPT: list[list[str]] = []
+# Folders with buckets that have a catalog entry in this session.
+_BUCKETED: set[str] = set()
 
 # Runtime SQL settings the jobs rely on; all are safe to set on a running session.
 RUNTIME_SETTINGS = {
@@ -66,6 +70,67 @@ def persist_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _bucket_name(path: str) -> str:
+    return f"earshot_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def write_bucketed(df: DataFrame, path: str, by: str, buckets: int) -> None:
+    """Write rows as files by bucket of a column, and note the column and the number of buckets beside them.
+
+    A task writes one file for each bucket that it has rows of, so rows that are not dealt out by the column yet should be. The
+    catalog entry that Spark needs for writing is dropped again: a table is its folder.
+    """
+    spark, name = df.sparkSession, _bucket_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df.write.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_buckets")
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray(json.dumps({"by": by, "buckets": buckets}).encode()))
+    out.close()
+
+
+def bucket_note(spark: SparkSession, path: str) -> dict | None:
+    """The column and number of buckets of a folder; none if it has no buckets."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_buckets")
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text)
+
+
+def read_bucketed(spark: SparkSession, path: str, df_schema) -> DataFrame:
+    """A folder with buckets as a frame that joins and aggregates by their column without an exchange; a plain frame without."""
+    note = bucket_note(spark, path)
+    if note is None:
+        return spark.read.schema(df_schema).parquet(path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df_schema.fields)
+    name = _bucket_name(path)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{note['by']}`) INTO {note['buckets']} BUCKETS LOCATION '{path}'"
+    )
+    _BUCKETED.add(path)
+    return spark.table(name)
+
+
+def forget_bucketed(spark: SparkSession, path: str) -> None:
+    """Drop the catalog entry of a folder that goes."""
+    if path in _BUCKETED:
+        spark.sql(f"DROP TABLE IF EXISTS {_bucket_name(path)}")
+        _BUCKETED.discard(path)
+
+
+def persist_bucketed(df: DataFrame, label: str, by: str, buckets: int) -> DataFrame:
+    """As ``persist_table``, by bucket."""
+    path = scratch_path(df.sparkSession, label)
+    note_scratch(path)
+    write_bucketed(df, path, by, buckets)
+    return read_bucketed(df.sparkSession, path, df.schema)
+
+
 def note_scratch(path: str) -> None:
     """Have the open ``scratch_tables`` blocks delete a path."""
     for kept in _KEPT:
@@ -82,5 +147,6 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _KEPT.remove(paths)
         for path in paths:
+            forget_bucketed(spark, path)
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

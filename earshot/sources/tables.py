@@ -2,18 +2,22 @@
 
 A whole table is a series of version folders; the newest one that Spark finished (it has a
 ``_SUCCESS`` file) is the table. A run that dies half-way therefore leaves the old version in
-place, and a job may read a table and replace it in the same plan. Tables split by run date or
+place, and a job may read a table and replace it in the same plan. A table may be kept in buckets of one
+column; joins and aggregates by it then need no exchange of the table. Tables split by run date or
 label type keep one folder per partition value and replace exactly those folders.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from earshot.session import forget_bucketed, read_bucketed, write_bucketed
+
 _VERSION = re.compile(r"^version=(\d+)$")
 
 
@@ -69,15 +73,35 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, keep: int = 2) -> DataFrame:
         """Replace a whole table; readers see the old version until the new one is finished."""
+        self._replace(name, df.write.parquet, keep)
+        return self.read(name, df.schema)
+
+    def overwrite_bucketed(self, name: str, df: DataFrame, by: str, buckets: int | None = None, keep: int = 2) -> DataFrame:
+        """Replace a whole table by one with buckets, as many as shuffles have partitions unless told otherwise.
+
+        Rows should be dealt out by the column already (see ``write_bucketed``).
+        """
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self._replace(name, lambda path: write_bucketed(df, path, by, buckets), keep)
+        return self.read_bucketed(name, df.schema)
+
+    def read_bucketed(self, name: str, schema: T.StructType) -> DataFrame:
+        """Newest version, joined by its buckets' column without an exchange; empty if there is no table yet."""
+        versions = self._finished(name)
+        if not versions:
+            return self.read_or_empty(name, schema)
+        return read_bucketed(self.spark, self._version(name, versions[-1]), schema)
+
+    def _replace(self, name: str, write: Callable[[str], None], keep: int) -> None:
         present = [_VERSION.match(c) for c in self._children(self.path(name))]
         number = max([int(m.group(1)) for m in present if m], default=0) + 1
-        df.write.parquet(self._version(name, number))
+        write(self._version(name, number))
         finished = self._finished(name)
         # A run writes one version at a time, so what is not finished by now was left by a dead run.
         dead = [int(m.group(1)) for m in present if m and int(m.group(1)) not in finished]
         for old in [*finished[:-keep], *dead]:
+            forget_bucketed(self.spark, self._version(name, old))
             self._remove(self._version(name, old))
-        return self.read(name, df.schema)
 
     # -- tables that only grow
 
