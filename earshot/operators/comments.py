@@ -6,15 +6,18 @@ shuffle, so a comment that makes up most of the fact costs one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.text import lower_tokens
 from earshot.operators.shape import conform
 from earshot.operators.skew import hot_keys, lookup_join, skew_join
 from earshot.schemas import COMMENT_DIM
+from earshot.session import persist_table
 
 COMMENT_KEY = ["SurveyType", "CommentId"]
+# Bytes of the dictionary's filter: about ten for each word, within these bounds.
+LEAST_SLOTS, MOST_SLOTS = 1 << 12, 1 << 23
 
 
 def comment_stats(responses: DataFrame) -> DataFrame:
@@ -43,21 +46,48 @@ def with_character_count(df: DataFrame) -> DataFrame:
     return df.withColumn("CharacterCount", F.length("SurveyComment").cast("long"))
 
 
+def word_slots(words: DataFrame, least: int = LEAST_SLOTS, most: int = MOST_SLOTS) -> bytes:
+    """A bloom filter of the words of a one-column frame: one byte per slot, at most ``most`` bytes whatever the number of words."""
+    column = F.col(words.columns[0])
+    size = least
+    while size < min(most, 10 * words.count()):
+        size *= 2
+    found = words.select(F.explode(_slots(column, size)).alias("slot")).distinct().toPandas()["slot"]
+    out = bytearray(size)
+    for slot in found:
+        out[slot] = 1
+    return bytes(out)
+
+
+def _slots(word: Column, size: int) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(word, F.lit(k)), F.lit(size)).cast("int") for k in range(3)])
+
+
+def likely_words(text: Column, slots: bytes) -> Column:
+    """The text's tokens that the filter holds: all dictionary words, and a few others."""
+    held = F.lit(slots)
+    inside = lambda slot: F.substring(held, slot + 1, 1) == F.lit(b"\x01")
+    return F.filter(lower_tokens(text), lambda w: F.forall(_slots(w, len(slots)), inside))
+
+
 def nonresponse_split(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Flag comments that are shorter than two characters or hold no dictionary word.
 
-    ``comments`` is one row per comment; ``dictionary`` has the words in its first column.
+    ``comments`` is one row per comment; ``dictionary`` has the words in its first column. A filter of the dictionary is applied
+    inside the row. A comment without a likely word has none; of the others one likely word each is looked up, which settles
+    nearly all, and only comments whose first likely word was none have the rest looked up.
     """
-    words = dictionary.select(F.col(dictionary.columns[0]).alias("word")).distinct()
-    tokens = comments.select(
-        "CommentId", F.explode(lower_tokens(F.col("SurveyComment"))).alias("word")
-    )
-    worded = (
-        lookup_join(tokens, words, ["word"], "left_semi")
-        .select("CommentId")
-        .distinct()
-        .withColumn("_worded", F.lit(True))
-    )
+    words = persist_table(dictionary.select(F.col(dictionary.columns[0]).alias("word")).distinct(), "words")
+    slots = word_slots(words)
+    texts = comments.select("CommentId", likely_words(F.col("SurveyComment"), slots).alias("likely"))
+    first = texts.select("CommentId", F.get("likely", F.lit(0)).alias("word"), F.size("likely").alias("n")).filter("n > 0")
+    first = persist_table(first, "first-words")
+    sure = lookup_join(first, words, ["word"], "left_semi").select("CommentId")
+    unsure = first.filter("n > 1").join(sure, "CommentId", "left_anti").select("CommentId")
+    rest = lookup_join(comments.select("CommentId", "SurveyComment"), unsure, ["CommentId"], "left_semi")
+    rest = rest.select("CommentId", F.explode(likely_words(F.col("SurveyComment"), slots)).alias("word"))
+    found = lookup_join(rest, words, ["word"], "left_semi").select("CommentId").distinct()
+    worded = persist_table(sure.unionByName(found).distinct(), "comments-worded").withColumn("_worded", F.lit(True))
     return (
         comments.join(worded, "CommentId", "left")
         .withColumn(

@@ -2,7 +2,7 @@
 
 Each stage reads tables and writes tables, so lineage ends at every stage, a lost executor
 costs a stage's tasks and not the run, and a stage can be repeated for its day. The comment
-dimension is kept as two tables: texts, written once a day, and the narrow work state, which is
+dimension is kept as two tables: texts, which are added once and stay, and the narrow work state, which is
 what later stages rewrite.
 """
 
@@ -13,17 +13,19 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot import config
+from earshot.operators import intake as arrivals
 from earshot.operators import comments, completions, fuzzy, labels, quality, report, segments, shape
 from earshot.operators.skew import hot_keys
 from earshot.schemas import (
-    ANSWERS, COMMENT_DIM, COMMENT_STATE, COMMENT_TEXT, COMPLETIONS, DUPLICATE_MAP, LABEL_TYPES, LABELLED, METRICS, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
-    REPORT_OUT, SEGMENTS, VALIDATED_TYPES,
+    ANSWERS, COMMENT_COUNTS, COMMENT_DIM, COMMENT_STATE, COMMENT_TEXT, COMPLETIONS, DUPLICATE_MAP, FACT_MARKS, LABEL_TYPES, LABELLED, METRICS, NONRESPONSE_DIM, QC, RELABELLED, REPORT,
+    REPORT_OUT, SEGMENTS, SLICED_TEXT, VALIDATED_TYPES,
 )
 from earshot.session import configure, persist_bucketed, persist_table, scratch_tables
+from earshot.sources.fact_files import FactFiles
 from earshot.sources.retention import drop_expired, drop_old_days, expired_tables
 from earshot.sources.tables import TableStore
 
@@ -102,51 +104,80 @@ def reportable(fact: DataFrame, run: Run) -> DataFrame:
 
 def intake(
     store: TableStore,
-    fact: DataFrame,
+    fact: DataFrame | FactFiles,
     dictionary: DataFrame,
     run: Run,
     vectors: DataFrame | None = None,
 ) -> None:
-    """Bring the comment dimension and the nonresponses up to the fact.
+    """Bring the comment dimension and the nonresponses up to the fact, looking only at partitions of it that changed.
 
     With ``vectors`` (CommentId, Vector) new comments that closely match a reported one are
-    mapped to it and need no processing of their own.
+    mapped to it and need no processing of their own. Marks are stored last, so a run that died is repeated as a whole; every
+    step gives the same result again. What makes a comment a nonresponse is settled when it first appears.
     """
     started = time.time()
-    rows = shape.eligible_responses(fact, run.survey_type, run.cutoff)
-    rows = shape.with_comment_id(shape.product_allowlist(rows, run.products))
-    stats = persist_table(comments.comment_stats(rows), "comment-stats")
-    flagged = persist_table(comments.nonresponse_split(stats, dictionary), "comments-flagged")
+    frame = fact.frame() if isinstance(fact, FactFiles) else fact
+    rows = shape.eligible_responses(frame, run.survey_type, run.cutoff)
+    rows = shape.product_allowlist(rows, run.products)
+    settings = f"{run.survey_type},{run.cutoff},{sorted(run.products)}"
+    marks = fact.marks(settings) if isinstance(fact, FactFiles) else arrivals.partition_marks(rows, settings)
+    marks = persist_table(marks, "fact-marks")
+    before = store.read_or_empty(run.table("fact_marks"), FACT_MARKS)
+    # One number per changed day comes back.
+    days = sorted(r["Partition"] for r in arrivals.changed_partitions(marks, before).collect() if r["Partition"] is not None)
+    inside = F.col(arrivals.PARTITION).isin(days)
+    fresh = persist_table(arrivals.counts_by_partition(shape.with_comment_id(rows.filter(inside))), "fresh-counts")
+    counts = store.read_or_empty(run.table("comment_counts"), COMMENT_COUNTS)
+    touched = persist_table(arrivals.touched_comments(counts.filter(inside), fresh), "comments-touched")
+    stats = persist_table(arrivals.touched_stats(counts.filter(~inside), fresh, touched), "comment-stats")
+
     known = store.read_or_empty(run.table("comment_state"), COMMENT_STATE)
-    responses = flagged.filter(~F.col("IsNonresponse"))
-    state = comments.upsert_comment_dim(responses, known).select(*COMMENT_STATE.names)
+    texts = store.read_or_empty(run.table("comment_text"), SLICED_TEXT).select(*COMMENT_TEXT.names)
+    silent = store.read_or_empty(run.table("nonresponse_dim"), NONRESPONSE_DIM)
+    seen = known.select("CommentId").unionByName(silent.select("CommentId"))
+    arrived = fresh.dropDuplicates(["CommentId"]).join(seen, "CommentId", "left_anti").select(*COMMENT_TEXT.names)
+    flagged = persist_table(comments.nonresponse_split(arrived, dictionary), "comments-flagged")
+
+    new_silent = flagged.filter("IsNonresponse").select(*COMMENT_TEXT.names)
+    quiet = silent.select(*COMMENT_TEXT.names).unionByName(new_silent)
+    quiet_stats = stats.join(quiet, "CommentId")
+    kept_silent = silent.join(touched, "CommentId", "left_anti")
+    responses = stats.join(quiet.select("CommentId"), "CommentId", "left_anti")
+    sizes = comments.with_character_count(flagged)
+    state = arrivals.refreshed_state(known, responses, touched, sizes)
+
+    told = flagged.filter(~F.col("IsNonresponse")).select(*COMMENT_TEXT.names)
+    _add_texts(store, run, told)
     if vectors is not None:
         old = store.read_or_empty(run.table("duplicate_map"), DUPLICATE_MAP)
-        seen = known.select("CommentId").unionByName(old.select("CommentId"))
-        new = responses.join(seen, "CommentId", "left_anti")
-        done = known.filter(F.col("ReportingDate").isNotNull())
-        reported = responses.join(done.select("CommentId"), "CommentId", "left_semi")
-        with_vector = lambda df: df.select("CommentId", "SurveyComment").join(vectors, "CommentId")
+        new = told.join(old.select("CommentId"), "CommentId", "left_anti")
+        done = known.filter(F.col("ReportingDate").isNotNull()).join(state.select("CommentId"), "CommentId", "left_semi")
+        reported = texts.join(done.select("CommentId"), "CommentId", "left_semi")
+        with_vector = lambda df: df.join(vectors, "CommentId")
         candidates = persist_table(with_vector(new), "fuzzy-candidates")
         known_texts = persist_table(with_vector(reported), "fuzzy-reported")
-        fresh = persist_table(fuzzy.fuzzy_duplicate_map(candidates, known_texts), "fuzzy-pairs")
+        found = persist_table(fuzzy.fuzzy_duplicate_map(candidates, known_texts), "fuzzy-pairs")
         # All mapped comments, so that a run that died after writing the map is made good.
-        grown = store.overwrite(run.table("duplicate_map"), fuzzy.maintain_duplicate_map(old, fresh))
+        grown = store.overwrite(run.table("duplicate_map"), fuzzy.maintain_duplicate_map(old, found))
         state = comments.mark_processed(state, grown, run.run_date)
+    gone = persist_table(touched.join(stats.select("CommentId"), "CommentId", "left_anti"), "comments-gone")
     state = store.overwrite(run.table("comment_state"), state)
-    store.overwrite(run.table("comment_text"), responses.select(*COMMENT_TEXT.names))
-    silent = shape.conform(flagged.filter("IsNonresponse"), NONRESPONSE_DIM)
-    silent = store.overwrite(run.table("nonresponse_dim"), silent)
+    silent = store.overwrite(run.table("nonresponse_dim"), shape.conform(kept_silent.unionByName(shape.conform(quiet_stats, NONRESPONSE_DIM)), NONRESPONSE_DIM))
+    _remove_texts(store, run, gone)
+    _replace_counts(store, run, fresh, days)
+    store.overwrite(run.table("fact_marks"), marks)
+    whole = store.read_or_empty(run.table("comment_counts"), COMMENT_COUNTS).groupBy("CommentId").agg(F.sum("ResponseCount").alias("ResponseCount"))
     _keep(
         store, run, "intake", started,
-        [quality.conservation_check("intake", "comments = responses + nonresponses", [flagged], [state, silent])],
+        [quality.conservation_check("intake", "comments = responses + nonresponses", [whole], [state, silent])],
         [
             quality.run_metrics(
-                flagged, "intake",
+                whole.join(silent.select("CommentId", F.lit(True).alias("IsNonresponse")), "CommentId", "left"), "intake",
                 {
                     "responses": F.sum("ResponseCount"),
                     "distinct comments": F.count(F.lit(1)),
                     "distinct nonresponses": F.count_if("IsNonresponse"),
+                    "changed partitions": F.lit(len(days)),
                 },
                 run.run_date,
             )
@@ -154,6 +185,45 @@ def intake(
     )
 
 
+def _add_texts(store: TableStore, run: Run, texts: DataFrame) -> None:
+    """Add texts that are not there yet; no file that is there is touched."""
+    there = store.read_or_empty(run.table("comment_text"), SLICED_TEXT).select("CommentId")
+    new = texts.join(there, "CommentId", "left_anti").withColumn("Slice", _slice())
+    new = persist_table(new, "texts-new")
+    if not new.isEmpty():
+        # Rows of a slice come together, in as many tasks as they need.
+        store.append_partitions(run.table("comment_text"), new.hint("rebalance", F.col("Slice")), ["Slice"])
+
+
+def _remove_texts(store: TableStore, run: Run, gone: DataFrame) -> None:
+    """Delete the texts of comments that left the fact, by rewriting the slices they are in."""
+    texts = store.read_or_empty(run.table("comment_text"), SLICED_TEXT)
+    held = texts.select("CommentId", "Slice").join(gone, "CommentId", "left_semi")
+    slices = [r["Slice"] for r in held.select("Slice").distinct().collect()]
+    if not slices:
+        return
+    left = persist_table(texts.filter(F.col("Slice").isin(slices)).join(gone, "CommentId", "left_anti"), "texts-left")
+    store.overwrite_partitions(run.table("comment_text"), left.hint("rebalance", F.col("Slice")), ["Slice"])
+    present = {r["Slice"] for r in left.select("Slice").distinct().collect()}
+    for name in set(slices) - present:
+        store.drop_partition(run.table("comment_text"), {"Slice": name})
+
+
+def _slice() -> Column:
+    return F.concat(F.lit("s"), F.substring("CommentId", 1, 1))
+
+
+def _replace_counts(store: TableStore, run: Run, fresh: DataFrame, days: list[int]) -> None:
+    """Put the changed partitions' new counts in the place of their old ones."""
+    name = run.table("comment_counts")
+    rows = fresh.select(*COMMENT_COUNTS.names)
+    present = {r[0] for r in rows.select(arrivals.PARTITION).distinct().collect()}
+    if present:
+        store.overwrite_partitions(name, rows.hint("rebalance", F.col(arrivals.PARTITION)), [arrivals.PARTITION])
+    for day in set(days) - present:
+        store.drop_partition(name, {arrivals.PARTITION: day})
+
+
 def comment_dim(store: TableStore, run: Run) -> DataFrame:
     """The dimension of distinct comments with texts and work state."""
     return shape.conform(_with_text(store, run)(_state(store, run)), COMMENT_DIM)
@@ -164,10 +234,14 @@ def _state(store: TableStore, run: Run) -> DataFrame:
 
 
 def _with_text(store: TableStore, run: Run) -> Callable[[DataFrame], DataFrame]:
-    texts = store.read(run.table("comment_text"), COMMENT_TEXT)
+    texts = _texts(store, run)
     return lambda rows: rows.join(texts, "CommentId")
 
 
+def _texts(store: TableStore, run: Run) -> DataFrame:
+    return store.read_or_empty(run.table("comment_text"), SLICED_TEXT).select(*COMMENT_TEXT.names)
+
+
 # -- completions
 
 
@@ -379,7 +453,7 @@ def rebuild_report(store: TableStore, fact: DataFrame, context: DataFrame, run:
     hot = persist_table(comments.hot_comments(state, silent), "hot-comments")
     labelled = store.read_or_empty(run.table("labelled"), RELABELLED).select(*LABELLED.names)
     processed = persist_table(report.processed_fact(rows, state, hot), "fact-processed")
-    texts = store.read(run.table("comment_text")).unionByName(silent.select(*COMMENT_TEXT.names))
+    texts = _texts(store, run).unionByName(silent.select(*COMMENT_TEXT.names))
     buckets = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = lambda df: report.attach_text(df, texts, hot).repartition(buckets, "FeedbackId")
     current = persist_table(dealt(report.current_report(processed, labelled, hot)), "report-current")
@@ -466,7 +540,7 @@ def cleanup(store: TableStore, run: Run) -> list[str]:
 
 def run_day(
     store: TableStore,
-    fact: DataFrame,
+    fact: DataFrame | FactFiles,
     dictionary: DataFrame,
     context: DataFrame,
     run: Run,
@@ -482,7 +556,7 @@ def run_day(
             validation(store, run)
             relabelling(store, run)
     with scratch_tables(store.spark):
-        rebuild_report(store, fact, context, run)
+        rebuild_report(store, fact.frame() if isinstance(fact, FactFiles) else fact, context, run)
     alerts = quality_control(store, run)
     cleanup(store, run)
     return alerts

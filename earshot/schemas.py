@@ -35,6 +35,12 @@ COMMENT_DIM = _struct(
 # The same without the texts: what the daily job rewrites when work states change.
 COMMENT_STATE = T.StructType([f for f in COMMENT_DIM.fields if f.name != "SurveyComment"])
 COMMENT_TEXT = _struct("CommentId string, SurveyComment string")
+# Texts are kept in slices by the first character of the id, so that removing some rewrites their slices only.
+SLICED_TEXT = _struct("CommentId string, SurveyComment string, Slice string")
+
+# Responses per comment of each partition of the fact, and the partitions' marks.
+COMMENT_COUNTS = _struct("SurveyType string, CommentId string, ResponseCount long, DIM_DateId int")
+FACT_MARKS = _struct("Partition int, Mark string")
 
 NONRESPONSE_DIM = _struct(
     "SurveyType string, CommentId string, SurveyComment string, ResponseCount long"

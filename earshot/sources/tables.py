@@ -149,6 +149,13 @@ class TableStore:
         )
         return self.read(name, df.schema)
 
+    def append_partitions(self, name: str, df: DataFrame, by: list[str]) -> None:
+        """Add rows to the partitions that they are in; files that are there stay as they are."""
+        df.write.mode("append").partitionBy(*by).parquet(self.path(name))
+
+    def drop_partition(self, name: str, values: dict[str, object]) -> None:
+        self._remove("/".join([self.path(name), *(f"{k}={v}" for k, v in values.items())]))
+
     def read_partition(
         self, name: str, schema: T.StructType, values: dict[str, object]
     ) -> DataFrame:
