@@ -6,21 +6,22 @@ import re
 from functools import reduce
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks import rules
 from checks.frames import Frames
 from checks.stages_sql import (
-    BLANKS, LINE_BREAKS, NULL_FIELDS, ROW, WORKLOAD_NAMES, case_map, complete, counts, quoted, row_of, snap_table, words,
+    BLANKS, LINE_BREAKS, NULL_FIELDS, ROW, WORKLOAD_NAMES, case_map, complete, counts, norm, quoted, row_of, score, snap_table, sql_list, words,
 )
 from checks.views import CUTOFF, DAY1, DAY2, SURVEY
 from earshot import config
 from earshot.functions import prompts
 from earshot.functions.text import clean_segments, word_set
-from earshot.operators import comments, completions, fuzzy, labels, quality, report, segments, shape
+from earshot.operators import comments, completions, fuzzy, labels, quality, report, segments, shape, transformer
 from earshot.schemas import (
-    COMMENT_DIM, LABEL_COLUMNS, LABEL_TYPES, VALIDATED_TYPES,
+    COMMENT_DIM, COMPLETIONS, LABEL_COLUMNS, LABEL_TYPES, VALIDATED_TYPES,
 )
 from earshot.session import scratch_path
 from earshot.sources import paging, retention, tables
@@ -557,6 +558,13 @@ def _(f):
     return show(report.current_report(f.processed, f.today, f.hot("day2")), SHOWN)
 
 
+@query("restate_bucketed_report", f"SELECT {shown(SHOWN)} FROM restated")
+def _(f):
+    prior = f.prior_report.repartition(8, "FeedbackId")
+    kept = store(f, "bucketed").overwrite_bucketed("report", prior, "FeedbackId", 8)
+    return show(report.restate_prior_report(f.reportable("day2"), kept), SHOWN)
+
+
 @query("restate_prior_report", f"SELECT {shown(SHOWN)} FROM restated")
 def _(f):
     return show(f.restated, SHOWN)
@@ -836,6 +844,27 @@ def _(f):
     return quality.label_counts(f.final_report, DAY2)
 
 
+@query(
+    "label_counts_merged",
+    " UNION ALL ".join(
+        f"SELECT {DAY2} AS DIM_DateId, '{c}' AS LabelType, coalesce({c}, 'Not Labeled') AS LabelValue,"
+        f" count(DISTINCT FeedbackId) AS DistinctResponseCount FROM final_report GROUP BY 3"
+        for c in LABEL_COLUMNS
+    ),
+)
+def _(f):
+    """Days of the report one after the other, each numbered and added to what is stored."""
+    rows = f.final_report.select("FeedbackId", "DIM_DateId", *LABEL_COLUMNS)
+    kept = store(f, "bitmaps")
+    numbers = f.spark.createDataFrame([], "FeedbackId string, Number long")
+    for early in (True, False):
+        part = rows.filter(F.coalesce(F.col("DIM_DateId") <= DAY1, F.lit(True)) == F.lit(early))
+        numbers = kept.overwrite("numbers", quality.number_responses(part, numbers))
+        kept.add("labels", quality.label_bitmaps(part, numbers))
+    schema = quality.label_bitmaps(rows, numbers).schema
+    return quality.merged_label_counts(kept.parts("labels", schema), DAY2)
+
+
 # The run's own rows as a snapshot: smaller than the day before, so many labels are flagged.
 DRIFT = {
     "qc_run": counts("current", DAY2),
@@ -1202,6 +1231,31 @@ def _(f):
     )
 
 
+@query(
+    "complete_messages_pipeline",
+    f"""SELECT CommentId, md5(answer) AS Digest,
+               CASE Status WHEN 'ok' THEN 'stop' WHEN 'unfinished' THEN 'content_filter' END AS Reason,
+               CASE WHEN Status = 'error' THEN '429' END AS Code
+        FROM completed""",
+)
+def _(f):
+    """The same answers through a saved and loaded pipeline, by the messages themselves."""
+    asked = completions.segment_messages(completions.segment_keys(f.comment_texts))
+    answers = rules.rule_segments(asked).join(
+        asked.select("PromptId", transformer.message_key(F.col("Message")).alias("_key")).dropDuplicates(["PromptId"]), "PromptId"
+    )
+    folder = scratch_path(f.spark, "answers")
+    shape.conform(answers.withColumn("PromptId", F.col("_key")), COMPLETIONS).write.parquet(folder)
+    stage = transformer.CompletionTransformer(messagesCol="Message", outputCol="Answer", errorCol="Failure", completionsPath=folder)
+    place = scratch_path(f.spark, "pipeline")
+    Pipeline(stages=[stage]).fit(asked).save(place)
+    done = PipelineModel.load(place).transform(asked.select("CommentId", "Message"))
+    return done.select(
+        "CommentId", F.md5(F.get(F.col("Answer")["content"], F.lit(0))).alias("Digest"),
+        F.get(F.col("Answer")["finish_reason"], F.lit(0)).alias("Reason"), F.col("Failure")["code"].alias("Code"),
+    )
+
+
 @query(
     "pending_prompts",
     f"""SELECT {_PROMPT_ID} AS PromptId, md5(SurveyComment) AS Digest FROM answers_day2
@@ -1232,6 +1286,32 @@ def _(f):
     return labels.snap_to_vocabulary(f.labelled_raw).select("CommentId", "SegmentNumber", *LABEL_COLUMNS)
 
 
+FLOOR = 0.9
+REJECTED = {
+    f"best_{t}": f"""
+        SELECT raw, label, s FROM (
+            SELECT raw, label, s, row_number() OVER (PARTITION BY raw ORDER BY s DESC, rank) AS place FROM (
+                SELECT raw, label, rank, {score(norm('raw'), norm('label'))} AS s
+                FROM (SELECT DISTINCT {t}Label AS raw FROM labelled_raw WHERE {t}Label IS NOT NULL),
+                     (SELECT unnest({sql_list(config.vocabulary(t))}) AS label, generate_subscripts({sql_list(config.vocabulary(t))}, 1) AS rank)))
+        WHERE place = 1 AND s < {FLOOR} AND raw NOT IN ({", ".join(quoted(e) for e in config.vocabulary(t))})"""
+    for t in LABEL_TYPES
+}
+
+
+@query(
+    "rejected_labels",
+    " UNION ALL ".join(
+        f"SELECT CommentId, SegmentNumber, '{t}' AS LabelType, raw AS RawLabel, label AS Closest, round(s, 6) AS Score"
+        f" FROM labelled_raw JOIN best_{t} ON {t}Label = raw"
+        for t in LABEL_TYPES
+    ),
+    REJECTED,
+)
+def _(f):
+    return labels.rejected_labels(f.labelled_raw, FLOOR).withColumn("Score", F.round("Score", 6))
+
+
 VALIDATION = {
     "said": """
         SELECT CommentId, SegmentNumber, Segment, SentimentLabel,

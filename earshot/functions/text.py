@@ -123,12 +123,8 @@ def label_score(raw: Column, entry: Column) -> Column:
     )
 
 
-def closest_label(raw: Column, entries: list[str], floor: float = 0.0) -> Column:
-    """Best entry of a closed list; ties go to the earlier entry, below ``floor`` null.
-
-    The list is a literal of the plan, so no join is needed; an exact entry (the usual case)
-    is answered without scoring.
-    """
+def closest_match(raw: Column, entries: list[str]) -> Column:
+    """struct(score, label) of the best entry of a closed list; ties go to the earlier entry, and null has none."""
     listed = F.array(*[F.lit(e) for e in entries])
     best = bind(
         normalised(raw),
@@ -143,7 +139,16 @@ def closest_label(raw: Column, entries: list[str], floor: float = 0.0) -> Column
             )
         ),
     )
-    scored = bind(best, lambda b: F.when(b["score"] >= F.lit(floor), b["label"]))
+    return F.when(raw.isNotNull(), bind(best, lambda b: F.struct(b["score"].alias("score"), b["label"].alias("label"))))
+
+
+def closest_label(raw: Column, entries: list[str], floor: float = 0.0) -> Column:
+    """Best entry of a closed list; ties go to the earlier entry, below ``floor`` null.
+
+    The list is a literal of the plan, so no join is needed; an exact entry (the usual case)
+    is answered without scoring.
+    """
+    scored = bind(closest_match(raw, entries), lambda b: F.when(b["score"] >= F.lit(floor), b["label"]))
     return F.when(raw.isNull(), F.lit(None).cast("string")).when(
         raw.isin(entries), raw
     ).otherwise(scored)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot import config
-from earshot.functions.text import bind, closest_label
+from earshot.functions.text import bind, closest_label, closest_match
 from earshot.operators.completions import ANSWER_COLUMNS
 from earshot.operators.shape import rename_labels
 from earshot.operators.skew import lookup_join
@@ -38,6 +38,30 @@ def snap_to_vocabulary(
     )
 
 
+def rejected_labels(
+    df: DataFrame,
+    floor: float,
+    label_types: Sequence[str] = tuple(LABEL_TYPES),
+    extra_workloads: Sequence[str] = (),
+) -> DataFrame:
+    """Labels that ``snap_to_vocabulary`` turns to null: the raw text, the closest entry and its score, one row each.
+
+    Raw labels repeat, so each distinct one is scored once.
+    """
+    long = df.unpivot(SEGMENT_KEY, [f"{t}Label" for t in label_types], "LabelType", "RawLabel").withColumn(
+        "LabelType", F.regexp_replace("LabelType", "Label$", "")
+    )
+    best = None
+    for t in label_types:
+        entries = config.vocabulary(t, tuple(extra_workloads) if t == "Workload" else ())
+        match = F.when(~F.col("RawLabel").isin(entries), closest_match(F.col("RawLabel"), entries))
+        best = F.when(F.col("LabelType") == t, match) if best is None else best.when(F.col("LabelType") == t, match)
+    raws = long.filter(F.col("RawLabel").isNotNull()).select("LabelType", "RawLabel").distinct()
+    low = raws.withColumn("_best", best).filter(F.col("_best")["score"] < floor)
+    low = low.select("LabelType", "RawLabel", F.col("_best")["label"].alias("Closest"), F.col("_best")["score"].alias("Score"))
+    return lookup_join(long, low, ["LabelType", "RawLabel"], "inner").select(*SEGMENT_KEY, "LabelType", "RawLabel", "Closest", "Score")
+
+
 def join_on(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner"
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from earshot.operators.skew import repeat_rows
+from earshot.operators.skew import numbered, repeat_rows
 from earshot.schemas import LABEL_COLUMNS
 
 NOT_LABELED = "Not Labeled"
@@ -32,6 +32,33 @@ def label_counts(report: DataFrame, run_date: int) -> DataFrame:
     )
 
 
+def number_responses(ids: DataFrame, known: DataFrame) -> DataFrame:
+    """(FeedbackId, Number) of all responses: known ones keep their number, new ones follow in an order of their own."""
+    new = ids.select("FeedbackId").distinct().join(known.select("FeedbackId"), "FeedbackId", "left_anti")
+    last = F.coalesce(known.agg(F.max("Number")).scalar(), F.lit(0))
+    return known.unionByName(numbered(new).select("FeedbackId", (F.col("RowNumber") + last).alias("Number")))
+
+
+def label_bitmaps(report: DataFrame, numbers: DataFrame, by: Sequence[str] = ("DIM_DateId",)) -> DataFrame:
+    """The responses of each label value as bitmaps over their numbers, for each value of ``by``.
+
+    Bitmaps of 32,768 numbers are a row each, so a value that covers most rows is spread over many rows. They can be stored
+    and merged: a day is added without reading the rows of others.
+    """
+    rows = report.select("FeedbackId", *by, *[F.coalesce(c, F.lit(NOT_LABELED)).alias(c) for c in LABEL_COLUMNS])
+    long = rows.join(numbers, "FeedbackId").unpivot(["Number", *by], LABEL_COLUMNS, *LABEL_PAIR)
+    return long.groupBy(*by, *LABEL_PAIR, F.bitmap_bucket_number("Number").alias("Bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("Number")).alias("Bitmap")
+    )
+
+
+def merged_label_counts(bitmaps: DataFrame, run_date: int) -> DataFrame:
+    """Distinct responses per label value over all bitmaps given; what ``label_counts`` gives for all their rows."""
+    merged = bitmaps.groupBy(*LABEL_PAIR, "Bucket").agg(F.bitmap_or_agg("Bitmap").alias("Bitmap"))
+    counts = merged.groupBy(*LABEL_PAIR).agg(F.sum(F.bitmap_count("Bitmap")).alias("DistinctResponseCount"))
+    return counts.select(F.lit(run_date).alias("DIM_DateId"), *LABEL_PAIR, "DistinctResponseCount")
+
+
 def label_drift(prior: DataFrame, current: DataFrame, run_date: int) -> DataFrame:
     """Current counts with an issue flag against the previous snapshot.
 

@@ -49,6 +49,8 @@ class Run:
     batch_size: int | None = None
     retention_days: int = 3
     log_days: int = 90
+    # Raw labels less like any entry of their list than this go to a table of rejects and become null.
+    label_floor: float = 0.0
     use_cache: bool = True
 
     def buffer(self, stage: str) -> str:
@@ -359,7 +361,11 @@ def labelling(store: TableStore, run: Run) -> None:
             )
         )
     long = store.overwrite(run.buffer("labels"), reduce(DataFrame.unionByName, parts))
-    wide = labels.snap_to_vocabulary(labels.labels_wide(long, LABEL_TYPES))
+    wide = labels.labels_wide(long, LABEL_TYPES)
+    if run.label_floor > 0:
+        wide = persist_table(wide, "labels-wide")
+        store.overwrite(f"rejects/{run.run_date}/{run.table('labels')}", labels.rejected_labels(wide, run.label_floor))
+    wide = labels.snap_to_vocabulary(wide, floor=run.label_floor)
     first = shape.conform(labels.rename_workloads(wide), LABELLED)
     first = store.overwrite(run.buffer("labelled_first"), first.sortWithinPartitions(*labels.SEGMENT_KEY))
     checks.append(_one_per_segment("labelling", first))
@@ -422,7 +428,11 @@ def relabelling(store: TableStore, run: Run) -> None:
         metrics.append(_answer_metrics(triaged, f"relabelling {kind}", run))
         second = completions.single_label(completions.good_rows(triaged), kind)
         rows = labels.relabel_round(rows, second, kind)
-    snapped = labels.snap_to_vocabulary(rows, extra_workloads=(config.GENERIC_WORKLOAD,))
+    if run.label_floor > 0:
+        rows = persist_table(rows, "labels-second")
+        rejected = labels.rejected_labels(rows, run.label_floor, extra_workloads=(config.GENERIC_WORKLOAD,))
+        store.overwrite(f"rejects/{run.run_date}/{run.table('relabels')}", rejected)
+    snapped = labels.snap_to_vocabulary(rows, floor=run.label_floor, extra_workloads=(config.GENERIC_WORKLOAD,))
     final = labels.rename_workloads(snapped, second_round=True)
     final = shape.conform(final, RELABELLED).sortWithinPartitions(*labels.SEGMENT_KEY)
     done = store.overwrite(run.buffer("labelled"), final)
@@ -533,7 +543,7 @@ def quality_control(store: TableStore, run: Run) -> DataFrame:
 
 def cleanup(store: TableStore, run: Run) -> list[str]:
     """Delete buffer tables past their retention, and old days of balances, metrics, alerts and quarantine."""
-    for log in ("checks", "metrics", "alerts", "quarantine"):
+    for log in ("checks", "metrics", "alerts", "quarantine", "rejects"):
         drop_old_days(store, log, run.run_date, run.log_days)
     return drop_expired(store, expired_tables(store.listing(), run.run_date, run.retention_days))
 
