@@ -92,6 +92,30 @@ def distilled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -
     return spark.read.schema(schema).parquet(path)
 
 
+def free_workers(spark: SparkSession) -> None:
+    """Have the executors' Python workers, which Spark uses again and again, give back what earlier stages left in them.
+
+    Tables of the encoder and of powers go (they are made anew where needed), and freed memory returns to the system.
+    """
+    ship(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+
+        from earshot.llm import common, encoding
+
+        encoding._ENCODERS.clear()
+        common._POWERS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+        yield from batches
+
+    tasks = 8 * spark.sparkContext.defaultParallelism  # so many that every worker gets one
+    spark.range(0, tasks, 1, tasks).mapInArrow(run, "id long").write.format("noop").mode("overwrite").save()
+
+
 def empty_as(schema: str, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema)
 
