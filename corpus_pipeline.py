@@ -6,10 +6,13 @@ the columns of the ``documents`` table; the last returns the packed pieces.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from earshot.llm import decontaminate, language, line_dedup, ngram_join, packing
-from earshot.llm.common import Scratch, table
+from earshot.llm.common import Scratch, free_workers, table
 from earshot.llm.encoding import vocabulary_path
 
 
@@ -38,12 +41,25 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary_path())
 
 
+
+
+def _freed(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage in Python workers that have given back what the stage before left in them."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        free_workers(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", known_language),
-    ("lines", first_lines),
-    ("near_copies", one_of_near_copies),
-    ("benchmark", without_benchmark),
-    ("packing", packed),
+    ("language", _freed(known_language)),
+    ("lines", _freed(first_lines)),
+    ("near_copies", _freed(one_of_near_copies)),
+    ("benchmark", _freed(without_benchmark)),
+    ("packing", _freed(packed)),
 ]
 
 # The language network and the tokenizer are beyond SQL; tests hold the stages against plain versions of them.
