@@ -1166,18 +1166,13 @@ def _(f):
     rows = f.with_text.withColumn(
         "Justification", F.when(F.col("SegmentNumber") % 2 == 0, F.col("Segment")).otherwise(" ")
     )
-    out = None
-    for kind in LABEL_TYPES:
-        for i in (0, 1):
-            prompt = completions.label_messages(rows, kind, i).withColumn(
-                "Prompt", F.col("Message")[1]["content"]
-            )
-            one = prompt.select(
-                "CommentId", "SegmentNumber", F.lit(kind).alias("LabelType"), F.lit(i).alias("Round"),
-                F.length("Prompt").alias("Size"), F.md5("Prompt").alias("Digest"),
-            )
-            out = one if out is None else out.unionByName(one)
-    return out
+    rows = completions.per_label_type(rows, LABEL_TYPES)
+    told = lambda i: completions.messages_by_type(rows, "assign", LABEL_TYPES, i).select(
+        "CommentId", "SegmentNumber", "LabelType", F.lit(i).alias("Round"), F.col("Message")[1]["content"].alias("Prompt")
+    )
+    return told(0).unionByName(told(1)).select(
+        "CommentId", "SegmentNumber", "LabelType", "Round", F.length("Prompt").alias("Size"), F.md5("Prompt").alias("Digest")
+    )
 
 
 @query(

@@ -6,6 +6,8 @@ prompt. Prompts without one are listed as pending; whatever answers them appends
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +78,37 @@ def validation_messages(labelled: DataFrame, label_type: str) -> DataFrame:
     return _asked(labelled, "validate", label_type, validation_template(label_type), False)
 
 
+# Rows of one frame that ask for labels of several types: the template follows from the type, and a comment's text joins once for all.
+
+
+def _per_kind(kinds: Sequence[str], made: Callable[[str], Column]) -> Column:
+    out = None
+    for kind in kinds:
+        out = F.when(F.col("LabelType") == kind, made(kind)) if out is None else out.when(F.col("LabelType") == kind, made(kind))
+    return out
+
+
+def per_label_type(rows: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """Every row once for each label type."""
+    return rows.withColumn("LabelType", F.explode(F.array(*[F.lit(k) for k in kinds])))
+
+
+def keys_by_type(rows: DataFrame, stage: str, kinds: Sequence[str], iteration: int = 0) -> DataFrame:
+    """Add each row's prompt key by its ``LabelType``; ``stage`` is assign or validate."""
+    key = lambda kind: prompt_id(stage, kind, _template(stage, kind), stage == "assign" and takes_reason(kind, iteration))
+    return rows.withColumn("PromptId", _per_kind(kinds, key))
+
+
+def messages_by_type(rows: DataFrame, stage: str, kinds: Sequence[str], iteration: int = 0) -> DataFrame:
+    """Add each row's messages by its ``LabelType``; reads the columns that the templates of the types name."""
+    text = lambda kind: chat_messages(system_prompt(stage, kind), rendered(_template(stage, kind), stage == "assign" and takes_reason(kind, iteration)))
+    return rows.withColumn("Message", _per_kind(kinds, text))
+
+
+def _template(stage: str, kind: str) -> str:
+    return label_template(kind) if stage == "assign" else validation_template(kind)
+
+
 # -- completions
 
 
@@ -110,7 +143,7 @@ def best_answers(completions: DataFrame, newest: Column) -> DataFrame:
 
 
 def _row_ids(df: DataFrame) -> list[str]:
-    return [c for c in ("CommentId", "SegmentNumber") if c in df.columns]
+    return [c for c in ("CommentId", "SegmentNumber", "LabelType") if c in df.columns]
 
 
 # -- triage
@@ -133,13 +166,13 @@ def triage(completed: DataFrame) -> DataFrame:
     )
 
 
-def good_rows(triaged: DataFrame) -> DataFrame:
+def good_rows(triaged: DataFrame, by: Sequence[str] = ("CommentId",)) -> DataFrame:
     """Rows of comments all of whose rows are good: a comment counts as a whole or not at all.
 
-    A group is the rows of one comment (the segments of one text), so a window over it is small
-    and spares a second pass over the completions.
+    A group is the rows of one comment (the segments of one text; with LabelType in ``by``, those of one type), so a window over it
+    is small and spares a second pass over the completions.
     """
-    comment = Window.partitionBy("CommentId")
+    comment = Window.partitionBy(*by)
     bad = F.count_if(F.col("Status") != "ok").over(comment)
     return triaged.withColumn("_bad", bad).filter(F.col("_bad") == 0).drop("_bad")
 

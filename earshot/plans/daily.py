@@ -266,6 +266,29 @@ def _complete(
     return completions.triage(completions.complete_messages(keyed, answered, hot))
 
 
+def _complete_types(
+    store: TableStore, run: Run, keyed: DataFrame, stage: str, kinds: Sequence[str], iteration: int
+) -> DataFrame:
+    """The same for rows of several label types (``LabelType``) in one pass: one look for answers, one join of texts, one triage.
+
+    Answers are still asked for and kept by type.
+    """
+    names = {kind: f"completions/{stage}_{kind}_{iteration}" for kind in kinds}
+    kept = lambda: reduce(DataFrame.unionByName, [store.parts(n, ANSWERS) for n in names.values()])
+    waiting = persist_table(completions.pending_prompts(keyed, kept()), "prompts-waiting")
+    asked = completions.messages_by_type(_with_text(store, run)(waiting), stage, kinds, iteration)
+    asked = persist_table(asked.drop("SurveyComment"), "prompts-asked")
+    open_types = {r[0] for r in waiting.select("LabelType").distinct().collect()}
+    for kind in kinds:
+        if kind in open_types:
+            part = asked.filter(F.col("LabelType") == kind).drop("LabelType")
+            answers = shape.conform(run.answer(part, stage, kind, iteration), COMPLETIONS)
+            store.add(names[kind], answers.withColumn("AskedOn", F.lit(run.run_date)))
+    answered = completions.best_answers(kept(), F.col("AskedOn"))
+    hot = hot_keys(keyed, ["PromptId"])
+    return persist_table(completions.triage(completions.complete_messages(keyed, answered, hot)), f"{stage}-triaged")
+
+
 def _set_aside(rows: DataFrame, triaged: list[DataFrame]) -> DataFrame:
     """Rows of comments with a bad answer in any of the triaged frames."""
     bad = reduce(DataFrame.unionByName, [t.filter("Status <> 'ok'").select("CommentId") for t in triaged])
@@ -337,30 +360,22 @@ def labelling(store: TableStore, run: Run) -> None:
     work = store.read(run.buffer("segments"), SEGMENTS)
     work = comments.unprocessed_work(work, _state(store, run))
     work = persist_table(work, "label-work")
-    texted = _with_text(store, run)
-    parts, checks, metrics = [], [], []
+    keyed = completions.keys_by_type(completions.per_label_type(work, LABEL_TYPES), "assign", LABEL_TYPES)
+    triaged = _complete_types(store, run, persist_table(keyed, "label-keys"), "assign", LABEL_TYPES, 0)
+    good = persist_table(completions.good_rows(triaged, ["CommentId", "LabelType"]), "labels-good")
+    checks, metrics = [], []
     for kind in LABEL_TYPES:
-        ask = lambda rows, kind=kind: completions.label_messages(texted(rows), kind)
-        triaged = persist_table(
-            _complete(store, run, completions.label_keys(work, kind), "assign", kind, 0, ask),
-            "labels-triaged",
-        )
-        _quarantine(store, run, triaged, f"assign_{kind}_0")
-        metrics.append(_answer_metrics(triaged, f"labelling {kind}", run))
-        good = persist_table(completions.good_rows(triaged), "labels-good")
+        of_kind = lambda df, kind=kind: df.filter(F.col("LabelType") == kind)
+        _quarantine(store, run, of_kind(triaged).drop("LabelType"), f"assign_{kind}_0")
+        metrics.append(_answer_metrics(of_kind(triaged), f"labelling {kind}", run))
         checks.append(
             quality.conservation_check(
                 "labelling", f"{kind}: segments = labelled + dropped", [work],
-                [good, triaged.join(good.select("CommentId").distinct(), "CommentId", "left_anti")],
+                [of_kind(good), of_kind(triaged).join(of_kind(good).select("CommentId").distinct(), "CommentId", "left_anti")],
             )
         )
-        parts.append(
-            completions.single_label(good, kind).select(
-                *labels.SEGMENT_KEY, *labels.SEGMENT_BODY, F.col(f"{kind}Label").alias("Label"),
-                F.lit(kind).alias("LabelType"),
-            )
-        )
-    long = store.overwrite(run.buffer("labels"), reduce(DataFrame.unionByName, parts))
+    first_answer = F.get("content", F.lit(0)).alias("Label")
+    long = store.overwrite(run.buffer("labels"), good.select(*labels.SEGMENT_KEY, *labels.SEGMENT_BODY, first_answer, "LabelType"))
     wide = labels.labels_wide(long, LABEL_TYPES)
     if run.label_floor > 0:
         wide = persist_table(wide, "labels-wide")
@@ -376,18 +391,17 @@ def validation(store: TableStore, run: Run) -> None:
     """Have three of the labels checked; rows that fail in any check drop out with their comment."""
     started = time.time()
     rows = store.read(run.buffer("labelled_first"), LABELLED)
-    texted = _with_text(store, run)
-    parts, metrics, asked = [], [], []
+    metrics, asked = [], []
+    keyed = completions.keys_by_type(completions.per_label_type(rows, VALIDATED_TYPES), "validate", VALIDATED_TYPES)
+    triaged = _complete_types(store, run, persist_table(keyed, "validation-keys"), "validate", VALIDATED_TYPES, 0)
+    good = persist_table(completions.good_rows(triaged, ["CommentId", "LabelType"]), "validations-good")
+    parts = []
     for kind in VALIDATED_TYPES:
-        ask = lambda df, kind=kind: completions.validation_messages(texted(df), kind)
-        triaged = persist_table(
-            _complete(store, run, completions.validation_keys(rows, kind), "validate", kind, 0, ask),
-            "validations-triaged",
-        )
-        asked.append(triaged)
-        _quarantine(store, run, triaged, f"validate_{kind}")
-        metrics.append(_answer_metrics(triaged, f"validation {kind}", run))
-        checked = labels.validated(completions.good_rows(triaged), kind)
+        of_kind = triaged.filter(F.col("LabelType") == kind)
+        asked.append(of_kind)
+        _quarantine(store, run, of_kind.drop("LabelType"), f"validate_{kind}")
+        metrics.append(_answer_metrics(of_kind, f"validation {kind}", run))
+        checked = labels.validated(good.filter(F.col("LabelType") == kind), kind)
         parts.append(
             checked.select(
                 *labels.SEGMENT_KEY, F.lit(kind).alias("LabelType"),
@@ -412,21 +426,25 @@ def relabelling(store: TableStore, run: Run) -> None:
     started = time.time()
     checked = store.read(run.buffer("validated"))
     rows, metrics, asked = checked, [], []
-    texted = _with_text(store, run)
+    open_rows = reduce(
+        DataFrame.unionByName,
+        [
+            checked.filter(~labels.agreed(kind)).select(
+                *labels.SEGMENT_KEY, "Segment", F.lit(kind).alias("LabelType"),
+                F.col(f"{kind}Label_validation")["Justification"].alias("Justification"),
+            )
+            for kind in VALIDATED_TYPES
+        ],
+    )
+    keyed = persist_table(completions.keys_by_type(open_rows, "assign", VALIDATED_TYPES, 1), "relabel-keys")
+    triaged = _complete_types(store, run, keyed, "assign", VALIDATED_TYPES, 1)
+    good = persist_table(completions.good_rows(triaged, ["CommentId", "LabelType"]), "relabels-good")
     for kind in VALIDATED_TYPES:
-        open_rows = checked.filter(~labels.agreed(kind)).select(
-            *labels.SEGMENT_KEY, "Segment",
-            F.col(f"{kind}Label_validation")["Justification"].alias("Justification"),
-        )
-        ask = lambda df, kind=kind: completions.label_messages(texted(df), kind, 1)
-        triaged = persist_table(
-            _complete(store, run, completions.label_keys(open_rows, kind, 1), "assign", kind, 1, ask),
-            "relabels-triaged",
-        )
-        asked.append(triaged)
-        _quarantine(store, run, triaged, f"assign_{kind}_1")
-        metrics.append(_answer_metrics(triaged, f"relabelling {kind}", run))
-        second = completions.single_label(completions.good_rows(triaged), kind)
+        of_kind = triaged.filter(F.col("LabelType") == kind)
+        asked.append(of_kind)
+        _quarantine(store, run, of_kind.drop("LabelType"), f"assign_{kind}_1")
+        metrics.append(_answer_metrics(of_kind, f"relabelling {kind}", run))
+        second = completions.single_label(good.filter(F.col("LabelType") == kind).drop("LabelType"), kind)
         rows = labels.relabel_round(rows, second, kind)
     if run.label_floor > 0:
         rows = persist_table(rows, "labels-second")
