@@ -31,20 +31,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Scratch, Words, distilled, mapped, mix, signed, text_chunks
+from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Scratch, Words, distilled, mapped, mix, ranges, signed, text_chunks
 from earshot.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
 SMALL = 64
 SKETCH_BITS = 8
+SKETCH_BYTES = 1 << 22
 BLOCK = 512
 HELD_PAIRS = 1 << 16
 CLOSEST_ROUNDS = 8
 MANY_LINKS = 20_000
 
-NODES = "doc_id long, digest long, node long, members long, band int, sketch binary"
-BUCKETS = "bucket long, node long"
+NODES = "doc_id long, digest long, node long, members long, band int, sketch binary, buckets array<long>"
 PAIR_TEXTS = "a long, b long"
 
 
@@ -53,11 +53,6 @@ def most_difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x + y) * (100 - PERCENT)) // (100 + PERCENT)
 
 
-def _own_difference(n: int) -> int:
-    """The same for a set of n members and the largest partner it can have."""
-    return int(most_difference(np.int64(n), np.int64(n * 100 // PERCENT)))
-
-
 class Sets:
     """The shingle sets of a run of documents: hashes, sorted and distinct within each document."""
 
@@ -84,40 +79,84 @@ class Sets:
         return self.hashes[self.bounds[i] : self.bounds[i + 1]]
 
 
-def _band(n: int) -> int:
-    return n.bit_length() - 1
+def _bands(n: np.ndarray) -> np.ndarray:
+    """The size band of sets of n members: the largest power of two that is not above n."""
+    return np.frexp(n.astype(np.float64))[1].astype(np.int64) - 1
 
 
-def _node(hashes: np.ndarray) -> int:
-    """A hash of the set, from the sum of its members' mixed hashes."""
+def _node_hashes(sets: Sets, full: np.ndarray) -> np.ndarray:
+    """A hash of each set, from the sum of its members' mixed hashes."""
     with np.errstate(over="ignore"):
-        return int(signed(mix(np.array([mix(hashes).sum() + np.uint64(len(hashes))], np.uint64)))[0])
-
-
-def _sketch(hashes: np.ndarray, band: int) -> bytes:
-    bits = max(64, SKETCH_BITS << band)
-    place = (mix(hashes ^ np.uint64(BYTE_BASE)) >> np.uint64(20)).astype(np.int64) & (bits - 1)
-    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).tobytes()
-
-
-def _buckets(hashes: np.ndarray, band: int) -> np.ndarray:
-    """The chosen buckets' keys of a set in a band."""
-    need = _own_difference(len(hashes)) + 1
-    salt = np.uint64((band + 1) * BYTE_BASE & (1 << 64) - 1)
-    if 1 << band < SMALL:
-        with np.errstate(over="ignore"):
-            return mix(np.sort(mix(hashes + salt))[:need] ^ salt)
-    buckets = (9 << band) // 10
-    place = ((mix(hashes + salt) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(place, kind="stable")
-    place = place[order]
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    value = np.bitwise_xor.reduceat(hashes[order], first)
-    size = np.diff(np.append(first, len(place)))
-    heavy = np.flatnonzero(size > 1)
-    chosen = heavy[:need] if len(heavy) >= need else np.arange(len(first))
+        sums = np.add.reduceat(mix(sets.hashes), sets.bounds[full])
+        return signed(mix(sums + np.diff(sets.bounds)[full].astype(np.uint64)))
+
+
+def _sketches(sets: Sets, full: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the wide sketches of the sets."""
+    bits = np.maximum(64, np.left_shift(SKETCH_BITS, bands))
+    edges = np.concatenate([[0], np.cumsum(bits)])
+    own = np.repeat(np.arange(len(full)), np.diff(sets.bounds)[full])
+    place = (mix(sets.hashes ^ np.uint64(BYTE_BASE)) >> np.uint64(20)).astype(np.int64) & (bits[own] - 1)
+    odd = np.bincount(edges[own] + place, minlength=int(edges[-1])) & 1
+    return np.packbits(odd.astype(np.uint8)), edges >> 3
+
+
+def _places_in(group: np.ndarray) -> np.ndarray:
+    """Each element's place among those of its group; groups lie together."""
+    new = np.ones(len(group), bool)
+    new[1:] = group[1:] != group[:-1]
+    at = np.flatnonzero(new)
+    return np.arange(len(group)) - np.repeat(at, np.diff(np.append(at, len(group))))
+
+
+def _chosen(sets: Sets, doc: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket key, index of its set in ``doc``) of the buckets that sets choose in the given bands."""
+    n = np.diff(sets.bounds)[doc]
+    need = most_difference(n, n * 100 // PERCENT) + 1
     with np.errstate(over="ignore"):
-        return mix(value[chosen] ^ mix(salt + place[first[chosen]].astype(np.uint64)))
+        salt = (bands + 1).astype(np.uint64) * np.uint64(BYTE_BASE)
+        keys, owners = [], []
+        for small in (True, False):
+            use = np.flatnonzero((np.left_shift(1, bands) < SMALL) == small)
+            if not len(use):
+                continue
+            own = np.repeat(use, n[use])
+            hashes = sets.hashes[ranges(sets.bounds[doc[use]], n[use])]
+            mixed = mix(hashes + salt[own])
+            if small:  # the smallest hashes are buckets of one
+                order = np.lexsort((mixed, own))
+                value, own = mixed[order], own[order]
+                take = _places_in(own) < need[own]
+                keys.append(mix(value[take] ^ salt[own[take]]))
+                owners.append(own[take])
+                continue
+            dealt = (np.left_shift(9, bands) // 10).astype(np.uint64)
+            place = ((mixed >> np.uint64(32)) * dealt[own] >> np.uint64(32)).astype(np.int64)
+            slot = np.concatenate([[0], np.cumsum(dealt.astype(np.int64))])[own] + place
+            order = np.argsort(slot, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(slot[order]) != 0]))
+            value = np.bitwise_xor.reduceat(hashes[order], first)
+            heavy = np.diff(np.append(first, len(order))) > 1
+            own, place = own[order[first]], place[order[first]]
+            among = np.cumsum(heavy) - heavy  # heavy buckets before this one
+            start = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            among -= np.repeat(among[start], np.diff(np.append(start, len(own))))
+            enough = np.bincount(own, weights=heavy, minlength=len(doc)) >= need
+            take = np.where(enough[own], heavy & (among < need[own]), True)
+            keys.append(mix(value[take] ^ mix(salt[own[take]] + place[take].astype(np.uint64))))
+            owners.append(own[take])
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def _bucket_lists(sets: Sets, full: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, offsets) of the buckets by which each set joins others, in its band and, near its lower edge, in the one below."""
+    n = np.diff(sets.bounds)[full]
+    below = np.flatnonzero((bands > 0) & (n * PERCENT < np.left_shift(100, bands)))  # a partner can be in the band below
+    of = np.concatenate([np.arange(len(full)), below])
+    keys, owner = _chosen(sets, full[of], np.concatenate([bands, bands[below] - 1]))
+    owner = of[owner]
+    order = np.argsort(owner, kind="stable")
+    return keys[order], np.searchsorted(owner[order], np.arange(len(full) + 1))
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -125,23 +164,28 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """The node, size and wide sketch of every row that has words."""
+    """The node, size, wide sketch and buckets of every row that has words, from one reading of the texts."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for first, last, data, offsets in text_chunks(batch.column(2)):
+        for first, _, data, offsets in text_chunks(batch.column(2)):
             sets = Sets(data, offsets)
             n = np.diff(sets.bounds)
             full = np.flatnonzero(n)
+            if not len(full):
+                continue
             rows = pa.array(full + first)
-            bands = [_band(int(k)) for k in n[full]]
+            bands = _bands(n[full])
+            sketch, edges = _sketches(sets, full, bands)
+            keys, ends = _bucket_lists(sets, full, bands)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(rows),
                     batch.column(1).take(rows),
-                    pa.array([_node(sets[i]) for i in full], pa.int64()),
+                    pa.array(_node_hashes(sets, full)),
                     pa.array(n[full]),
-                    pa.array(bands, pa.int32()),
-                    pa.array([_sketch(sets[i], b) for i, b in zip(full, bands, strict=True)], pa.binary()),
+                    pa.array(bands.astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(sketch)]),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(signed(keys))),
                 ],
                 names=[c.split()[0] for c in NODES.split(", ")],
             )
@@ -149,38 +193,29 @@ def nodes(docs: DataFrame) -> DataFrame:
     return mapped(_identified(docs), run, NODES)
 
 
-def buckets(docs: DataFrame) -> DataFrame:
-    """The buckets by which every row's set joins others."""
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for _, _, data, offsets in text_chunks(batch.column(2)):
-            sets = Sets(data, offsets)
-            keys, owners = [], []
-            for i in np.flatnonzero(np.diff(sets.bounds)):
-                own = sets[i]
-                n, node = len(own), _node(own)
-                band = _band(n)
-                parts = [_buckets(own, band)]
-                if band and n * PERCENT < 100 << band:  # a partner can be in the band below
-                    parts.append(_buckets(own, band - 1))
-                keys += parts
-                owners.append(np.full(sum(map(len, parts)), node))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(owners))], names=["bucket", "node"])
-
-    return mapped(_identified(docs), run, BUCKETS)
+def _folded(sketches: np.ndarray, size: int) -> np.ndarray:
+    """Wide sketches (a row each) of fewer bytes: places are taken modulo the size, so parts are added up by parity."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, size), axis=1)
 
 
-def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
-    """A wide sketch of fewer bits: places are taken modulo the size, so parts are added up by parity."""
-    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
+def _near(one: pa.Array, two: pa.Array, allowed: np.ndarray) -> np.ndarray:
+    """Whether the wide sketches of rows differ in at most so many places; rows of equal widths are compared together."""
 
+    def parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        return np.frombuffer(column.buffers()[2], np.uint8), edges[:-1], np.diff(edges)
 
-def _near(x: np.ndarray, y: np.ndarray, members_x: int, members_y: int) -> bool:
-    if 100 * min(members_x, members_y) < PERCENT * max(members_x, members_y):
-        return False
-    size = min(len(x), len(y))
-    return int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum()) <= int(most_difference(np.int64(members_x), np.int64(members_y)))
+    (data_x, at_x, wide_x), (data_y, at_y, wide_y) = parts(one), parts(two)
+    out = np.zeros(len(allowed), bool)
+    for x, y in np.unique(np.stack([wide_x, wide_y], axis=1), axis=0).tolist():
+        rows = np.flatnonzero((wide_x == x) & (wide_y == y))
+        least = min(x, y)
+        step = max(1, SKETCH_BYTES // max(x, y))
+        for part in (rows[k : k + step] for k in range(0, len(rows), step)):
+            p = _folded(data_x[at_x[part][:, None] + np.arange(x)], least)
+            q = _folded(data_y[at_y[part][:, None] + np.arange(y)], least)
+            out[part] = np.bitwise_count((p ^ q).view(np.uint64)).sum(axis=1, dtype=np.int64) <= allowed[part]
+    return out
 
 
 def _close(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -190,9 +225,9 @@ def _close(pairs: DataFrame, known: DataFrame) -> DataFrame:
     rows = pairs.join(one, "a").join(two, "b").where(100 * F.least("xa", "xb") >= PERCENT * F.greatest("xa", "xb"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        a, b, xa, sa, xb, sb = (batch.column(c).to_pylist() for c in ("a", "b", "xa", "sa", "xb", "sb"))
-        keep = [_near(np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8), m, n) for p, q, m, n in zip(sa, sb, xa, xb, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()).filter(pa.array(keep)), pa.array(b, pa.int64()).filter(pa.array(keep))], names=["a", "b"])
+        allowed = most_difference(batch.column("xa").to_numpy(), batch.column("xb").to_numpy())
+        keep = pa.array(_near(batch.column("sa"), batch.column("sb"), allowed))
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     return mapped(rows.select("a", "b", "xa", "sa", "xb", "sb"), run, PAIR_TEXTS)
 
@@ -276,7 +311,7 @@ def _across(groups: DataFrame, closest: bool) -> DataFrame:
                 continue
             own = [np.frombuffer(x, np.uint8) for x in sketches[a:b]]
             least = min(map(len, own))
-            sketch = np.stack([x if len(x) == least else _fold(x, least) for x in own]).view(np.uint64)
+            sketch = np.concatenate([_folded(x[None], least) for x in own]).view(np.uint64)
             node, comp, n, block = nodes_[a:b], comps[a:b], sizes[a:b], blocks[a:b]
             for i in range(b - a - 1):
                 far = np.arange(i + 1, b - a)
@@ -309,10 +344,11 @@ def classes(docs: DataFrame) -> DataFrame:
     # a row that is there twice would pair its text twice
     repeats = rows.count() > rows.select("doc_id", "digest").distinct().count()
 
-    pivots = buckets(docs).groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").drop("last")
+    buckets = rows.select(F.explode("buckets").alias("bucket"), "node")
+    pivots = buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").drop("last")
     pivots, _ = scratch.store(pivots, "pivots")
     scratch.tidy()
-    groups, _ = scratch.store(buckets(docs).join(pivots, "bucket").where("node > pivot").distinct(), "groups")
+    groups, _ = scratch.store(buckets.join(pivots, "bucket").where("node > pivot").distinct(), "groups")
     scratch.tidy()
 
     def link(pairs: DataFrame, label: str) -> DataFrame:

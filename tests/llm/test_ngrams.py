@@ -85,15 +85,40 @@ def test_blocks_and_leftover_pairs(spark, monkeypatch):
     assert joined(frame) == plain(rows)
 
 
+def in_chunk(texts):
+    raw = [t.encode() for t in texts]
+    sets = ngram_join.Sets(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in raw])]))
+    full = np.flatnonzero(np.diff(sets.bounds))
+    return sets, full, ngram_join._bands(np.diff(sets.bounds)[full])
+
+
 def test_sketch_distance_never_exceeds_the_difference():
-    rng = np.random.default_rng(0)
+    rng = random.Random(0)
     for n in (70, 300, 1500):
-        a = rng.integers(0, 1 << 62, n).astype(np.uint64)
-        b = np.concatenate([a[n // 9 :], rng.integers(0, 1 << 62, n // 7).astype(np.uint64)])
-        x, y = (np.frombuffer(ngram_join._sketch(s, ngram_join._band(len(s))), np.uint8) for s in (a, b))
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        sets, full, bands = in_chunk([" ".join(words), " ".join(words[n // 9 :] + [f"x{k}" for k in range(n // 7)])])
+        data, edges = ngram_join._sketches(sets, full, bands)
+        x, y = (data[edges[i] : edges[i + 1]] for i in (0, 1))
         size = min(len(x), len(y))
-        distance = np.bitwise_count(ngram_join._fold(x, size) ^ ngram_join._fold(y, size)).sum()
-        assert distance <= len(np.setxor1d(a, b))
+        distance = np.bitwise_count(ngram_join._folded(x[None], size) ^ ngram_join._folded(y[None], size)).sum()
+        assert distance <= len(np.setxor1d(sets[0], sets[1]))
+
+
+def test_a_set_has_the_same_node_sketch_and_buckets_in_any_chunk():
+    rng = random.Random(5)
+    texts = ["", " ", "one", "a b c d"] + [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (5, 9, 10, 35, 67, 68, 69, 90, 131, 400, 3000)]
+    rng.shuffle(texts)
+    sets, full, bands = in_chunk(texts)
+    node, (sketch, edges), (keys, ends) = ngram_join._node_hashes(sets, full), ngram_join._sketches(sets, full, bands), ngram_join._bucket_lists(sets, full, bands)
+    assert len(full) == len(texts) - 2
+    for k, i in enumerate(full):
+        one, own, band = in_chunk([texts[i]])
+        assert ngram_join._node_hashes(one, own)[0] == node[k]
+        assert (ngram_join._sketches(one, own, band)[0] == sketch[edges[k] : edges[k + 1]]).all()
+        assert (ngram_join._bucket_lists(one, own, band)[0] == keys[ends[k] : ends[k + 1]]).all()
+        n = len(sets[i])
+        least = int(ngram_join.most_difference(np.int64(n), np.int64(n * 100 // 80))) + 1
+        assert len(set(keys[ends[k] : ends[k + 1]].tolist())) >= min(n, least)
 
 
 def test_keep_one(docs, corpus, empty):
