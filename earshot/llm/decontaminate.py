@@ -8,7 +8,8 @@ Every document is cut into cells of ``UNIT`` words, and every two cells that fol
 document holds lies whole in a passage. As in block-max WAND, a passage whose terms' largest impacts cannot add up to the
 threshold is passed over, then so is every block whose own maxima cannot; units of the blocks that are left are scored exactly, and
 all at or above the threshold are retrieved. A retrieved unit is verified: of the word pairs of its first part, the question, and
-of its last part, the answer, a share must stand in the passage.
+of its last part, the answer, a share must stand in the passage. An item of under ``LEAST_WORDS`` words has too few pairs for that: all its
+terms must be in the passage, and its words must stand there one after another. For that its impacts add up to the threshold only.
 
 The index goes to all tasks in shards of a bounded number of postings, one pass over the documents for each.
 """
@@ -55,6 +56,7 @@ class Index:
     items: np.ndarray
     question: list[np.ndarray]
     answer: list[np.ndarray]
+    exact: list[np.ndarray | None]
 
     @property
     def blocks(self) -> int:
@@ -65,8 +67,7 @@ def units(items: DataFrame) -> DataFrame:
     """Units of the test items: their words' hashes, and how many of the last ones are the answer.
 
     The answer is an item's last sentence, at least ``ANSWER_WORDS`` words; of an item of several units it is the last unit's, and
-    the other units' answers are their last ``ANSWER_WORDS`` words. Items of under ``LEAST_WORDS`` words are left out: they
-    would be found by chance.
+    the other units' answers are their last ``ANSWER_WORDS`` words. An item of under ``LEAST_WORDS`` words has no answer apart (0).
     """
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -75,7 +76,7 @@ def units(items: DataFrame) -> DataFrame:
             words = Words(data, offsets, bare=True)
             for i in range(last - first):
                 a, b = int(words.bounds[i]), int(words.bounds[i + 1])
-                if b - a < LEAST_WORDS:
+                if a == b:
                     continue
                 own = data[offsets[i] : offsets[i + 1]]
                 stops = np.flatnonzero(np.isin(own[:-1], list(b".?!")) & np.isin(own[1:], list(b" \n\t\r"))) + offsets[i]
@@ -84,7 +85,7 @@ def units(items: DataFrame) -> DataFrame:
                 edges = [a + (b - a) * k // cuts for k in range(cuts + 1)]
                 for k, (x, y) in enumerate(zip(edges, edges[1:], strict=False)):
                     answer = tail if k == cuts - 1 else 0
-                    answer = min(max(answer, ANSWER_WORDS), (y - x) // 2)
+                    answer = min(max(answer, ANSWER_WORDS), (y - x) // 2) if b - a >= LEAST_WORDS else 0
                     rows.append((batch.column(0)[first + i].as_py(), k, signed(words.hash[x:y]).tolist(), answer))
         if rows:
             kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32()]
@@ -99,6 +100,12 @@ def _pairs(words: np.ndarray) -> np.ndarray:
         return np.unique(mix(words[:-1] * np.uint64(WORD_BASE) + mix(words[1:])))
 
 
+def _runs_in(short: np.ndarray, passage: np.ndarray) -> bool:
+    """Whether the words stand in the passage one after another."""
+    n = len(passage) - len(short) + 1
+    return n > 0 and bool(np.logical_and.reduce([passage[i : i + n] == w for i, w in enumerate(short)]).any())
+
+
 def _postings(key: np.ndarray, group: np.ndarray, value: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((group, key))
     key, group, value = key[order], group[order], value[order]
@@ -121,7 +128,8 @@ def build(rows: list, frequency: dict[int, int], total: int, mean: float) -> Ind
     df = np.array([frequency[int(t)] for t in terms], np.float64)
     idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
     weight = idf[number] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * sizes[unit] / mean))
-    impact = weight / np.bincount(unit, weights=weight, minlength=len(rows))[unit]
+    short = np.array([r["answer"] == 0 for r in rows])
+    impact = weight / np.bincount(unit, weights=weight, minlength=len(rows))[unit] * np.where(short[unit], LEAST_SCORE, 1)
     first, postings, impacts = _postings(number, unit, impact, len(terms))
     block_first, block, block_impact = _postings(number, unit // BLOCK, impact, len(terms))
     plain = [w.view(np.uint64) for w in words]
@@ -135,7 +143,8 @@ def build(rows: list, frequency: dict[int, int], total: int, mean: float) -> Ind
         block_impact,
         np.array([-(1 << 63) if r["item_id"] is None else r["item_id"] for r in rows], np.int64),
         [_pairs(w[: len(w) - r["answer"] + 1]) for w, r in zip(plain, rows, strict=True)],
-        [_pairs(w[len(w) - r["answer"] - 1 :]) for w, r in zip(plain, rows, strict=True)],
+        [_pairs(w[len(w) - r["answer"] - 1 :]) if r["answer"] else w[:0] for w, r in zip(plain, rows, strict=True)],
+        [None if r["answer"] else w for w, r in zip(plain, rows, strict=True)],
     )
 
 
@@ -210,7 +219,13 @@ def hits(index: Index, data: np.ndarray, offsets: np.ndarray, least: float = LEA
         for k in np.flatnonzero(scores >= least - 1e-9):
             u, d = b * BLOCK + int(k), int(doc_of_cell[c])
             a = int(words.bounds[d]) + (c - int(cell_first[d])) * UNIT
-            seen = _pairs(words.hash[a : min(a + (2 if follows[c] else 1) * UNIT, int(words.bounds[d + 1]))])
+            passage = words.hash[a : min(a + (2 if follows[c] else 1) * UNIT, int(words.bounds[d + 1]))]
+            short = index.exact[u]
+            if short is not None:
+                if _runs_in(short, passage):
+                    best[d, u] = (1.0, 1.0, 1.0)
+                continue
+            seen = _pairs(passage)
             question = float(np.isin(index.question[u], seen).mean())
             answer = float(np.isin(index.answer[u], seen).mean())
             if question >= LEAST_QUESTION and answer >= LEAST_ANSWER:
@@ -222,7 +237,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, question, answer) of every document that holds a test item.
 
     Of an item's units and of a document's passages the best counts. Null texts hold nothing. Repeated documents with one id give
-    one row an item; null ids count as one id. Items with equal text are found each. Empty tables give no rows.
+    one row an item; null ids count as one id. Items with equal text are found each; items without words are in no document. An item of
+    a word or two is in every document with these words. Empty tables give no rows.
     """
     spark = docs.sparkSession
     out = empty_as(FOUND, spark)

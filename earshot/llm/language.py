@@ -3,7 +3,8 @@
 A text, A to Z in lower case, is cut into windows of ``WINDOW`` bytes, all of it, the last one filled up with zero bytes. Filters of several widths
 slide over a window; each keeps its largest answer; a softmax layer turns these into language probabilities. The text's
 probabilities are the mean over its windows, weighted by their bytes. The network is trained in numpy on the driver, on a sample
-of about ``PER_LANGUAGE`` labelled documents a language and ``PER_DOCUMENT`` windows a document, the same on every run.
+of about ``PER_LANGUAGE`` labelled documents a language and ``PER_DOCUMENT`` windows a document, the same on every run. All labels are learned;
+with many of them a language's share of at most ``MOST_DOCUMENTS`` documents is smaller.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 PER_LANGUAGE = 500
 PER_DOCUMENT = 6
-MOST_LANGUAGES = 256
+MOST_DOCUMENTS = 128_000
+LEAST_BYTES = 32
 EPOCHS = 12
 BATCH = 64
 RATE = 0.02
@@ -135,20 +137,27 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, per_document: int = PER_DOCUMENT) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Labelled windows for training: a share of each language's documents that a hash of the id picks."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
+    """Labelled windows for training: a share of each language's documents that a hash of the id picks.
+
+    Windows of under ``LEAST_BYTES`` bytes train only where they are a document's only one. Columns besides doc_id, text and lang are not read.
+    """
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), held_out(F.col("doc_id")).alias("held_out"))
+    usable = plain.where("lang IS NOT NULL AND text IS NOT NULL AND NOT held_out")
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    learned = counts.count()
+    if not learned:
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), []
-    spark = docs.sparkSession
-    share = spark.createDataFrame([(r["lang"], per_language / r["count"]) for r in counts], "lang string, share double")
+    per_language = min(per_language, max(1, MOST_DOCUMENTS // learned))
+    share = counts.select("lang", (F.lit(float(per_language)) / F.col("n")).alias("share"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
-    picked = usable.join(F.broadcast(share), "lang").where(draw < F.col("share")).select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    small = F.broadcast(share) if learned <= MOST_DOCUMENTS else share
+    picked = usable.join(small, "lang").where(draw < F.col("share")).select("doc_id", "text", "lang")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first, last, data, offsets in text_chunks(batch.column(1)):
             cut, doc, held = windows_of(data, offsets)
-            keep = held >= min(WINDOW, 32)
+            alone = np.bincount(doc, minlength=last - first)[doc] == 1
+            keep = (held >= LEAST_BYTES) | alone
             cut, doc = cut[keep], doc[keep]
             if not len(doc):
                 continue
@@ -162,7 +171,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, per_document: int
                 names=["doc_id", "place", "lang", "bytes"],
             )
 
-    rows = mapped(picked, run, "doc_id long, place long, lang string, bytes binary").limit(2 * per_language * per_document * len(counts)).collect()
+    rows = mapped(picked, run, "doc_id long, place long, lang string, bytes binary").limit(2 * per_language * per_document * learned).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["place"], r["lang"], bytes(r["bytes"])))
     languages = sorted({r["lang"] for r in rows})
     if not rows:
