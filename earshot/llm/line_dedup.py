@@ -1,33 +1,39 @@
-"""Removal of repeated lines, found by winnowing over line hashes.
-
-Lines end at line feeds; lines of white space only are left out of all comparison and always stay. A window is a shortest run of
-consecutive lines of one document, from some line on, with at least ``MIN_WORDS`` words: with one word, every line that is not
-blank is a window of its own, however short, so that licence and navigation lines count between differing neighbours too. A line
-is deleted if a window that covers it also occurs earlier: in a document that comes first (by doc_id, then text), or further up in
-the same document. Windows are judged on the input.
-
-Winnowing picks the smallest line hash of every window as its fingerprint, the last one among equals, so equal windows have
-equal fingerprints at equal places, and no repeated run with a window in it can be missed. With one-line windows every line is a
-picked place, one row each, and a repeated run goes line by line, so there is nothing left to extend. Occurrences meet by
-fingerprint and by the lines of the window; the first one is found by a combining aggregate, so a line that a third of the
-documents share costs one row a task.
+"""Removal of repeated lines by winnowing over line hashes.
+
+Lines end at line feeds; lines of white space only are left out of all comparison and always stay. A line goes if it occurs earlier
+too: in a document that comes first (by doc_id, then text), or further up in the same document.
+
+Winnowing slides a window of ``WINDOW`` lines over a document's line hashes and selects the smallest hash of every window, the last
+one among equals; a document of fewer lines is one window. So every run of ``WINDOW`` lines or more that two documents share has
+a selected place at the same line of both, and places are at most ``WINDOW`` lines apart. A place is joined to the first occurrence
+of its fingerprint (two hashes of the line), and the match is extended both ways, line by line, as far as the places' surroundings agree:
+``WINDOW`` - 1 lines, which is where the next place of a longer run takes over. These later runs are deleted. Then the lines that no
+run covered, single repeated lines between others among them, are judged by their own hashes. The first occurrence of a line is in
+no deleted run, so it is still among them, and the result is the same as if every line had been judged.
+
+Texts are read once for the hashes, which are kept, a row per document. First occurrences are found by combining aggregates, so a line
+that a third of the documents share costs one row a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import BYTE_BASE, WORD_BASE, PrefixHash, Scratch, Words, mapped, mix, signed, text_chunks
+from earshot.llm.common import PrefixHash, Scratch, Words, mapped, mix, signed, text_chunks
 
-MIN_WORDS = 1
+WINDOW = 4
+MIN_WORDS = 1  # what makes a line count
 OTHER_BASE = 0xA0761D6478BD642F
 
-_FOUND = "doc_id long, digest long, line long, lines long, fingerprint long, around long, check long"
+_LINES = "doc_id long, digest long, hashes array<long>, others array<long>, places array<int>"
+_KEY = ["fingerprint", "check"]
+_DOC = ["doc_id", "digest"]
 
 
 class Lines:
@@ -54,77 +60,120 @@ class Lines:
         values = mix(data.astype(np.uint64) + np.uint64(OTHER_BASE))
         self.other = PrefixHash(values, OTHER_BASE).slices(start, end)
 
-    def windows(self, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first line, last line) of every window, as indexes."""
-        total = np.cumsum(self.words)
-        first = np.arange(len(total))
-        last = np.searchsorted(total, total - self.words + least)
-        fits = last < len(total)
-        fits[fits] = self.doc[last[fits]] == self.doc[first[fits]]
-        return first[fits], last[fits]
+    def selected(self, width: int) -> np.ndarray:
+        """The places, as indexes, that the windows of all documents select."""
+        n = len(self.hash)
+        first = np.arange(n)
+        end = np.searchsorted(self.doc, self.doc, "right")  # where the line's document ends
+        start = np.searchsorted(self.doc, self.doc)
+        first = first[(first + width <= end) | (first == start)]
+        last = np.minimum(first + width, end[first]) - 1
+        place, best = first.copy(), self.hash[first]
+        for step in range(1, width):
+            at = np.minimum(first + step, last)
+            smaller = self.hash[at] <= best
+            place, best = np.where(smaller, at, place), np.where(smaller, self.hash[at], best)
+        return np.unique(place)
+
+
+def line_hashes(docs: DataFrame, width: int = WINDOW) -> DataFrame:
+    """Per document that has lines: two hashes of each line that is not blank, and the places that winnowing selects.
+
+    ``digest`` is a hash of the text that tells rows of one doc_id apart.
+    """
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for first, last, data, offsets in text_chunks(batch.column(2)):
+            lines = Lines(data, offsets)
+            if not len(lines.doc):
+                continue
+            bounds = np.searchsorted(lines.doc, np.arange(last - first + 1))
+            full = np.flatnonzero(np.diff(bounds))
+            edges = pa.array(np.append(bounds[full], len(lines.doc)).astype(np.int32))
+            chosen = lines.selected(width)
+            cuts = pa.array(np.append(np.searchsorted(chosen, bounds[full]), len(chosen)).astype(np.int32))
+            places = pa.array((chosen - bounds[lines.doc[chosen]]).astype(np.int32))
+            rows = pa.array(full + first)
+            columns = [batch.column(0).take(rows), batch.column(1).take(rows)]
+            columns += [pa.ListArray.from_arrays(edges, pa.array(signed(x))) for x in (lines.hash, lines.other)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(cuts, places)], names=[c.split()[0] for c in _LINES.split(", ")])
+
+    return mapped(docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("digest"), F.col("text").cast("string")), run, _LINES)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """The documents with ``digest``, a hash of the text that tells rows of one doc_id apart."""
-    return docs.withColumn("digest", F.xxhash64("text"))
+def _occurrences(lines: DataFrame, at: Column, width: int = 1) -> DataFrame:
+    """A row per place of ``at``: doc_id, digest, place, fingerprint, check, and the hashes of the ``width`` - 1 lines before and after."""
 
+    def row(i: Column) -> Column:
+        sides = [F.get("hashes", i + d) for d in (*range(-1, -width, -1), *range(1, width))]
+        around = [F.array(*sides).alias("around")] if sides else []
+        return F.struct(i.alias("place"), F.get("hashes", i).alias("fingerprint"), F.get("others", i).alias("check"), *around)
 
-def fingerprints(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """One row per window: its lines, its fingerprint, and hashes of the lines around it."""
+    return lines.select(*_DOC, F.inline(F.transform(at, row)))
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for first, _, data, offsets in text_chunks(batch.column(2)):
-            lines = Lines(data, offsets)
-            a, b = lines.windows(least)
-            if not len(a):
-                continue
-            place, best = a.copy(), lines.hash[a]
-            for step in range(1, int((b - a).max()) + 1):  # the smallest hash, window by window
-                at = np.minimum(a + step, b)
-                smaller = lines.hash[at] <= best
-                place, best = np.where(smaller, at, place), np.where(smaller, lines.hash[at], best)
-            around = PrefixHash(lines.hash, WORD_BASE).slices(a, b + 1) + mix((place - a).astype(np.uint64))
-            check = PrefixHash(lines.other, BYTE_BASE).slices(a, b + 1)
-            rows = pa.array(lines.doc[a] + first)
-            columns = [batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array(signed(x)) for x in (lines.line[a], lines.line[b] - lines.line[a] + 1, best, around, check))]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _FOUND.split(", ")])
-
-    return mapped(keyed(docs).select(F.col("doc_id").cast("long"), "digest", F.col("text").cast("string")), run, _FOUND)
-
-
-def later_windows(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """Windows that occur earlier too: (doc_id, digest, line, lines)."""
-    windows = fingerprints(docs, least)
-    key = ["fingerprint", "around", "check"]
-    where = F.struct("doc_id", "digest", "line")
-    firsts = windows.groupBy(*key).agg(F.min(where).alias("first"), F.max(where).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
-    firsts, _ = Scratch(docs.sparkSession).store(firsts.select(*key, "first"), "firsts")  # stored, so that a skewed join can be split
-    return windows.join(firsts, key).where(where > F.col("first")).select("doc_id", "digest", "line", "lines")
-
-
-def _cut(docs: DataFrame, least: int) -> DataFrame:
+
+def _where() -> Column:
+    return F.struct(*_DOC, "place")
+
+
+def _later(rows: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """Occurrences that are not the first of their fingerprint, with that one as ``first``."""
+    carried = [c for c in ("around",) if c in rows.columns]
+    ends = rows.groupBy(*_KEY).agg(F.min(F.struct(*_DOC, "place", *carried)).alias("first"), F.max(_where()).alias("last"))
+    first = F.struct(*[F.col("first")[c].alias(c) for c in (*_DOC, "place")])
+    firsts, _ = scratch.store(ends.where(~first.eqNullSafe(F.col("last"))).drop("last"), label)  # stored, so that a skewed join can be split
+    return rows.join(firsts, _KEY).where(_where() > first)
+
+
+def _agreeing(offset: int, reach: int) -> Column:
+    """How many of the ``reach`` lines on one side, from the place outwards, are equal in both surroundings."""
+    differ = [~F.coalesce(F.get("around", F.lit(offset + k)) == F.get("first.around", F.lit(offset + k)), F.lit(False)) for k in range(reach)]
+    return reduce(lambda rest, k: F.when(differ[k], k).otherwise(rest), reversed(range(reach)), F.lit(reach))
+
+
+def later_runs(lines: DataFrame, scratch: Scratch, width: int = WINDOW) -> DataFrame:
+    """Runs of lines that occur earlier too, as far as selected places tell: (doc_id, digest, low, high), counted without blank lines."""
+    matched = _later(_occurrences(lines, F.col("places"), width), scratch, "places")
+    return matched.select(*_DOC, (F.col("place") - _agreeing(0, width - 1)).alias("low"), (F.col("place") + _agreeing(width - 1, width - 1)).alias("high"))
+
+
+def _repeated(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, digest, repeated): the lines of a document that go, counted without blank lines."""
+    scratch = Scratch(docs.sparkSession)
+    lines, _ = scratch.store(line_hashes(docs, width), "lines")
+    runs = later_runs(lines, scratch, width).groupBy(*_DOC).agg(F.collect_set(F.struct("low", "high")).alias("runs"))
+    covered = runs.select(*_DOC, F.array_distinct(F.flatten(F.transform("runs", lambda x: F.sequence(x["low"], x["high"])))).alias("repeated"))
+    covered, _ = scratch.store(covered, "covered")
+    of = covered.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "repeated")
+    open_ = lines.drop("places").join(of, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("digest") == F.col("_digest")), "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("hashes") - 1), F.coalesce("repeated", F.array().cast("array<int>")))
+    single = _later(_occurrences(open_, left), scratch, "singles").groupBy(*_DOC).agg(F.collect_set("place").alias("repeated"))
+    both = covered.unionByName(single).groupBy(*_DOC).agg(F.flatten(F.collect_list("repeated")).alias("repeated"))
+    return both
+
+
+def _cut(docs: DataFrame, width: int) -> DataFrame:
     """(row: the whole document, text: what is left of it, lines, gone: numbers of the lines that go)."""
-    gone = later_windows(docs, least).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("line", "lines")).alias("found"))
-    covered = F.array_distinct(F.flatten(F.transform("found", lambda x: F.sequence(x["line"], x["line"] + x["lines"] - 1))))
-    gone = gone.select(F.col("doc_id").alias("of"), F.col("digest").alias("like"), covered.alias("covered"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("whole"), F.xxhash64("text").alias("digest"))
+    gone = _repeated(docs, width).select(F.col("doc_id").alias("of"), F.col("digest").alias("like"), "repeated")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("digest"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("like")), "left")
-    split = joined.withColumn("lines", F.split("whole", "\n", -1))
-    # lines of white space between two covered ones are in no window's text and stay
-    solid = F.filter("covered", lambda i: F.get(F.col("lines"), i.cast("int")).rlike("[^\\x20\\x09-\\x0D]"))
-    split = split.withColumn("gone", F.coalesce(solid, F.array().cast("array<long>")))
-    every = F.sequence(F.lit(0).cast("long"), (F.size("lines") - 1).cast("long"))
-    kept = F.array_join(F.transform(F.array_except(every, F.col("gone")), lambda i: F.get(F.col("lines"), i.cast("int"))), "\n")
-    return split.select("row", F.when(F.size("gone") > 0, kept).otherwise(F.col("whole")).alias("text"), "lines", "gone")
+    whole = F.col("row")["text"].cast("string")
+    split = joined.withColumn("lines", F.split(whole, "\n", -1))
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    solid = F.filter(every, lambda i: F.get(F.col("lines"), i).rlike("[^\\x20\\x09-\\x0D]"))
+    numbered = split.withColumn("solid", F.when(F.col("repeated").isNotNull(), solid))
+    numbered = numbered.withColumn("gone", F.coalesce(F.transform("repeated", lambda i: F.get(F.col("solid"), i)), F.array().cast("array<int>")))
+    kept = F.array_join(F.transform(F.array_except(every, F.col("gone")), lambda i: F.get(F.col("lines"), i)), "\n")
+    return numbered.select("row", F.when(F.size("gone") > 0, kept).otherwise(whole).alias("text"), "lines", "gone")
 
 
-def dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """doc_id, text without the lines that repeat earlier ones, n_lines before, n_removed of them.
 
     Rows with equal doc_id and text are one document and each keep the same lines. Nulls in doc_id come before all ids. A null
     text stays null and has no lines; an empty text has one line. Further columns are not read.
     """
-    return _cut(docs.select("doc_id", "text"), least).select(
+    return _cut(docs.select("doc_id", "text"), width).select(
         "row.doc_id",
         "text",
         F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
@@ -132,12 +181,12 @@ def dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """The documents, all columns, with what ``dedup`` leaves of their texts; ``n_chars``, if there, follows the text.
 
     Documents that lost all their lines go.
     """
-    out = _cut(docs, least).where((F.size("gone") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    out = _cut(docs, width).where((F.size("gone") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     own = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         own["n_chars"] = F.when(F.size("gone") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)

@@ -1,5 +1,6 @@
 """Line, byte-string and word-sequence removal against plain definitions."""
 
+import random
 import re
 from collections import Counter
 
@@ -72,6 +73,49 @@ def test_short_lines_between_differing_neighbours(spark):
     assert got[10] == ("", 1) and got[11] == ("Home\nhere", 1) and got[12] == ("home", 0)
 
 
+def test_selected_places():
+    """Windows select as a plain loop does, and every run of a window's length that two documents share has a common place."""
+    rng = random.Random(8)
+    shared = [f"shared {k}" for k in range(9)]
+    texts = []
+    for n in (0, 1, 2, 3, 4, 5, 20, 60):
+        own = [f"own {rng.randrange(99)}" if rng.random() < 0.9 else " " for _ in range(n)]
+        texts.append("\n".join(own[: n // 2] + shared[: 9 if n > 4 else 0] + own[n // 2 :]).encode())
+    lines = line_dedup.Lines(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    chosen = set(lines.selected(4).tolist())
+    want = set()
+    for d in range(len(texts)):
+        own = np.flatnonzero(lines.doc == d).tolist()
+        for k in range(max(1, len(own) - 3) if own else 0):
+            window = own[k : k + 4]
+            want.add(max(window, key=lambda i: (-int(lines.hash[i]), i)))
+    assert chosen == want
+    runs = [{int(lines.hash[i]) for i in chosen if lines.doc[i] == d} for d in (5, 6, 7)]
+    hashes = [[int(h) for h in lines.hash[lines.doc == d]] for d in (5, 6, 7)]
+    common = [h for h in hashes[0] if h in hashes[1] and h in hashes[2]]
+    assert len(common) >= 9 and set(common) & runs[0] & runs[1] & runs[2]
+
+
+def test_runs_are_found_by_places_and_extension(spark):
+    """Runs of a window's length or more are whole after extension; shorter ones are left to the second step."""
+    from earshot.llm.common import Scratch
+
+    run = [f"line {k} of the run" for k in range(15)]
+    rows = [(1, "\n".join(["a", *run, "b"])), (2, "\n".join(["c", "d", *run[:7], " ", *run[7:], "e", "f", "g"])), (3, "\n".join(["h", *run[3:7], "i"])), (4, "\n".join(["j", "k", run[5], "l"]))]
+    lines = line_dedup.line_hashes(spark.createDataFrame(rows, "doc_id long, text string"))
+    covered = {}
+    for r in line_dedup.later_runs(lines, Scratch(spark)).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.low, r.high + 1))
+    assert covered[2] == set(range(2, 17)) and covered[3] == {1, 2, 3, 4} and 1 not in covered
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 15, 3: 4, 4: 1}
+
+
+@pytest.mark.parametrize("width", [1, 2, 6])
+def test_lines_by_any_window(docs, width):
+    assert sorted(map(str, line_dedup.dedup(docs, width).collect())) == sorted(map(str, line_dedup.dedup(docs).collect()))
+
+
 def test_lines_keep_columns(docs, empty):
     out = line_dedup.keep_first(docs)
     assert out.schema == docs.schema
