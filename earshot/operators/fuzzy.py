@@ -356,7 +356,7 @@ def fuzzy_duplicate_map(
     near = persist_table(nearest_known(asked, known, min_cosine, neighbours, cells, block_rows), "fuzzy-near")
     whole = skew_join(near, texts, ["KnownCommentId"]).join(new.select("CommentId", "SurveyComment"), "CommentId")
     sure = whole.filter(~short).join(spelled, ["CommentId", "KnownCommentId"], "left_semi")
-    tried = whole.filter(short).filter(F.levenshtein("SurveyComment", "SurveyCommentDeduped", max_edits) >= 0)
+    tried = whole.filter(short).filter(edit_join.spelled_alike("SurveyComment", "SurveyCommentDeduped", max_edits))
     row = F.struct("KnownCommentId", "SurveyComment", "SurveyCommentDeduped")
     return (
         sure.unionByName(tried.select(*sure.columns))

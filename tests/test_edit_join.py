@@ -1,6 +1,7 @@
 """The spelling join against the edit distance of every pair, and the search inside a block."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -102,3 +103,27 @@ def test_long_comments_ask_for_vectors_only_when_spelled_alike(spark, monkeypatc
     assert sorted(map(tuple, got)) == sorted(map(tuple, plain)) and len(got) > 30
     short = sum(len(t) < edit_join.least_length(15) for t in new)
     assert asked[1] == len(new) and asked[0] <= short + 60
+
+
+@pytest.mark.parametrize("limit", [0, 1, 4, 15, 40])
+def test_diagonals_equal_the_table(limit):
+    rng = random.Random(limit)
+    say = lambda n: "".join(rng.choice("abé ") for _ in range(n))
+    texts = [say(rng.randint(0, 120)) for _ in range(150)]
+    pairs = [(t, edited(rng, t, rng.randint(0, limit + 4))) for t in texts] + [(t, say(len(t))) for t in texts]
+    got = [edit_join.within_edits(a.encode(), b.encode(), limit) for a, b in pairs]
+    assert got == [distance(a, b, limit) is not None for a, b in pairs] and any(got) and not all(got)
+
+
+def test_long_texts_cost_their_length(spark):
+    """A table of a pair of 300,000 characters takes minutes."""
+    rng = random.Random(5)
+    known = ["".join(rng.choices("abcdefgh é", k=300_000)) for _ in range(16)]
+    near = [t[3:70] + "zz" + t[75:] + "!!" for t in known]
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "i int, a string")
+    both = frame(known).join(frame(near).withColumnRenamed("a", "b"), "i")
+    both = both.withColumn("c", F.concat(F.substring("b", 1, 299_000), F.repeat(F.lit("-"), 999)))
+    start = time.monotonic()
+    assert both.filter(edit_join.spelled_alike("a", "b", 15)).count() == 16
+    assert both.filter(edit_join.spelled_alike("a", "c", 15)).count() == 0
+    assert time.monotonic() - start < 60
