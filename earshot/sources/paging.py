@@ -28,17 +28,17 @@ def with_pages(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "Page") ->
 
 
 def store_pages(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "Page") -> DataFrame:
-    """``with_pages``, numbered once and stored in that order: reading a page skips the files of the others."""
+    """``with_pages``, numbered once and stored with a folder for each page: reading a page lists and opens its own files only."""
     ordered = with_pages(df, page_size, name).repartitionByRange("RowNumber").sortWithinPartitions("RowNumber")
-    return persist_table(ordered, "pages")
+    return persist_table(ordered, "pages", [name])
 
 
-def each_page(paged: DataFrame, page_size: int = PAGE_SIZE) -> Iterator[DataFrame]:
-    """The pages in order, until one is empty."""
-    offset = 0
-    while not (page := read_page(paged, offset, page_size)).isEmpty():
-        yield page
-        offset += page_size
+def each_page(paged: DataFrame, page_size: int = PAGE_SIZE, name: str = "Page") -> Iterator[DataFrame]:
+    """The pages in order. Folders of the pages that ``paged`` was numbered with (``name``) are skipped, also for another ``page_size``."""
+    rows, stored = paged.agg(F.max("RowNumber"), F.count_if(F.col(name) == 0)).first()
+    for offset in range(0, rows or 0, page_size):
+        held = F.col(name).between(offset // stored, (offset + page_size - 1) // stored)
+        yield read_page(paged, offset, page_size).filter(held)
 
 
 def read_page(paged: DataFrame, offset: int, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -64,6 +64,18 @@ def test_pages_end(spark):
     assert sizes == [10, 10, 5, 0]
 
 
+def test_a_stored_page_opens_its_own_files(spark):
+    paged = paging.store_pages(spark.range(0, 95, 1, 4).select(F.col("id").cast("string").alias("k")), 10)
+    pages = list(paging.each_page(paged, 10))
+    assert [p.count() for p in pages] == [10] * 9 + [5]
+    files = [{r[0] for r in p.select(F.input_file_name()).distinct().collect()} for p in pages]
+    assert all("Page=%d/" % i in f for i, fs in enumerate(files) for f in fs)
+    assert all("PartitionFilters: [isnotnull(Page" in p._jdf.queryExecution().toString() for p in pages)
+    other = list(paging.each_page(paged, 7))
+    assert [sorted(r["RowNumber"] for r in p.collect()) for p in other] == [list(range(o + 1, min(o + 8, 96))) for o in range(0, 95, 7)]
+    assert list(paging.each_page(paging.store_pages(spark.createDataFrame([], "k string")))) == []
+
+
 def test_change_set_round_trip_with_null_keys(spark):
     schema = "f string, n long, d int"
     before = spark.createDataFrame([("1", 0, 5), ("2", None, 5), ("3", 0, 5)], schema)
