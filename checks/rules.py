@@ -66,9 +66,13 @@ def rule_labels(
     keyed: DataFrame, label_type: str, iteration: int = 0, error_every: int = 97
 ) -> DataFrame:
     """Completions that answer with :func:`noisy_label`; round 1 answers differently."""
-    prompts = _distinct_prompts(keyed, ["Segment"])
-    failed = F.length("Segment") % error_every == 0
-    return _completions(prompts, _answer(noisy_label(label_type, iteration), failed, F.lit(False)))
+    # Answered before prompts are made distinct: an answer is shorter than its segment.
+    told = keyed.select(
+        "PromptId", noisy_label(label_type, iteration).alias("_told"),
+        (F.length("Segment") % error_every == 0).alias("_failed"),
+    )
+    prompts = _distinct_prompts(told, ["_told", "_failed"])
+    return _completions(prompts, _answer(F.col("_told"), F.col("_failed"), F.lit(False)))
 
 
 def validation_text(label: Column) -> Column:
