@@ -153,18 +153,37 @@ def _repeated(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _cut(docs: DataFrame, width: int) -> DataFrame:
-    """(row: the whole document, text: what is left of it, lines, gone: numbers of the lines that go)."""
+    """(row: the whole document, text: what is left of it, n_lines, n_removed).
+
+    Every step's arrays are bound to a lambda's variable and the result leaves through ``inline``: Spark would copy a column that is read
+    inside a lambda, or by a filter, into it, and then split the text again for every line.
+    """
     gone = _repeated(docs, width).select(F.col("doc_id").alias("of"), F.col("digest").alias("like"), "repeated")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("digest"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("like")), "left")
     whole = F.col("row")["text"].cast("string")
-    split = joined.withColumn("lines", F.split(whole, "\n", -1))
-    every = F.sequence(F.lit(0), F.size("lines") - 1)
-    solid = F.filter(every, lambda i: F.get(F.col("lines"), i).rlike("[^\\x20\\x09-\\x0D]"))
-    numbered = split.withColumn("solid", F.when(F.col("repeated").isNotNull(), solid))
-    numbered = numbered.withColumn("gone", F.coalesce(F.transform("repeated", lambda i: F.get(F.col("solid"), i)), F.array().cast("array<int>")))
-    kept = F.array_join(F.transform(F.array_except(every, F.col("gone")), lambda i: F.get(F.col("lines"), i)), "\n")
-    return numbered.select("row", F.when(F.size("gone") > 0, kept).otherwise(whole).alias("text"), "lines", "gone")
+
+    def every(lines: Column) -> Column:
+        return F.sequence(F.lit(0), F.size(lines) - 1)
+
+    def placed(d: Column) -> Column:
+        solid = F.filter(every(d["lines"]), lambda i: F.get(d["lines"], i).rlike("[^\\x20\\x09-\\x0D]"))
+        return F.struct(d["whole"].alias("whole"), d["lines"].alias("lines"), d["repeated"].alias("repeated"), F.when(d["repeated"].isNotNull(), solid).alias("solid"))
+
+    def numbered(d: Column) -> Column:
+        lost = F.coalesce(F.transform(d["repeated"], lambda i: F.get(d["solid"], i)), F.array().cast("array<int>"))
+        return F.struct(d["whole"].alias("whole"), d["lines"].alias("lines"), lost.alias("gone"))
+
+    def left(d: Column) -> Column:
+        kept = F.array_join(F.transform(F.array_except(every(d["lines"]), d["gone"]), lambda i: F.get(d["lines"], i)), "\n")
+        return F.struct(
+            F.when(F.size(d["gone"]) > 0, kept).otherwise(d["whole"]).alias("text"),
+            F.when(d["whole"].isNull(), 0).otherwise(F.size(d["lines"])).cast("long").alias("n_lines"),
+            F.size(d["gone"]).cast("long").alias("n_removed"),
+        )
+
+    one = F.array(F.struct(whole.alias("whole"), F.split(whole, "\n", -1).alias("lines"), "repeated"))
+    return joined.select("row", F.inline(reduce(F.transform, (placed, numbered, left), one)))
 
 
 def dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -173,12 +192,7 @@ def dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     Rows with equal doc_id and text are one document and each keep the same lines. Nulls in doc_id come before all ids. A null
     text stays null and has no lines; an empty text has one line. Further columns are not read.
     """
-    return _cut(docs.select("doc_id", "text"), width).select(
-        "row.doc_id",
-        "text",
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
-        F.size("gone").cast("long").alias("n_removed"),
-    )
+    return _cut(docs.select("doc_id", "text"), width).select("row.doc_id", "text", "n_lines", "n_removed")
 
 
 def keep_first(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -186,10 +200,10 @@ def keep_first(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 
     Documents that lost all their lines go.
     """
-    out = _cut(docs, width).where((F.size("gone") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    out = _cut(docs, width).where((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     own = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        own["n_chars"] = F.when(F.size("gone") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
     return out.select(*[own[c].alias(c) if c in own else F.col("row")[c].alias(c) for c in docs.columns])
 
 

@@ -63,6 +63,15 @@ def test_lines(docs, corpus):
     assert sum(r[3] for r in got) > 20
 
 
+def test_lines_split_each_text_once(spark):
+    body = "\n".join(f"line {i}" for i in range(50))
+    docs = spark.createDataFrame([(1, body, 0), (2, f"{body}\nown", 0), (3, body, 0), (4, None, 0)], "doc_id long, text string, n_chars long")
+    for out, want in ((line_dedup.keep_first(docs), [(1, body), (2, "own"), (4, None)]), (line_dedup.dedup(docs), [(1, body), (2, "own"), (3, ""), (4, None)])):
+        # A text split inside a lambda or a filter would be split again for each of its lines.
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+        assert sorted((r.doc_id, r.text) for r in out.collect()) == want
+
+
 def test_short_lines_between_differing_neighbours(spark):
     """A repeated line goes however short it is, and whatever stands around it."""
     rows = [(k, f"opening number {k}\nAll rights reserved.\n\nclosing words of number {k} that differ from all others") for k in range(4)]
