@@ -5,8 +5,9 @@ a close partner look for their nearest known comments by vector, as short commen
 
 Vectors are searched through a tree of cells. Known vectors are split around a bounded number of pivots; cells that are still too
 large for a task are split again around pivots of their own, which are sampled, joined and assigned in Spark, so their number
-grows with the known side and never visits the driver. A new vector is sent to every cell that can hold a vector within the
-cosine limit (geometric bounds rule the others out); what is still crowded, such as copies, is cut into blocks. Inside a task a block
+grows with the known side and never visits the driver. A new vector first meets a block of its own cell; if that holds as many neighbours
+as are wanted, the last one's cosine is the vector's limit from then on. It is sent to every cell that can hold a vector within its
+limit (geometric bounds rule the others out); what is still crowded, such as copies, is cut into blocks. Inside a task a block
 is split once more, and a new vector's nearest ones so far raise its limit, so that most of the block is never compared.
 A task emits only the best few neighbours per new comment, so neither a crowded cell nor a crowd of near copies is ever
 emitted as pairs.
@@ -46,6 +47,8 @@ SLICE_ROWS = 512
 LOCAL_ROWS = 64
 # Slack that keeps rounding from ruling out a cell.
 SLACK = 1e-6
+# What rounding a cosine to nine digits can add to it, with some to spare.
+ROUNDED = 1e-9
 
 
 def unit_rows(vectors: pd.Series) -> np.ndarray:
@@ -56,17 +59,18 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
 
 
 def reachable_cells(
-    vectors: np.ndarray, pivots: np.ndarray, radius: np.ndarray, min_cosine: float
+    vectors: np.ndarray, pivots: np.ndarray, radius: np.ndarray, min_cosine: float | np.ndarray
 ) -> np.ndarray:
-    """Mask (vector, cell) of cells that may hold a vector with the wanted cosine.
+    """Mask (vector, cell) of cells that may hold a vector with the wanted cosine (one for all or one each).
 
     A cell holds vectors nearest to its pivot and within ``radius`` (an angle) of it. Ruled out
     are cells farther than radius plus the limit's angle, and cells whose dividing plane to the
     vector's own cell is farther away than the limit's chord.
     """
     dots = vectors @ pivots.T
-    angle = np.arccos(np.clip(min_cosine, -1.0, 1.0))
-    chord = np.sqrt(max(0.0, 2.0 * (1.0 - min_cosine)))
+    least = np.broadcast_to(min_cosine, len(vectors))[:, None]
+    angle = np.arccos(np.clip(least, -1.0, 1.0))
+    chord = np.sqrt(np.maximum(0.0, 2.0 * (1.0 - least)))
     near = dots.argmax(axis=1)
     squares = (pivots**2).sum(axis=1)
     apart = squares[:, None] + squares[None, :] - 2.0 * (pivots @ pivots.T)
@@ -76,7 +80,7 @@ def reachable_cells(
     mask = behind_plane & within & (radius >= 0)[None, :]
     # A zero vector has cosine 0 with everything, which geometry does not cover.
     zero = ~vectors.any(axis=1)
-    mask[zero] = min_cosine <= 0
+    mask[zero] = least[zero] <= 0
     return mask
 
 
@@ -97,9 +101,9 @@ def best_columns(values: np.ndarray, least: float | np.ndarray, most: int) -> tu
 
 
 def nearest_within(
-    rows: np.ndarray, columns: np.ndarray, least: float, most: int
+    rows: np.ndarray, columns: np.ndarray, least: float | np.ndarray, most: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(row, column, cosine) of each row's nearest ``most`` columns within the limit, and how many pairs were compared.
+    """(row, column, cosine) of each row's nearest ``most`` columns within the limit (one for all or one each), and how many pairs were compared.
 
     Vectors are of length one or zero; cosines are rounded, ties go to the first column. Columns are split around every so many-th
     of them. A row first meets the cell it is nearest to; its ``most``-th cosine there is its limit for the others.
@@ -113,7 +117,7 @@ def nearest_within(
     order = np.argsort(home, kind="stable")
     bounds = np.searchsorted(home[order], np.arange(count + 1))
     inside = [order[bounds[c] : bounds[c + 1]] for c in range(count)]
-    limit, compared, found = np.full(len(rows), float(least)), rows.shape[0] * count + columns.shape[0] * count, []
+    limit, compared, found = np.array(np.broadcast_to(least, len(rows)), dtype=float), rows.shape[0] * count + columns.shape[0] * count, []
 
     def meet(c: int, who: np.ndarray) -> None:
         nonlocal compared
@@ -168,18 +172,20 @@ def _homes(known: DataFrame, pivots: np.ndarray) -> DataFrame:
     )
 
 
-def _visits(new: DataFrame, pivots: np.ndarray, radius: np.ndarray, min_cosine: float) -> DataFrame:
+def _visits(new: DataFrame, pivots: np.ndarray, radius: np.ndarray) -> DataFrame:
+    """(CommentId, Vector, Limit, Cell): the cells that can hold a vector within the row's limit."""
+
     def list_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), SLICE_ROWS):
                 part = frame.iloc[start : start + SLICE_ROWS]
-                mask = reachable_cells(unit_rows(part["Vector"]), pivots, radius, min_cosine)
-                yield _frame(part, Cells=[np.nonzero(m)[0].astype("int32") for m in mask])
+                mask = reachable_cells(unit_rows(part["Vector"]), pivots, radius, part["Limit"].to_numpy() - ROUNDED)
+                yield _frame(part, Limit=part["Limit"].to_numpy(), Cells=[np.nonzero(m)[0].astype("int32") for m in mask])
 
-    listed = new.select("CommentId", "Vector").mapInPandas(
-        list_cells, "CommentId string, Vector array<double>, Cells array<int>"
+    listed = new.select("CommentId", "Vector", "Limit").mapInPandas(
+        list_cells, "CommentId string, Vector array<double>, Limit double, Cells array<int>"
     )
-    return listed.select("CommentId", "Vector", F.explode("Cells").alias("Cell"))
+    return listed.select("CommentId", "Vector", "Limit", F.explode("Cells").alias("Cell"))
 
 
 def _split(homes: DataFrame, crowded: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -216,37 +222,99 @@ def _split(homes: DataFrame, crowded: DataFrame, block_rows: int) -> tuple[DataF
     return out, persist_table(reach.join(pivots, ["Cell", "Sub"], "left").select("Cell", "Sub", "Pivot", "Radius"), "fuzzy-leaves")
 
 
-def _sub_visits(visits: DataFrame, leaves: DataFrame, min_cosine: float, block_rows: int) -> DataFrame:
-    """Visits to crowded cells become visits to the cells inside that can hold a vector within the limit."""
+def _sub_visits(visits: DataFrame, leaves: DataFrame, block_rows: int) -> DataFrame:
+    """Visits to crowded cells become visits to the cells inside that can hold a vector within the row's limit."""
     load = visits.groupBy("Cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("Pieces"))
     cut = visits.join(load, "Cell").withColumn("Piece", F.pmod(F.xxhash64("CommentId"), F.col("Pieces")).cast("int"))
     copied = leaves.join(load, "Cell").withColumn("Piece", F.explode(F.sequence(F.lit(0), F.col("Pieces") - 1)))
-    limit = float(np.arccos(np.clip(min_cosine, -1.0, 1.0)))
 
     def choose(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        parts = [pd.DataFrame({"CommentId": [], "Vector": [], "Cell": [], "Sub": []}).astype({"CommentId": object, "Vector": object, "Cell": "int32", "Sub": object})]
+        parts = [pd.DataFrame({"CommentId": [], "Vector": [], "Limit": [], "Cell": [], "Sub": []}).astype({"CommentId": object, "Vector": object, "Cell": "int32", "Sub": object})]
         names = theirs["Sub"].to_numpy(dtype=object)
         bare = theirs["Pivot"].isna().to_numpy()
         pivots = unit_rows(theirs["Pivot"][~bare]) if (~bare).any() else None
         for start in range(0, len(mine), SLICE_ROWS):
             part = mine.iloc[start : start + SLICE_ROWS]
-            rows = unit_rows(part["Vector"])
+            rows, least = unit_rows(part["Vector"]), part["Limit"].to_numpy() - ROUNDED
+            limit = np.arccos(np.clip(least, -1.0, 1.0))
             mask = np.ones((len(part), len(theirs)), dtype=bool)
             if pivots is not None:
                 angle = np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
-                mask[:, ~bare] = angle <= theirs["Radius"].to_numpy()[~bare][None, :] + limit + SLACK
-            mask[~rows.any(axis=1)] = min_cosine <= 0
+                mask[:, ~bare] = angle <= theirs["Radius"].to_numpy()[~bare][None, :] + limit[:, None] + SLACK
+            zero = ~rows.any(axis=1)
+            mask[zero] = least[zero, None] <= 0
             i, j = np.nonzero(mask)
-            parts.append(_frame(part.iloc[i].reset_index(drop=True), Cell=part["Cell"].to_numpy()[i].astype("int32"), Sub=pd.Series(names[j], dtype=object)))
+            parts.append(_frame(part.iloc[i].reset_index(drop=True), Limit=part["Limit"].to_numpy()[i], Cell=part["Cell"].to_numpy()[i].astype("int32"), Sub=pd.Series(names[j], dtype=object)))
         return pd.concat(parts, ignore_index=True)
 
     return (
-        cut.select("Cell", "Piece", "CommentId", "Vector").groupBy("Cell", "Piece")
+        cut.select("Cell", "Piece", "CommentId", "Vector", "Limit").groupBy("Cell", "Piece")
         .cogroup(copied.select("Cell", "Piece", "Sub", "Pivot", "Radius").groupBy("Cell", "Piece"))
-        .applyInPandas(choose, "CommentId string, Vector array<double>, Cell int, Sub string")
+        .applyInPandas(choose, "CommentId string, Vector array<double>, Limit double, Cell int, Sub string")
+    )
+
+
+def _compared(homes: DataFrame, visits: DataFrame, neighbours: int, block_rows: int) -> DataFrame:
+    """(CommentId, KnownCommentId, Cosine): the nearest known comments of each visit's cell, block by block, within the visit's limit."""
+    leaf = ["Cell", "Sub"]
+    cut = lambda n: F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(n)
+    cuts = persist_table(homes.groupBy(*leaf).agg(cut("KnownCuts")).join(visits.groupBy(*leaf).agg(cut("NewCuts")), leaf), "fuzzy-cuts")
+    piece = F.xxhash64("CommentId")
+    known_blocks = (
+        homes.join(cuts, leaf)
+        .withColumn("KnownBlock", F.pmod(piece, F.col("KnownCuts")).cast("int"))
+        .withColumn("NewBlock", F.explode(F.sequence(F.lit(0), F.col("NewCuts") - 1)))
+        .select(*leaf, "KnownBlock", "NewBlock", "CommentId", "Vector")
+    )
+    new_blocks = (
+        visits.join(cuts, leaf)
+        .withColumn("NewBlock", F.pmod(piece, F.col("NewCuts")).cast("int"))
+        .withColumn("KnownBlock", F.explode(F.sequence(F.lit(0), F.col("KnownCuts") - 1)))
+        .select(*leaf, "KnownBlock", "NewBlock", "CommentId", "Vector", "Limit")
+    )
+
+    def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"CommentId": [], "KnownCommentId": [], "Cosine": []}).astype({"CommentId": object, "KnownCommentId": object})]
+        if len(mine) and len(theirs):
+            theirs = theirs.sort_values("CommentId", kind="stable")
+            ids = mine["CommentId"].to_numpy(dtype=object)
+            others = theirs["CommentId"].to_numpy(dtype=object)
+            columns = unit_rows(theirs["Vector"])
+            for start in range(0, len(mine), SLICE_ROWS):
+                part = mine.iloc[start : start + SLICE_ROWS]
+                i, j, value, _ = nearest_within(unit_rows(part["Vector"]), columns, part["Limit"].to_numpy(), neighbours)
+                if len(i):
+                    out.append(pd.DataFrame({"CommentId": ids[start + i], "KnownCommentId": others[j], "Cosine": value}))
+        return pd.concat(out, ignore_index=True)
+
+    keys = [*leaf, "KnownBlock", "NewBlock"]
+    return (
+        new_blocks.groupBy(*keys)
+        .cogroup(known_blocks.groupBy(*keys))
+        .applyInPandas(compare, "CommentId string, KnownCommentId string, Cosine double")
     )
 
 
+def _limits(new: DataFrame, homes: DataFrame, pivots: np.ndarray, sizes: dict[int, int], min_cosine: float, neighbours: int, block_rows: int) -> DataFrame:
+    """(CommentId, Vector, Limit): the new comments with the cosine that their nearest ones reach.
+
+    It is that of the last wanted neighbour in a block of the comment's own cell, so the nearest of all are no farther away, or the limit
+    for all where the block does not hold so many.
+    """
+    crowded = [(c, -(-n // block_rows)) for c, n in sizes.items() if n > block_rows]
+    drawn = homes.withColumn("Sub", F.lit(""))
+    if crowded:
+        pieces = F.broadcast(new.sparkSession.createDataFrame(crowded, "Cell int, Pieces int"))
+        first = F.pmod(F.xxhash64("CommentId", F.lit("limit")), F.coalesce("Pieces", F.lit(1))) == 0
+        drawn = drawn.join(pieces, "Cell", "left").filter(first).drop("Pieces")
+    asked = _homes(new, pivots).select("CommentId", "Vector", F.lit(float(min_cosine)).alias("Limit"), "Cell", F.lit("").alias("Sub"))
+    met = _compared(drawn, persist_table(asked, "fuzzy-asked"), neighbours, block_rows)
+    order = Window.partitionBy("CommentId").orderBy(F.desc("Cosine"))
+    last = met.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") == neighbours)
+    limits = persist_table(last.select("CommentId", F.col("Cosine").alias("_reached")), "fuzzy-limits")
+    return new.join(limits, "CommentId", "left").select("CommentId", "Vector", F.greatest(F.col("_reached") - 2 * ROUNDED, F.lit(float(min_cosine))).alias("Limit"))
+
+
 def nearest_known(
     new: DataFrame,
     known: DataFrame,
@@ -276,53 +344,19 @@ def nearest_known(
     reach = homes.groupBy("Cell").agg(F.max("Angle").alias("r"), F.count(F.lit(1)).alias("n")).toPandas()
     radius = np.full(len(pivots), -1.0)
     radius[reach["Cell"]] = reach["r"]
-    visits = persist_table(_visits(new, pivots, radius, min_cosine), "fuzzy-visits")
+    sizes = {int(c): int(n) for c, n in zip(reach["Cell"], reach["n"])}
+    limited = _limits(new, homes, pivots, sizes, min_cosine, neighbours, block_rows)
+    visits = persist_table(_visits(limited, pivots, radius), "fuzzy-visits")
     homes, visits = homes.withColumn("Sub", F.lit("")), visits.withColumn("Sub", F.lit(""))
-    large = [(int(c), int(n)) for c, n in zip(reach["Cell"], reach["n"]) if n > block_rows]
+    large = [(c, n) for c, n in sizes.items() if n > block_rows]
     if large:
         crowded = spark.createDataFrame(large, "Cell int, Size long")
         names = crowded.select("Cell")
         subs, leaves = _split(homes.drop("Sub"), crowded, block_rows)
-        inner = _sub_visits(visits.drop("Sub").join(F.broadcast(names), "Cell", "left_semi"), leaves, min_cosine, block_rows)
+        inner = _sub_visits(visits.drop("Sub").join(F.broadcast(names), "Cell", "left_semi"), leaves, block_rows)
         homes = homes.join(F.broadcast(names), "Cell", "left_anti").unionByName(subs)
         visits = persist_table(visits.join(F.broadcast(names), "Cell", "left_anti").unionByName(inner), "fuzzy-sub-visits")
-    leaf = ["Cell", "Sub"]
-    cut = lambda n: F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(n)
-    cuts = persist_table(homes.groupBy(*leaf).agg(cut("KnownCuts")).join(visits.groupBy(*leaf).agg(cut("NewCuts")), leaf), "fuzzy-cuts")
-    piece = F.xxhash64("CommentId")
-    known_blocks = (
-        homes.join(cuts, leaf)
-        .withColumn("KnownBlock", F.pmod(piece, F.col("KnownCuts")).cast("int"))
-        .withColumn("NewBlock", F.explode(F.sequence(F.lit(0), F.col("NewCuts") - 1)))
-        .select(*leaf, "KnownBlock", "NewBlock", "CommentId", "Vector")
-    )
-    new_blocks = (
-        visits.join(cuts, leaf)
-        .withColumn("NewBlock", F.pmod(piece, F.col("NewCuts")).cast("int"))
-        .withColumn("KnownBlock", F.explode(F.sequence(F.lit(0), F.col("KnownCuts") - 1)))
-        .select(*leaf, "KnownBlock", "NewBlock", "CommentId", "Vector")
-    )
-
-    def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"CommentId": [], "KnownCommentId": [], "Cosine": []}).astype({"CommentId": object, "KnownCommentId": object})]
-        if len(mine) and len(theirs):
-            theirs = theirs.sort_values("CommentId", kind="stable")
-            ids = mine["CommentId"].to_numpy(dtype=object)
-            others = theirs["CommentId"].to_numpy(dtype=object)
-            columns = unit_rows(theirs["Vector"])
-            for start in range(0, len(mine), SLICE_ROWS):
-                rows = unit_rows(mine["Vector"].iloc[start : start + SLICE_ROWS])
-                i, j, value, _ = nearest_within(rows, columns, min_cosine, neighbours)
-                if len(i):
-                    out.append(pd.DataFrame({"CommentId": ids[start + i], "KnownCommentId": others[j], "Cosine": value}))
-        return pd.concat(out, ignore_index=True)
-
-    keys = [*leaf, "KnownBlock", "NewBlock"]
-    best = (
-        new_blocks.groupBy(*keys)
-        .cogroup(known_blocks.groupBy(*keys))
-        .applyInPandas(compare, "CommentId string, KnownCommentId string, Cosine double")
-    )
+    best = _compared(homes, visits, neighbours, block_rows)
     order = Window.partitionBy("CommentId").orderBy(F.desc("Cosine"), "KnownCommentId")
     return best.withColumn("Place", F.row_number().over(order)).filter(F.col("Place") <= neighbours)
 

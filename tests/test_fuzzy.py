@@ -54,6 +54,23 @@ def test_cells_are_ruled_out_and_never_wrongly():
     assert mask[i, home[j]].all() and mask.mean() < 0.5
 
 
+def test_vectors_that_are_all_alike_do_not_visit_every_cell(spark, monkeypatch):
+    """Texts of one language: every pair is within the limit, which alone rules no cell out."""
+    visits, made = [], fuzzy._visits
+
+    def counted(*args):
+        visits.append(made(*args))
+        return visits[-1]
+
+    monkeypatch.setattr(fuzzy, "_visits", counted)
+    rng = np.random.default_rng(2)
+    known, new = (np.array([20.0, 15, 10, 8]) + rng.normal(scale=0.6, size=(n, 4)) for n in (1200, 150))
+    got = fuzzy.nearest_known(vectors(spark, "n", new), vectors(spark, "k", known), 0.95, 5, cells=64, block_rows=40)
+    assert {(r["CommentId"], r["KnownCommentId"], r["Place"]) for r in got.collect()} == brute(new, known, 0.95, 5)
+    cells = 1 + 2 * 1200 // 40
+    assert visits[0].count() < 150 * cells / 3
+
+
 def test_first_close_neighbour_in_spelling(spark):
     def frame(rows):
         return spark.createDataFrame(rows, "CommentId string, SurveyComment string, Vector array<double>")
