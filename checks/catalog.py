@@ -80,8 +80,8 @@ def _(f):
 )
 def _(f):
     kept = store(f, "overwrite")
-    kept.overwrite("dim", f.known)
-    return kept.overwrite("dim", comments.mark_reported(kept.read("dim"), f.prior_report, DAY2)).select(*DIM_SHOWN)
+    kept.overwrite("dim", f.known_state)
+    return kept.overwrite("dim", comments.mark_reported(kept.read("dim"), f.prior_rows, DAY2)).select(*DIM_SHOWN)
 
 
 @query(
@@ -107,7 +107,7 @@ def _(f):
 )
 def _(f):
     known = store(f, "first").read_or_empty("comment_dim", COMMENT_DIM)
-    return comments.upsert_comment_dim(f.stats("day1"), known).select(*DIM_SHOWN)
+    return comments.upsert_comment_dim(f.stats_state("day1"), known).select(*DIM_SHOWN)
 
 
 @query("scan_side_files", "SELECT c_custkey, c_mktsegment FROM customer")
@@ -178,7 +178,7 @@ def _(f):
 
 @query("batch_ids", numbered_sql("prior_report", ["FeedbackId", "SegmentNumber"], 500, "Batch"))
 def _(f):
-    return paging.with_pages(f.prior_report.select("FeedbackId", "SegmentNumber"), 500, "Batch")
+    return paging.with_pages(f.prior_rows.select("FeedbackId", "SegmentNumber"), 500, "Batch")
 
 
 SEARCH_KEY = ["FeedbackId", "SegmentNumber", "SurveyType"]
@@ -330,7 +330,7 @@ def _(f):
     f" {DAY2}::INT AS ReportingDate FROM answers_day2",
 )
 def _(f):
-    rows = shape.typed_backfill(f.stats("day2"), COMMENT_DIM, {"ReportingDate": DAY2})
+    rows = shape.typed_backfill(f.stats_state("day2"), COMMENT_DIM, {"ReportingDate": DAY2})
     return rows.select("CommentId", "ResponseCount", "TokenCount", "ProcessingDate", "ReportingDate")
 
 
@@ -435,7 +435,7 @@ def _(f):
     f"SELECT {', '.join(DIM_SHOWN)} FROM known WHERE CommentId IN (SELECT CommentId FROM eligible_day2)",
 )
 def _(f):
-    return comments.drop_removed_comments(f.known, f.eligible("day2")).select(*DIM_SHOWN)
+    return comments.drop_removed_comments(f.known_state, f.eligible("day2")).select(*DIM_SHOWN)
 
 
 @query(
@@ -443,7 +443,7 @@ def _(f):
     f"SELECT {shown(SHOWN)} FROM prior_report WHERE FeedbackId IN (SELECT FeedbackId FROM reportable_day2)",
 )
 def _(f):
-    return show(report.drop_removed_feedback(f.prior_report, f.reportable("day2")), SHOWN)
+    return show(report.drop_removed_feedback(f.prior_rows, f.reportable("day2")), SHOWN)
 
 
 @query(
@@ -453,7 +453,7 @@ def _(f):
        FROM stats_day2 s JOIN known k USING (SurveyType, CommentId)""",
 )
 def _(f):
-    return comments.repeat_responses(f.eligible("day2"), f.known).select(*DIM_SHOWN)
+    return comments.repeat_responses(f.eligible("day2"), f.known_state).select(*DIM_SHOWN)
 
 
 @query(
@@ -462,13 +462,13 @@ def _(f):
     " WHERE CommentId NOT IN (SELECT CommentId FROM known)",
 )
 def _(f):
-    rows = comments.new_responses(f.eligible("day2"), f.known, f.hot("day2"))
+    rows = comments.new_responses(f.eligible("day2"), f.known_state, f.hot("day2"))
     return rows.select("FeedbackId", "CommentId", "DIM_DateId")
 
 
 @query("upsert_comment_dim", f"SELECT {', '.join(DIM_SHOWN)} FROM dim")
 def _(f):
-    return comments.upsert_comment_dim(f.stats("day2"), f.known).select(*DIM_SHOWN)
+    return comments.upsert_comment_dim(f.stats_state("day2"), f.known_state).select(*DIM_SHOWN)
 
 
 @query(
@@ -509,12 +509,12 @@ _CACHED = "(SELECT CommentId FROM known)"
     " AND CommentId IN (SELECT CommentId FROM dim)",
 )
 def _(f):
-    return segments.segment_cache_hits(cache(f), f.dim).select("CommentId", "SegmentNumber", "Segment")
+    return segments.segment_cache_hits(cache(f), f.dim_state).select("CommentId", "SegmentNumber", "Segment")
 
 
 def cache(f: Frames) -> DataFrame:
     """Segments of the comments known on day 1."""
-    return f.segments.join(f.known.select("CommentId"), "CommentId", "left_semi")
+    return f.segments.join(f.known_state.select("CommentId"), "CommentId", "left_semi")
 
 
 @query(
@@ -523,7 +523,7 @@ def cache(f: Frames) -> DataFrame:
     f" (SELECT CommentId FROM segments WHERE CommentId IN {_CACHED})",
 )
 def _(f):
-    return segments.segment_cache_misses(cache(f), f.dim).select("CommentId", "ResponseCount")
+    return segments.segment_cache_misses(cache(f), f.dim_state).select("CommentId", "ResponseCount")
 
 
 @query("extend_segment_cache", f"SELECT {shown(['CommentId', 'SegmentNumber', 'Coverage'])} FROM segments")
@@ -534,7 +534,7 @@ def _(f):
 
 @query("unprocessed_work", "SELECT CommentId, SegmentNumber, WorkloadLabel FROM today")
 def _(f):
-    return comments.unprocessed_work(f.labelled, f.dim).select(
+    return comments.unprocessed_work(f.labelled, f.dim_state).select(
         "CommentId", "SegmentNumber", "WorkloadLabel"
     )
 
@@ -549,7 +549,7 @@ def _(f):
 
 @query("nonresponse_fact", f"SELECT {shown(SHOWN)} FROM silent_day2")
 def _(f):
-    rows = report.nonresponse_fact(f.reportable("day2"), f.nonresponses("day2"), f.hot("day2"))
+    rows = report.nonresponse_fact(f.reportable("day2"), f.nonresponse_ids("day2"), f.hot("day2"))
     return show(rows, SHOWN)
 
 
@@ -604,7 +604,7 @@ def _(f):
             FROM final_report) WHERE place = 1""",
 )
 def _(f):
-    return show(report.latest_per_comment(f.final_report), SHOWN)
+    return show(report.latest_per_comment(f.final_rows), SHOWN)
 
 
 @query(
@@ -623,7 +623,7 @@ def _(f):
         FROM dim_done""",
 )
 def _(f):
-    done = comments.mark_processed(f.dim, f.today, DAY2)
+    done = comments.mark_processed(f.dim_state, f.today, DAY2)
     return comments.mark_reported(done, f.current, DAY2).select("CommentId", "ProcessingDate", "ReportingDate")
 
 
@@ -676,12 +676,12 @@ FUZZY = {
 
 
 def arrived(f: Frames) -> DataFrame:
-    rows = f.dim.join(f.known.select("CommentId"), "CommentId", "left_anti")
+    rows = f.with_texts(f.dim_state.join(f.known_state.select("CommentId"), "CommentId", "left_anti"))
     return rows.select("CommentId", "SurveyComment", letter_vector(F.col("SurveyComment")).alias("Vector"))
 
 
 def settled(f: Frames) -> DataFrame:
-    return f.dim.filter("ReportingDate IS NOT NULL").select(
+    return f.with_texts(f.dim_state.filter("ReportingDate IS NOT NULL")).select(
         "CommentId", "SurveyComment", letter_vector(F.col("SurveyComment")).alias("Vector")
     )
 
@@ -803,7 +803,7 @@ def _(f):
     fact = f.reportable("day2")
     rows = report.assemble_report(
         f.total, report.inherit_labels(f.repeats, f.total, hot=f.hot("day2")),
-        report.nonresponse_fact(fact, f.nonresponses("day2"), f.hot("day2")),
+        report.nonresponse_fact(fact, f.nonresponse_ids("day2"), f.hot("day2")),
         shape.empty_responses(fact), fact, f.context, f.texts, SURVEY, f.hot("day2"),
     )
     return show(rows, _FINAL)
@@ -828,7 +828,7 @@ def _(f):
 
 @query("label_counts", "SELECT * FROM qc_now")
 def _(f):
-    reported = f.final_report.filter(F.col("ReportingType") == "Report")
+    reported = f.final_rows.filter(F.col("ReportingType") == "Report")
     return quality.label_counts(reported, DAY2)
 
 
@@ -841,7 +841,7 @@ def _(f):
     ),
 )
 def _(f):
-    return quality.label_counts(f.final_report, DAY2)
+    return quality.label_counts(f.final_rows, DAY2)
 
 
 @query(
@@ -854,7 +854,7 @@ def _(f):
 )
 def _(f):
     """Days of the report one after the other, each numbered and added to what is stored."""
-    rows = f.final_report.select("FeedbackId", "DIM_DateId", *LABEL_COLUMNS)
+    rows = f.final_rows.select("FeedbackId", "DIM_DateId", *LABEL_COLUMNS)
     kept = store(f, "bitmaps")
     numbers = f.spark.createDataFrame([], "FeedbackId string, Number long")
     for early in (True, False):
@@ -899,7 +899,7 @@ def _(f):
     f"SELECT min(ProcessingDate) AS OldestProcessingDate, min(ProcessingDate) = {DAY1} AS IsBackfill FROM known",
 )
 def _(f):
-    return quality.backfill_probe(f.known, DAY1)
+    return quality.backfill_probe(f.known_state, DAY1)
 
 
 @query(
@@ -908,7 +908,7 @@ def _(f):
     DRIFT,
 )
 def _(f):
-    return quality.silence_backfill(drift(f), f.known, DAY1).select("LabelType", "LabelValue", "IssueFlag")
+    return quality.silence_backfill(drift(f), f.known_state, DAY1).select("LabelType", "LabelValue", "IssueFlag")
 
 
 @query("latest_snapshot", f"SELECT * FROM qc WHERE DIM_DateId = {DAY2}", DRIFT)
@@ -978,7 +978,7 @@ def _(f):
               (SELECT count(*) FROM reportable_day2) = (SELECT count(DISTINCT FeedbackId) FROM final_report)""",
 )
 def _(f):
-    hits = segments.segment_cache_hits(cache(f), f.dim).select("CommentId").distinct()
+    hits = segments.segment_cache_hits(cache(f), f.dim_state).select("CommentId").distinct()
     good = f.completed.filter("Status = 'ok'")
     checks = [
         quality.conservation_check(
@@ -986,12 +986,12 @@ def _(f):
             [good, completions.quarantine_rows(f.completed, DAY2)],
         ),
         quality.conservation_check(
-            "cache", "hits + misses = batch", [f.dim],
-            [hits, segments.segment_cache_misses(cache(f), f.dim)],
+            "cache", "hits + misses = batch", [f.dim_state],
+            [hits, segments.segment_cache_misses(cache(f), f.dim_state)],
         ),
         quality.conservation_check(
             "report", "fact = reported responses", [f.reportable("day2")],
-            [f.final_report.select("FeedbackId").distinct()],
+            [f.final_rows.select("FeedbackId").distinct()],
         ),
     ]
     return checks[0].unionByName(checks[1]).unionByName(checks[2])
@@ -1006,7 +1006,7 @@ def _(f):
 )
 def _(f):
     return quality.run_metrics(
-        f.final_report, "report",
+        f.final_rows, "report",
         {
             "rows": F.count(F.lit(1)),
             "responses": F.count_distinct("FeedbackId"),
@@ -1052,7 +1052,7 @@ def _(f):
     " ORDER BY LastResponseDate DESC, ResponseCount DESC, CommentId LIMIT 500",
 )
 def _(f):
-    return comments.work_queue(f.dim, 500).select("CommentId", "LastResponseDate", "ResponseCount")
+    return comments.work_queue(f.dim_state, 500).select("CommentId", "LastResponseDate", "ResponseCount")
 
 
 @query("ordered_output", "SELECT CommentId, SegmentNumber, WorkloadLabel FROM labelled")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from earshot.functions.text import lower_tokens
 from earshot.operators.shape import conform
 from earshot.operators.skew import hot_keys, lookup_join, skew_join
-from earshot.schemas import COMMENT_DIM
+from earshot.schemas import COMMENT_DIM, COMMENT_STATE
 from earshot.session import persist_table
 
 COMMENT_KEY = ["SurveyType", "CommentId"]
@@ -21,9 +21,13 @@ LEAST_SLOTS, MOST_SLOTS = 1 << 12, 1 << 23
 
 
 def comment_stats(responses: DataFrame) -> DataFrame:
-    """First date, last date and number of responses per comment, in one aggregate."""
+    """First date, last date and number of responses per comment, in one aggregate.
+
+    Responses that carry the ``CharacterCount`` of their text in place of the text keep texts out of the exchange.
+    """
     # The text is part of the key: one comment id has one text, and fixed-width buffers need no sort of texts.
-    return responses.groupBy(*COMMENT_KEY, "SurveyComment").agg(
+    body = [c for c in ("SurveyComment", "CharacterCount") if c in responses.columns]
+    return responses.groupBy(*COMMENT_KEY, *body).agg(
         F.min("DIM_DateId").alias("FirstResponseDate"),
         F.max("DIM_DateId").alias("LastResponseDate"),
         F.count(F.lit(1)).alias("ResponseCount"),
@@ -43,7 +47,8 @@ def hot_comments(dim: DataFrame, nonresponses: DataFrame | None = None, **limits
 
 
 def with_character_count(df: DataFrame) -> DataFrame:
-    return df.withColumn("CharacterCount", F.length("SurveyComment").cast("long"))
+    """Add the length of the text; rows without texts have it already."""
+    return df.withColumn("CharacterCount", F.length("SurveyComment").cast("long")) if "SurveyComment" in df.columns else df
 
 
 def word_slots(words: DataFrame, least: int = LEAST_SLOTS, most: int = MOST_SLOTS) -> bytes:
@@ -70,12 +75,11 @@ def likely_words(text: Column, slots: bytes) -> Column:
     return F.filter(lower_tokens(text), lambda w: F.forall(_slots(w, len(slots)), inside))
 
 
-def nonresponse_split(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Flag comments that are shorter than two characters or hold no dictionary word.
+def _worded(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Ids of comments with a dictionary word.
 
-    ``comments`` is one row per comment; ``dictionary`` has the words in its first column. A filter of the dictionary is applied
-    inside the row. A comment without a likely word has none; of the others one likely word each is looked up, which settles
-    nearly all, and only comments whose first likely word was none have the rest looked up.
+    A filter of the dictionary is applied inside the row. A comment without a likely word has none; of the others one likely word
+    each is looked up, which settles nearly all, and only comments whose first likely word was none have the rest looked up.
     """
     words = persist_table(dictionary.select(F.col(dictionary.columns[0]).alias("word")).distinct(), "words")
     slots = word_slots(words)
@@ -87,7 +91,23 @@ def nonresponse_split(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
     rest = lookup_join(comments.select("CommentId", "SurveyComment"), unsure, ["CommentId"], "left_semi")
     rest = rest.select("CommentId", F.explode(likely_words(F.col("SurveyComment"), slots)).alias("word"))
     found = lookup_join(rest, words, ["word"], "left_semi").select("CommentId").distinct()
-    worded = persist_table(sure.unionByName(found).distinct(), "comments-worded").withColumn("_worded", F.lit(True))
+    return persist_table(sure.unionByName(found).distinct(), "comments-worded")
+
+
+def nonresponse_flags(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(CommentId, IsNonresponse) of one row per comment; a comment's text does not travel."""
+    short = comments.select("CommentId", (F.length("SurveyComment") < 2).alias("_short"))
+    worded = _worded(comments, dictionary).withColumn("_worded", F.lit(True))
+    flag = F.col("_worded").isNull() | F.col("_short")
+    return short.join(worded, "CommentId", "left").select("CommentId", flag.alias("IsNonresponse"))
+
+
+def nonresponse_split(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Flag comments that are shorter than two characters or hold no dictionary word.
+
+    ``comments`` is one row per comment; ``dictionary`` has the words in its first column.
+    """
+    worded = _worded(comments, dictionary).withColumn("_worded", F.lit(True))
     return (
         comments.join(worded, "CommentId", "left")
         .withColumn(
@@ -123,10 +143,12 @@ def upsert_comment_dim(stats: DataFrame, known: DataFrame) -> DataFrame:
     """New state of the dimension: every comment of the fact, with the work state it had.
 
     ``stats`` comes from :func:`comment_stats`. Comments gone from the fact drop out, repeated
-    ones get fresh dates and counts, new ones start without a work state.
+    ones get fresh dates and counts, new ones start without a work state. Statistics without
+    texts give the work state alone.
     """
     kept = known.select(*COMMENT_KEY, "TokenCount", "ProcessingDate", "ReportingDate")
-    return conform(with_character_count(stats).join(kept, COMMENT_KEY, "left"), COMMENT_DIM)
+    shape = COMMENT_DIM if "SurveyComment" in stats.columns else COMMENT_STATE
+    return conform(with_character_count(stats).join(kept, COMMENT_KEY, "left"), shape)
 
 
 def work_queue(dim: DataFrame, batch_size: int | None) -> DataFrame:

@@ -22,7 +22,7 @@ from earshot.operators.shape import (
     typed_backfill,
 )
 from earshot.operators.skew import lookup_join, newest_first, skew_join
-from earshot.schemas import REPORT, REPORT_OUT
+from earshot.schemas import REPORT, REPORT_OUT, REPORT_ROWS
 from earshot.session import persist_table
 
 FACT_COLUMNS = ["DIM_DateId", "DIM_ProductMasterId", "FeedbackId", "CommentId", "Score"]
@@ -82,15 +82,25 @@ def supersede_prior(current: DataFrame, prior: DataFrame, dedupe: bool = True) -
     """This run's rows plus the earlier rows of (product, response) pairs it did not cover.
 
     The join is on the response alone, with the few products of a response as a set: the earlier
-    report, the largest table, then keeps the partitioning it has from being restated.
+    report, the largest table, then keeps the partitioning it has from being restated. The kept rows and
+    this run's have no (product, response) in common, so each side is made distinct by itself; rows
+    that lack one of the two are compared as a whole.
     """
+    body = F.struct(*[c for c in current.columns if c != "SurveyComment"])
+    product, response = F.col("DIM_ProductMasterId"), F.col("FeedbackId")
     covered = current.groupBy("FeedbackId").agg(
-        F.collect_set("DIM_ProductMasterId").alias("_products")
+        F.collect_set(product).alias("_products"), F.collect_set(F.when(product.isNull(), body)).alias("_loose")
     )
-    is_covered = F.array_contains("_products", F.col("DIM_ProductMasterId"))
-    kept = prior.join(covered, "FeedbackId", "left").filter(~F.coalesce(is_covered, F.lit(False)))
-    total = current.unionByName(kept.select(*current.columns))
-    return distinct_rows(total) if dedupe else total
+    is_covered = F.array_contains("_products", product)
+    if dedupe:
+        is_covered = F.coalesce(is_covered, F.lit(False)) | F.array_contains("_loose", body)
+    joined = prior.join(covered, "FeedbackId", "left").filter(~F.coalesce(is_covered, F.lit(False)))
+    kept = joined.select(*current.columns)
+    if not dedupe:
+        return current.unionByName(kept)
+    named, nameless = response.isNotNull(), response.isNull()
+    loose = current.filter(nameless).unionByName(prior.filter(nameless).select(*current.columns))
+    return reduce(DataFrame.unionByName, [distinct_rows(current.filter(named)), distinct_rows(kept.filter(named)), distinct_rows(loose)])
 
 
 def fan_out_duplicates(
@@ -222,7 +232,7 @@ def assemble_report(
     empties: DataFrame,
     fact: DataFrame,
     context: DataFrame,
-    texts: DataFrame,
+    texts: DataFrame | None,
     survey_type: str,
     hot: DataFrame | None = None,
     buckets: int | None = None,
@@ -231,7 +241,8 @@ def assemble_report(
 
     ``total`` is nearly all of the report. Removals, context and the dedupe work on rows by response, so in buckets of FeedbackId
     it is not exchanged for them, nor for its texts if it has them. The other rows are made ready by themselves, lose what
-    ``total`` holds already, get their texts, and with ``buckets`` are dealt out as that many.
+    ``total`` holds already, get their texts, and with ``buckets`` are dealt out as that many. Without ``texts`` the rows come
+    without theirs, for what needs none.
     """
     columns = [c for c in REPORT.names if c != "UserContext"]
 
@@ -240,12 +251,13 @@ def assemble_report(
         # A text goes with its comment's id, so rows with texts may be compared as a whole.
         return kept.distinct()
 
-    carried = "SurveyComment" in total.columns
+    carried = texts is not None and "SurveyComment" in total.columns
+    named = (lambda rows: rows) if texts is None else (lambda rows: attach_text(rows, texts, hot))
     settled = ready(typed_backfill(total, REPORT).select(*columns, *(["SurveyComment"] if carried else [])))
     fresh = ready(reduce(DataFrame.unionByName, [typed_backfill(p, REPORT).select(*columns) for p in (inherited, nonresponses, empties)]))
     fresh = persist_table(fresh, "report-fresh")
-    fresh = attach_text(not_yet_in(fresh, settled), texts, hot)
+    fresh = named(not_yet_in(fresh, settled))
     if buckets:
         fresh = fresh.repartition(buckets, "FeedbackId")
-    rows = (settled if carried else attach_text(settled, texts, hot)).unionByName(fresh)
-    return conform(rows.withColumn("SurveyType", F.lit(survey_type)), REPORT_OUT)
+    rows = (settled if carried else named(settled)).unionByName(fresh)
+    return conform(rows.withColumn("SurveyType", F.lit(survey_type)), REPORT_ROWS if texts is None else REPORT_OUT)

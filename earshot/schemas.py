@@ -116,6 +116,9 @@ REPORT_OUT = T.StructType(
     ]
 )
 
+# The same without the texts.
+REPORT_ROWS = T.StructType([f for f in REPORT_OUT.fields if f.name != "SurveyComment"])
+
 QC = _struct(
     "DIM_DateId int, LabelType string, LabelValue string, DistinctResponseCount long,"
     " IssueFlag boolean, SurveyType string"
