@@ -560,8 +560,7 @@ def _(f):
 
 @query("restate_bucketed_report", f"SELECT {shown(SHOWN)} FROM restated")
 def _(f):
-    prior = f.prior_report.repartition(8, "FeedbackId")
-    kept = store(f, "bucketed").overwrite_bucketed("report", prior, "FeedbackId", 8)
+    kept = store(f, "bucketed").overwrite_bucketed("report", f.prior_dealt(8), "FeedbackId", 8)
     return show(report.restate_prior_report(f.reportable("day2"), kept), SHOWN)
 
 

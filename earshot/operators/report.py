@@ -212,10 +212,29 @@ def attach_text(report: DataFrame, texts: DataFrame, hot: DataFrame | None = Non
     """Add the comment's text to every report row; rows without a comment take no part in the join."""
     blank = F.when(F.col("CommentId").isNotNull(), F.lit(""))
     bare = report.filter(has_empty_id()).withColumn("SurveyComment", blank)
-    named = skew_join(report.filter(~has_empty_id()), texts, ["CommentId"], "left", ["FeedbackId", "SegmentNumber"], hot)
+    spread = [c for c in ("FeedbackId", "SegmentNumber") if c in report.columns]
+    named = skew_join(report.filter(~has_empty_id()), texts, ["CommentId"], "left", spread, hot)
     return named.unionByName(bare)
 
 
+def attach_text_dealt(report: DataFrame, texts: DataFrame, buckets: int, hot: DataFrame | None = None) -> DataFrame:
+    """``attach_text`` for a whole report, dealt out by response: a text travels once for each response, not for each of its segments.
+
+    Rows of a response end up side by side, so in a table their text takes little more room than one. Rows without a response get
+    their texts by the comment. ``texts`` has one row per comment.
+    """
+    named = F.col("FeedbackId").isNotNull()
+    owners = attach_text(report.filter(named).select("FeedbackId", "CommentId").distinct(), texts, hot)
+    held = owners.repartition(buckets, "FeedbackId").groupBy("FeedbackId").agg(
+        F.collect_list(F.struct("CommentId", "SurveyComment")).alias("_texts")
+    )
+    own = F.filter("_texts", lambda t: t["CommentId"] == F.col("CommentId"))
+    rows = report.filter(named).repartition(buckets, "FeedbackId").join(held, "FeedbackId")
+    rows = rows.withColumn("SurveyComment", F.get(own, F.lit(0))["SurveyComment"]).drop("_texts")
+    loose = attach_text(report.filter(~named), texts, hot).repartition(buckets, "FeedbackId")
+    return rows.select(*report.columns, "SurveyComment").unionByName(loose.select(*report.columns, "SurveyComment"))
+
+
 def not_yet_in(rows: DataFrame, settled: DataFrame) -> DataFrame:
     """Rows that ``settled`` does not hold; both are brought together by response, so settled rows in buckets stay where they are."""
     body = F.struct(*[c for c in rows.columns if c != "SurveyComment"])

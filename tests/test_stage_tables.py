@@ -1,5 +1,6 @@
 """What the stage tables hold, and the report in buckets when repeats are dropped."""
 
+import hashlib
 import os
 import time
 
@@ -98,3 +99,25 @@ def test_shuffle_files_of_a_finished_job_are_freed(spark):
     while held() >= before and time.monotonic() < until:
         time.sleep(0.2)
     assert held() < before
+
+
+def test_a_text_is_dealt_out_once_for_each_response(spark):
+    columns = "FeedbackId string, CommentId string, Segment string, SegmentNumber long"
+    rows = [(f"r{k}", f"c{k % 5}", f"s{n}", n) for k in range(40) for n in range(4)]
+    rows += [("r1", "c9", "other", 0), (None, "c1", "s0", 0), (None, None, None, None), ("r2", None, None, None), ("r3", "none", "s0", 0)]
+    empty = hashlib.sha256(b"").hexdigest()
+    rows += [("r4", empty, None, None), (None, empty, None, None), ("r5", "c0", "s0", 0), ("r5", "c0", "s0", 0)]
+    frame = spark.createDataFrame(rows, columns)
+    texts = spark.createDataFrame([(f"c{k}", f"text {k}") for k in range(10)], "CommentId string, SurveyComment string")
+    order = ["FeedbackId", "CommentId", "Segment", "SegmentNumber", "SurveyComment"]
+    want, got = report.attach_text(frame, texts).select(*order), report.attach_text_dealt(frame, texts, 4).select(*order)
+    assert got.count() == len(rows) and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = persist_bucketed(frame.repartition(8, "FeedbackId"), "owned", "FeedbackId", 8)
+        dealt = report.attach_text_dealt(stored, texts, 4).filter("FeedbackId IS NOT NULL")
+        lines = dealt._jdf.queryExecution().executedPlan().toString().splitlines()
+        named = next(k for k, line in enumerate(lines) if "Exchange hashpartitioning(FeedbackId" in line)
+        assert "Segment#" in lines[named + 2] and "SurveyComment" not in lines[named + 1] + lines[named + 2]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
