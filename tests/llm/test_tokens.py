@@ -2,6 +2,8 @@
 
 import random
 import zlib
+from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +83,32 @@ def test_grammar_round_trip():
             assert len(seq) < n
 
 
+def pairs_left(seq, barrier=2):
+    """Pairs of neighbours by how often they occur; those that overlap in a run of one id count once."""
+    runs = [(k, len(list(same))) for k, same in groupby(seq)]
+    found = Counter(pair for pair in zip([k for k, _ in runs], [k for k, _ in runs[1:]]) if barrier not in pair)
+    for k, n in runs:
+        found[k, k] += n // 2 if k != barrier else 0
+    return found
+
+
+def test_every_pair_that_occurs_twice_is_replaced():
+    rng = np.random.default_rng(11)
+    # pairs that a sample of every eighth place would miss, more of them than one round or its slots take, and runs
+    rare = np.concatenate([[k, k + 40_000, 5] for k in (*range(1000, 1300), *range(1000, 1300))])
+    cases = [rare, np.full(999, 7), np.array([7, 7, 7, 8, 7, 7, 7, 9]), np.tile([0, 0, 5, 9, 0, 0], 3), rng.integers(10, 400, 30_000), np.tile(rng.permutation(60_000)[:20_000] + 10, 2)]
+    for case in cases:
+        ids = case.astype(np.uint32)
+        ids[rng.random(len(ids)) < 0.002] = 2
+        rules, lengths, seq = token_files.compress(ids, 2)
+        assert token_files.expand(seq, rules, lengths).tolist() == ids.tolist()
+        assert max(pairs_left(seq.tolist()).values(), default=0) < 2
+    assert len(token_files.compress(cases[1].astype(np.uint32), 2)[2]) < 20
+    # the most frequent pair goes first and has all of its places
+    rules, _, _ = token_files.compress(np.array([4, 5, 6, 4, 5, 3, 5, 6, 4, 5, 9, 4, 5], np.uint32), 2)
+    assert rules[0].tolist() == [4, 5]
+
+
 def test_files_round_trip(spark, docs, corpus, ids, empty):
     path = vocabulary_path()
     got = [tuple(r) for r in token_files.round_trip(docs, path, shard_ids=700).collect()]
